@@ -1,0 +1,331 @@
+"""Generated by tools/gen_shapes.py: canonical column kinds per query."""
+
+SHAPES = {'int_contact_first_touch': [('contact_id', 'plain'), ('first_touch_at', 'ts'), ('first_sales_touch_at', 'ts')],
+ 'int_deal_primary_contact': [('deal_id', 'plain'), ('primary_contact_id', 'plain')],
+ 'int_deal_sales_touches': [('deal_id', 'plain'),
+                            ('total_touches', 'int'),
+                            ('outbound_emails', 'int'),
+                            ('calls', 'int'),
+                            ('meetings', 'int')],
+ 'int_deal_stage_durations': [('deal_id', 'plain'),
+                              ('deal_stage', 'plain'),
+                              ('times_entered', 'int'),
+                              ('total_seconds_in_stage', 'frac'),
+                              ('total_days_in_stage', 'frac'),
+                              ('first_entered_at', 'ts'),
+                              ('last_exited_at', 'ts'),
+                              ('seconds_to_close', 'frac'),
+                              ('days_to_close', 'frac')],
+ 'int_partner_contact_attribution': [('contact_id', 'plain'),
+                                     ('partner_id', 'plain'),
+                                     ('partner_name', 'plain'),
+                                     ('source_type', 'plain'),
+                                     ('attribution_method', 'plain'),
+                                     ('attribution_evidence_at', 'ts'),
+                                     ('attribution_evidence_id', 'plain')],
+ 'partner_deal_stage_durations': [('partner_id', 'plain'),
+                                  ('partner_name', 'plain'),
+                                  ('deal_id', 'plain'),
+                                  ('deal_stage', 'plain'),
+                                  ('times_entered', 'int'),
+                                  ('total_seconds_in_stage', 'frac'),
+                                  ('total_days_in_stage', 'frac'),
+                                  ('first_entered_at', 'ts'),
+                                  ('last_exited_at', 'ts'),
+                                  ('deal_status', 'plain'),
+                                  ('is_closed_won', 'plain'),
+                                  ('amount', 'money')],
+ 'partner_deals': [('deal_id', 'plain'),
+                   ('contact_id', 'plain'),
+                   ('partner_id', 'plain'),
+                   ('partner_name', 'plain'),
+                   ('source_type', 'plain'),
+                   ('partner_attribution_origin', 'plain'),
+                   ('deal_name', 'plain'),
+                   ('pipeline_id', 'plain'),
+                   ('deal_stage', 'plain'),
+                   ('deal_stage_probability', 'frac'),
+                   ('deal_type', 'plain'),
+                   ('amount', 'money'),
+                   ('amount_home_currency', 'money'),
+                   ('deal_created_at', 'ts'),
+                   ('deal_created_date', 'plain'),
+                   ('deal_created_month', 'plain'),
+                   ('deal_created_quarter', 'plain'),
+                   ('deal_close_date', 'ts'),
+                   ('deal_close_date_d', 'plain'),
+                   ('deal_close_month', 'plain'),
+                   ('deal_close_quarter', 'plain'),
+                   ('deal_closed_won_at', 'ts'),
+                   ('contact_created_at', 'ts'),
+                   ('is_closed_won', 'plain'),
+                   ('is_closed', 'plain'),
+                   ('deal_status', 'plain'),
+                   ('days_contact_to_deal', 'frac'),
+                   ('time_to_close_days', 'frac'),
+                   ('sales_touches_total', 'int'),
+                   ('sales_outbound_emails', 'int'),
+                   ('sales_calls', 'int'),
+                   ('sales_meetings', 'int'),
+                   ('deal_owner_id', 'plain'),
+                   ('deal_owner_name', 'plain'),
+                   ('deal_owner_email', 'plain'),
+                   ('deal_owner_team_id', 'plain'),
+                   ('_synced_at', 'ts')],
+ 'partner_funnel_stage_conversion': [('partner_id', 'plain'),
+                                     ('partner_name', 'plain'),
+                                     ('deal_stage', 'plain'),
+                                     ('stage_order', 'int'),
+                                     ('deals_entered', 'int'),
+                                     ('deals_advanced', 'int'),
+                                     ('deals_closed_won', 'int'),
+                                     ('stage_conversion_rate', 'frac'),
+                                     ('stage_to_won_rate', 'frac'),
+                                     ('deals_entered_next_stage', 'int'),
+                                     ('next_stage_conversion_rate', 'frac'),
+                                     ('drop_off_rate', 'frac')],
+ 'partner_lead_cohorts': [('partner_id', 'plain'),
+                          ('partner_name', 'plain'),
+                          ('cohort_month', 'plain'),
+                          ('cohort_leads', 'int'),
+                          ('cohort_mqls', 'int'),
+                          ('cohort_sqls', 'int'),
+                          ('cohort_deals', 'int'),
+                          ('cohort_won_deals', 'int'),
+                          ('cohort_won_revenue', 'money'),
+                          ('cohort_avg_cycle_days', 'frac')],
+ 'partner_leads': [('contact_id', 'plain'),
+                   ('partner_id', 'plain'),
+                   ('partner_name', 'plain'),
+                   ('source_type', 'plain'),
+                   ('attribution_method', 'plain'),
+                   ('attribution_evidence_at', 'ts'),
+                   ('email', 'plain'),
+                   ('email_domain', 'plain'),
+                   ('first_name', 'plain'),
+                   ('last_name', 'plain'),
+                   ('company_name', 'plain'),
+                   ('job_title', 'plain'),
+                   ('industry', 'plain'),
+                   ('company_size_employees', 'int'),
+                   ('company_annual_revenue', 'money'),
+                   ('contact_owner_id', 'plain'),
+                   ('lead_created_at', 'ts'),
+                   ('lead_created_date', 'plain'),
+                   ('lead_created_month', 'plain'),
+                   ('lead_created_quarter', 'plain'),
+                   ('first_touch_at', 'ts'),
+                   ('first_sales_touch_at', 'ts'),
+                   ('hours_to_first_sales_touch', 'frac'),
+                   ('lifecycle_stage', 'plain'),
+                   ('lead_status', 'plain'),
+                   ('became_lead_at', 'ts'),
+                   ('became_mql_at', 'ts'),
+                   ('became_sql_at', 'ts'),
+                   ('became_opportunity_at', 'ts'),
+                   ('became_customer_at', 'ts'),
+                   ('reached_mql', 'plain'),
+                   ('reached_sql', 'plain'),
+                   ('is_disqualified', 'plain'),
+                   ('form_id', 'plain'),
+                   ('form_name', 'plain'),
+                   ('form_submitted_at', 'ts'),
+                   ('form_company_name', 'plain'),
+                   ('form_company_size', 'plain'),
+                   ('form_num_employees', 'plain'),
+                   ('form_industry', 'plain'),
+                   ('form_country', 'plain'),
+                   ('form_use_case', 'plain'),
+                   ('original_source', 'plain'),
+                   ('original_source_drill_down_1', 'plain'),
+                   ('original_source_drill_down_2', 'plain'),
+                   ('_synced_at', 'ts')],
+ 'partner_penetration': [('partner_id', 'plain'),
+                         ('partner_name', 'plain'),
+                         ('as_of_date', 'plain'),
+                         ('total_customer_count', 'int'),
+                         ('our_customer_count', 'int'),
+                         ('penetration_rate', 'frac'),
+                         ('our_first_won_at', 'ts')],
+ 'partner_rankings': [('partner_id', 'plain'),
+                      ('partner_name', 'plain'),
+                      ('total_leads', 'int'),
+                      ('total_deals_created', 'int'),
+                      ('deals_closed_won', 'int'),
+                      ('revenue_closed_won', 'money'),
+                      ('deal_to_won_rate', 'frac'),
+                      ('lead_to_won_rate', 'frac'),
+                      ('revenue_per_lead', 'frac'),
+                      ('avg_deal_size', 'frac'),
+                      ('mql_rate', 'frac'),
+                      ('sql_rate', 'frac'),
+                      ('partner_penetration_rate', 'frac'),
+                      ('median_leads', 'frac'),
+                      ('median_lead_to_won_rate', 'frac'),
+                      ('rank_by_revenue', 'int'),
+                      ('rank_by_close_rate', 'int'),
+                      ('rank_by_revenue_per_lead', 'int'),
+                      ('rank_by_lead_volume', 'int'),
+                      ('volume_efficiency_quadrant', 'plain'),
+                      ('is_top_performer', 'plain'),
+                      ('is_high_potential', 'plain'),
+                      ('is_underperformer', 'plain')],
+ 'partner_rep_performance': [('partner_id', 'plain'),
+                             ('partner_name', 'plain'),
+                             ('deal_owner_id', 'plain'),
+                             ('deal_owner_name', 'plain'),
+                             ('deal_owner_email', 'plain'),
+                             ('deals_total', 'int'),
+                             ('deals_won', 'int'),
+                             ('deals_lost', 'int'),
+                             ('deals_open', 'int'),
+                             ('win_rate', 'frac'),
+                             ('revenue_closed_won', 'money'),
+                             ('avg_deal_size', 'frac'),
+                             ('avg_cycle_days', 'frac'),
+                             ('avg_sales_touches', 'frac')],
+ 'partner_rep_performance_all': [('deal_owner_id', 'plain'),
+                                 ('deal_owner_name', 'plain'),
+                                 ('deals_total', 'int'),
+                                 ('deals_won', 'int'),
+                                 ('deals_lost', 'int'),
+                                 ('deals_open', 'int'),
+                                 ('revenue_closed_won', 'money'),
+                                 ('win_rate', 'frac')],
+ 'partner_summary': [('partner_id', 'plain'),
+                     ('partner_name', 'plain'),
+                     ('period_type', 'plain'),
+                     ('period_start_date', 'plain'),
+                     ('total_leads', 'int'),
+                     ('leads_from_partner_email', 'int'),
+                     ('leads_from_form', 'int'),
+                     ('leads_reached_mql', 'int'),
+                     ('leads_reached_sql', 'int'),
+                     ('leads_disqualified', 'int'),
+                     ('mql_rate', 'frac'),
+                     ('sql_rate', 'frac'),
+                     ('disqualified_rate', 'frac'),
+                     ('total_deals_created', 'int'),
+                     ('lead_to_deal_rate', 'frac'),
+                     ('deals_closed_won', 'int'),
+                     ('deals_closed_lost', 'int'),
+                     ('deal_to_won_rate', 'frac'),
+                     ('lead_to_won_rate', 'frac'),
+                     ('avg_hours_to_first_sales_touch', 'frac'),
+                     ('avg_days_contact_to_deal', 'frac'),
+                     ('avg_deal_cycle_days', 'frac'),
+                     ('avg_sales_touches_to_close', 'frac'),
+                     ('revenue_closed_won', 'money'),
+                     ('avg_deal_size', 'frac'),
+                     ('median_deal_size', 'frac'),
+                     ('revenue_per_lead', 'frac'),
+                     ('revenue_per_closed_won_deal', 'frac'),
+                     ('share_of_total_leads', 'frac'),
+                     ('share_of_total_deals', 'frac'),
+                     ('share_of_total_revenue', 'frac'),
+                     ('partner_total_customers', 'int'),
+                     ('our_customers_at_partner', 'int'),
+                     ('partner_penetration_rate', 'frac')],
+ 'stg_contacts': [('contact_id', 'plain'),
+                  ('email', 'plain'),
+                  ('email_domain', 'plain'),
+                  ('first_name', 'plain'),
+                  ('last_name', 'plain'),
+                  ('company_name', 'plain'),
+                  ('job_title', 'plain'),
+                  ('industry', 'plain'),
+                  ('company_size_employees', 'int'),
+                  ('company_annual_revenue', 'money'),
+                  ('lifecycle_stage', 'plain'),
+                  ('lead_status', 'plain'),
+                  ('contact_created_at', 'ts'),
+                  ('became_lead_at', 'ts'),
+                  ('became_mql_at', 'ts'),
+                  ('became_sql_at', 'ts'),
+                  ('became_opportunity_at', 'ts'),
+                  ('became_customer_at', 'ts'),
+                  ('original_source', 'plain'),
+                  ('original_source_drill_down_1', 'plain'),
+                  ('original_source_drill_down_2', 'plain'),
+                  ('latest_source', 'plain'),
+                  ('latest_source_drill_down_1', 'plain'),
+                  ('latest_source_drill_down_2', 'plain'),
+                  ('contact_owner_id', 'plain'),
+                  ('referring_partner_declared', 'plain'),
+                  ('lead_origin_declared', 'plain'),
+                  ('lead_source_declared', 'plain'),
+                  ('partner_source_notes', 'plain'),
+                  ('_synced_at', 'ts')],
+ 'stg_deal_contacts': [('deal_id', 'plain'), ('contact_id', 'plain'), ('is_primary_contact', 'plain')],
+ 'stg_deals': [('deal_id', 'plain'),
+               ('deal_name', 'plain'),
+               ('pipeline_id', 'plain'),
+               ('deal_stage', 'plain'),
+               ('deal_stage_probability', 'frac'),
+               ('amount', 'money'),
+               ('amount_home_currency', 'money'),
+               ('deal_created_at', 'ts'),
+               ('deal_close_date', 'ts'),
+               ('deal_closed_won_at', 'ts'),
+               ('is_closed_won', 'plain'),
+               ('is_closed', 'plain'),
+               ('deal_status', 'plain'),
+               ('deal_type', 'plain'),
+               ('deal_owner_id', 'plain'),
+               ('deal_source', 'plain'),
+               ('is_partner_sourced_deal', 'plain'),
+               ('referring_partner_deal', 'plain'),
+               ('deal_source_detail', 'plain'),
+               ('_synced_at', 'ts')],
+ 'stg_engagement_contacts': [('engagement_id', 'plain'), ('contact_id', 'plain')],
+ 'stg_engagements': [('engagement_id', 'plain'),
+                     ('engagement_type', 'plain'),
+                     ('engaged_at', 'ts'),
+                     ('engagement_owner_id', 'plain'),
+                     ('engagement_source', 'plain'),
+                     ('email_direction', 'plain'),
+                     ('email_from_address', 'plain'),
+                     ('email_from_domain', 'plain'),
+                     ('email_subject', 'plain'),
+                     ('_synced_at', 'ts')],
+ 'stg_form_submissions': [('submission_id', 'plain'),
+                          ('contact_id', 'plain'),
+                          ('form_id', 'plain'),
+                          ('form_name', 'plain'),
+                          ('submitted_at', 'ts'),
+                          ('submission_page_url', 'plain'),
+                          ('submission_values_raw', 'plain'),
+                          ('partner_name_from_form', 'plain'),
+                          ('form_company_name', 'plain'),
+                          ('form_company_size', 'plain'),
+                          ('form_num_employees', 'plain'),
+                          ('form_industry', 'plain'),
+                          ('form_country', 'plain'),
+                          ('form_use_case', 'plain'),
+                          ('is_partner_referral_form', 'plain')],
+ 'stg_owners': [('owner_id', 'plain'),
+                ('owner_email', 'plain'),
+                ('owner_first_name', 'plain'),
+                ('owner_last_name', 'plain'),
+                ('owner_name', 'plain'),
+                ('owner_team_id', 'plain'),
+                ('owner_created_at', 'ts'),
+                ('is_archived', 'plain')],
+ 'stg_partner_totals': [('partner_id', 'plain'),
+                        ('partner_name', 'plain'),
+                        ('partner_name_key', 'plain'),
+                        ('as_of_date', 'plain'),
+                        ('total_customer_count', 'int')],
+ 'stg_partners': [('partner_id', 'plain'),
+                  ('partner_name', 'plain'),
+                  ('partner_name_key', 'plain'),
+                  ('partner_domain', 'plain'),
+                  ('partner_tier', 'plain'),
+                  ('partner_start_date', 'plain')],
+ 'stg_stage_history': [('deal_id', 'plain'),
+                       ('deal_stage', 'plain'),
+                       ('entered_at', 'ts'),
+                       ('exited_at', 'ts'),
+                       ('effective_exited_at', 'ts'),
+                       ('seconds_in_stage', 'frac'),
+                       ('days_in_stage', 'frac')]}

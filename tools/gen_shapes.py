@@ -1,0 +1,52 @@
+"""Record the canonical column kinds of every registered query (run after changing queries).
+
+Writes ``oracle/shapes.py`` from the Spark result schemas at sf0.001.
+"""
+
+import pprint
+import sys
+
+sys.path.insert(0, ".")
+
+from pyspark.sql import types as T  # noqa: E402
+
+from partnerlens.plans.catalog import REGISTRY  # noqa: E402
+from partnerlens.session import get_session  # noqa: E402
+
+
+def kind(t):
+    if isinstance(t, T.DecimalType):
+        return "money"
+    if isinstance(t, (T.DoubleType, T.FloatType)):
+        return "frac"
+    if isinstance(t, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
+        return "int"
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+        return "ts"
+    return "plain"
+
+
+def main():
+    spark = get_session("local[4]")
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
+    from partnerlens.plans import compare
+
+    shapes = {}
+    orig = compare.canonical
+    for name, fn in REGISTRY.items():
+        # the schema before canonical() tells money (decimal) from fractions (double)
+        compare_canon = orig
+        import partnerlens.plans.catalog as cat
+
+        cat.canonical = lambda df: df
+        raw_df = fn(spark, sf)
+        cat.canonical = compare_canon
+        shapes[name] = [(f.name, kind(f.dataType)) for f in raw_df.schema.fields]
+    with open("oracle/shapes.py", "w") as fh:
+        fh.write('"""Generated by tools/gen_shapes.py: canonical column kinds per query."""\n\n')
+        fh.write("SHAPES = " + pprint.pformat(shapes, width=120, sort_dicts=True) + "\n")
+    print(len(shapes), "queries")
+
+
+if __name__ == "__main__":
+    main()
