@@ -307,4 +307,8 @@ WHERE NOT EXISTS (SELECT 1 FROM stg_partner_app_entries a WHERE a.partner_id = s
 
 
 def with_models(select: str) -> str:
-    return "WITH " + ",\n".join(f"{n} AS ({b})" for n, b in CTES) + "\n" + select
+    ctes = ",\n".join(f"{n} AS ({b})" for n, b in CTES)
+    body = select.strip()
+    if body[:5].upper() == "WITH ":
+        return "WITH " + ctes + ",\n" + body[5:]
+    return "WITH " + ctes + "\n" + body

@@ -1,6 +1,62 @@
 """Generated by tools/gen_shapes.py: canonical column kinds per query."""
 
-SHAPES = {'int_contact_first_touch': [('contact_id', 'plain'), ('first_touch_at', 'ts'), ('first_sales_touch_at', 'ts')],
+SHAPES = {'check_close_before_create': [('check', 'plain'),
+                               ('model', 'plain'),
+                               ('column_name', 'plain'),
+                               ('failures', 'int'),
+                               ('severity', 'plain'),
+                               ('status', 'plain')],
+ 'check_lost_by_cast': [('column_name', 'plain'), ('lost_values', 'int')],
+ 'check_unlisted_lead_partners': [('partner_name', 'plain'), ('lead_count', 'int')],
+ 'd_deals_in_range': [('deal_id', 'plain'), ('partner_id', 'plain'), ('deal_created_at', 'ts'), ('amount', 'money')],
+ 'd_drop_off_callout': [('partner_id', 'plain'), ('deal_stage', 'plain'), ('drop_off_rate', 'frac')],
+ 'd_form_breakdown': [('form_company_size', 'plain'), ('form_industry', 'plain'), ('leads', 'int')],
+ 'd_funnel_tiles': [('partner_id', 'plain'), ('step', 'plain'), ('value', 'int')],
+ 'd_leads_by_month_source': [('lead_created_month', 'plain'), ('source_type', 'plain'), ('leads', 'int')],
+ 'd_leads_by_owner': [('contact_owner_id', 'plain'), ('owner_name', 'plain'), ('leads', 'int')],
+ 'd_penetration_latest': [('partner_id', 'plain'),
+                          ('as_of_date', 'plain'),
+                          ('penetration_rate', 'frac'),
+                          ('our_customer_count', 'int'),
+                          ('total_customer_count', 'int')],
+ 'd_quality_rates': [('partner_id', 'plain'),
+                     ('partner_name', 'plain'),
+                     ('mql_rate', 'frac'),
+                     ('sql_rate', 'frac'),
+                     ('disqualified_rate', 'frac')],
+ 'd_rep_partner_matrix': [('deal_owner_id', 'plain'),
+                          ('deal_owner_name', 'plain'),
+                          ('partner_id', 'plain'),
+                          ('deals_won', 'int'),
+                          ('revenue_closed_won', 'money')],
+ 'd_source_split': [('partner_id', 'plain'),
+                    ('partner_name', 'plain'),
+                    ('source_type', 'plain'),
+                    ('attribution_method', 'plain'),
+                    ('leads', 'int')],
+ 'd_time_to_touch': [('partner_id', 'plain'),
+                     ('avg_hours', 'frac'),
+                     ('p50_hours', 'frac'),
+                     ('p90_hours', 'frac'),
+                     ('n_touched', 'int')],
+ 'delete_counts': [('partner_id', 'plain'),
+                   ('as_of_date', 'plain'),
+                   ('total_customer_count', 'int'),
+                   ('notes', 'plain')],
+ 'forecast': [('partner_id', 'plain'),
+              ('month', 'plain'),
+              ('leads', 'frac'),
+              ('deals_won', 'frac'),
+              ('revenue', 'frac'),
+              ('kind', 'plain')],
+ 'forecast_defaults': [('partner_id', 'plain'),
+                       ('horizon_months', 'int'),
+                       ('trailing_months', 'int'),
+                       ('growth_pct_per_month', 'frac'),
+                       ('lead_to_won_rate', 'frac'),
+                       ('avg_deal_size', 'frac')],
+ 'forecast_totals': [('partner_id', 'plain'), ('leads', 'frac'), ('deals', 'frac'), ('revenue', 'frac')],
+ 'int_contact_first_touch': [('contact_id', 'plain'), ('first_touch_at', 'ts'), ('first_sales_touch_at', 'ts')],
  'int_deal_primary_contact': [('deal_id', 'plain'), ('primary_contact_id', 'plain')],
  'int_deal_sales_touches': [('deal_id', 'plain'),
                             ('total_touches', 'int'),
@@ -23,6 +79,46 @@ SHAPES = {'int_contact_first_touch': [('contact_id', 'plain'), ('first_touch_at'
                                      ('attribution_method', 'plain'),
                                      ('attribution_evidence_at', 'ts'),
                                      ('attribution_evidence_id', 'plain')],
+ 'land_contacts': [('id', 'plain'),
+                   ('property_email', 'plain'),
+                   ('property_firstname', 'plain'),
+                   ('property_lastname', 'plain'),
+                   ('property_company', 'plain'),
+                   ('property_jobtitle', 'plain'),
+                   ('property_industry', 'plain'),
+                   ('property_numberofemployees', 'plain'),
+                   ('property_annualrevenue', 'plain'),
+                   ('property_lifecyclestage', 'plain'),
+                   ('property_hs_lead_status', 'plain'),
+                   ('property_createdate', 'plain'),
+                   ('property_hs_lifecyclestage_lead_date', 'plain'),
+                   ('property_hs_lifecyclestage_marketingqualifiedlead_date', 'plain'),
+                   ('property_hs_lifecyclestage_salesqualifiedlead_date', 'plain'),
+                   ('property_hs_lifecyclestage_opportunity_date', 'plain'),
+                   ('property_hs_lifecyclestage_customer_date', 'plain'),
+                   ('property_hs_analytics_source', 'plain'),
+                   ('property_hs_analytics_source_data_1', 'plain'),
+                   ('property_hs_analytics_source_data_2', 'plain'),
+                   ('property_hs_latest_source', 'plain'),
+                   ('property_hs_latest_source_data_1', 'plain'),
+                   ('property_hs_latest_source_data_2', 'plain'),
+                   ('property_hubspot_owner_id', 'plain'),
+                   ('property_referring_partner', 'plain'),
+                   ('property_lead_origin', 'plain'),
+                   ('property_lead_source', 'plain'),
+                   ('property_partner_source', 'plain'),
+                   ('_fivetran_synced', 'ts'),
+                   ('_archived', 'plain')],
+ 'land_deal_contacts': [('deal_id', 'plain'), ('contact_id', 'plain'), ('is_primary', 'plain')],
+ 'land_stage_history': [('deal_id', 'plain'), ('stage_id', 'plain'), ('entered_at', 'ts'), ('exited_at', 'ts')],
+ 'land_submissions': [('conversion_id', 'plain'),
+                      ('contact_id', 'plain'),
+                      ('form_id', 'plain'),
+                      ('submitted_at', 'ts'),
+                      ('email', 'plain'),
+                      ('company_size', 'plain'),
+                      ('industry', 'plain'),
+                      ('nameless', 'plain')],
  'partner_deal_stage_durations': [('partner_id', 'plain'),
                                   ('partner_name', 'plain'),
                                   ('deal_id', 'plain'),
@@ -72,6 +168,43 @@ SHAPES = {'int_contact_first_touch': [('contact_id', 'plain'), ('first_touch_at'
                    ('deal_owner_email', 'plain'),
                    ('deal_owner_team_id', 'plain'),
                    ('_synced_at', 'ts')],
+ 'partner_deals_incremental_merge': [('deal_id', 'plain'),
+                                     ('contact_id', 'plain'),
+                                     ('partner_id', 'plain'),
+                                     ('partner_name', 'plain'),
+                                     ('source_type', 'plain'),
+                                     ('partner_attribution_origin', 'plain'),
+                                     ('deal_name', 'plain'),
+                                     ('pipeline_id', 'plain'),
+                                     ('deal_stage', 'plain'),
+                                     ('deal_stage_probability', 'frac'),
+                                     ('deal_type', 'plain'),
+                                     ('amount', 'money'),
+                                     ('amount_home_currency', 'money'),
+                                     ('deal_created_at', 'ts'),
+                                     ('deal_created_date', 'plain'),
+                                     ('deal_created_month', 'plain'),
+                                     ('deal_created_quarter', 'plain'),
+                                     ('deal_close_date', 'ts'),
+                                     ('deal_close_date_d', 'plain'),
+                                     ('deal_close_month', 'plain'),
+                                     ('deal_close_quarter', 'plain'),
+                                     ('deal_closed_won_at', 'ts'),
+                                     ('contact_created_at', 'ts'),
+                                     ('is_closed_won', 'plain'),
+                                     ('is_closed', 'plain'),
+                                     ('deal_status', 'plain'),
+                                     ('days_contact_to_deal', 'frac'),
+                                     ('time_to_close_days', 'frac'),
+                                     ('sales_touches_total', 'int'),
+                                     ('sales_outbound_emails', 'int'),
+                                     ('sales_calls', 'int'),
+                                     ('sales_meetings', 'int'),
+                                     ('deal_owner_id', 'plain'),
+                                     ('deal_owner_name', 'plain'),
+                                     ('deal_owner_email', 'plain'),
+                                     ('deal_owner_team_id', 'plain'),
+                                     ('_synced_at', 'ts')],
  'partner_funnel_stage_conversion': [('partner_id', 'plain'),
                                      ('partner_name', 'plain'),
                                      ('deal_stage', 'plain'),
@@ -140,6 +273,52 @@ SHAPES = {'int_contact_first_touch': [('contact_id', 'plain'), ('first_touch_at'
                    ('original_source_drill_down_1', 'plain'),
                    ('original_source_drill_down_2', 'plain'),
                    ('_synced_at', 'ts')],
+ 'partner_leads_incremental_merge': [('contact_id', 'plain'),
+                                     ('partner_id', 'plain'),
+                                     ('partner_name', 'plain'),
+                                     ('source_type', 'plain'),
+                                     ('attribution_method', 'plain'),
+                                     ('attribution_evidence_at', 'ts'),
+                                     ('email', 'plain'),
+                                     ('email_domain', 'plain'),
+                                     ('first_name', 'plain'),
+                                     ('last_name', 'plain'),
+                                     ('company_name', 'plain'),
+                                     ('job_title', 'plain'),
+                                     ('industry', 'plain'),
+                                     ('company_size_employees', 'int'),
+                                     ('company_annual_revenue', 'money'),
+                                     ('contact_owner_id', 'plain'),
+                                     ('lead_created_at', 'ts'),
+                                     ('lead_created_date', 'plain'),
+                                     ('lead_created_month', 'plain'),
+                                     ('lead_created_quarter', 'plain'),
+                                     ('first_touch_at', 'ts'),
+                                     ('first_sales_touch_at', 'ts'),
+                                     ('hours_to_first_sales_touch', 'frac'),
+                                     ('lifecycle_stage', 'plain'),
+                                     ('lead_status', 'plain'),
+                                     ('became_lead_at', 'ts'),
+                                     ('became_mql_at', 'ts'),
+                                     ('became_sql_at', 'ts'),
+                                     ('became_opportunity_at', 'ts'),
+                                     ('became_customer_at', 'ts'),
+                                     ('reached_mql', 'plain'),
+                                     ('reached_sql', 'plain'),
+                                     ('is_disqualified', 'plain'),
+                                     ('form_id', 'plain'),
+                                     ('form_name', 'plain'),
+                                     ('form_submitted_at', 'ts'),
+                                     ('form_company_name', 'plain'),
+                                     ('form_company_size', 'plain'),
+                                     ('form_num_employees', 'plain'),
+                                     ('form_industry', 'plain'),
+                                     ('form_country', 'plain'),
+                                     ('form_use_case', 'plain'),
+                                     ('original_source', 'plain'),
+                                     ('original_source_drill_down_1', 'plain'),
+                                     ('original_source_drill_down_2', 'plain'),
+                                     ('_synced_at', 'ts')],
  'partner_penetration': [('partner_id', 'plain'),
                          ('partner_name', 'plain'),
                          ('as_of_date', 'plain'),
@@ -226,6 +405,187 @@ SHAPES = {'int_contact_first_touch': [('contact_id', 'plain'), ('first_touch_at'
                      ('partner_total_customers', 'int'),
                      ('our_customers_at_partner', 'int'),
                      ('partner_penetration_rate', 'frac')],
+ 'publish_diff': [('target_id', 'plain'),
+                  ('action', 'plain'),
+                  ('page_id', 'plain'),
+                  ('title', 'plain'),
+                  ('Leads', 'frac'),
+                  ('Revenue', 'frac'),
+                  ('Partner Id', 'plain')],
+ 'q_count_history': [('partner_id', 'plain'),
+                     ('as_of_date', 'plain'),
+                     ('total_customer_count', 'int'),
+                     ('notes', 'plain')],
+ 'q_deals': [('partner_id', 'plain'),
+             ('deal_id', 'plain'),
+             ('deal_name', 'plain'),
+             ('deal_stage', 'plain'),
+             ('deal_status', 'plain'),
+             ('amount', 'money'),
+             ('deal_owner_name', 'plain'),
+             ('deal_owner_email', 'plain'),
+             ('deal_created_at', 'ts'),
+             ('deal_close_date', 'ts'),
+             ('deal_closed_won_at', 'ts'),
+             ('is_closed_won', 'plain'),
+             ('is_closed', 'plain'),
+             ('source_type', 'plain'),
+             ('time_to_close_days', 'frac'),
+             ('sales_touches_total', 'int'),
+             ('status_class', 'int')],
+ 'q_deals_closed': [('partner_id', 'plain'),
+                    ('deal_id', 'plain'),
+                    ('deal_name', 'plain'),
+                    ('deal_stage', 'plain'),
+                    ('deal_status', 'plain'),
+                    ('amount', 'money'),
+                    ('deal_owner_name', 'plain'),
+                    ('deal_owner_email', 'plain'),
+                    ('deal_created_at', 'ts'),
+                    ('deal_close_date', 'ts'),
+                    ('deal_closed_won_at', 'ts'),
+                    ('is_closed_won', 'plain'),
+                    ('is_closed', 'plain'),
+                    ('source_type', 'plain'),
+                    ('time_to_close_days', 'frac'),
+                    ('sales_touches_total', 'int'),
+                    ('status_class', 'int')],
+ 'q_deals_open': [('partner_id', 'plain'),
+                  ('deal_id', 'plain'),
+                  ('deal_name', 'plain'),
+                  ('deal_stage', 'plain'),
+                  ('deal_status', 'plain'),
+                  ('amount', 'money'),
+                  ('deal_owner_name', 'plain'),
+                  ('deal_owner_email', 'plain'),
+                  ('deal_created_at', 'ts'),
+                  ('deal_close_date', 'ts'),
+                  ('deal_closed_won_at', 'ts'),
+                  ('is_closed_won', 'plain'),
+                  ('is_closed', 'plain'),
+                  ('source_type', 'plain'),
+                  ('time_to_close_days', 'frac'),
+                  ('sales_touches_total', 'int'),
+                  ('status_class', 'int')],
+ 'q_form_submissions': [('submission_id', 'plain'),
+                        ('submitted_at', 'ts'),
+                        ('form_name', 'plain'),
+                        ('contact_id', 'plain'),
+                        ('contact_email', 'plain'),
+                        ('contact_first_name', 'plain'),
+                        ('contact_last_name', 'plain'),
+                        ('company_name', 'plain'),
+                        ('partner_name', 'plain'),
+                        ('first_call_at', 'ts'),
+                        ('deal_id', 'plain'),
+                        ('deal_name', 'plain'),
+                        ('deal_created_at', 'ts'),
+                        ('deal_stage', 'plain'),
+                        ('deal_status', 'plain'),
+                        ('amount', 'money'),
+                        ('is_closed_won', 'plain'),
+                        ('deal_closed_won_at', 'ts')],
+ 'q_form_velocity': [('submission_id', 'plain'),
+                     ('submitted_at', 'ts'),
+                     ('partner_name', 'plain'),
+                     ('deal_id', 'plain'),
+                     ('deal_status', 'plain'),
+                     ('lead_label', 'plain'),
+                     ('form_to_call_days', 'frac'),
+                     ('call_to_deal_days', 'frac'),
+                     ('form_to_deal_days', 'frac')],
+ 'q_funnel': [('partner_id', 'plain'),
+              ('deal_stage', 'plain'),
+              ('stage_order', 'int'),
+              ('deals_entered', 'int'),
+              ('deals_advanced', 'int'),
+              ('deals_closed_won', 'int'),
+              ('stage_conversion_rate', 'frac'),
+              ('stage_to_won_rate', 'frac'),
+              ('next_stage_conversion_rate', 'frac'),
+              ('drop_off_rate', 'frac')],
+ 'q_kpis': [('period', 'plain'), ('mql_rate', 'frac'), ('lead_to_won_rate', 'frac')],
+ 'q_monthly_all': [('period_start_date', 'plain'),
+                   ('total_leads', 'int'),
+                   ('deals_closed_won', 'int'),
+                   ('revenue_closed_won', 'money')],
+ 'q_monthly_by_partner': [('partner_id', 'plain'),
+                          ('period_start_date', 'plain'),
+                          ('total_leads', 'int'),
+                          ('deals_closed_won', 'int'),
+                          ('revenue_closed_won', 'money')],
+ 'q_partner_all_time': [('partner_id', 'plain'),
+                        ('partner_name', 'plain'),
+                        ('period_type', 'plain'),
+                        ('period_start_date', 'plain'),
+                        ('total_leads', 'int'),
+                        ('leads_reached_mql', 'int'),
+                        ('leads_reached_sql', 'int'),
+                        ('deals_closed_won', 'int'),
+                        ('revenue_closed_won', 'money'),
+                        ('mql_rate', 'frac'),
+                        ('sql_rate', 'frac'),
+                        ('deal_to_won_rate', 'frac'),
+                        ('lead_to_won_rate', 'frac'),
+                        ('avg_deal_cycle_days', 'frac'),
+                        ('partner_penetration_rate', 'frac')],
+ 'q_partner_counts': [('partner_id', 'plain'),
+                      ('partner_name', 'plain'),
+                      ('partner_domain', 'plain'),
+                      ('partner_tier', 'plain'),
+                      ('partner_start_date', 'plain'),
+                      ('latest_customer_count', 'int'),
+                      ('latest_as_of_date', 'plain')],
+ 'q_partner_list': [('partner_id', 'plain'), ('partner_name', 'plain')],
+ 'q_quadrant': [('partner_id', 'plain'),
+                ('partner_name', 'plain'),
+                ('total_leads', 'int'),
+                ('lead_to_won_rate', 'frac'),
+                ('revenue_closed_won', 'money'),
+                ('volume_efficiency_quadrant', 'plain')],
+ 'q_rankings': [('partner_id', 'plain'),
+                ('partner_name', 'plain'),
+                ('total_leads', 'int'),
+                ('deals_closed_won', 'int'),
+                ('revenue_closed_won', 'money'),
+                ('deal_to_won_rate', 'frac'),
+                ('lead_to_won_rate', 'frac'),
+                ('revenue_per_lead', 'frac'),
+                ('mql_rate', 'frac'),
+                ('volume_efficiency_quadrant', 'plain'),
+                ('rank_by_revenue', 'int'),
+                ('is_top_performer', 'plain'),
+                ('is_high_potential', 'plain'),
+                ('is_underperformer', 'plain'),
+                ('partner_penetration_rate', 'frac')],
+ 'q_reps': [('partner_id', 'plain'),
+            ('deal_owner_id', 'plain'),
+            ('deal_owner_name', 'plain'),
+            ('deal_owner_email', 'plain'),
+            ('deals_total', 'int'),
+            ('deals_won', 'int'),
+            ('deals_lost', 'int'),
+            ('deals_open', 'int'),
+            ('win_rate', 'frac'),
+            ('revenue_closed_won', 'money'),
+            ('avg_deal_size', 'frac'),
+            ('avg_cycle_days', 'frac')],
+ 'q_top_revenue': [('partner_id', 'plain'), ('partner_name', 'plain'), ('revenue_closed_won', 'money')],
+ 'q_totals': [('period', 'plain'),
+              ('total_leads', 'int'),
+              ('total_mql', 'int'),
+              ('total_sql', 'int'),
+              ('deals_won', 'int'),
+              ('deals_total', 'int'),
+              ('revenue', 'money'),
+              ('partners_active', 'int')],
+ 'quality_checks': [('check', 'plain'),
+                    ('model', 'plain'),
+                    ('column_name', 'plain'),
+                    ('failures', 'int'),
+                    ('severity', 'plain'),
+                    ('status', 'plain')],
+ 'source_freshness': [('source_table', 'plain'), ('max_loaded_at', 'ts'), ('age_hours', 'frac'), ('status', 'plain')],
  'stg_contacts': [('contact_id', 'plain'),
                   ('email', 'plain'),
                   ('email_domain', 'plain'),
@@ -328,4 +688,13 @@ SHAPES = {'int_contact_first_touch': [('contact_id', 'plain'), ('first_touch_at'
                        ('exited_at', 'ts'),
                        ('effective_exited_at', 'ts'),
                        ('seconds_in_stage', 'frac'),
-                       ('days_in_stage', 'frac')]}
+                       ('days_in_stage', 'frac')],
+ 'upsert_contacts': [('id', 'plain'),
+                     ('property_lifecyclestage', 'plain'),
+                     ('property_email', 'plain'),
+                     ('_fivetran_synced', 'ts'),
+                     ('_archived', 'plain')],
+ 'upsert_counts': [('partner_id', 'plain'),
+                   ('as_of_date', 'plain'),
+                   ('total_customer_count', 'int'),
+                   ('notes', 'plain')]}

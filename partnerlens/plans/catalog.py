@@ -16,12 +16,21 @@ from partnerlens.plans.models import Models
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
+MODEL_FNS: dict[str, Callable[[Models], DataFrame]] = {}
+
+# Shared models (attribution, stage durations, partner deals, summary) are
+# checkpointed into the session's checkpoint dir: each is computed once per
+# query and later plans start from the written data instead of re-planning
+# and re-running the whole graph.
+MATERIALIZE = "checkpoint"
 
 
 def register(name: str):
     def deco(fn: Callable[[Models], DataFrame]) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return canonical(fn(Models.from_fixture(spark, sf_dir)))
+            return canonical(fn(Models.from_fixture(spark, sf_dir, materialize=MATERIALIZE)))
+
+        MODEL_FNS[name] = fn
 
         run.__name__ = name
         run.__doc__ = fn.__doc__
@@ -67,3 +76,364 @@ for _name, _attr, _doc in [
     ("partner_rankings", "rankings", "K9"),
 ]:
     _model(_name, _attr, _doc)
+
+
+# ------------------------------------------------------------ reports (Q, D)
+from pyspark.sql import functions as F  # noqa: E402
+
+from partnerlens.operators import merge as M  # noqa: E402
+from partnerlens.operators import quality as T  # noqa: E402
+from partnerlens.plans import forecast as FC  # noqa: E402
+from partnerlens.plans import publish as P  # noqa: E402
+from partnerlens.plans import reports as R  # noqa: E402
+from partnerlens.sources import fixture as FX  # noqa: E402
+from partnerlens.sources import landing as L  # noqa: E402
+
+
+@register("q_rankings")
+def _q_rankings(m: Models) -> DataFrame:
+    """Q1"""
+    return R.q_rankings(m.rankings)
+
+
+@register("q_totals")
+def _q_totals(m: Models) -> DataFrame:
+    """Q2-Q4: totals for every report period."""
+    return R.q_totals_all_periods(m.summary, m.cfg.as_of)
+
+
+@register("q_kpis")
+def _q_kpis(m: Models) -> DataFrame:
+    """Q3b"""
+    return R.q_kpis(R.q_totals_all_periods(m.summary, m.cfg.as_of))
+
+
+@register("q_monthly_all")
+def _q_monthly_all(m: Models) -> DataFrame:
+    """Q5 (all partners summed)"""
+    return R.q_monthly(m.summary)
+
+
+@register("q_monthly_by_partner")
+def _q_monthly_by_partner(m: Models) -> DataFrame:
+    """Q5 (per partner)"""
+    return R.q_monthly(m.summary, by_partner=True)
+
+
+@register("q_partner_all_time")
+def _q_partner_all_time(m: Models) -> DataFrame:
+    """Q6 for every partner"""
+    return R.q_partner_all_time(m.summary)
+
+
+@register("q_funnel")
+def _q_funnel(m: Models) -> DataFrame:
+    """Q7"""
+    return R.q_funnel(m.funnel)
+
+
+@register("q_reps")
+def _q_reps(m: Models) -> DataFrame:
+    """Q8"""
+    return R.q_reps(m.rep_performance)
+
+
+@register("q_deals")
+def _q_deals(m: Models) -> DataFrame:
+    """Q9 / O3"""
+    return R.q_deals(m.partner_deals)
+
+
+@register("q_deals_closed")
+def _q_deals_closed(m: Models) -> DataFrame:
+    """Q9b (closed list)"""
+    return R.q_deals(m.partner_deals, closed=True)
+
+
+@register("q_deals_open")
+def _q_deals_open(m: Models) -> DataFrame:
+    """Q9b (open list)"""
+    return R.q_deals(m.partner_deals, closed=False)
+
+
+def _form_subs(m: Models) -> DataFrame:
+    return R.q_form_submissions(m.form_submissions, m.contacts, m.contact_engagements, m.partner_deals, m.partner_leads)
+
+
+@register("q_form_submissions")
+def _q_form_submissions(m: Models) -> DataFrame:
+    """Q10 / W3"""
+    return _form_subs(m)
+
+
+@register("q_form_velocity")
+def _q_form_velocity(m: Models) -> DataFrame:
+    """Q10b / X15"""
+    return R.q_form_velocity(_form_subs(m))
+
+
+@register("q_partner_list")
+def _q_partner_list(m: Models) -> DataFrame:
+    """Q11"""
+    return R.q_partner_list(m.summary)
+
+
+@register("q_partner_counts")
+def _q_partner_counts(m: Models) -> DataFrame:
+    """Q12"""
+    return R.q_partner_counts(m.partners, m.raw.partner_customer_counts)
+
+
+@register("q_count_history")
+def _q_count_history(m: Models) -> DataFrame:
+    """Q13 for every partner"""
+    return R.q_count_history(m.raw.partner_customer_counts)
+
+
+@register("q_top_revenue")
+def _q_top_revenue(m: Models) -> DataFrame:
+    """Top 10 by revenue"""
+    return R.q_top_revenue(m.rankings, 10)
+
+
+@register("q_quadrant")
+def _q_quadrant(m: Models) -> DataFrame:
+    """Q15"""
+    return R.q_quadrant(m.rankings)
+
+
+@register("d_leads_by_month_source")
+def _d1(m: Models) -> DataFrame:
+    """D1"""
+    return R.d_leads_by_month_source(m.partner_leads)
+
+
+@register("d_drop_off_callout")
+def _d2(m: Models) -> DataFrame:
+    """D2 / G14"""
+    return R.d_drop_off_callout(m.funnel)
+
+
+@register("d_source_split")
+def _d3(m: Models) -> DataFrame:
+    """D3"""
+    return R.d_source_split(m.partner_leads)
+
+
+@register("d_form_breakdown")
+def _d4(m: Models) -> DataFrame:
+    """D4"""
+    return R.d_form_breakdown(m.partner_leads)
+
+
+@register("d_time_to_touch")
+def _d5(m: Models) -> DataFrame:
+    """D5 / G10"""
+    return R.d_time_to_touch(m.partner_leads)
+
+
+@register("d_rep_partner_matrix")
+def _d6(m: Models) -> DataFrame:
+    """D6"""
+    return R.d_rep_partner_matrix(m.rep_performance)
+
+
+@register("d_leads_by_owner")
+def _d7(m: Models) -> DataFrame:
+    """D7"""
+    return R.d_leads_by_owner(m.partner_leads, m.owners)
+
+
+@register("d_penetration_latest")
+def _d8(m: Models) -> DataFrame:
+    """D8 / W2"""
+    return R.d_penetration_latest(m.penetration)
+
+
+@register("d_deals_in_range")
+def _d9(m: Models) -> DataFrame:
+    """Global date-range filter on partner deals (created in 1997)"""
+    return R.d_global_filter(m.partner_deals, "deal_created_at", "1997-01-01", "1998-01-01").select(
+        "deal_id", "partner_id", "deal_created_at", "amount")
+
+
+@register("d_funnel_tiles")
+def _d10(m: Models) -> DataFrame:
+    """D10"""
+    return R.d_funnel_tiles(m.summary)
+
+
+@register("d_quality_rates")
+def _d11(m: Models) -> DataFrame:
+    """D11"""
+    return R.d_quality_rates(m.summary)
+
+
+# ----------------------------------------------------------------- forecast
+@register("forecast_defaults")
+def _f1(m: Models) -> DataFrame:
+    """F1"""
+    return FC.forecast_defaults(FC.history(m.summary))
+
+
+@register("forecast")
+def _f2(m: Models) -> DataFrame:
+    """Every partner at once"""
+    return FC.forecast(FC.history(m.summary))
+
+
+@register("forecast_totals")
+def _f3(m: Models) -> DataFrame:
+    """F3"""
+    return FC.forecast_totals(FC.forecast(FC.history(m.summary)))
+
+
+# ------------------------------------------------------------------ publish
+PUBLISH_TARGET = P.Target(
+    id="summary_all_time", source_table="partner_summary", database_id="db-summary",
+    column_map={"total_leads": "Leads", "revenue_closed_won": "Revenue", "partner_id": "Partner Id"},
+    kinds={"Leads": "number", "Revenue": "number", "Partner Id": "select"})
+
+
+@register("publish_diff")
+def _p4(m: Models) -> DataFrame:
+    """create/update plan of the all_time summary against pages published for top performers"""
+    shaped = P.publish_shape(P.publish_rows(m.summary, PUBLISH_TARGET), PUBLISH_TARGET)
+    existing = m.rankings.filter(F.col("is_top_performer")).select(
+        F.col("partner_name").alias("title"), F.concat(F.lit("page-"), F.col("partner_id")).alias("page_id"))
+    return P.publish_diff(shaped, existing, PUBLISH_TARGET)
+
+
+@register("upsert_counts")
+def _c1(m: Models) -> DataFrame:
+    """Seed totals upserted into the hand-entered counts"""
+    rows = m.raw.partner_total_customers.select("partner_id", "as_of_date", "total_customer_count",
+                                                F.lit(None).cast("string").alias("notes"))
+    return P.upsert_counts(m.raw.partner_customer_counts, rows)
+
+
+@register("delete_counts")
+def _c2(m: Models) -> DataFrame:
+    """Delete the count rows that the seed also has"""
+    return P.delete_counts(m.raw.partner_customer_counts, m.raw.partner_total_customers)
+
+
+# ------------------------------------------------------------------ quality
+def _mart_tables(m: Models) -> dict[str, DataFrame]:
+    return {
+        "stg_contacts": m.contacts, "stg_deals": m.deals, "stg_deal_contacts": m.deal_contacts,
+        "stg_engagement_contacts": m.engagement_contacts, "stg_partner_totals": m.partner_totals,
+        "int_partner_contact_attribution": m.attribution, "int_deal_primary_contact": m.primary_contact,
+        "int_deal_stage_durations": m.stage_durations, "partner_leads": m.partner_leads, "partner_deals": m.partner_deals,
+        "partner_deal_stage_durations": m.deal_stage_durations, "partner_funnel_stage_conversion": m.funnel,
+        "partner_summary": m.summary, "partner_rep_performance": m.rep_performance, "partner_penetration": m.penetration,
+        "partner_rankings": m.rankings, "partner_lead_cohorts": m.lead_cohorts,
+    }
+
+
+@register("quality_checks")
+def _t8(m: Models) -> DataFrame:
+    """Schema tests of all models as one result table"""
+    return T.run_checks(_mart_tables(m), T.standard_checks())
+
+
+@register("check_close_before_create")
+def _t6(m: Models) -> DataFrame:
+    """T6 (warn)"""
+    return T.run_checks({"partner_deals": m.partner_deals}, [T.close_before_create(m.partner_deals)])
+
+
+@register("check_unlisted_lead_partners")
+def _t7(m: Models) -> DataFrame:
+    """T7 / J7 (warn)"""
+    return T.unlisted_lead_partners(m.partner_leads, m.partners)
+
+
+@register("check_lost_by_cast")
+def _t9(m: Models) -> DataFrame:
+    """Non-blank raw text that a safe cast turned into null"""
+    from partnerlens.functions import columns as X
+
+    casts = {
+        "contact_numberofemployees": ("property_numberofemployees", X.safe_cast("property_numberofemployees", "int")),
+        "contact_annualrevenue": ("property_annualrevenue", X.safe_cast("property_annualrevenue", "numeric")),
+        "contact_createdate": ("property_createdate", X.safe_cast("property_createdate", "timestamp")),
+        "contact_mql_date": ("property_hs_lifecyclestage_marketingqualifiedlead_date",
+                             X.safe_cast("property_hs_lifecyclestage_marketingqualifiedlead_date", "timestamp")),
+    }
+    return T.lost_by_cast(m.raw.contact, casts)
+
+
+@register("source_freshness")
+def _a12(m: Models) -> DataFrame:
+    """Contact, deal and engagement load times against as_of"""
+    out = None
+    for name, df in (("contact", m.raw.contact), ("deal", m.raw.deal), ("engagement", m.raw.engagement)):
+        f = T.freshness(df, name, "_fivetran_synced", m.cfg.as_of)
+        out = f if out is None else out.unionByName(f)
+    return out
+
+
+# ------------------------------------------------------------------- merges
+@register("upsert_contacts")
+def _a8(m: Models) -> DataFrame:
+    """Keyed upsert, last write wins among duplicates (every 7th contact changes twice)"""
+    c = m.raw.contact
+    k = F.col("id").cast("bigint")
+    synced = F.col("_fivetran_synced")
+    changed = c.filter(k % 7 == 0)
+    newer = changed.withColumn("property_lifecyclestage", F.lit("customer")).withColumn(
+        "_fivetran_synced", synced + F.expr("INTERVAL 2 HOURS"))
+    older = changed.withColumn("property_lifecyclestage", F.lit("lead")).withColumn(
+        "_fivetran_synced", synced + F.expr("INTERVAL 1 HOURS"))
+    merged = M.upsert(c, older.unionByName(newer), ["id"], "_fivetran_synced")
+    return merged.select("id", "property_lifecyclestage", "property_email", "_fivetran_synced", "_archived")
+
+
+@register("partner_leads_incremental_merge")
+def _a11_leads(m: Models) -> DataFrame:
+    """Stored leads of contacts outside the look-back + incremental slice, merged on contact_id"""
+    inc = Models(m.spark, m.raw, m.cfg, incremental=True)
+    lower = F.lit(m.cfg.as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(m.cfg.incremental_lookback_days))
+    stored = m.partner_leads.filter(F.col("_synced_at") < lower)
+    return M.merge_mart(stored, inc.partner_leads, "contact_id")
+
+
+@register("partner_deals_incremental_merge")
+def _a11_deals(m: Models) -> DataFrame:
+    """Same for partner deals on deal_id"""
+    inc = Models(m.spark, m.raw, m.cfg, incremental=True)
+    lower = F.lit(m.cfg.as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(m.cfg.incremental_lookback_days))
+    stored = m.partner_deals.filter(F.col("_synced_at") < lower)
+    return M.merge_mart(stored, inc.partner_deals, "deal_id")
+
+
+# ------------------------------------------------------------------ landing
+@register("land_contacts")
+def _l1(m: Models) -> DataFrame:
+    """L1: nested contact objects -> contact rows"""
+    return L.land_contacts(FX.contact_objects(m.raw.contact), m.cfg.as_of)
+
+
+@register("land_stage_history")
+def _l3(m: Models) -> DataFrame:
+    """Stage history from nested deals (epoch-millis and ISO timestamps)"""
+    return L.land_stage_history(FX.deal_objects(m.spark, m.sf_dir))
+
+
+@register("land_deal_contacts")
+def _l4(m: Models) -> DataFrame:
+    """L4: first association is primary"""
+    return L.land_deal_contacts(FX.deal_objects(m.spark, m.sf_dir))
+
+
+@register("land_submissions")
+def _l9(m: Models) -> DataFrame:
+    """Value lists -> JSON, synthetic keys, contact resolved by email"""
+    subs = L.resolve_contacts(L.land_submissions(FX.submission_objects(m.spark, m.sf_dir)), m.raw.contact)
+    v = F.col("submission_values")
+    return subs.select("conversion_id", "contact_id", "form_id", "submitted_at",
+                       F.get_json_object(v, "$.email").alias("email"),
+                       F.get_json_object(v, "$.company_size").alias("company_size"),
+                       F.get_json_object(v, "$.industry").alias("industry"),
+                       F.get_json_object(v, "$['']").alias("nameless"))

@@ -31,13 +31,16 @@ class Models:
         self.cfg = cfg or EngineConfig()
         self.materialize = materialize
         self.incremental = incremental
+        self.sf_dir: str | None = None
 
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str, cfg: EngineConfig | None = None, **kw) -> "Models":
         from partnerlens.sources.fixture import load_fixture
 
         prepare_session(spark)
-        return cls(spark, load_fixture(spark, sf_dir, cfg), cfg, **kw)
+        m = cls(spark, load_fixture(spark, sf_dir, cfg), cfg, **kw)
+        m.sf_dir = sf_dir
+        return m
 
     def _keep(self, df: DataFrame) -> DataFrame:
         if self.materialize == "checkpoint":

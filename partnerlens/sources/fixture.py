@@ -307,3 +307,66 @@ def load_fixture(spark: SparkSession, sf_dir: str, cfg: EngineConfig | None = No
         ref_partners=ref_partners(spark, sf_dir),
         partner_total_customers=partner_total_customers(spark, sf_dir),
     )
+
+
+# ------------------------------------------------ nested objects for landing
+
+def contact_objects(raw_contacts: DataFrame) -> DataFrame:
+    """Nested contact objects (``properties`` map) built from raw contact rows."""
+    from partnerlens.sources.tables import CONTACT_PROPERTIES
+
+    props = F.create_map(*[x for p in CONTACT_PROPERTIES for x in (F.lit(p), F.col(f"property_{p}"))])
+    return raw_contacts.select("id", props.alias("properties"), F.col("_archived").alias("archived"))
+
+
+def deal_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested deal objects: stage history (epoch-millis or ISO text) and contact associations.
+
+    Entries are gathered per deal; one deal has at most a handful of stage
+    changes and contacts, so each gathered list is small.
+    """
+    hist = deal_stage_history(spark, sf_dir).select(
+        "deal_id",
+        F.struct(F.col("stage_id").alias("value"),
+                 F.when(F.dayofmonth("entered_at") % 2 == 0, F.unix_millis(F.col("entered_at").cast("timestamp")).cast("string"))
+                 .otherwise(_iso(F.col("entered_at"))).alias("timestamp")).alias("h"))
+    hist = hist.groupBy("deal_id").agg(F.collect_list("h").alias("dealstage"))
+    o = _read(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
+    c = _read(spark, sf_dir, "customer", ["c_custkey"])
+    k = F.col("o_orderkey")
+    first = o.select(_s(k).alias("deal_id"), F.lit(0).alias("pos"), _s(F.col("o_custkey")).alias("id"))
+    second = o.filter(k % 5 == 0).join(c, (F.col("o_custkey") + 1) == c.c_custkey, "left_semi").select(
+        _s(k).alias("deal_id"), F.lit(1).alias("pos"), _s(F.col("o_custkey") + 1).alias("id"))
+    assoc = first.unionByName(second).groupBy("deal_id").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("_r"))
+    assoc = assoc.select("deal_id", F.transform("_r", lambda r: F.struct(r["id"].alias("id"))).alias("results"))
+    return hist.join(assoc, "deal_id", "full").select(
+        F.col("deal_id").alias("id"),
+        F.struct(F.coalesce("dealstage", F.array().cast("array<struct<value:string,timestamp:string>>")).alias("dealstage"))
+        .alias("propertiesWithHistory"),
+        F.struct(F.struct(F.coalesce("results", F.array().cast("array<struct<id:string>>")).alias("results"))
+                 .alias("contacts")).alias("associations"),
+    )
+
+
+def submission_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form submissions as the CRM returns them: a value list with duplicate and nameless entries."""
+    ev = _read(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"]).filter(F.col("event_type") == "signup")
+    e, u = F.col("event_id"), F.col("user_id")
+    nv = lambda n, v: F.struct(F.lit(n).alias("name"), v.alias("value"))
+    base = F.array(
+        nv("email", F.concat(F.lit("user"), _s(u), F.lit("@corp"), _s(u % 50), F.lit(".example"))),
+        nv("company_size", _s(e % 4)),
+        nv("industry", F.concat(F.lit("ind"), _s(e % 6))),
+    )
+    dup = F.when(e % 2 == 0, F.array(nv("industry", F.concat(F.lit("ind"), _s((e + 1) % 6))))).otherwise(
+        F.array().cast("array<struct<name:string,value:string>>"))
+    junk = F.when(e % 4 == 0, F.array(nv("", F.lit("junk")))).otherwise(
+        F.array().cast("array<struct<name:string,value:string>>"))
+    return ev.select(
+        F.when(e % 3 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("s"), _s(e))).alias("conversionId"),
+        F.concat(F.lit("f"), _s(e % 5)).alias("formId"),
+        F.unix_millis(_scale(F.col("ts")).cast("timestamp")).cast("string").alias("submittedAt"),
+        F.lit(None).cast("string").alias("pageUrl"),
+        F.concat(base, dup, junk).alias("values"),
+    )

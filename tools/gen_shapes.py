@@ -31,16 +31,15 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
     from partnerlens.plans import compare
 
+    from partnerlens.plans.catalog import MODEL_FNS
+    from partnerlens.plans.models import Models
+
+    del compare
     shapes = {}
-    orig = compare.canonical
-    for name, fn in REGISTRY.items():
+    m = Models.from_fixture(spark, sf, materialize="checkpoint")
+    for name in REGISTRY:
         # the schema before canonical() tells money (decimal) from fractions (double)
-        compare_canon = orig
-        import partnerlens.plans.catalog as cat
-
-        cat.canonical = lambda df: df
-        raw_df = fn(spark, sf)
-        cat.canonical = compare_canon
+        raw_df = MODEL_FNS[name](m)
         shapes[name] = [(f.name, kind(f.dataType)) for f in raw_df.schema.fields]
     with open("oracle/shapes.py", "w") as fh:
         fh.write('"""Generated by tools/gen_shapes.py: canonical column kinds per query."""\n\n')
