@@ -393,7 +393,7 @@ def _a8(m: Models) -> DataFrame:
 @register("partner_leads_incremental_merge")
 def _a11_leads(m: Models) -> DataFrame:
     """Stored leads of contacts outside the look-back + incremental slice, merged on contact_id"""
-    inc = Models(m.spark, m.raw, m.cfg, incremental=True)
+    inc = m.incremental_copy()
     lower = F.lit(m.cfg.as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(m.cfg.incremental_lookback_days))
     stored = m.partner_leads.filter(F.col("_synced_at") < lower)
     return M.merge_mart(stored, inc.partner_leads, "contact_id")
@@ -402,7 +402,7 @@ def _a11_leads(m: Models) -> DataFrame:
 @register("partner_deals_incremental_merge")
 def _a11_deals(m: Models) -> DataFrame:
     """Same for partner deals on deal_id"""
-    inc = Models(m.spark, m.raw, m.cfg, incremental=True)
+    inc = m.incremental_copy()
     lower = F.lit(m.cfg.as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(m.cfg.incremental_lookback_days))
     stored = m.partner_deals.filter(F.col("_synced_at") < lower)
     return M.merge_mart(stored, inc.partner_deals, "deal_id")

@@ -42,6 +42,19 @@ class Models:
         m.sf_dir = sf_dir
         return m
 
+    _SHARED_WITH_INCREMENTAL = ("contacts", "deals", "stage_history", "engagements", "form_submissions",
+                                "deal_contacts", "engagement_contacts", "owners", "partners", "contact_engagements",
+                                "first_touch", "primary_contact", "attribution", "stage_durations")
+
+    def incremental_copy(self) -> "Models":
+        """The look-back build of the incremental marts, reusing this run's upstream models."""
+        inc = Models(self.spark, self.raw, self.cfg, materialize=self.materialize, incremental=True)
+        inc.sf_dir = self.sf_dir
+        for name in self._SHARED_WITH_INCREMENTAL:
+            if name in self.__dict__:
+                inc.__dict__[name] = self.__dict__[name]
+        return inc
+
     def _keep(self, df: DataFrame) -> DataFrame:
         if self.materialize == "checkpoint":
             ensure_checkpoint_dir(self.spark)
