@@ -145,6 +145,7 @@ def funnel(pdeals_canon: DataFrame, durations: DataFrame, cfg: EngineConfig, spa
     (partner, deal) partition, which the following aggregation reuses.
     """
     spark = spark or pdeals_canon.sparkSession
+    # The stage order is configuration (a handful of rows), so broadcasting it is bounded.
     order = F.broadcast(spark.createDataFrame(
         [(s, i + 1) for i, s in enumerate(cfg.deal_stage_order)], "stage_name string, stage_order int"))
     entries = (
@@ -275,25 +276,70 @@ def period_spine(leads: DataFrame, deals: DataFrame, partners: DataFrame) -> Dat
             .unionByName(listed).distinct())
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
-    """Exact median (linear interpolation, nulls skipped) per group.
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where null equals null (``<=>``), keeping the left key columns."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
-    Values are first counted per (group, value), so each later step works on
-    distinct values; the running count uses a sort-based window that spills
-    instead of holding a group's values in memory.
+
+def _median_from_counts(counted: DataFrame, keys: list[str], value: str, out: str,
+                        offset: str | None = None, n_col: str = "_n") -> DataFrame:
+    """Median from (group, value, count) rows: running counts over the sorted values.
+
+    ``offset`` (per group) is the number of values below the rows given, so the
+    ranks stay those of the whole group.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
     w_run = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    w_all = Window.partitionBy(*keys)
-    ranked = counted.select(*keys, value, (F.sum("_c").over(w_run)).alias("_cum"), F.sum("_c").over(w_all).alias("_n"),
-                            "_c")
-    lo = F.floor((F.col("_n") - 1) / 2)
-    hi = F.ceil((F.col("_n") - 1) / 2)
-    prev = F.col("_cum") - F.col("_c")
-    holds = lambda r: (prev <= r) & (r < F.col("_cum"))
+    off = F.col(offset) if offset else F.lit(0)
+    ranked = counted.select(*keys, value, "_c", n_col, off.alias("_off"), F.sum("_c").over(w_run).alias("_cum"))
+    lo = F.floor((F.col(n_col) - 1) / 2)
+    hi = F.ceil((F.col(n_col) - 1) / 2)
+    prev = F.col("_off") + F.col("_cum") - F.col("_c")
+    cum = F.col("_off") + F.col("_cum")
+    holds = lambda r: (prev <= r) & (r < cum)
+    v = F.col(value).cast("double")
+    return ranked.groupBy(*keys).agg(((F.max(F.when(holds(lo), v)) + F.max(F.when(holds(hi), v))) / F.lit(2.0)).alias(out))
+
+
+def exact_median(df: DataFrame, keys: list[str], value: str, out: str, accuracy: int = 10_000,
+                 cfg: EngineConfig | None = None) -> DataFrame:
+    """Exact median (linear interpolation, nulls skipped) per group, safe for one huge group.
+
+    1. A mergeable quantile sketch (``percentile_approx``, partially aggregated,
+       so a hot group never sits in one task) gives per group two values
+       ``lo <= median <= hi`` whose ranks are guaranteed within ``n/accuracy`` of
+       0.5 +- 2/accuracy, i.e. a band holding about 4/accuracy of the group.
+    2. Values below ``lo`` are only counted; values inside the band are counted
+       per distinct value and ranked with a sort-based window, so the per-group
+       sorted part is ~0.04 % of the group instead of all of it.
+    3. The band is verified per group (the two median ranks must fall inside);
+       a group that fails is recomputed over all of its values, so the result
+       is exact in every case.
+    """
+    cfg = cfg or EngineConfig()
+    vals = df.filter(F.col(value).isNotNull()).select(*keys, value)
+    p_lo, p_hi = max(0.0, 0.5 - 2.0 / accuracy), min(1.0, 0.5 + 2.0 / accuracy)
+    stats = vals.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.percentile_approx(F.col(value).cast("double"), F.array(F.lit(p_lo), F.lit(p_hi)), accuracy).alias("_band"))
+    stats = stats.select(*keys, "_n", F.col("_band")[0].alias("_lo"), F.col("_band")[1].alias("_hi"))
     v = F.col(value).cast("double")
-    return ranked.groupBy(*keys).agg(
-        ((F.max(F.when(holds(lo), v)) + F.max(F.when(holds(hi), v))) / F.lit(2.0)).alias(out))
+    tagged = join_null_safe(vals, dim(stats, cfg), keys)
+    below = tagged.groupBy(*keys).agg(F.count_if(v < F.col("_lo")).alias("_below"),
+                                      F.count_if((v >= F.col("_lo")) & (v <= F.col("_hi"))).alias("_inside"))
+    checked = join_null_safe(stats, below, keys).withColumn(
+        "_ok", (F.col("_below") <= F.floor((F.col("_n") - 1) / 2))
+        & (F.ceil((F.col("_n") - 1) / 2) < F.col("_below") + F.col("_inside")))
+    band = tagged.filter((v >= F.col("_lo")) & (v <= F.col("_hi"))).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    good = checked.filter("_ok").select(*keys, "_n", "_below")
+    fast = _median_from_counts(join_null_safe(band, good, keys), keys, value, out, offset="_below")
+    bad = checked.filter(~F.col("_ok")).select(*keys, "_n")
+    full = join_null_safe(vals, bad, keys).groupBy(*keys, value, "_n").agg(F.count(F.lit(1)).alias("_c"))
+    return fast.unionByName(_median_from_counts(full, keys, value, out))
 
 
 def summary(leads: DataFrame, pdeals_canon: DataFrame, partners: DataFrame, penetration_df: DataFrame) -> DataFrame:
@@ -402,7 +448,7 @@ def rankings(summary_df: DataFrame) -> DataFrame:
         "partner_penetration_rate")
     cut = base.agg(F.median("total_leads").alias("median_leads"),
                    F.median("lead_to_won_rate").alias("median_lead_to_won_rate"))
-    j = base.crossJoin(F.broadcast(cut))
+    j = base.crossJoin(F.broadcast(cut))  # one-row cut-points
     rk = lambda c: F.rank().over(Window.orderBy(F.col(c).desc_nulls_last())).cast("bigint")
     tl, ltw = F.col("total_leads"), F.col("lead_to_won_rate")
     ml, mr = F.col("median_leads"), F.col("median_lead_to_won_rate")

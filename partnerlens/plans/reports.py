@@ -265,9 +265,12 @@ def d_rep_partner_matrix(reps: DataFrame) -> DataFrame:
     return reps.select("deal_owner_id", "deal_owner_name", "partner_id", "deals_won", "revenue_closed_won")
 
 
-def d_leads_by_owner(leads: DataFrame, owners: DataFrame) -> DataFrame:
-    """Partner leads per contact owner."""
-    o = F.broadcast(owners.select(F.col("owner_id").alias("contact_owner_id"), "owner_name"))
+def d_leads_by_owner(leads: DataFrame, owners: DataFrame, cfg=None) -> DataFrame:
+    """Partner leads per contact owner (owners broadcast only under the checked size bound)."""
+    from partnerlens.config import EngineConfig
+    from partnerlens.operators.joins import dim
+
+    o = dim(owners.select(F.col("owner_id").alias("contact_owner_id"), "owner_name"), cfg or EngineConfig())
     return leads.join(o, "contact_owner_id", "left").groupBy("contact_owner_id", "owner_name").agg(
         F.count(F.lit(1)).alias("leads"))
 

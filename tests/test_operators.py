@@ -38,12 +38,21 @@ def test_or_equi_join_matches_or_condition(spark):
 def test_exact_median_matches_numpy(spark):
     rnd = random.Random(7)
     rows = [(g, float(rnd.randint(0, 50))) for g in "abc" for _ in range(rnd.randint(1, 30))] + [("d", None)]
+    rows += [("hot", float(rnd.randint(0, 100000))) for _ in range(5000)]
+    rows += [(None, float(x)) for x in (4, 1, 3)]  # a null group key (all_time periods) must still match
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r.g: r.m for r in K.exact_median(df, ["g"], "v", "m").collect()}
-    for g in "abc":
-        vals = [v for gg, v in rows if gg == g]
-        assert abs(got[g] - float(np.median(vals))) < 1e-9
-    assert "d" not in got  # a group with only nulls has no median row (left join gives null)
+    for acc in (10_000, 100, 1):
+        got = {r.g: r.m for r in K.exact_median(df, ["g"], "v", "m", accuracy=acc).collect()}
+        for g in ["a", "b", "c", "hot", None]:
+            vals = [v for gg, v in rows if gg == g]
+            assert abs(got[g] - float(np.median(vals))) < 1e-9, (acc, g)
+        assert "d" not in got  # a group with only nulls has no median row (left join gives null)
+
+
+def test_median_fallback_path_is_exact(spark):
+    df = spark.createDataFrame([("g", float(x)) for x in [5, 1, 9, 3, 7, 7]], "g string, v double")
+    counted = df.groupBy("g", "v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_n", F.lit(6))
+    assert K._median_from_counts(counted, ["g"], "v", "m").first().m == 6.0
 
 
 def _touch_fixture(spark):
