@@ -1,7 +1,8 @@
 """The model graph of one run: every staging, intermediate and mart model as a
 lazily built DataFrame, each built once per ``Models`` object.
 
-Models that feed several marts (attribution, stage durations, partner deals)
+Models that feed several marts (attribution, stage durations, partner leads,
+partner deals, summary)
 can be materialised once per run: ``materialize="checkpoint"`` writes them to
 the session's checkpoint dir (survives executor loss, cuts lineage),
 ``"persist"`` caches them (recomputed from lineage if an executor is lost),
@@ -137,8 +138,8 @@ class Models:
     # -------------------------------------------------------------- marts
     @cached_property
     def partner_leads(self) -> DataFrame:
-        return K.partner_leads(self.contacts, self.attribution, self.first_touch, self.form_submissions,
-                               self.cfg, self.incremental)
+        return self._keep(K.partner_leads(self.contacts, self.attribution, self.first_touch, self.form_submissions,
+                                          self.cfg, self.incremental))
 
     @cached_property
     def partner_deals(self) -> DataFrame:
