@@ -345,3 +345,35 @@ def _quality_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 add("quality_checks", _quality_sql())
+
+# -------------------------------------------------------- more landing keys
+add("land_deals", f"SELECT * REPLACE ({AS_OF} AS _fivetran_synced) FROM raw_deal")
+
+_SCALED = ("make_timestamp(epoch_us(TIMESTAMP '1995-01-01 00:00:00') + "
+           "(epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01 00:00:00')) * 80)")
+add("land_engagements", f"""
+SELECT CAST(event_id AS VARCHAR) AS engagement_id,
+  CASE event_type WHEN 'click' THEN 'EMAIL' WHEN 'view' THEN 'CALL' WHEN 'purchase' THEN 'MEETING'
+       WHEN 'error' THEN 'NOTE' ELSE 'TASK' END AS engagement_type,
+  CASE WHEN event_id % 3 <> 0 THEN make_timestamp(CAST(floor(epoch_us({_SCALED}) / 1000) AS BIGINT) * 1000)
+       ELSE date_trunc('second', {_SCALED}) END AS engagement_timestamp,
+  CAST(user_id % 10 AS VARCHAR) AS owner_id,
+  CASE event_type WHEN 'click' THEN 'emails' WHEN 'view' THEN 'calls' WHEN 'purchase' THEN 'meetings'
+       WHEN 'error' THEN 'notes' ELSE 'tasks' END AS engagement_source,
+  CASE WHEN event_type = 'click' THEN CASE WHEN event_id % 2 = 0 THEN 'INCOMING' ELSE 'outgoing' END END
+    AS email_metadata_direction,
+  CASE WHEN event_type = 'click' THEN 'Rep@Nation' || CAST(user_id % 25 AS VARCHAR) || '.Example' END AS email_metadata_from_email,
+  CAST(NULL AS VARCHAR) AS email_metadata_subject, {AS_OF} AS _fivetran_synced, FALSE AS _archived
+FROM events""")
+add("land_engagement_contacts", "SELECT CAST(event_id AS VARCHAR) AS engagement_id, CAST(user_id AS VARCHAR) AS contact_id FROM events")
+add("land_owners", """
+SELECT CAST(s_suppkey AS VARCHAR) AS owner_id, 'rep' || CAST(s_suppkey AS VARCHAR) || '@vendor.example' AS email,
+  s_name AS first_name, CAST(NULL AS VARCHAR) AS last_name,
+  CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE CAST(s_nationkey AS VARCHAR) END AS team_id,
+  CASE WHEN s_suppkey % 2 = 0 THEN TIMESTAMP '2000-01-01 00:00:00' ELSE TIMESTAMP '2000-01-01 00:00:00' END AS created_at,
+  CASE WHEN s_suppkey % 5 = 0 THEN FALSE ELSE s_suppkey % 7 = 0 END AS archived
+FROM supplier""")
+add("objects_modified_since", f"""
+SELECT deal_id AS id, strftime(_fivetran_synced, '%Y-%m-%dT%H:%M:%SZ') AS "updatedAt" FROM raw_deal
+WHERE _fivetran_synced >= {AS_OF} - INTERVAL 7 DAY""")
+add("land_with_archived", "SELECT deal_id, property_dealstage, _archived FROM raw_deal")

@@ -110,6 +110,43 @@ SHAPES = {'check_close_before_create': [('check', 'plain'),
                    ('_fivetran_synced', 'ts'),
                    ('_archived', 'plain')],
  'land_deal_contacts': [('deal_id', 'plain'), ('contact_id', 'plain'), ('is_primary', 'plain')],
+ 'land_deals': [('deal_id', 'plain'),
+                ('property_dealname', 'plain'),
+                ('property_pipeline', 'plain'),
+                ('property_dealstage', 'plain'),
+                ('property_hs_deal_stage_probability', 'plain'),
+                ('property_amount', 'plain'),
+                ('property_amount_in_home_currency', 'plain'),
+                ('property_createdate', 'plain'),
+                ('property_closedate', 'plain'),
+                ('property_hs_closed_won_date', 'plain'),
+                ('property_hs_is_closed_won', 'plain'),
+                ('property_hs_is_closed', 'plain'),
+                ('property_dealtype', 'plain'),
+                ('property_hubspot_owner_id', 'plain'),
+                ('property_deal_source', 'plain'),
+                ('property_referring_partner', 'plain'),
+                ('property_deal_source_detail', 'plain'),
+                ('_fivetran_synced', 'ts'),
+                ('_archived', 'plain')],
+ 'land_engagement_contacts': [('engagement_id', 'plain'), ('contact_id', 'plain')],
+ 'land_engagements': [('engagement_id', 'plain'),
+                      ('engagement_type', 'plain'),
+                      ('engagement_timestamp', 'ts'),
+                      ('owner_id', 'plain'),
+                      ('engagement_source', 'plain'),
+                      ('email_metadata_direction', 'plain'),
+                      ('email_metadata_from_email', 'plain'),
+                      ('email_metadata_subject', 'plain'),
+                      ('_fivetran_synced', 'ts'),
+                      ('_archived', 'plain')],
+ 'land_owners': [('owner_id', 'plain'),
+                 ('email', 'plain'),
+                 ('first_name', 'plain'),
+                 ('last_name', 'plain'),
+                 ('team_id', 'plain'),
+                 ('created_at', 'ts'),
+                 ('archived', 'plain')],
  'land_stage_history': [('deal_id', 'plain'), ('stage_id', 'plain'), ('entered_at', 'ts'), ('exited_at', 'ts')],
  'land_submissions': [('conversion_id', 'plain'),
                       ('contact_id', 'plain'),
@@ -119,6 +156,8 @@ SHAPES = {'check_close_before_create': [('check', 'plain'),
                       ('company_size', 'plain'),
                       ('industry', 'plain'),
                       ('nameless', 'plain')],
+ 'land_with_archived': [('deal_id', 'plain'), ('property_dealstage', 'plain'), ('_archived', 'plain')],
+ 'objects_modified_since': [('id', 'plain'), ('updatedAt', 'plain')],
  'partner_deal_stage_durations': [('partner_id', 'plain'),
                                   ('partner_name', 'plain'),
                                   ('deal_id', 'plain'),

@@ -437,3 +437,49 @@ def _l9(m: Models) -> DataFrame:
                        F.get_json_object(v, "$.company_size").alias("company_size"),
                        F.get_json_object(v, "$.industry").alias("industry"),
                        F.get_json_object(v, "$['']").alias("nameless"))
+
+
+@register("land_deals")
+def _l2(m: Models) -> DataFrame:
+    """L2: nested deal objects -> deal rows"""
+    return L.land_deals(FX.deal_property_objects(m.raw.deal), m.cfg.as_of)
+
+
+@register("land_engagements")
+def _l5(m: Models) -> DataFrame:
+    """Union of five engagement object types"""
+    return L.land_engagements(FX.engagement_objects(m.spark, m.sf_dir), m.cfg.as_of)
+
+
+@register("land_engagement_contacts")
+def _l6(m: Models) -> DataFrame:
+    """L6"""
+    out = None
+    for objs in FX.engagement_objects(m.spark, m.sf_dir).values():
+        e = L.land_engagement_contacts(objs)
+        out = e if out is None else out.unionByName(e)
+    return out
+
+
+@register("land_owners")
+def _l7(m: Models) -> DataFrame:
+    """L7"""
+    return L.land_owners(FX.owner_objects(m.spark, m.sf_dir))
+
+
+@register("objects_modified_since")
+def _a5(m: Models) -> DataFrame:
+    """A5: deal objects modified in the 7 days before as_of"""
+    import datetime as dt
+
+    objs = FX.deal_property_objects(m.raw.deal)
+    return L.objects_since(objs, m.cfg.as_of - dt.timedelta(days=7)).select("id", "updatedAt")
+
+
+@register("land_with_archived")
+def _a9(m: Models) -> DataFrame:
+    """Live pass then archived pass, flagged"""
+    d = m.raw.deal.select("deal_id", "property_dealstage", "_archived")
+    live = d.filter(~F.col("_archived")).drop("_archived")
+    archived = d.filter(F.col("_archived")).drop("_archived")
+    return M.with_archived(live, archived)

@@ -370,3 +370,53 @@ def submission_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("pageUrl"),
         F.concat(base, dup, junk).alias("values"),
     )
+
+
+def deal_property_objects(raw_deals: DataFrame) -> DataFrame:
+    """Nested deal objects with a ``properties`` map and ``updatedAt`` (ISO load time)."""
+    from partnerlens.sources.tables import DEAL_PROPERTIES
+
+    props = F.create_map(*[x for p in DEAL_PROPERTIES for x in (F.lit(p), F.col(f"property_{p}"))])
+    return raw_deals.select(F.col("deal_id").alias("id"), props.alias("properties"),
+                            F.col("_archived").alias("archived"), _iso(F.col("_fivetran_synced")).alias("updatedAt"))
+
+
+ENGAGEMENT_KIND_BY_EVENT = {"click": "emails", "view": "calls", "purchase": "meetings", "error": "notes", "signup": "tasks"}
+
+
+def engagement_objects(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Engagement objects per type (emails, calls, meetings, notes, tasks) built from ``events``.
+
+    ``hs_timestamp`` is epoch-millis text except for every third event, which
+    only has ``hs_createdate`` (ISO text, whole seconds).
+    """
+    ev = _read(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
+    e, u = F.col("event_id"), F.col("user_id")
+    at = _scale(F.col("ts"))
+    props = F.create_map(
+        F.lit("hs_timestamp"), F.when(e % 3 != 0, F.unix_millis(at.cast("timestamp")).cast("string")),
+        F.lit("hs_createdate"), _iso(at),
+        F.lit("hubspot_owner_id"), _s(u % 10),
+        F.lit("hs_email_direction"), F.when(e % 2 == 0, F.lit("INCOMING")).otherwise(F.lit("outgoing")),
+        F.lit("hs_email_from_email"), F.concat(F.lit("Rep@Nation"), _s(u % 25), F.lit(".Example")),
+    )
+    objs = ev.select("event_type", _s(e).alias("id"), props.alias("properties"),
+                     F.struct(F.struct(F.array(F.struct(_s(u).alias("id"))).alias("results")).alias("contacts"))
+                     .alias("associations"))
+    return {kind: objs.filter(F.col("event_type") == ev_type).drop("event_type")
+            for ev_type, kind in ENGAGEMENT_KIND_BY_EVENT.items()}
+
+
+def owner_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Owner objects as the CRM returns them (numeric id, team list, created time, optional archived flag)."""
+    s = _read(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
+    k = F.col("s_suppkey")
+    return s.select(
+        k.alias("id"), F.concat(F.lit("rep"), _s(k), F.lit("@vendor.example")).alias("email"),
+        F.col("s_name").alias("firstName"), F.lit(None).cast("string").alias("lastName"),
+        F.when(k % 3 == 0, F.array().cast("array<struct<id:bigint>>"))
+        .otherwise(F.array(F.struct(F.col("s_nationkey").cast("bigint").alias("id")))).alias("teams"),
+        F.when(k % 2 == 0, _iso(F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")))
+        .otherwise(F.lit("946684800000")).alias("createdAt"),
+        F.when(k % 5 == 0, F.lit(None).cast("boolean")).otherwise(k % 7 == 0).alias("archived"),
+    )

@@ -134,7 +134,7 @@ def land_owners(owners: DataFrame) -> DataFrame:
     """Owner id as text, team id or null, archived default false."""
     return owners.select(
         F.col("id").cast("string").alias("owner_id"), "email", F.col("firstName").alias("first_name"),
-        F.col("lastName").alias("last_name"), F.col("teams")[0]["id"].cast("string").alias("team_id"),
+        F.col("lastName").alias("last_name"), F.get(F.col("teams"), 0)["id"].cast("string").alias("team_id"),
         parse_ts(F.col("createdAt")).alias("created_at"), F.coalesce(F.col("archived"), F.lit(False)).alias("archived"))
 
 
