@@ -377,3 +377,25 @@ add("objects_modified_since", f"""
 SELECT deal_id AS id, strftime(_fivetran_synced, '%Y-%m-%dT%H:%M:%SZ') AS "updatedAt" FROM raw_deal
 WHERE _fivetran_synced >= {AS_OF} - INTERVAL 7 DAY""")
 add("land_with_archived", "SELECT deal_id, property_dealstage, _archived FROM raw_deal")
+
+add("scalar_functions", """
+SELECT id,
+  TRY_CAST(NULLIF(property_numberofemployees, '') AS BIGINT) AS employees,
+  TRY_CAST(NULLIF(property_annualrevenue, '') AS DECIMAL(18,2)) AS revenue,
+  TRY_CAST(NULLIF(CAST(_archived AS VARCHAR), '') AS BOOLEAN) AS archived,
+  CASE WHEN NULLIF(TRY_CAST(NULLIF(property_numberofemployees, '') AS BIGINT), 0) IS NULL THEN NULL
+       ELSE CAST(TRY_CAST(NULLIF(property_annualrevenue, '') AS DECIMAL(18,2)) AS DOUBLE)
+            / TRY_CAST(NULLIF(property_numberofemployees, '') AS BIGINT) END AS revenue_per_employee,
+  (epoch_us(TRY_CAST(NULLIF(property_hs_lifecyclestage_marketingqualifiedlead_date, '') AS TIMESTAMP))
+   - epoch_us(TRY_CAST(NULLIF(property_createdate, '') AS TIMESTAMP))) / 1000000.0 AS seconds_to_mql,
+  (epoch_us(TRY_CAST(NULLIF(property_hs_lifecyclestage_marketingqualifiedlead_date, '') AS TIMESTAMP))
+   - epoch_us(TRY_CAST(NULLIF(property_createdate, '') AS TIMESTAMP))) / 1000000.0 / 3600.0 AS hours_to_mql,
+  NULLIF(regexp_extract(lower(property_email), '@([^@]+)$', 1), '') AS email_domain,
+  lower(trim(property_referring_partner)) AS partner_key,
+  NULLIF(trim(property_referring_partner), '') AS partner_declared,
+  CAST(date_trunc('month', TRY_CAST(NULLIF(property_createdate, '') AS TIMESTAMP)) AS DATE) AS created_month,
+  CAST(date_trunc('quarter', TRY_CAST(NULLIF(property_createdate, '') AS TIMESTAMP)) AS DATE) AS created_quarter,
+  CAST(date_trunc('month', TRY_CAST(NULLIF(property_createdate, '') AS TIMESTAMP)) - INTERVAL 11 MONTH AS DATE) AS created_month_minus_11,
+  TRY_CAST(NULLIF(property_createdate, '') AS TIMESTAMP) - INTERVAL 14 DAY AS created_minus_14d,
+  property_email AS json_roundtrip
+FROM raw_contact""")

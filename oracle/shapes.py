@@ -624,6 +624,21 @@ SHAPES = {'check_close_before_create': [('check', 'plain'),
                     ('failures', 'int'),
                     ('severity', 'plain'),
                     ('status', 'plain')],
+ 'scalar_functions': [('id', 'plain'),
+                      ('employees', 'int'),
+                      ('revenue', 'money'),
+                      ('archived', 'plain'),
+                      ('revenue_per_employee', 'frac'),
+                      ('seconds_to_mql', 'frac'),
+                      ('hours_to_mql', 'frac'),
+                      ('email_domain', 'plain'),
+                      ('partner_key', 'plain'),
+                      ('partner_declared', 'plain'),
+                      ('created_month', 'plain'),
+                      ('created_quarter', 'plain'),
+                      ('created_month_minus_11', 'plain'),
+                      ('created_minus_14d', 'ts'),
+                      ('json_roundtrip', 'plain')],
  'source_freshness': [('source_table', 'plain'), ('max_loaded_at', 'ts'), ('age_hours', 'frac'), ('status', 'plain')],
  'stg_contacts': [('contact_id', 'plain'),
                   ('email', 'plain'),

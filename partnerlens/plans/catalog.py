@@ -483,3 +483,31 @@ def _a9(m: Models) -> DataFrame:
     live = d.filter(~F.col("_archived")).drop("_archived")
     archived = d.filter(F.col("_archived")).drop("_archived")
     return M.with_archived(live, archived)
+
+
+@register("scalar_functions")
+def _x(m: Models) -> DataFrame:
+    """The scalar helpers over whole raw contacts"""
+    from partnerlens.functions import columns as X
+
+    c = m.raw.contact
+    created = X.safe_cast("property_createdate", "timestamp")
+    mql = X.safe_cast("property_hs_lifecyclestage_marketingqualifiedlead_date", "timestamp")
+    emp = X.safe_cast("property_numberofemployees", "int")
+    return c.select(
+        "id",
+        emp.alias("employees"),
+        X.safe_cast("property_annualrevenue", "numeric").alias("revenue"),
+        X.safe_cast("_archived", "bool").alias("archived"),
+        X.safe_divide(X.safe_cast("property_annualrevenue", "numeric"), emp).alias("revenue_per_employee"),
+        X.seconds_between(mql, created).alias("seconds_to_mql"),
+        X.seconds_to_hours(X.seconds_between(mql, created)).alias("hours_to_mql"),
+        X.email_domain(F.col("property_email")).alias("email_domain"),
+        X.name_key(F.col("property_referring_partner")).alias("partner_key"),
+        X.trimmed_or_null(F.col("property_referring_partner")).alias("partner_declared"),
+        X.month_start(created).alias("created_month"),
+        X.quarter_start(created).alias("created_quarter"),
+        F.add_months(X.month_start(created), -11).alias("created_month_minus_11"),
+        (created - F.make_dt_interval(F.lit(14))).alias("created_minus_14d"),
+        X.json_value(F.to_json(F.create_map(F.lit("e"), F.col("property_email"))), "e").alias("json_roundtrip"),
+    )
