@@ -83,16 +83,19 @@ def sales_touches(deals: DataFrame, primary: DataFrame, contact_eng: DataFrame,
     ).select("contact_id", "b.t", "b.kind", "deal_id", "b.side", *[F.lit(0).alias(k) for k in TOUCH_KINDS])
 
     line = touches.unionByName(bounds).withColumn("day", F.to_date("t"))
-    # Totals per (contact, day), then the running total of earlier days per contact.
-    per_day = line.groupBy("contact_id", "day").agg(*[F.sum(k).alias(k) for k in TOUCH_KINDS])
+    # Running totals inside each (contact, day) slice; kind orders start < touches < end at equal times.
+    w_in = Window.partitionBy("contact_id", "day").orderBy("t", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    running = line.select("contact_id", "day", "kind", "deal_id", "side",
+                          *[F.sum(k).over(w_in).alias(f"_in_{k}") for k in TOUCH_KINDS])
+    # Day totals = the largest running total of the slice (flags are >= 0); the data is already
+    # partitioned by (contact, day), so this aggregation adds no shuffle of the time line.
+    per_day = running.groupBy("contact_id", "day").agg(*[F.max(f"_in_{k}").alias(k) for k in TOUCH_KINDS])
+    # Totals of the earlier days per contact: one row per active day, small.
     w_days = Window.partitionBy("contact_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     before_day = per_day.select("contact_id", "day", *[
         F.coalesce(F.sum(k).over(w_days), F.lit(0)).alias(f"_pre_{k}") for k in TOUCH_KINDS])
-    # Running total inside the day; kind orders start < touches < end at equal times.
-    w_in = Window.partitionBy("contact_id", "day").orderBy("t", "kind").rowsBetween(Window.unboundedPreceding, 0)
     at_bound = (
-        line.select("contact_id", "day", "kind", "deal_id", "side", *[F.sum(k).over(w_in).alias(f"_in_{k}") for k in TOUCH_KINDS])
-        .filter(F.col("kind") != 1)
+        running.filter(F.col("kind") != 1)
         .join(before_day, ["contact_id", "day"])
         .select("deal_id", "side", *[(F.col(f"_pre_{k}") + F.col(f"_in_{k}")).alias(k) for k in TOUCH_KINDS])
     )

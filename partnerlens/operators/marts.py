@@ -305,8 +305,7 @@ def _median_from_counts(counted: DataFrame, keys: list[str], value: str, out: st
     return ranked.groupBy(*keys).agg(((F.max(F.when(holds(lo), v)) + F.max(F.when(holds(hi), v))) / F.lit(2.0)).alias(out))
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, out: str, accuracy: int = 10_000,
-                 cfg: EngineConfig | None = None) -> DataFrame:
+def exact_median(df: DataFrame, keys: list[str], value: str, out: str, accuracy: int = 10_000) -> DataFrame:
     """Exact median (linear interpolation, nulls skipped) per group, safe for one huge group.
 
     1. A mergeable quantile sketch (``percentile_approx``, partially aggregated,
@@ -320,7 +319,6 @@ def exact_median(df: DataFrame, keys: list[str], value: str, out: str, accuracy:
        a group that fails is recomputed over all of its values, so the result
        is exact in every case.
     """
-    cfg = cfg or EngineConfig()
     vals = df.filter(F.col(value).isNotNull()).select(*keys, value)
     p_lo, p_hi = max(0.0, 0.5 - 2.0 / accuracy), min(1.0, 0.5 + 2.0 / accuracy)
     stats = vals.groupBy(*keys).agg(
@@ -328,7 +326,9 @@ def exact_median(df: DataFrame, keys: list[str], value: str, out: str, accuracy:
         F.percentile_approx(F.col(value).cast("double"), F.array(F.lit(p_lo), F.lit(p_hi)), accuracy).alias("_band"))
     stats = stats.select(*keys, "_n", F.col("_band")[0].alias("_lo"), F.col("_band")[1].alias("_hi"))
     v = F.col(value).cast("double")
-    tagged = join_null_safe(vals, dim(stats, cfg), keys)
+    # One stats row per group: AQE turns this into a broadcast join when the measured
+    # size of the stats side is under the broadcast threshold (a runtime size check).
+    tagged = join_null_safe(vals, stats, keys)
     below = tagged.groupBy(*keys).agg(F.count_if(v < F.col("_lo")).alias("_below"),
                                       F.count_if((v >= F.col("_lo")) & (v <= F.col("_hi"))).alias("_inside"))
     checked = join_null_safe(stats, below, keys).withColumn(
@@ -344,9 +344,15 @@ def exact_median(df: DataFrame, keys: list[str], value: str, out: str, accuracy:
 
 def summary(leads: DataFrame, pdeals_canon: DataFrame, partners: DataFrame, penetration_df: DataFrame) -> DataFrame:
     """K8: partner x (month, quarter, all_time) KPI table."""
-    leads = leads.filter(F.col("partner_id").isNotNull())
-    deals = pdeals_canon.filter(F.col("partner_id").isNotNull())
-    spine = period_spine(leads, deals, partners)
+    # Only the columns the metrics read: narrow plans keep planning cheap.
+    leads = leads.filter(F.col("partner_id").isNotNull()).select(
+        "partner_id", "partner_name", "contact_id", "source_type", "reached_mql", "reached_sql", "is_disqualified",
+        "hours_to_first_sales_touch", "lead_created_month", "lead_created_quarter")
+    deals = pdeals_canon.filter(F.col("partner_id").isNotNull()).select(
+        "partner_id", "partner_name", "deal_id", "is_closed_won", "is_closed", "amount", "time_to_close_days",
+        "sales_touches_total", "days_contact_to_deal", "deal_created_month", "deal_created_quarter",
+        "deal_close_month", "deal_close_quarter")
+    spine = period_spine(leads, deals, partners.select("partner_id", "partner_name"))
 
     lead_m = explode_periods(leads, "lead_created_month", "lead_created_quarter").groupBy(*PERIOD_KEYS).agg(
         F.count("contact_id").alias("total_leads"),

@@ -55,6 +55,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.driver.memory", os.environ.get("PARTNERLENS_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Tasks start at once instead of waiting up to 3 s for a "better" locality level;
+        # the inputs are shuffle files and checkpoints, not node-local HDFS blocks.
+        .config("spark.locality.wait", os.environ.get("PARTNERLENS_LOCALITY_WAIT", "0s"))
     )
     for k, v in {**_RESULT_CONF, **_EXEC_CONF}.items():
         builder = builder.config(k, v)
