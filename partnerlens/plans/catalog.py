@@ -25,10 +25,28 @@ MODEL_FNS: dict[str, Callable[[Models], DataFrame]] = {}
 MATERIALIZE = "checkpoint"
 
 
+_RUNS: dict[tuple[str, str], Models] = {}
+
+
+def models_for(spark: SparkSession, sf_dir: str) -> Models:
+    """The model graph of one run per (Spark application, input folder).
+
+    Queries of the same application over the same tables share the
+    checkpointed models, as the marts of one refresh do; a new application
+    (or another folder) starts a new run.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    m = _RUNS.get(key)
+    if m is None or m.spark is not spark:
+        m = Models.from_fixture(spark, sf_dir, materialize=MATERIALIZE)
+        _RUNS[key] = m
+    return m
+
+
 def register(name: str):
     def deco(fn: Callable[[Models], DataFrame]) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return canonical(fn(Models.from_fixture(spark, sf_dir, materialize=MATERIALIZE)))
+            return canonical(fn(models_for(spark, sf_dir)))
 
         MODEL_FNS[name] = fn
 
