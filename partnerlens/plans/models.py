@@ -109,7 +109,8 @@ class Models:
     # ------------------------------------------------------- intermediate
     @cached_property
     def contact_engagements(self) -> DataFrame:
-        return I.contact_engagements(self.engagements, self.engagement_contacts)
+        # Read by I1, I3, I5d and Q10: materialised once per run.
+        return self._keep(I.contact_engagements(self.engagements, self.engagement_contacts))
 
     @cached_property
     def first_touch(self) -> DataFrame:
@@ -117,7 +118,8 @@ class Models:
 
     @cached_property
     def primary_contact(self) -> DataFrame:
-        return I.primary_contact(self.deal_contacts, self.contacts)
+        # Read by I3 and K2 (twice: partner resolution and touches): materialised once per run.
+        return self._keep(I.primary_contact(self.deal_contacts, self.contacts))
 
     def sales_touches_for(self, deals: DataFrame) -> DataFrame:
         return I.sales_touches(deals, self.primary_contact, self.contact_engagements, self.cfg)

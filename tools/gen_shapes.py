@@ -29,12 +29,9 @@ def kind(t):
 def main():
     spark = get_session("local[4]")
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
-    from partnerlens.plans import compare
-
     from partnerlens.plans.catalog import MODEL_FNS
     from partnerlens.plans.models import Models
 
-    del compare
     shapes = {}
     m = Models.from_fixture(spark, sf, materialize="checkpoint")
     for name in REGISTRY:
