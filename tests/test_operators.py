@@ -124,3 +124,27 @@ def test_versioned_table_write(spark, tmp_path):
     out = M.upsert_table(spark, root, b, ["id"], "v")
     assert sorted(tuple(r) for r in out.collect()) == [("1", 2), ("2", 1)]
     assert M.current_version(root).startswith(root)
+
+
+def test_source_marker_attribution_is_opt_in(spark):
+    from partnerlens.operators import staging as S
+
+    contacts = spark.createDataFrame(
+        [("c1", "partner", None, None, None, None, None, None)],
+        "contact_id string, lead_origin_declared string, lead_source_declared string, referring_partner_declared string, "
+        "original_source string, original_source_drill_down_1 string, original_source_drill_down_2 string, "
+        "contact_created_at timestamp_ntz")
+    partners = S.stg_partners(spark.createDataFrame([("p1", "Acme", None, "gold", None)],
+                                                    "partner_id string, partner_name string, partner_domain string, "
+                                                    "partner_tier string, partner_start_date date"))
+    deals = spark.createDataFrame([], "deal_id string, deal_created_at timestamp_ntz, referring_partner_deal string, "
+                                      "is_partner_sourced_deal boolean")
+    edges = spark.createDataFrame([], "deal_id string, contact_id string, is_primary_contact boolean")
+    forms = spark.createDataFrame([], "contact_id string, submission_id string, submitted_at timestamp_ntz, "
+                                      "partner_name_from_form string, is_partner_referral_form boolean")
+    ce = spark.createDataFrame([], "contact_id string, engagement_id string, engaged_at timestamp_ntz, engagement_type string, "
+                                   "email_direction string, email_from_domain string")
+    off = I.attribution(contacts, partners, deals, edges, forms, ce, CFG)
+    assert off.count() == 0
+    on = I.attribution(contacts, partners, deals, edges, forms, ce, EngineConfig(use_source_marker_attribution=True)).collect()
+    assert [(r.contact_id, r.partner_id, r.attribution_method) for r in on] == [("c1", None, "lead_source_marker")]
