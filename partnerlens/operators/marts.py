@@ -380,14 +380,18 @@ def summary(leads: DataFrame, pdeals_canon: DataFrame, partners: DataFrame, pene
     )
     median_m = exact_median(closes.filter(won).select(*PERIOD_KEYS, "amount"), PERIOD_KEYS, "amount", "median_deal_size")
 
-    def nsjoin(left: DataFrame, right: DataFrame) -> DataFrame:
-        r = right.withColumnRenamed("partner_id", "_r_pid").withColumnRenamed("period_type", "_r_pt") \
-                 .withColumnRenamed("period_start_date", "_r_psd")
-        cond = ((F.col("partner_id") == F.col("_r_pid")) & (F.col("period_type") == F.col("_r_pt"))
-                & F.col("period_start_date").eqNullSafe(F.col("_r_psd")))
-        return left.join(r, cond, "left").drop("_r_pid", "_r_pt", "_r_psd")
-
-    j = nsjoin(nsjoin(nsjoin(nsjoin(spine, lead_m), create_m), close_m), median_m)
+    # Spine and metric tables share the key (partner_id, period_type, period_start_date):
+    # one union + group-by lines them up in a single shuffle (grouping treats the
+    # all_time null date as equal, like the reference's null-safe joins).
+    metric_cols = [c for t in (lead_m, create_m, close_m, median_m) for c in t.columns if c not in PERIOD_KEYS]
+    parts = [spine.withColumn("_in_spine", F.lit(True)), lead_m, create_m, close_m, median_m]
+    stacked = parts[0]
+    for t in parts[1:]:
+        stacked = stacked.unionByName(t, allowMissingColumns=True)
+    j = stacked.groupBy(*PERIOD_KEYS).agg(
+        F.max("partner_name").alias("partner_name"), F.max("_in_spine").alias("_in_spine"),
+        *[F.max(c).alias(c) for c in metric_cols],
+    ).filter(F.col("_in_spine"))
     zero = F.lit(0).cast("bigint")
     leads_n = F.coalesce("total_leads", zero)
     deals_n = F.coalesce("total_deals_created", zero)
@@ -396,11 +400,11 @@ def summary(leads: DataFrame, pdeals_canon: DataFrame, partners: DataFrame, pene
     revenue = F.when(F.col("_close_hit").isNull(), F.lit(0).cast("decimal(28,2)")).otherwise(F.col("revenue_closed_won"))
     j = j.withColumn("_leads", leads_n).withColumn("_deals", deals_n).withColumn("_won", won_n).withColumn("_rev", revenue)
 
-    totals = j.groupBy("period_type", "period_start_date").agg(
-        F.sum("_leads").alias("all_partners_leads"), F.sum("_deals").alias("all_partners_deals"),
-        F.sum("_rev").alias("all_partners_revenue"))
-    t = totals.withColumnRenamed("period_type", "_t_pt").withColumnRenamed("period_start_date", "_t_psd")
-    j = j.join(t, (F.col("period_type") == F.col("_t_pt")) & F.col("period_start_date").eqNullSafe(F.col("_t_psd")), "left")
+    # Totals per period over all partners: a window per period (one row per partner in it).
+    w_period = Window.partitionBy("period_type", "period_start_date")
+    j = j.withColumn("all_partners_leads", F.sum("_leads").over(w_period)) \
+         .withColumn("all_partners_deals", F.sum("_deals").over(w_period)) \
+         .withColumn("all_partners_revenue", F.sum("_rev").over(w_period))
 
     lp = penetration_df.groupBy("partner_id").agg(
         F.max_by(F.struct("partner_name", "penetration_rate", "total_customer_count", "our_customer_count"),
