@@ -123,6 +123,7 @@ def stg_engagements(eng: DataFrame) -> DataFrame:
     )
 
 
+# Form keys read as firmographics, and the columns they land in.
 FORM_FIRMOGRAPHIC_KEYS = ("company", "company_size", "numberofemployees", "industry", "country", "use_case")
 FORM_FIRMOGRAPHIC_COLS = ("form_company_name", "form_company_size", "form_num_employees", "form_industry",
                           "form_country", "form_use_case")

@@ -40,7 +40,7 @@ SUBMISSION_SCHEMA = T.StructType([
     T.StructField("values", T.ArrayType(T.StructType([T.StructField("name", S), T.StructField("value", S)]))),
 ])
 
-# Engagement object types and the type label each one lands with.
+# Engagement object types and the type label each one lands with.
 ENGAGEMENT_TYPES = {"emails": "EMAIL", "calls": "CALL", "meetings": "MEETING", "notes": "NOTE", "tasks": "TASK"}
 
 

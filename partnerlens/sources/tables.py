@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 S, TS, B, D, I = T.StringType(), T.TimestampNTZType(), T.BooleanType(), T.DateType(), T.IntegerType()
 
+# The CRM property keys landed as property_* text columns (names as the CRM uses them).
 CONTACT_PROPERTIES = [
     "email", "firstname", "lastname", "company", "jobtitle", "industry", "numberofemployees", "annualrevenue",
     "lifecyclestage", "hs_lead_status", "createdate", "hs_lifecyclestage_lead_date",
