@@ -1,6 +1,5 @@
 """Properties: input order and partitioning do not change results; picks equal a sort-based brute force."""
 
-import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st

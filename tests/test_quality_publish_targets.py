@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from partnerlens.operators import quality as T
 from partnerlens.plans import publish as P
