@@ -399,3 +399,5 @@ SELECT id,
   TRY_CAST(NULLIF(property_createdate, '') AS TIMESTAMP) - INTERVAL 14 DAY AS created_minus_14d,
   property_email AS json_roundtrip
 FROM raw_contact""")
+
+add("int_attribution_evidence", "SELECT * FROM int_attr_union")

@@ -56,6 +56,14 @@ SHAPES = {'check_close_before_create': [('check', 'plain'),
                        ('lead_to_won_rate', 'frac'),
                        ('avg_deal_size', 'frac')],
  'forecast_totals': [('partner_id', 'plain'), ('leads', 'frac'), ('deals', 'frac'), ('revenue', 'frac')],
+ 'int_attribution_evidence': [('contact_id', 'plain'),
+                              ('partner_id', 'plain'),
+                              ('partner_name', 'plain'),
+                              ('source_type', 'plain'),
+                              ('attribution_method', 'plain'),
+                              ('priority', 'int'),
+                              ('evidence_at', 'ts'),
+                              ('evidence_id', 'plain')],
  'int_contact_first_touch': [('contact_id', 'plain'), ('first_touch_at', 'ts'), ('first_sales_touch_at', 'ts')],
  'int_deal_primary_contact': [('deal_id', 'plain'), ('primary_contact_id', 'plain')],
  'int_deal_sales_touches': [('deal_id', 'plain'),

@@ -137,15 +137,9 @@ def _evidence(df: DataFrame, method: str, priority: int, source_type: Column | s
     )
 
 
-def attribution(contacts: DataFrame, partners: DataFrame, deals: DataFrame, deal_contacts: DataFrame,
-                forms: DataFrame, contact_eng: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """One row per attributed contact; the best evidence wins.
-
-    Priority: 1 declared on the contact, 2 deal tag via flagged-primary
-    partner deal, 3 partner form, 4 incoming email from a partner domain,
-    5 referral source drill-down. Within a priority the earliest evidence
-    wins (nulls last), then the smallest partner id.
-    """
+def attribution_evidence(contacts: DataFrame, partners: DataFrame, deals: DataFrame, deal_contacts: DataFrame,
+                         forms: DataFrame, contact_eng: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """I5a-I5e: every piece of partner evidence per contact, before the pick (names may be null)."""
     p = dim(partners.select("partner_id", "partner_name", "partner_name_key", "partner_domain"), cfg)
     by_key = p.select("partner_id", F.col("partner_name").alias("_pname"), "partner_name_key")
 
@@ -215,7 +209,19 @@ def attribution(contacts: DataFrame, partners: DataFrame, deals: DataFrame, deal
         marked = contacts.filter(F.col("lead_origin_declared").isin(*markers) | F.col("lead_source_declared").isin(*markers)).select(
             "contact_id", F.lit(None).cast("string").alias("partner_id"), F.lit("Unknown partner").alias("partner_name"))
         union = union.unionByName(_evidence(marked, "lead_source_marker", 6, "partner_email"))
+    return union
+
 
+def attribution(contacts: DataFrame, partners: DataFrame, deals: DataFrame, deal_contacts: DataFrame,
+                forms: DataFrame, contact_eng: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """One row per attributed contact; the best evidence wins (I5f).
+
+    Priority: 1 declared on the contact, 2 deal tag via flagged-primary
+    partner deal, 3 partner form, 4 incoming email from a partner domain,
+    5 referral source drill-down. Within a priority the earliest evidence
+    wins (nulls last), then the smallest partner id.
+    """
+    union = attribution_evidence(contacts, partners, deals, deal_contacts, forms, contact_eng, cfg)
     best = first_per_key(
         union.filter(F.col("partner_name").isNotNull()), ["contact_id"],
         [F.col("priority"), *asc_nulls_last(F.col("evidence_at")), *asc_nulls_last(F.col("partner_id")), F.col("evidence_id")],

@@ -529,3 +529,12 @@ def _x(m: Models) -> DataFrame:
         (created - F.make_dt_interval(F.lit(14))).alias("created_minus_14d"),
         X.json_value(F.to_json(F.create_map(F.lit("e"), F.col("property_email"))), "e").alias("json_roundtrip"),
     )
+
+
+@register("int_attribution_evidence")
+def _i5_evidence(m: Models) -> DataFrame:
+    """I5a-I5e: all evidence rows before the pick"""
+    from partnerlens.operators import intermediate as I
+
+    return I.attribution_evidence(m.contacts, m.partners, m.deals, m.deal_contacts, m.form_submissions,
+                                  m.contact_engagements, m.cfg)
