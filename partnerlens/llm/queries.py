@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partnerlens.llm import byte_bpe, token_count
+from partnerlens.llm import byte_bpe, decontaminate, id_store, line_dedup, token_count
 from partnerlens.llm.common import table
 
 
@@ -25,14 +25,81 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of at least 40 characters that at least 5 documents hold."""
+    kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=40, min_docs=5)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that benchmark windows of 13 words cover, and the items found."""
+    docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.contamination(docs, items, window=13)
+    return found.select(
+        "doc_id", "n_words", decontaminate.n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), decontaminate.contaminated().alias("contaminated"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens and bytes of every document, and whether it has over 2048 tokens."""
     return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
 
 
+def op10_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written in ascending document order to shard files and read back."""
+    manifest = id_store.write_ids(table(spark, sf_dir, "documents"), id_store.new_folder(spark),
+                                  public_tokenizers.path("word_bpe_49k.json"), end_id=2, cut_at_spaces=True)
+    return id_store.read_ids(manifest).select(
+        "doc_id", "start", F.expr("octet_length(token_ids) div 4").cast("long").alias("n_tokens"), F.crc32("token_ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op5_line_dedup": op5_line_dedup,
+    "op7_decontaminate": op7_decontaminate,
     "op9_token_counts": op9_token_counts,
+    "op10_id_store": op10_id_store,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_LINES = f"""
+with cut as (
+  select doc_id, string_split(coalesce(text, ''), chr(10)) parts from documents),
+lines as (
+  select doc_id, unnest(parts) line, generate_subscripts(parts, 1) pos from cut),
+keyed as (
+  select *, {_LOWER.format("trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} key from lines),
+hot as (
+  select key, max(doc_id) last from keyed where length(key) >= 40 group by key having count(distinct doc_id) >= 5)
+select doc_id, count(*) n_lines, count(*) filter (where doc_id <> last) n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where last is null or doc_id = last), '')) kept_sha256
+from keyed left join hot using (key) group by doc_id
+"""
+
+_WORDS = "regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+_WINDOWS = f"""
+with items as (
+  select item_id, {_WORDS} w from benchmark),
+windows as (
+  select distinct item_id, least(13, len(w)) n, array_to_string(w[k : k + least(13, len(w)) - 1], ' ') words
+  from items, unnest(range(1, 2 + greatest(0, len(w) - 13))) as t(k) where len(w) > 0),
+docs as (
+  select doc_id, {_WORDS} w from documents),
+places as (
+  select doc_id, n, k, array_to_string(w[k : k + n - 1], ' ') words
+  from docs, (select distinct n from windows) as lengths, unnest(range(1, 2 + len(w) - n)) as t(k) where len(w) >= n),
+found as (
+  select p.doc_id, p.k, p.n, x.item_id from places p join windows x using (n, words)),
+hits as (
+  select doc_id, count(distinct k + i) n_hit from found, unnest(range(n)) as t(i) group by doc_id),
+owners as (
+  select doc_id, count(*) n_items, string_agg(item, ',' order by item) items
+  from (select distinct doc_id, cast(item_id as varchar) item from found) group by doc_id)
+select doc_id, cast(len(w) as bigint) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items, sha256(coalesce(items, '')) items_sha256,
+       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) contaminated
+from docs left join hits using (doc_id) left join owners using (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_line_dedup": _LINES, "op7_decontaminate": _WINDOWS}
