@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partnerlens.llm import byte_bpe, decontaminate, id_store, line_dedup, token_count
+from partnerlens.llm import byte_bpe, curves, decontaminate, id_store, langid, line_dedup, token_count, url_rules
 from partnerlens.llm.common import table
 
 
@@ -25,12 +25,42 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+#: The given rules of op3: host, path and verdict.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host, path, given rule and verdict; FP-growth learns from labels of the documents that URLs name.
+
+    A page shows the document whose id is the first number in its path; it is a
+    bad example if that document is toxic or of low quality.
+    """
+    pages, labels = table(spark, sf_dir, "pages").select("page_id", "url"), table(spark, sf_dir, "labels")
+    bad = labels.groupBy("doc_id").agg(F.max((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("block"))
+    named = url_rules.url_tokens(pages).select("tokens", F.expr("try_cast(regexp_extract(url, '://[^/?#]*[^?#]*?/([0-9]+)', 1) as bigint)").alias("doc_id"))
+    mined = url_rules.mine(named.join(bad, "doc_id").select("tokens", "block"))
+    return url_rules.judge(pages, URL_RULES, mined).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines of at least 40 characters that at least 5 documents hold."""
     kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=40, min_docs=5)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def fold(id_col: str = "doc_id") -> F.Column:
+    """crc32 of the id as text, modulo 4; 2 is held out."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 4
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language by a model that learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, learnable=fold() != 2, aside=fold() == 3)
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (F.coalesce(fold(), F.lit(0)) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that benchmark windows of 13 words cover, and the items found."""
     docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
@@ -40,6 +70,12 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), decontaminate.contaminated().alias("contaminated"))
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one, among all others."""
+    found = curves.search(table(spark, sf_dir, "embeddings"), query=F.col("id") % 50 == 0, k=5, id_col="vec_id", vec_col="embedding")
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens and bytes of every document, and whether it has over 2048 tokens."""
     return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
@@ -55,8 +91,11 @@ def op10_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op3_url_rules": op3_url_rules,
     "op5_line_dedup": op5_line_dedup,
+    "op6_language_id": op6_language_id,
     "op7_decontaminate": op7_decontaminate,
+    "op8_nearest": op8_nearest,
     "op9_token_counts": op9_token_counts,
     "op10_id_store": op10_id_store,
 }
