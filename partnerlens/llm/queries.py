@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partnerlens.llm import byte_bpe, curves, decontaminate, id_store, langid, line_dedup, token_count, url_rules
+from partnerlens.llm import byte_bpe, curves, decontaminate, id_store, langid, line_dedup, minhash, token_count, url_rules
 from partnerlens.llm.common import table
 
 
@@ -25,6 +25,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of near copies: distinct 5-word shingles, similarity of 0.75 or more."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=5, percent=75)
+
+
 #: The given rules of op3: host, path and verdict.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
@@ -91,6 +96,7 @@ def op10_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_minhash": op2_minhash,
     "op3_url_rules": op3_url_rules,
     "op5_line_dedup": op5_line_dedup,
     "op6_language_id": op6_language_id,
@@ -102,6 +108,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_NEAR = f"""
+with recursive docs as (
+  select doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') w from documents),
+shingles as (
+  select distinct doc_id, array_to_string(w[k : k + 4], ' ') s
+  from docs, unnest(range(1, 2 + greatest(0, len(w) - 5))) as t(k) where len(w) > 0),
+sizes as (
+  select doc_id, count(*) n from shingles group by doc_id),
+common as (
+  select a.doc_id x, b.doc_id y, count(*) c from shingles a join shingles b using (s) where a.doc_id <> b.doc_id group by all),
+links as (
+  select x, y from common join sizes p on p.doc_id = x join sizes q on q.doc_id = y where 100 * c >= 75 * (p.n + q.n - c)),
+reach as (
+  select x, y from links union select r.x, l.y from reach r join links l on l.x = r.y)
+select doc_id, coalesce(n, 0) n_shingles, least(doc_id, coalesce(low, doc_id)) component_id, doc_id <= coalesce(low, doc_id) kept
+from documents left join sizes using (doc_id) left join (select x doc_id, min(y) low from reach group by x) using (doc_id)
+"""
+
 _LINES = f"""
 with cut as (
   select doc_id, string_split(coalesce(text, ''), chr(10)) parts from documents),
@@ -141,4 +165,4 @@ select doc_id, cast(len(w) as bigint) n_words, coalesce(n_hit, 0) n_hit, coalesc
 from docs left join hits using (doc_id) left join owners using (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_line_dedup": _LINES, "op7_decontaminate": _WINDOWS}
+ORACLE_SQL: dict[str, str] = {"op2_minhash": _NEAR, "op5_line_dedup": _LINES, "op7_decontaminate": _WINDOWS}
