@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import itertools
 import tempfile
 import uuid
@@ -63,6 +64,12 @@ def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def let_go(spark: SparkSession) -> None:
+    """Lets the driver drop shuffle files that nothing refers to any more, rather than whenever it collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def utf8(col: str | Column) -> Column:
     """A text column as UTF-8 bytes, null as empty."""
     return F.coalesce((F.col(col) if isinstance(col, str) else col).cast("binary"), F.lit(b""))
@@ -97,8 +104,8 @@ def values(batch: pa.RecordBatch, name: str) -> Iterator:
     return (v.as_py() for v in batch.column(batch.schema.get_field_index(name)))
 
 
-def forget(known: dict) -> None:
+def forget(known: dict, most: int = REMEMBERED) -> None:
     """Drops the newer half of a full memory: what came early is what is frequent."""
-    if len(known) >= REMEMBERED:
+    if len(known) >= most:
         for k in list(itertools.islice(reversed(known), len(known) // 2)):
             del known[k]

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partnerlens.llm import byte_bpe, curves, decontaminate, id_store, langid, line_dedup, minhash, token_count, url_rules
+from partnerlens.llm import byte_bpe, curves, decontaminate, id_store, langid, line_dedup, minhash, suffix_dedup, token_count, url_rules
 from partnerlens.llm.common import table
 
 
@@ -47,6 +47,13 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(pages, URL_RULES, mined).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 100-byte strings that also start earlier."""
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=100)
+    return found.select("doc_id", "n_bytes", suffix_dedup.n_removed().alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines of at least 40 characters that at least 5 documents hold."""
     kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=40, min_docs=5)
@@ -98,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_minhash": op2_minhash,
     "op3_url_rules": op3_url_rules,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_language_id": op6_language_id,
     "op7_decontaminate": op7_decontaminate,
