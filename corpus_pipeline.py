@@ -10,28 +10,76 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from partnerlens.llm import byte_bpe
-from partnerlens.llm.common import table, written
+from partnerlens.llm import byte_bpe, decontaminate, langid, line_dedup, minhash
+from partnerlens.llm.common import drop_path, table, written
+from partnerlens.llm.queries import fold
 
+#: A text whose likeliest language is less probable than this is in none of the known languages.
+LEAST_SCORE = 0.5
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE: each document's token ids, packed, and the text that they decode to, as bytes."""
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID: rows without a letter, or without a language of at least LEAST_SCORE, go.
+
+    Learns from the labelled rows that are not held out. Where none is
+    labelled, nothing can be rejected but what has no letter.
+    """
+    model = langid.train(docs, learnable=fold() != 2, aside=fold() == 3)
+    found = langid.predict(docs, model)
+    known = F.col("lang_pred") != langid.UNKNOWN if model.langs else F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    return found.filter(known & (F.col("score") >= (LEAST_SCORE if model.langs else 0))).select(docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Line dedup: every row loses its lines that at least 5 documents hold; n_chars follows the text."""
+    kept = line_dedup.drop_repeated_lines(docs, min_chars=40, min_docs=5)
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return kept.select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """MinHash near-dedup: of each group of near copies the row of the smallest id stays, once; rows without an id stay."""
+    found = minhash.near_duplicates(docs, size=5, percent=75)
+    gone = found.filter(~F.col("kept")).select("doc_id").distinct()
+    named = docs.filter(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    return named.select(docs.columns).union(docs.filter(F.col("doc_id").isNull()))
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: rows of which windows of 13 benchmark words cover one word in twenty or more go."""
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), window=13)
+    return found.filter(~decontaminate.contaminated()).select(docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Byte-level BPE: each row's token ids, packed, their number, and digests of the ids and of the bytes they decode to."""
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    return byte_bpe.decode(byte_bpe.encode(docs, ranks, pattern), ranks, pattern)
+    both = byte_bpe.decode(byte_bpe.encode(docs, ranks, pattern), ranks, pattern)
+    return both.select("doc_id", F.expr("octet_length(token_ids) div 4").cast("long").alias("n_tokens"), "token_ids",
+                       F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("byte_bpe", encode),
+    ("language_id", language),
+    ("line_dedup", lines),
+    ("minhash", near_duplicates),
+    ("decontaminate", benchmark),
+    ("byte_bpe", tokens),
 ]
 
-#: Language ID is a trained model and near duplicates need word shingles of whole texts; tests hold stages against brute force.
+#: SQL expresses neither the trained classifier nor the tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each result is written as Parquet in the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    docs, path = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs, _ = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs, new = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        if path:
+            drop_path(spark, path)
+        path = new
     return docs

@@ -109,3 +109,8 @@ def forget(known: dict, most: int = REMEMBERED) -> None:
     if len(known) >= most:
         for k in list(itertools.islice(reversed(known), len(known) // 2)):
             del known[k]
+
+
+def others(df: DataFrame, *names: str) -> list[str]:
+    """The columns of df but those of these names, in any case of letters."""
+    return [c for c in df.columns if c.lower() not in names]

@@ -21,7 +21,7 @@ from pyspark import SparkContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partnerlens.llm.common import arrow_rows, utf8, values
+from partnerlens.llm.common import arrow_rows, others, utf8, values
 
 #: Bytes of windows that are broadcast at once.
 BLOCK_BYTES = 32 << 20
@@ -128,7 +128,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 13, id_col: s
     itself. Input columns with these three names are replaced.
     """
     spark = docs.sparkSession
-    kept = [c for c in docs.columns if c not in ("n_words", "spans", "items")]
+    kept = others(docs, "n_words", "spans", "items")
     span = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
     found = docs.select(F.struct(*kept).alias("row"), F.lit(0).cast("long").alias("n_words"),
                         F.expr("cast(array() as array<struct<from: bigint, to: bigint>>)").alias("spans"),

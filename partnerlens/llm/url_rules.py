@@ -16,7 +16,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partnerlens.llm.common import written
+from partnerlens.llm.common import others, written
 
 BLOCK = "=block"
 
@@ -115,7 +115,7 @@ def judge(urls: DataFrame, rules: list[tuple[str, str, str]], mined: DataFrame,
     an empty host and path, no rule, and is allowed. Every row stays, also
     repeated ones; input columns with these names are replaced.
     """
-    kept = [c for c in urls.columns if c not in ("host", "path", "rule", "verdict")]
+    kept = others(urls, "host", "path", "rule", "verdict")
     out = urls.select(F.struct(*kept).alias("row"), F.col(url_col).cast("string").alias("u"))
     out = out.withColumns({"h": host("u"), "p": path("u")})
     out = out.withColumns({"given": given_rule("h", "p", rules), "tokens": tokens("u", "h", "p")})
@@ -127,6 +127,6 @@ def judge(urls: DataFrame, rules: list[tuple[str, str, str]], mined: DataFrame,
 
 def url_tokens(urls: DataFrame, url_col: str = "url") -> DataFrame:
     """urls with their tokens (column tokens, replaced if it is there), as mine takes them."""
-    kept = [c for c in urls.columns if c != "tokens"]
+    kept = others(urls, "tokens")
     out = urls.select(F.struct(*kept).alias("row"), F.col(url_col).cast("string").alias("u")).withColumns({"h": host("u"), "p": path("u")})
     return out.select("row.*", tokens("u", "h", "p").alias("tokens"))
