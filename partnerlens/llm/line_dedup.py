@@ -5,8 +5,10 @@ are counted; lines whose key many documents hold go, except in the largest
 document id that holds it; the others are put together again by position.
 
 A very frequent line is no hot spot: (key, document) pairs are spread by both
-before keys are counted, and counts are summed before they are shuffled. Join
-partners of one frequent key are rows, which adaptive execution can split.
+before keys are counted, and counts are summed before they are shuffled. The keys to
+drop are written, so that their size is known: a small list is broadcast by
+Spark itself, and for a large one both sides of the join are shuffled anew,
+where adaptive execution splits the rows of one frequent key.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from partnerlens.llm.common import others, written
+
 #: What the ends of a line lose.
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -48,7 +52,7 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int, min_docs: int, id_col:
     lines = lines.select("id", "print", "pos", F.xxhash64("key").alias("k1"), F.xxhash64(F.lit(1), "key").alias("k2"))
 
     hot = lines.groupBy("k1", "k2").agg(F.count_distinct("id").alias("n"), F.max("id").alias("last"))
-    hot = hot.filter(F.col("n") >= min_docs).select("k1", "k2", "last")
+    hot, _ = written(hot.filter(F.col("n") >= min_docs).select("k1", "k2", "last"), "hot-lines")
 
     gone = lines.join(hot, ["k1", "k2"]).filter(~F.col("id").eqNullSafe(F.col("last")))
     gone = gone.groupBy("id", "print").agg(F.collect_set("pos").alias("gone"))
@@ -60,6 +64,6 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int, min_docs: int, id_col:
     text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(stay, lambda p: F.col("lines")[p]), "\n"))
     new = {text_col: text, n_lines: F.size("lines").cast("long"), n_dropped: F.coalesce(F.size("gone"), F.lit(0)).cast("long")}
-    old = [c for c in docs.columns if c not in (n_lines, n_dropped)]
+    old = others(docs, n_lines.lower(), n_dropped.lower())
     return both.select(*[new[c].alias(c) if c == text_col else F.col("row")[c].alias(c) for c in old],
                        new[n_lines].alias(n_lines), new[n_dropped].alias(n_dropped))
