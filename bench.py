@@ -47,7 +47,7 @@ def one_round(spark, sf_dir: str) -> dict[str, float]:
         return fx.with_(**{n: getattr(fx, n).checkpoint(eager=True) for n in fx.names()})
 
     raw = step("land_raw_tables", land)
-    m = Models(spark, raw, cfg, materialize="checkpoint")
+    m = Models(spark, raw, cfg, materialize="parquet")
     step("I4_stage_durations", lambda: m.stage_durations)
     step("I5_attribution", lambda: m.attribution)
     step("I3_sales_touches", lambda: run(m.sales_touches))

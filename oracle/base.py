@@ -1,6 +1,4 @@
-"""DuckDB oracle SQL, written from the pipeline's SQL semantics and kept
-independent of the DataFrame code: it keeps the row_number picks, the OR
-joins and the interval join of the original models.
+"""DuckDB oracle SQL, written from the rules in words, independent of the DataFrame code.
 
 ``with_models(select)`` prefixes a final SELECT with every CTE below: the
 fixture mapping (driver tables -> raw CRM tables), staging, intermediate and
@@ -34,10 +32,15 @@ def _safe(x: str, t: str) -> str:
     return f"TRY_CAST(NULLIF(CAST({x} AS VARCHAR), '') AS {t})"
 
 
-def _secs(end: str, start: str) -> str:
+def seconds(end: str, start: str) -> str:
     return f"((epoch_us({end}) - epoch_us({start})) / 1000000.0)"
 
 
+def ratio(part: str, whole: str) -> str:
+    """A share; null where the whole is zero or null."""
+    return f"(CAST({part} AS DOUBLE) / NULLIF({whole}, 0))"
+
+
 CTES: list[tuple[str, str]] = []
 
 
@@ -50,8 +53,7 @@ cte("raw_ref_partners", f"""
 SELECT 'p' || {_v('n.n_nationkey')} AS partner_id, n.n_name AS partner_name,
        CASE WHEN n.n_nationkey % 5 = 4 THEN NULL ELSE 'Nation' || {_v('n.n_nationkey')} || '.example' END AS partner_domain,
        r.r_name AS partner_tier, DATE '1995-01-01' AS partner_start_date
-FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
-WHERE n.n_nationkey < 20""")
+FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""")
 
 cte("raw_contact", f"""
 SELECT {_v('c.c_custkey')} AS id,
@@ -177,12 +179,12 @@ FROM events WHERE event_type = 'signup'""")
 
 cte("raw_partner_customer_counts", f"""
 SELECT 'p' || {_v('n.n_nationkey')} AS partner_id, d.as_of_date, CAST(100 + n.n_nationkey * 10 AS INTEGER) AS total_customer_count
-FROM nation n CROSS JOIN (VALUES (DATE '2000-12-31'), (DATE '2001-12-31')) d(as_of_date) WHERE n.n_nationkey < 15""")
+FROM nation n CROSS JOIN (VALUES (DATE '2000-12-31'), (DATE '2001-12-31')) d(as_of_date)""")
 
 cte("raw_partner_total_customers", f"""
 SELECT 'p' || {_v('n.n_nationkey')} AS partner_id, n.n_name AS partner_name, d.as_of_date,
        CAST(n.n_nationkey * 5 AS INTEGER) AS total_customer_count
-FROM nation n CROSS JOIN (VALUES (DATE '1999-12-31'), (DATE '2000-12-31')) d(as_of_date) WHERE n.n_nationkey < 20""")
+FROM nation n CROSS JOIN (VALUES (DATE '1999-12-31'), (DATE '2000-12-31')) d(as_of_date)""")
 
 # ----------------------------------------------------------------- staging
 cte("stg_contacts", f"""
@@ -212,39 +214,27 @@ SELECT id AS contact_id, lower(property_email) AS email,
   _fivetran_synced AS _synced_at
 FROM raw_contact""")
 
-cte("stg_deals_typed", f"""
-SELECT deal_id, property_dealname AS deal_name, property_pipeline AS pipeline_id,
-  lower(property_dealstage) AS deal_stage,
-  {_safe('property_hs_deal_stage_probability', 'DOUBLE')} AS deal_stage_probability,
-  {_safe('property_amount', 'DECIMAL(18,2)')} AS amount,
+_FLAG = "lower(trim(coalesce(property_{}, '')))"
+
+cte("stg_deals", f"""
+SELECT deal_id, property_dealname AS deal_name, property_pipeline AS pipeline_id, lower(property_dealstage) AS deal_stage,
+  {_safe('property_hs_deal_stage_probability', 'DOUBLE')} AS deal_stage_probability, {_safe('property_amount', 'DECIMAL(18,2)')} AS amount,
   {_safe('property_amount_in_home_currency', 'DECIMAL(18,2)')} AS amount_home_currency,
-  {_safe('property_createdate', 'TIMESTAMP')} AS deal_created_at,
-  {_safe('property_closedate', 'TIMESTAMP')} AS deal_close_date,
-  {_safe('property_hs_closed_won_date', 'TIMESTAMP')} AS deal_closed_won_at,
-  coalesce({_safe('property_hs_is_closed_won', 'BOOLEAN')}, FALSE) AS is_closed_won,
-  coalesce({_safe('property_hs_is_closed', 'BOOLEAN')},
-           CASE WHEN lower(property_dealstage) IN ('closed_won', 'closed_lost') THEN TRUE ELSE FALSE END) AS is_closed,
-  property_dealtype AS deal_type, property_hubspot_owner_id AS deal_owner_id,
-  property_deal_source AS deal_source_raw, property_referring_partner AS referring_partner_deal_raw,
-  property_deal_source_detail AS deal_source_detail_raw, _fivetran_synced AS _synced_at
-FROM raw_deal""")
-
-cte("stg_deals", """
-SELECT deal_id, deal_name, pipeline_id, deal_stage, deal_stage_probability, amount, amount_home_currency,
-  deal_created_at, deal_close_date, deal_closed_won_at, is_closed_won, is_closed,
-  CASE WHEN is_closed_won THEN 'won' WHEN is_closed AND NOT is_closed_won THEN 'lost' ELSE 'open' END AS deal_status,
-  deal_type, deal_owner_id, NULLIF(trim(deal_source_raw), '') AS deal_source,
-  lower(trim(coalesce(deal_source_raw, ''))) = lower('Partner Referral') AS is_partner_sourced_deal,
-  NULLIF(trim(referring_partner_deal_raw), '') AS referring_partner_deal,
-  NULLIF(trim(deal_source_detail_raw), '') AS deal_source_detail, _synced_at
-FROM stg_deals_typed""")
+  {_safe('property_createdate', 'TIMESTAMP')} AS deal_created_at, {_safe('property_closedate', 'TIMESTAMP')} AS deal_close_date,
+  {_safe('property_hs_closed_won_date', 'TIMESTAMP')} AS deal_closed_won_at, won AS is_closed_won, closed AS is_closed,
+  if(won, 'won', if(closed, 'lost', 'open')) AS deal_status, property_dealtype AS deal_type, property_hubspot_owner_id AS deal_owner_id,
+  NULLIF(trim(property_deal_source), '') AS deal_source, {_FLAG.format('deal_source')} = 'partner referral' AS is_partner_sourced_deal,
+  NULLIF(trim(property_referring_partner), '') AS referring_partner_deal,
+  NULLIF(trim(property_deal_source_detail), '') AS deal_source_detail, _fivetran_synced AS _synced_at
+FROM raw_deal, LATERAL (SELECT coalesce({_safe('property_hs_is_closed_won', 'BOOLEAN')}, FALSE) AS won,
+  coalesce({_safe('property_hs_is_closed', 'BOOLEAN')}, lower(property_dealstage) IN ('closed_won', 'closed_lost'), FALSE) AS closed) flags""")
 
 cte("stg_stage_history", f"""
 SELECT deal_id, deal_stage, entered_at, exited_at, effective_exited_at, seconds_in_stage,
   CASE WHEN NULLIF(86400, 0) IS NULL THEN NULL ELSE seconds_in_stage / 86400 END AS days_in_stage
 FROM (SELECT deal_id, lower(stage_id) AS deal_stage, CAST(entered_at AS TIMESTAMP) AS entered_at,
         CAST(exited_at AS TIMESTAMP) AS exited_at, coalesce(exited_at, {AS_OF}) AS effective_exited_at,
-        {_secs(f'coalesce(exited_at, {AS_OF})', 'entered_at')} AS seconds_in_stage
+        {seconds(f'coalesce(exited_at, {AS_OF})', 'entered_at')} AS seconds_in_stage
       FROM raw_deal_stage_history WHERE entered_at IS NOT NULL) h""")
 
 cte("stg_engagements", f"""
@@ -255,26 +245,18 @@ SELECT engagement_id, lower(engagement_type) AS engagement_type,
   email_metadata_subject AS email_subject, _fivetran_synced AS _synced_at
 FROM raw_engagement""")
 
+_FIELD = "NULLIF(trim(submission_values ->> '$.{}'), '')"
+_ANSWER = "NULLIF(submission_values ->> '$.{}', '') AS form_{}"
+
+# A partner form names a partner in one of three fields, or has a partner form's name.
 cte("stg_form_submissions", f"""
-SELECT *,
-  CASE WHEN partner_name_from_form IS NOT NULL THEN TRUE
-       WHEN lower(form_name) LIKE lower('Partner') || '%' THEN TRUE
-       WHEN lower(form_name) IN ('partner referral', 'partner introduction') THEN TRUE ELSE FALSE END AS is_partner_referral_form
-FROM (
-  SELECT s.conversion_id AS submission_id, s.contact_id, s.form_id, f.name AS form_name,
-    {_safe('s.submitted_at', 'TIMESTAMP')} AS submitted_at, s.page_url AS submission_page_url,
-    s.submission_values AS submission_values_raw,
-    coalesce(NULLIF(trim(json_extract_string(s.submission_values, '$.partner_name')), ''),
-             NULLIF(trim(json_extract_string(s.submission_values, '$.partner_referral')), ''),
-             NULLIF(trim(json_extract_string(s.submission_values, '$.referring_partner')), '')) AS partner_name_from_form,
-    NULLIF(json_extract_string(s.submission_values, '$.company'), '') AS form_company_name,
-    NULLIF(json_extract_string(s.submission_values, '$.company_size'), '') AS form_company_size,
-    NULLIF(json_extract_string(s.submission_values, '$.numberofemployees'), '') AS form_num_employees,
-    NULLIF(json_extract_string(s.submission_values, '$.industry'), '') AS form_industry,
-    NULLIF(json_extract_string(s.submission_values, '$.country'), '') AS form_country,
-    NULLIF(json_extract_string(s.submission_values, '$.use_case'), '') AS form_use_case
-  FROM raw_contact_form s LEFT JOIN raw_form f USING (form_id)) x
-WHERE contact_id IS NOT NULL""")
+SELECT conversion_id AS submission_id, contact_id, form_id, (SELECT max(name) FROM raw_form WHERE raw_form.form_id = sent.form_id) AS form_name,
+  {_safe('submitted_at', 'TIMESTAMP')} AS submitted_at, page_url AS submission_page_url, submission_values AS submission_values_raw,
+  coalesce({_FIELD.format('partner_name')}, {_FIELD.format('partner_referral')}, {_FIELD.format('referring_partner')}) AS partner_name_from_form,
+  {', '.join(_ANSWER.format(field, name) for field, name in (('company', 'company_name'), ('company_size', 'company_size'),
+             ('numberofemployees', 'num_employees'), ('industry', 'industry'), ('country', 'country'), ('use_case', 'use_case')))},
+  partner_name_from_form IS NOT NULL OR EXISTS (FROM raw_form WHERE raw_form.form_id = sent.form_id AND name ILIKE 'partner%') AS is_partner_referral_form
+FROM raw_contact_form sent WHERE contact_id IS NOT NULL""")
 
 cte("stg_deal_contacts", """
 SELECT deal_id, contact_id, coalesce(TRY_CAST(NULLIF(CAST(is_primary AS VARCHAR), '') AS BOOLEAN), FALSE) AS is_primary_contact
@@ -294,16 +276,13 @@ cte("stg_partners", """
 SELECT partner_id, partner_name, lower(trim(partner_name)) AS partner_name_key, lower(partner_domain) AS partner_domain,
   partner_tier, partner_start_date FROM raw_ref_partners""")
 
-cte("stg_partner_app_entries", """
-SELECT pcc.partner_id, p.partner_name, p.partner_name_key, pcc.as_of_date, pcc.total_customer_count
-FROM raw_partner_customer_counts pcc JOIN stg_partners p USING (partner_id)""")
-
+# Of a listed partner's counts the hand-entered one goes before the seed's; unlisted ids count only in the seed.
 cte("stg_partner_totals", """
-SELECT * FROM stg_partner_app_entries
-UNION ALL
-SELECT s.partner_id, s.partner_name, lower(trim(s.partner_name)) AS partner_name_key, s.as_of_date, s.total_customer_count
-FROM raw_partner_total_customers s
-WHERE NOT EXISTS (SELECT 1 FROM stg_partner_app_entries a WHERE a.partner_id = s.partner_id AND a.as_of_date = s.as_of_date)""")
+SELECT DISTINCT ON (partner_id, as_of_date) partner_id, partner_name, lower(trim(partner_name)) AS partner_name_key, as_of_date, total_customer_count
+FROM (SELECT 1 AS weight, partner_id, listed.partner_name, as_of_date, total_customer_count
+      FROM raw_partner_customer_counts INNER JOIN stg_partners listed USING (partner_id)
+      UNION ALL SELECT 2, partner_id, partner_name, as_of_date, total_customer_count FROM raw_partner_total_customers) both_
+ORDER BY partner_id, as_of_date, weight""")
 
 
 def with_models(select: str) -> str:

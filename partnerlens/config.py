@@ -38,9 +38,6 @@ class EngineConfig:
     as_of: dt.datetime = field(default_factory=lambda: dt.datetime(2002, 1, 1))
     # Optional sixth attribution method (lead origin / source markers); off as in the original.
     use_source_marker_attribution: bool = False
-    # Dimension tables (partners, owners, forms, stage order) are broadcast only
-    # while their counted row number stays under this bound.
-    broadcast_max_rows: int = 200_000
 
     @property
     def as_of_literal(self) -> str:

@@ -122,10 +122,14 @@ def ts_literal(value) -> Column:
 
 
 def parse_loose_timestamp(c: Column) -> Column:
-    """Epoch milliseconds (number or digit text) or ISO text; else null."""
+    """Epoch milliseconds (number or digit text) or ISO text, whose offset counts (UTC without one); else null.
+
+    The result is in UTC, which ``prepare_session`` makes the session's zone.
+    """
     s = F.trim(c.cast("string"))
     millis = F.timestamp_millis(s.try_cast("bigint")).cast("timestamp_ntz")
-    return F.when(s.rlike("^[0-9]+$"), millis).otherwise(s.try_cast("timestamp_ntz"))
+    iso = F.when(s.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}"), s.try_cast("timestamp").cast("timestamp_ntz"))
+    return F.when(s.rlike("^[0-9]+$"), millis).otherwise(iso)
 
 
 def text_cut(c: Column, n: int) -> Column:

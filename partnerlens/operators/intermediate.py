@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from partnerlens.config import EngineConfig
 from partnerlens.functions import columns as X
-from partnerlens.operators.joins import asc_nulls_last, dim, first_per_key, or_equi_join
+from partnerlens.operators.joins import asc_nulls_last, first_per_key, or_equi_join
 
 
 def _is_sales_touch(type_col: Column, direction: Column) -> Column:
@@ -140,7 +140,7 @@ def _evidence(df: DataFrame, method: str, priority: int, source_type: Column | s
 def attribution_evidence(contacts: DataFrame, partners: DataFrame, deals: DataFrame, deal_contacts: DataFrame,
                          forms: DataFrame, contact_eng: DataFrame, cfg: EngineConfig) -> DataFrame:
     """I5a-I5e: every piece of partner evidence per contact, before the pick (names may be null)."""
-    p = dim(partners.select("partner_id", "partner_name", "partner_name_key", "partner_domain"), cfg)
+    p = partners.select("partner_id", "partner_name", "partner_name_key", "partner_domain")
     by_key = p.select("partner_id", F.col("partner_name").alias("_pname"), "partner_name_key")
 
     # Declared on the contact; unknown names kept as typed with a null id.

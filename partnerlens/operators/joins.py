@@ -1,34 +1,17 @@
-"""Join helpers: checked broadcast of dimensions, first-row-per-key picks,
-period explosion and the disjunctive (OR) equi-join rewrite."""
+"""Join helpers: first-row-per-key picks and the disjunctive (OR) equi-join rewrite."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partnerlens.config import EngineConfig
-
-
-def dim(df: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Mark a dimension for broadcast after checking its size.
-
-    The rows are counted (one small job on a small table); only a dimension
-    under ``cfg.broadcast_max_rows`` gets the hint. A larger one is joined the
-    ordinary way (shuffle / sort-merge), so nothing unbounded is broadcast.
-    Results are identical either way.
-    """
-    if cfg.broadcast_max_rows <= 0:
-        return df
-    if df.limit(cfg.broadcast_max_rows + 1).count() <= cfg.broadcast_max_rows:
-        return F.broadcast(df)
-    return df
-
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column], cols: list[str]) -> DataFrame:
     """One row per key: the smallest ``order`` tuple, carrying ``cols``.
 
-    Written as ``min(struct(order..., cols...))`` so Spark partially aggregates
-    before the shuffle (no per-key sort, no hot-key buffer). Each order term must
+    Written as ``min(struct(order..., cols...))``, which Spark aggregates partially
+    before the shuffle (by sorting, as a struct has no fixed-size buffer), so a
+    hot key sends one row per task. Each order term must
     already encode null placement, e.g. ``(x.isNull(), x)`` for nulls last.
     """
     order_fields = [o.alias(f"_o{i}") for i, o in enumerate(order)]
@@ -41,11 +24,6 @@ def asc_nulls_last(c: Column) -> list[Column]:
     return [c.isNull(), c]
 
 
-def desc_nulls_last(c: Column) -> list[Column]:
-    """Order terms for ``c desc nulls last`` (numeric columns)."""
-    return [c.isNull(), -c]
-
-
 def or_equi_join(left: DataFrame, left_keys: list[Column], right: DataFrame, right_key: str, how: str = "inner") -> DataFrame:
     """``left JOIN right ON k1 = r OR k2 = r`` as explode + equi-join + distinct.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from partnerlens.config import EngineConfig
 from partnerlens.functions import columns as X
-from partnerlens.operators.joins import asc_nulls_last, dim, first_per_key
+from partnerlens.operators.joins import asc_nulls_last, first_per_key
 
 FORM_META_COLS = ["form_id", "form_name", "submitted_at", "form_company_name", "form_company_size",
                   "form_num_employees", "form_industry", "form_country", "form_use_case"]
@@ -67,8 +67,8 @@ def partner_leads(contacts: DataFrame, attribution: DataFrame, first_touch: Data
 def deal_partner(deals: DataFrame, primary: DataFrame, attribution: DataFrame, partners: DataFrame,
                  cfg: EngineConfig) -> DataFrame:
     """The deal's partner: the deal tag first, else the primary contact's attribution."""
-    pd_ = dim(partners.select(F.col("partner_id").alias("_tag_id"), F.col("partner_name").alias("_tag_name"),
-                              F.col("partner_name_key").alias("_tag_key")), cfg)
+    pd_ = partners.select(F.col("partner_id").alias("_tag_id"), F.col("partner_name").alias("_tag_name"),
+                              F.col("partner_name_key").alias("_tag_key"))
     a = attribution.select(F.col("contact_id").alias("primary_contact_id"), F.col("partner_id").alias("_a_id"),
                            F.col("partner_name").alias("_a_name"), F.col("source_type").alias("_a_type"))
     j = (
@@ -99,8 +99,8 @@ def partner_deals(deals: DataFrame, primary: DataFrame, attribution: DataFrame,
     d = lookback_filter(deals, cfg) if incremental else deals
     dp = deal_partner(d, primary, attribution, partners, cfg).filter(F.col("partner_name").isNotNull())
     touches = touches_fn(dp.select("deal_id", "deal_created_at", "deal_close_date"))
-    o = dim(owners.select(F.col("owner_id").alias("deal_owner_id"), F.col("owner_name").alias("deal_owner_name"),
-                          F.col("owner_email").alias("deal_owner_email"), F.col("owner_team_id").alias("deal_owner_team_id")), cfg)
+    o = owners.select(F.col("owner_id").alias("deal_owner_id"), F.col("owner_name").alias("deal_owner_name"),
+                          F.col("owner_email").alias("deal_owner_email"), F.col("owner_team_id").alias("deal_owner_team_id"))
     c = contacts.select(F.col("contact_id").alias("primary_contact_id"), "contact_created_at")
     j = dp.join(c, "primary_contact_id", "left").join(touches, "deal_id", "left").join(o, "deal_owner_id", "left")
     created, close = F.col("deal_created_at"), F.col("deal_close_date")
@@ -124,7 +124,7 @@ def partner_deals(deals: DataFrame, primary: DataFrame, attribution: DataFrame,
 
 def canonical_partner_names(df: DataFrame, partners: DataFrame, cfg: EngineConfig) -> DataFrame:
     """V7 fix before aggregating: a known partner id always carries its listed name."""
-    p = dim(partners.select("partner_id", F.col("partner_name").alias("_listed_name")), cfg)
+    p = partners.select("partner_id", F.col("partner_name").alias("_listed_name"))
     return (df.join(p, "partner_id", "left")
             .withColumn("partner_name", F.coalesce("_listed_name", "partner_name")).drop("_listed_name"))
 

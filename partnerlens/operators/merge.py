@@ -1,53 +1,60 @@
-"""Keyed merges on plain parquet: A8 upsert, A9 archived pass, A11 incremental
-mart merge, C2 keyed delete, and a versioned table writer.
-
-No table format with MERGE is installed, so a merge builds the new version
-as ``target anti-join changes`` + ``changes`` and writes it to a new folder;
-a small pointer file names the current version. A path being read is never
-overwritten, and a failed write leaves the previous version current.
+"""Keyed merges: A8 upsert, A9 archived pass, A11 incremental mart merge, C2
+keyed delete, and tables that grow by batches of changes.
+
+A table that is merged into is a Parquet folder partitioned by ``_batch``. A
+merge appends the changed rows, completed with what the table has of them, as
+one more batch; reading takes each key's row of the latest batch. So a merge
+reads and writes what it changes, not the whole table, a batch that is written
+again replaces itself, and nothing that is being read is overwritten. A full
+refresh writes the table anew as one batch.
 """
 
 from __future__ import annotations
 
-import json
-import os
-import uuid
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH = "_batch"
+
 
 def latest_per_key(rows: DataFrame, keys: list[str], seq: Column | str | None = None) -> DataFrame:
     """Last write wins among duplicate keys: the row with the greatest ``seq``.
 
-    ``max_by(struct(all columns), seq)`` aggregates map-side before the shuffle,
-    so a key repeated many times never gathers its rows in one task.
+    A null ``seq`` comes before all others; rows of one key and ``seq`` are
+    ordered by a hash of all their columns, so the same rows always give the
+    same row. The aggregation is partial before the shuffle: a key that is
+    repeated many times never gathers its rows in one task.
     """
-    if seq is None:
-        return rows.dropDuplicates(keys)
-    seq_col = F.col(seq) if isinstance(seq, str) else seq
     others = [c for c in rows.columns if c not in keys]
     if not others:
-        return rows.dropDuplicates(keys)
-    packed = rows.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in others]), seq_col).alias("_row"))
+        return rows.distinct()
+    seq_col = F.lit(None) if seq is None else F.col(seq) if isinstance(seq, str) else seq
+    order = [seq_col.isNotNull(), seq_col] if seq is not None else []
+    order.append(F.xxhash64(*[F.col(c).cast("string") for c in others]))
+    packed = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(*order)).alias("_row"))
     return packed.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
 
 
+def complete(changes: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
+    """Changes with the columns that only the target has: as the target's row of that key has them, null for a new key."""
+    more = [c for c in target.columns if c not in changes.columns]
+    if not more:
+        return changes
+    return changes.join(target.select(*keys, *more), keys, "left")
+
+
 def upsert(target: DataFrame, rows: DataFrame, keys: list[str], seq: Column | str | None = None) -> DataFrame:
-    """Keyed upsert; new keys are inserted, existing keys replaced, last write wins.
+    """Keyed upsert; new keys are inserted, of existing keys the given columns are replaced, last write wins.
 
-    Columns present on only one side are kept (A7: additive schema evolution).
+    Columns that only the target has keep their values; columns that only the
+    changes have are null in the target's other rows (A7).
     """
-    changes = latest_per_key(rows, keys, seq)
+    changes = complete(latest_per_key(rows, keys, seq), target, keys)
     kept = target.join(changes.select(*keys), keys, "left_anti")
     return kept.unionByName(changes, allowMissingColumns=True)
 
 
-def evolve(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Append rows whose schema may add columns."""
-    return old.unionByName(new, allowMissingColumns=True)
-
-
 def with_archived(live: DataFrame, archived: DataFrame) -> DataFrame:
     """The archived pass lands the same shape with ``_archived = true`` after the live pass."""
     return live.withColumn("_archived", F.lit(False)).unionByName(archived.withColumn("_archived", F.lit(True)))
@@ -67,44 +74,39 @@ def delete_keys(target: DataFrame, keys_df: DataFrame, keys: list[str]) -> DataF
     return target.join(keys_df.select(*keys).distinct(), keys, "left_anti")
 
 
-# ----------------------------------------------------------- versioned sink
+# ------------------------------------------------- tables that grow by batches
 
-def _pointer(root: str) -> str:
-    return os.path.join(root, "_current.json")
+def read_batches(spark: SparkSession, path: str, keys: list[str]) -> DataFrame | None:
+    """The table's rows as they stand: each key's row of the latest batch; None where there is no table yet."""
+    try:
+        rows = spark.read.option("mergeSchema", "true").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    return latest_per_key(rows, keys, BATCH).drop(BATCH)
 
 
-def current_version(root: str) -> str | None:
-    try:
-        with open(_pointer(root)) as fh:
-            return json.load(fh)["path"]
-    except FileNotFoundError:
-        return None
+def write_batch(rows: DataFrame, path: str, batch: int, first: bool = False) -> None:
+    """Writes rows as a batch; ``first`` drops all others. The same batch written again replaces itself."""
+    out = rows.withColumn(BATCH, F.lit(batch).cast("bigint")).write.mode("overwrite").partitionBy(BATCH)
+    out.option("partitionOverwriteMode", "static" if first else "dynamic").parquet(path)
+
+
+def append_changes(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], batch: int, seq: Column | str | None = None) -> DataFrame:
+    """A8 against a stored table: the changes become a batch of it; returns the table as it stands then.
 
+    A batch that is run again (after a failure) sees the table without itself.
+    """
+    changes = latest_per_key(rows, keys, seq)
+    before = read_batches_before(spark, path, keys, batch)
+    write_batch(changes if before is None else complete(changes, before, keys), path, batch)
+    return read_batches(spark, path, keys)
 
-def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    path = current_version(root)
-    return spark.read.parquet(path) if path else None
-
-
-def write_version(df: DataFrame, root: str, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as a new version under ``root`` and switch the pointer to it."""
-    path = os.path.join(root, f"v-{uuid.uuid4().hex}")
-    w = df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    os.makedirs(root, exist_ok=True)
-    tmp = _pointer(root) + ".tmp"
-    with open(tmp, "w") as fh:
-        json.dump({"path": path}, fh)
-    os.replace(tmp, _pointer(root))
-    return path
-
-
-def upsert_table(spark: SparkSession, root: str, rows: DataFrame, keys: list[str],
-                 seq: Column | str | None = None) -> DataFrame:
-    """A8 against a stored table: read the current version, merge, write a new version."""
-    target = read_current(spark, root)
-    merged = latest_per_key(rows, keys, seq) if target is None else upsert(target, rows, keys, seq)
-    path = write_version(merged, root)
-    return spark.read.parquet(path)
+
+def read_batches_before(spark: SparkSession, path: str, keys: list[str], batch: int) -> DataFrame | None:
+    """The table as it stood before a batch."""
+    if read_batches(spark, path, keys) is None:
+        return None
+    rows = spark.read.option("mergeSchema", "true").parquet(path).filter(F.col(BATCH) < batch)
+    return latest_per_key(rows, keys, BATCH).drop(BATCH)

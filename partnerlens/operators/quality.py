@@ -121,42 +121,50 @@ def freshness(df: DataFrame, table: str, ts_col: str, as_of: dt.datetime,
         .when(age > warn_hours, F.lit("warn")).otherwise(F.lit("pass")).alias("status"))
 
 
+# The declared data tests, by model (sources and seeds under their raw names).
+KEYS = [  # not null and unique
+    "contact.id", "deal.deal_id", "engagement.engagement_id", "ref_partners.partner_id", "ref_partners.partner_name",
+    "stg_contacts.contact_id", "stg_deals.deal_id", "stg_engagements.engagement_id", "stg_form_submissions.submission_id",
+    "stg_owners.owner_id", "stg_partners.partner_id", "int_partner_contact_attribution.contact_id", "int_contact_first_touch.contact_id",
+    "int_deal_primary_contact.deal_id", "int_deal_sales_touches.deal_id", "partner_leads.contact_id", "partner_deals.deal_id",
+    "partner_rankings.partner_id",
+]
+COMBINATIONS = [  # unique together
+    "partner_total_customers.partner_id+as_of_date", "stg_engagement_contacts.engagement_id+contact_id", "stg_deal_contacts.deal_id+contact_id",
+    "stg_partner_totals.partner_id+as_of_date", "int_deal_stage_durations.deal_id+deal_stage", "partner_deal_stage_durations.deal_id+deal_stage",
+    "partner_funnel_stage_conversion.partner_id+deal_stage", "partner_summary.partner_id+period_type+period_start_date",
+    "partner_rep_performance.partner_id+deal_owner_id", "partner_penetration.partner_id+as_of_date", "partner_lead_cohorts.partner_id+cohort_month",
+]
+FILLED = [  # not null
+    "partner_customer_counts.partner_id", "partner_customer_counts.as_of_date", "partner_customer_counts.total_customer_count",
+    "partner_total_customers.partner_id", "partner_total_customers.as_of_date", "partner_total_customers.total_customer_count",
+    "stg_contacts.contact_created_at", "stg_deals.deal_created_at", "stg_stage_history.deal_id", "stg_stage_history.deal_stage",
+    "stg_stage_history.entered_at", "stg_form_submissions.contact_id", "stg_partners.partner_name",
+    "int_partner_contact_attribution.partner_name", "int_partner_contact_attribution.source_type", "int_deal_primary_contact.primary_contact_id",
+    "partner_leads.partner_name", "partner_leads.source_type", "partner_leads.lead_created_at", "partner_deals.partner_name",
+    "partner_deals.deal_stage",
+]
+ACCEPTED = {
+    "stg_deals.deal_status": ("won", "lost", "open"), "partner_deals.deal_status": ("won", "lost", "open"),
+    "int_partner_contact_attribution.source_type": ("partner_email", "form"), "partner_leads.source_type": ("partner_email", "form"),
+    "partner_rankings.volume_efficiency_quadrant": (
+        "high_volume_high_conversion", "high_volume_low_conversion", "low_volume_high_conversion", "low_volume_low_conversion"),
+}
+RANGES = {
+    "partner_total_customers.total_customer_count": (0, None), "partner_funnel_stage_conversion.stage_conversion_rate": (0, 1),
+    "partner_funnel_stage_conversion.next_stage_conversion_rate": (0, 1), "partner_penetration.penetration_rate": (0, 100),
+}
+
+
 def standard_checks() -> list[Check]:
-    """The schema tests of the staging, intermediate and mart models."""
+    """All declared data tests of sources, seeds, staging, intermediate and mart models."""
+    def check(kind: str, at: str, **more) -> Check:
+        model, columns = at.split(".")
+        return Check(kind, model, tuple(columns.split("+")), **more)
+
     return [
-        Check("not_null", "stg_contacts", ("contact_id",)),
-        Check("unique", "stg_contacts", ("contact_id",)),
-        Check("not_null", "stg_deals", ("deal_id",)),
-        Check("unique", "stg_deals", ("deal_id",)),
-        Check("accepted_values", "stg_deals", ("deal_status",), values=("won", "lost", "open")),
-        Check("unique", "stg_deal_contacts", ("deal_id", "contact_id")),
-        Check("unique", "stg_engagement_contacts", ("engagement_id", "contact_id")),
-        Check("not_null", "int_partner_contact_attribution", ("contact_id",)),
-        Check("unique", "int_partner_contact_attribution", ("contact_id",)),
-        Check("not_null", "int_partner_contact_attribution", ("partner_name",)),
-        Check("accepted_values", "int_partner_contact_attribution", ("source_type",), values=("partner_email", "form")),
-        Check("unique", "int_deal_primary_contact", ("deal_id",)),
-        Check("unique", "int_deal_stage_durations", ("deal_id", "deal_stage")),
-        Check("unique", "partner_leads", ("contact_id",)),
-        Check("not_null", "partner_leads", ("partner_name",)),
-        Check("not_null", "partner_leads", ("lead_created_at",)),
-        Check("accepted_values", "partner_leads", ("source_type",), values=("partner_email", "form")),
-        Check("unique", "partner_deals", ("deal_id",)),
-        Check("not_null", "partner_deals", ("partner_name",)),
-        Check("not_null", "partner_deals", ("deal_stage",)),
-        Check("accepted_values", "partner_deals", ("deal_status",), values=("won", "lost", "open")),
-        Check("unique", "partner_deal_stage_durations", ("deal_id", "deal_stage")),
-        Check("unique", "partner_funnel_stage_conversion", ("partner_id", "deal_stage")),
-        Check("accepted_range", "partner_funnel_stage_conversion", ("stage_conversion_rate",), min_value=0, max_value=1),
-        Check("accepted_range", "partner_funnel_stage_conversion", ("next_stage_conversion_rate",), min_value=0, max_value=1),
-        Check("unique", "partner_summary", ("partner_id", "period_type", "period_start_date")),
-        Check("unique", "partner_rep_performance", ("partner_id", "deal_owner_id")),
-        Check("unique", "partner_penetration", ("partner_id", "as_of_date")),
-        Check("accepted_range", "partner_penetration", ("penetration_rate",), min_value=0, max_value=1, severity="warn"),
-        Check("unique", "partner_rankings", ("partner_id",)),
-        Check("accepted_values", "partner_rankings", ("volume_efficiency_quadrant",),
-              values=("high_volume_high_conversion", "high_volume_low_conversion", "low_volume_high_conversion",
-                      "low_volume_low_conversion")),
-        Check("unique", "partner_lead_cohorts", ("partner_id", "cohort_month")),
-        Check("accepted_range", "stg_partner_totals", ("total_customer_count",), min_value=0),
+        *(check(kind, at) for at in KEYS for kind in ("not_null", "unique")),
+        *(check("unique", at) for at in COMBINATIONS), *(check("not_null", at) for at in FILLED),
+        *(check("accepted_values", at, values=values) for at, values in ACCEPTED.items()),
+        *(check("accepted_range", at, min_value=low, max_value=high) for at, (low, high) in RANGES.items()),
     ]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from partnerlens.config import EngineConfig
 from partnerlens.functions import columns as X
-from partnerlens.operators.joins import dim
+
 
 
 def stg_contacts(contact: DataFrame, cfg: EngineConfig) -> DataFrame:
@@ -54,7 +54,7 @@ def stg_deals(deal: DataFrame, cfg: EngineConfig) -> DataFrame:
     stage = F.lower("property_dealstage")
     closed_stages = list(cfg.closed_won_stages) + list(cfg.closed_lost_stages)
     is_won = F.coalesce(X.safe_cast("property_hs_is_closed_won", "bool"), F.lit(False))
-    is_closed = F.coalesce(X.safe_cast("property_hs_is_closed", "bool"), stage.isin(*closed_stages))
+    is_closed = F.coalesce(X.safe_cast("property_hs_is_closed", "bool"), stage.isin(*closed_stages), F.lit(False))
     source_raw = F.col("property_deal_source")
     partner_deal = X.property_col("property", cfg.partner_name_deal_property)
     typed = deal.select(
@@ -141,7 +141,7 @@ def partner_form_flag(partner_name: Column, form_name: Column, cfg: EngineConfig
 
 def stg_form_submissions(contact_form: DataFrame, form: DataFrame, cfg: EngineConfig) -> DataFrame:
     """One row per submission with a contact; partner-form flag."""
-    forms = dim(form.select("form_id", F.col("name").alias("form_name")), cfg)
+    forms = form.select("form_id", F.col("name").alias("form_name"))
     raw_values = F.col("submission_values")
     partner_name = F.coalesce(*[X.trimmed_or_null(X.json_value(raw_values, k)) for k in cfg.partner_form_fields])
     firmo = [F.nullif(X.json_value(raw_values, k), F.lit("")).alias(c)
@@ -207,7 +207,7 @@ def stg_partners(ref_partners: DataFrame) -> DataFrame:
 
 def stg_partner_totals(app_counts: DataFrame, seed_totals: DataFrame, partners: DataFrame, cfg: EngineConfig) -> DataFrame:
     """Hand-entered counts (known partners only) win over seed rows for the same (partner, date)."""
-    app = app_counts.join(dim(partners.select("partner_id", "partner_name", "partner_name_key"), cfg), "partner_id").select(
+    app = app_counts.join(partners.select("partner_id", "partner_name", "partner_name_key"), "partner_id").select(
         "partner_id", "partner_name", "partner_name_key", "as_of_date", "total_customer_count")
     seed_rows = seed_totals.select(
         "partner_id", "partner_name", X.name_key(F.col("partner_name")).alias("partner_name_key"),

@@ -18,28 +18,39 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
 MODEL_FNS: dict[str, Callable[[Models], DataFrame]] = {}
 
-# Shared models (attribution, stage durations, partner deals, summary) are
-# checkpointed into the session's checkpoint dir: each is computed once per
-# query and later plans start from the written data instead of re-planning
-# and re-running the whole graph.
-MATERIALIZE = "checkpoint"
+# Shared models (attribution, stage durations, partner leads and deals, summary)
+# are written as Parquet in the shared folder; later plans read what they need.
+MATERIALIZE = "parquet"
 
 
-_RUNS: dict[tuple[str, str], Models] = {}
+_RUNS: dict[str, tuple[tuple, Models]] = {}
+
+
+def _inputs(spark: SparkSession, sf_dir: str) -> tuple:
+    """What tells one state of the input folder from another: application, and each file's path, length and time."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return spark.sparkContext.applicationId, *sorted(found)
 
 
 def models_for(spark: SparkSession, sf_dir: str) -> Models:
-    """The model graph of one run per (Spark application, input folder).
+    """The model graph of one run over a folder as it is now.
 
-    Queries of the same application over the same tables share the
-    checkpointed models, as the marts of one refresh do; a new application
-    (or another folder) starts a new run.
+    Queries of one application over the same files share the written models,
+    as the marts of one refresh do. When a file has changed, the old run's
+    models are deleted and a new run starts.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    m = _RUNS.get(key)
-    if m is None or m.spark is not spark:
+    inputs = _inputs(spark, sf_dir)
+    known, m = _RUNS.get(sf_dir, (None, None))
+    if known != inputs:
+        if m is not None and known[0] == inputs[0]:
+            m.release()
         m = Models.from_fixture(spark, sf_dir, materialize=MATERIALIZE)
-        _RUNS[key] = m
+        _RUNS[sf_dir] = inputs, m
     return m
 
 
@@ -268,6 +279,59 @@ def _d8(m: Models) -> DataFrame:
     return R.d_penetration_latest(m.penetration)
 
 
+@register("d_velocity_tiles")
+def _d10b(m: Models) -> DataFrame:
+    """velocity"""
+    return R.d_velocity_tiles(m.summary)
+
+
+# O4 and the single-partner forms of Q5-Q9, Q13
+ONE = "p3"
+
+
+@register("q_monthly_one")
+def _q5_one(m: Models) -> DataFrame:
+    """Q5 of one partner"""
+    return R.q_monthly(m.summary, ONE)
+
+
+@register("q_partner_one")
+def _q6_one(m: Models) -> DataFrame:
+    """Q6 / O4 of one partner: its one all_time row"""
+    return R.q_partner_all_time(m.summary, ONE)
+
+
+@register("q_funnel_one")
+def _q7_one(m: Models) -> DataFrame:
+    """Q7 of one partner"""
+    return R.q_funnel(m.funnel, ONE)
+
+
+@register("q_reps_one")
+def _q8_one(m: Models) -> DataFrame:
+    """Q8 of one partner"""
+    return R.q_reps(m.rep_performance, ONE)
+
+
+@register("q_deals_one")
+def _q9_one(m: Models) -> DataFrame:
+    """Q9 of one partner"""
+    return R.q_deals(m.partner_deals, ONE)
+
+
+@register("q_count_history_one")
+def _q13_one(m: Models) -> DataFrame:
+    """Q13 of one partner"""
+    return R.q_count_history(m.raw.partner_customer_counts, ONE)
+
+
+@register("d_deals_filtered")
+def _d9b(m: Models) -> DataFrame:
+    """Filters by date, partner and owner together"""
+    return R.d_global_filter(m.partner_deals, "deal_created_at", "1996-01-01", None, ["p1", ONE], ["2", "5", "7"]).select(
+        "deal_id", "partner_id", "deal_owner_id", "deal_created_at")
+
+
 @register("d_deals_in_range")
 def _d9(m: Models) -> DataFrame:
     """Global date-range filter on partner deals (created in 1997)"""
@@ -306,20 +370,85 @@ def _f3(m: Models) -> DataFrame:
     return FC.forecast_totals(FC.forecast(FC.history(m.summary)))
 
 
+@register("forecast_all")
+def _f2_all(m: Models) -> DataFrame:
+    """all partners as one series"""
+    return FC.forecast(FC.history_all(m.summary))
+
+
+@register("forecast_all_totals")
+def _f3_all(m: Models) -> DataFrame:
+    """all partners as one series"""
+    return FC.forecast_totals(FC.forecast(FC.history_all(m.summary)))
+
+
 # ------------------------------------------------------------------ publish
-PUBLISH_TARGET = P.Target(
-    id="summary_all_time", source_table="partner_summary", database_id="db-summary",
-    column_map={"total_leads": "Leads", "revenue_closed_won": "Revenue", "partner_id": "Partner Id"},
-    kinds={"Leads": "number", "Revenue": "number", "Partner Id": "select"})
+def _target(m: Models, name: str) -> P.Target:
+    """One enabled row of the target table."""
+    return P.target_from_row(FX.publish_target_rows(m.spark, m.sf_dir).filter((F.col("id") == name) & F.col("enabled")).first())
+
+
+def _marts(m: Models) -> dict[str, DataFrame]:
+    return {"partner_rankings": m.rankings, "partner_summary": m.summary, "partner_penetration": m.penetration}
 
 
-@register("publish_diff")
+def _published(m: Models, name: str) -> DataFrame:
+    t = _target(m, name)
+    mart = _marts(m)[t.source_table]
+    return P.publish_plan(mart, FX.published_pages(mart, t), t)
+
+
+@register("publish_targets")
+def _p1(m: Models) -> DataFrame:
+    """P1"""
+    return P.publish_targets(FX.publish_target_rows(m.spark, m.sf_dir)).select("id", "source_table", "known_source")
+
+
+@register("publish_rankings")
 def _p4(m: Models) -> DataFrame:
-    """create/update plan of the all_time summary against pages published for top performers"""
-    shaped = P.publish_shape(P.publish_rows(m.summary, PUBLISH_TARGET), PUBLISH_TARGET)
-    existing = m.rankings.filter(F.col("is_top_performer")).select(
-        F.col("partner_name").alias("title"), F.concat(F.lit("page-"), F.col("partner_id")).alias("page_id"))
-    return P.publish_diff(shaped, existing, PUBLISH_TARGET)
+    """Rankings matched by title"""
+    return _published(m, "rankings")
+
+
+@register("publish_penetration")
+def _p4_penetration(m: Models) -> DataFrame:
+    """Penetration, several dates per partner, matched by title and date"""
+    return _published(m, "penetration")
+
+
+@register("publish_summary_month")
+def _p4_month(m: Models) -> DataFrame:
+    """The months of the summary, each row to its own page"""
+    return _published(m, "summary-month")
+
+
+@register("publish_summary_unfiltered")
+def _p4_unfiltered(m: Models) -> DataFrame:
+    """A blank filter takes the default away"""
+    return _published(m, "summary-any")
+
+
+@register("publish_long_titles")
+def _p4_long(m: Models) -> DataFrame:
+    """Titles that differ after the 2,000 characters that are sent, and one title twice"""
+    t = _target(m, "rankings")
+    mart = m.rankings.withColumn("partner_name", F.concat(F.lit("t" * 2000), F.when(F.col("partner_id") == "p1", "NATION_2").otherwise(F.col("partner_name"))))
+    return P.publish_plan(mart, FX.published_pages(mart, t), t).drop("Name")
+
+
+@register("publish_log")
+def _p5(m: Models) -> DataFrame:
+    """P5: every target run; an unknown source and a plan that fails while it runs do not stop the others"""
+    targets = [P.target_from_row(r) for r in FX.publish_target_rows(m.spark, m.sf_dir).collect()]  # the configuration
+    marts = _marts(m)
+    existing = {t.id: FX.published_pages(marts[t.source_table], t) for t in targets if t.source_table in marts}
+    marts["partner_penetration"] = m.penetration.withColumn("penetration_rate", F.when(F.lit(True), F.raise_error(F.lit("broken mart")).cast("double")))
+
+    def send(t: P.Target, plan: DataFrame) -> None:
+        plan.write.format("noop").mode("overwrite").save()
+
+    log = P.run_publish(m.spark, marts, targets, existing, send, m.cfg.as_of)
+    return log.withColumn("message", F.when(F.col("message").contains("broken mart"), "broken mart").otherwise(F.col("message")))
 
 
 @register("upsert_counts")
@@ -330,6 +459,13 @@ def _c1(m: Models) -> DataFrame:
     return P.upsert_counts(m.raw.partner_customer_counts, rows)
 
 
+@register("rejected_counts")
+def _c1_rejected(m: Models) -> DataFrame:
+    """Rows that are sent back, with the reason"""
+    return P.rejected_counts(FX.entered_counts(m.spark, m.sf_dir)).select(
+        F.col("partner_id").substr(1, 8).alias("partner_id"), "as_of_date", "total_customer_count", "reason")
+
+
 @register("delete_counts")
 def _c2(m: Models) -> DataFrame:
     """Delete the count rows that the seed also has"""
@@ -339,10 +475,12 @@ def _c2(m: Models) -> DataFrame:
 # ------------------------------------------------------------------ quality
 def _mart_tables(m: Models) -> dict[str, DataFrame]:
     return {
-        "stg_contacts": m.contacts, "stg_deals": m.deals, "stg_deal_contacts": m.deal_contacts,
+        **{name: getattr(m.raw, name) for name in ("contact", "deal", "engagement", "ref_partners", "partner_total_customers", "partner_customer_counts")},
+        "stg_contacts": m.contacts, "stg_deals": m.deals, "stg_deal_contacts": m.deal_contacts, "stg_stage_history": m.stage_history,
+        "stg_engagements": m.engagements, "stg_form_submissions": m.form_submissions, "stg_owners": m.owners, "stg_partners": m.partners,
         "stg_engagement_contacts": m.engagement_contacts, "stg_partner_totals": m.partner_totals,
         "int_partner_contact_attribution": m.attribution, "int_deal_primary_contact": m.primary_contact,
-        "int_deal_stage_durations": m.stage_durations, "partner_leads": m.partner_leads, "partner_deals": m.partner_deals,
+        "int_contact_first_touch": m.first_touch, "int_deal_sales_touches": m.sales_touches, "int_deal_stage_durations": m.stage_durations, "partner_leads": m.partner_leads, "partner_deals": m.partner_deals,
         "partner_deal_stage_durations": m.deal_stage_durations, "partner_funnel_stage_conversion": m.funnel,
         "partner_summary": m.summary, "partner_rep_performance": m.rep_performance, "partner_penetration": m.penetration,
         "partner_rankings": m.rankings, "partner_lead_cohorts": m.lead_cohorts,
@@ -408,25 +546,79 @@ def _a8(m: Models) -> DataFrame:
     return merged.select("id", "property_lifecyclestage", "property_email", "_fivetran_synced", "_archived")
 
 
+def _merged(m: Models, name: str, full: DataFrame, key: str, stale: dict) -> DataFrame:
+    """The stored mart, with old values inside the look-back and a column of its own, after the slice was appended to it."""
+    from partnerlens.session import new_path
+
+    lower = F.lit(m.cfg.as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(m.cfg.incremental_lookback_days))
+    stored = full.withColumns({c: F.when(F.col("_synced_at") >= lower, v).otherwise(F.col(c)).cast(full.schema[c].dataType) for c, v in stale.items()})
+    path = new_path(m.spark, name)
+    m.paths.append(path)
+    M.write_batch(stored.withColumn("stored_note", F.concat(F.lit("note "), F.col(key))), path, 0, first=True)
+    return M.append_changes(m.spark, path, getattr(m.incremental_copy(), name), [key], 1)
+
+
 @register("partner_leads_incremental_merge")
 def _a11_leads(m: Models) -> DataFrame:
-    """Stored leads of contacts outside the look-back + incremental slice, merged on contact_id"""
-    inc = m.incremental_copy()
-    lower = F.lit(m.cfg.as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(m.cfg.incremental_lookback_days))
-    stored = m.partner_leads.filter(F.col("_synced_at") < lower)
-    return M.merge_mart(stored, inc.partner_leads, "contact_id")
+    """Stored leads, stale inside the look-back, + incremental slice, merged on contact_id"""
+    return _merged(m, "partner_leads", m.partner_leads, "contact_id", {"lead_status": F.lit("stale"), "reached_mql": ~F.col("reached_mql")})
 
 
 @register("partner_deals_incremental_merge")
 def _a11_deals(m: Models) -> DataFrame:
     """Same for partner deals on deal_id"""
-    inc = m.incremental_copy()
-    lower = F.lit(m.cfg.as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(m.cfg.incremental_lookback_days))
-    stored = m.partner_deals.filter(F.col("_synced_at") < lower)
-    return M.merge_mart(stored, inc.partner_deals, "deal_id")
+    return _merged(m, "partner_deals", m.partner_deals, "deal_id", {"deal_stage": F.lit("stale"), "amount": F.lit(-1)})
 
 
 # ------------------------------------------------------------------ landing
+def _raw_table(name: str) -> None:
+    def fn(m: Models) -> DataFrame:
+        from partnerlens.sources.tables import raw
+
+        return raw(m.spark, m.landed_root, name)
+
+    fn.__doc__ = "A1/A2, A4-A8, L1-L12: the raw table after two landing runs"
+    register(f"raw_{name}")(fn)
+
+
+for _name in ("contact", "deal", "deal_stage_history", "deal_contact", "engagement", "engagement_contact", "owner", "form", "contact_form",
+              "partner_customer_counts"):
+    _raw_table(_name)
+
+
+@register("sync_state")
+def _a6(m: Models) -> DataFrame:
+    """The state after both runs"""
+    return M.read_batches(m.spark, f"{m.landed_root}/_sync_state", ["object_name"])
+
+
+@register("seed_ref_partners")
+def _a3(m: Models) -> DataFrame:
+    """A3"""
+    from partnerlens.sources.tables import seed
+
+    return seed(m.spark, f"{m.landed_root}/ref_partners.csv", "ref_partners")
+
+
+@register("seed_partner_total_customers")
+def _a3_totals(m: Models) -> DataFrame:
+    """A3"""
+    from partnerlens.sources.tables import seed
+
+    return seed(m.spark, f"{m.landed_root}/partner_total_customers.csv", "partner_total_customers")
+
+
+@register("upsert_keeps_columns")
+def _a8_columns(m: Models) -> DataFrame:
+    """Changes of few columns; a null load time comes before all others; target-only columns stay"""
+    c = m.raw.contact.select("id", "property_email", "property_lifecyclestage", "_fivetran_synced")
+    k = F.col("id").cast("bigint")
+    late = c.filter(k % 5 == 0).select("id", F.lit("late").alias("property_lifecyclestage"), "_fivetran_synced")
+    unknown = c.filter(k % 5 == 0).select("id", F.lit("unknown").alias("property_lifecyclestage"), F.lit(None).cast("timestamp_ntz").alias("_fivetran_synced"))
+    new = c.filter(k % 9 == 0).select(F.concat(F.lit("new-"), "id").alias("id"), F.lit("new").alias("property_lifecyclestage"), "_fivetran_synced")
+    return M.upsert(c, late.unionByName(unknown).unionByName(new), ["id"], "_fivetran_synced")
+
+
 @register("land_contacts")
 def _l1(m: Models) -> DataFrame:
     """L1: nested contact objects -> contact rows"""

@@ -2,16 +2,17 @@
 lazily built DataFrame, each built once per ``Models`` object.
 
 Models that feed several marts (attribution, stage durations, partner leads,
-partner deals, summary)
-can be materialised once per run: ``materialize="checkpoint"`` writes them to
-the session's checkpoint dir (survives executor loss, cuts lineage),
-``"persist"`` caches them (recomputed from lineage if an executor is lost),
-``None`` keeps plain lazy plans (Spark then reuses identical exchanges inside
-one query plan).
+partner deals, summary) can be materialised once per run:
+``materialize="parquet"`` writes them as Parquet tables in the shared folder
+that ``spark.checkpoint.dir`` names and reads them back (survives executor
+loss, cuts lineage; later plans read only the columns and row groups they
+need), ``None`` keeps plain lazy plans (Spark then reuses identical exchanges
+inside one query plan).
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from partnerlens.config import EngineConfig
 from partnerlens.operators import intermediate as I
 from partnerlens.operators import marts as K
 from partnerlens.operators import staging as S
-from partnerlens.session import ensure_checkpoint_dir, prepare_session
+from partnerlens.session import drop_path, new_path, prepare_session
 from partnerlens.sources.tables import RawTables
 
 
@@ -33,6 +34,7 @@ class Models:
         self.materialize = materialize
         self.incremental = incremental
         self.sf_dir: str | None = None
+        self.paths: list[str] = []
 
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str, cfg: EngineConfig | None = None, **kw) -> "Models":
@@ -57,12 +59,37 @@ class Models:
         return inc
 
     def _keep(self, df: DataFrame) -> DataFrame:
-        if self.materialize == "checkpoint":
-            ensure_checkpoint_dir(self.spark)
-            return df.checkpoint(eager=True)
-        if self.materialize == "persist":
-            return df.persist()
-        return df
+        if self.materialize != "parquet":
+            return df
+        path = new_path(self.spark, "model")
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def release(self) -> None:
+        """Deletes the materialised models; nothing may read them afterwards. (Else they go when the application ends.)"""
+        for path in self.paths:
+            drop_path(self.spark, path)
+        self.paths.clear()
+
+    # ------------------------------------------------------------ landing
+    @cached_property
+    def landed_root(self) -> str:
+        """Dumps of the fixture's objects landed by two runs, a full one and one a week later from its state."""
+        from partnerlens.plans.landing_run import landing_run
+        from partnerlens.sources.fixture import dump_objects
+        from partnerlens.sources.tables import write_table
+
+        dumps, root = new_path(self.spark, "dumps"), new_path(self.spark, "raw")
+        self.paths += [dumps, root]
+        for kind, objs in dump_objects(self.spark, self.sf_dir, self.raw).items():
+            objs.write.json(f"{dumps}/{kind}")
+        landing_run(self.spark, dumps, root, self.cfg.as_of - dt.timedelta(days=7))
+        landing_run(self.spark, dumps, root, self.cfg.as_of)
+        write_table(self.raw.partner_customer_counts, f"{root}/partner_customer_counts")
+        for name in ("ref_partners", "partner_total_customers"):
+            getattr(self.raw, name).write.option("header", True).csv(f"{root}/{name}.csv")
+        return root
 
     # ------------------------------------------------------------ staging
     @cached_property

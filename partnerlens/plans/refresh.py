@@ -1,54 +1,53 @@
 """The scheduled refresh: build every mart and write it as a table.
 
-``refresh(spark, raw, out_root)`` materialises the model graph once (shared
-models checkpointed), writes each mart as a new version under
-``out_root/<mart>`` and switches the pointer. With ``full_refresh=False`` the
-incremental marts (partner_leads, partner_deals) are rebuilt only for rows
-loaded within the look-back window and merged into the stored versions on
-their unique key; the other marts are rebuilt from the merged result.
+``refresh(spark, raw, out_root)`` builds the model graph once, writes each
+mart under ``out_root/<mart>`` and builds the dependent ones from what was
+written. With ``full_refresh=False`` the incremental marts (partner_leads,
+partner_deals) are built only for rows loaded within the look-back window and
+appended to the stored ones as a batch; the other marts are built from the
+merged tables.
 """
 
 from __future__ import annotations
 
-import os
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
 from partnerlens.config import EngineConfig
 from partnerlens.operators import marts as K
-from partnerlens.operators.merge import merge_mart, read_current, write_version
+from partnerlens.operators.merge import append_changes, read_batches, write_batch
 from partnerlens.plans.models import Models
-from partnerlens.sources.tables import RawTables
+from partnerlens.sources.tables import RawTables, write_table
 
-MART_PARTITIONS = {
-    "partner_leads": ["lead_created_month"],
-    "partner_deals": ["deal_created_month"],
-}
+INCREMENTAL_KEYS = {"partner_leads": ["contact_id"], "partner_deals": ["deal_id"]}
+
+
+def batch_number(at: dt.datetime) -> int:
+    """Batches are numbered by the microsecond their run started."""
+    return int(at.replace(tzinfo=dt.timezone.utc).timestamp() * 1_000_000)
 
 
 def refresh(spark: SparkSession, raw: RawTables, out_root: str, cfg: EngineConfig | None = None,
-            full_refresh: bool = True) -> dict[str, str]:
-    """Build and write all marts; returns mart name -> written version path."""
+            full_refresh: bool = True, batch: int | None = None) -> dict[str, str]:
+    """Build and write all marts; returns mart name -> path. ``batch`` numbers the run (default: cfg.as_of)."""
     cfg = cfg or EngineConfig()
-    m = Models(spark, raw, cfg, materialize="checkpoint")
+    batch = batch_number(cfg.as_of) if batch is None else batch
+    m = Models(spark, raw, cfg, materialize="parquet", incremental=not full_refresh)
     written: dict[str, str] = {}
 
     def put(name: str, df: DataFrame) -> DataFrame:
-        path = write_version(df, os.path.join(out_root, name), MART_PARTITIONS.get(name))
-        written[name] = path
-        return spark.read.parquet(path)
-
-    leads, deals = m.partner_leads, m.partner_deals
-    if not full_refresh:
-        inc = m.incremental_copy()
-        old_leads = read_current(spark, os.path.join(out_root, "partner_leads"))
-        old_deals = read_current(spark, os.path.join(out_root, "partner_deals"))
-        if old_leads is not None:
-            leads = merge_mart(old_leads, inc.partner_leads, "contact_id")
-        if old_deals is not None:
-            deals = merge_mart(old_deals, inc.partner_deals, "deal_id")
-    leads = put("partner_leads", leads)
-    deals = put("partner_deals", deals)
+        written[name] = path = f"{out_root}/{name}"
+        if name not in INCREMENTAL_KEYS:
+            write_table(df, path)
+            return spark.read.schema(df.schema).parquet(path)
+        if full_refresh:
+            write_batch(df, path, batch, first=True)
+            return read_batches(spark, path, INCREMENTAL_KEYS[name])
+        return append_changes(spark, path, df, INCREMENTAL_KEYS[name], batch)
+
+    leads = put("partner_leads", m.partner_leads)
+    deals = put("partner_deals", m.partner_deals)
     canon = K.canonical_partner_names(deals, m.partners, cfg)
     put("partner_deal_stage_durations", K.deal_stage_durations(deals, m.stage_durations))
     put("partner_funnel_stage_conversion", K.funnel(canon, m.stage_durations, cfg, spark))
@@ -58,4 +57,5 @@ def refresh(spark: SparkSession, raw: RawTables, out_root: str, cfg: EngineConfi
     put("partner_rep_performance_all", K.rep_performance_all(reps))
     summary = put("partner_summary", K.summary(leads, canon, m.partners, pen))
     put("partner_rankings", K.rankings(summary))
+    m.release()
     return written

@@ -133,10 +133,8 @@ def deal_status_class(won: Column, closed: Column) -> Column:
 def q_deals(pdeals: DataFrame, partner_id: str | None = None, closed: bool | None = None) -> DataFrame:
     """A partner's deals, won then open then lost, latest first (O3)."""
     df = _for_partner(pdeals, partner_id)
-    if closed is True:
-        df = df.filter(F.col("is_closed"))
-    elif closed is False:
-        df = df.filter(~F.col("is_closed"))
+    if closed is not None:
+        df = df.filter(F.coalesce("is_closed", F.lit(False)) == closed)
     latest = F.coalesce("deal_closed_won_at", "deal_close_date", "deal_created_at")
     return df.select(
         "partner_id", "deal_id", "deal_name", "deal_stage", "deal_status", "amount", "deal_owner_name", "deal_owner_email",
@@ -242,14 +240,13 @@ def d_drop_off_callout(funnel: DataFrame) -> DataFrame:
 
 def d_source_split(leads: DataFrame) -> DataFrame:
     """D3: lead source split per partner."""
-    return leads.groupBy("partner_id", "partner_name", "source_type", "attribution_method").agg(
-        F.count(F.lit(1)).alias("leads"))
+    return leads.groupBy("partner_id", "partner_name", "source_type").agg(F.count_distinct("contact_id").alias("leads"))
 
 
 def d_form_breakdown(leads: DataFrame) -> DataFrame:
     """Form-sourced leads by company size and industry."""
-    return leads.filter(F.col("form_id").isNotNull()).groupBy("form_company_size", "form_industry").agg(
-        F.count(F.lit(1)).alias("leads"))
+    return leads.filter(F.col("source_type") == "form").groupBy("form_company_size", "form_industry").agg(
+        F.count_distinct("contact_id").alias("leads"))
 
 
 def d_time_to_touch(leads: DataFrame) -> DataFrame:
@@ -262,15 +259,17 @@ def d_time_to_touch(leads: DataFrame) -> DataFrame:
 
 def d_rep_partner_matrix(reps: DataFrame) -> DataFrame:
     """Rep x partner matrix (long form; pivot in the client or with ``.pivot``)."""
-    return reps.select("deal_owner_id", "deal_owner_name", "partner_id", "deals_won", "revenue_closed_won")
+    return reps.groupBy("deal_owner_name", "partner_name").agg(
+        F.sum("deals_won").cast("bigint").alias("deals_won"), F.sum("deals_total").cast("bigint").alias("deals_total"),
+        F.sum("revenue_closed_won").alias("revenue_closed_won"),
+    ).withColumn("win_rate", X.safe_divide(F.col("deals_won"), F.col("deals_total")))
 
 
-def d_leads_by_owner(leads: DataFrame, owners: DataFrame, cfg=None) -> DataFrame:
-    """Partner leads per contact owner (owners broadcast only under the checked size bound)."""
-    from partnerlens.config import EngineConfig
-    from partnerlens.operators.joins import dim
+def d_leads_by_owner(leads: DataFrame, owners: DataFrame) -> DataFrame:
+    """Partner leads per contact owner."""
+    
 
-    o = dim(owners.select(F.col("owner_id").alias("contact_owner_id"), "owner_name"), cfg or EngineConfig())
+    o = owners.select(F.col("owner_id").alias("contact_owner_id"), "owner_name")
     return leads.join(o, "contact_owner_id", "left").groupBy("contact_owner_id", "owner_name").agg(
         F.count(F.lit(1)).alias("leads"))
 
@@ -306,12 +305,14 @@ def d_funnel_tiles(summary: DataFrame) -> DataFrame:
                                      "deals_closed_won"], "step", "value")
 
 
+def d_velocity_tiles(summary: DataFrame) -> DataFrame:
+    """The four velocity averages of the all_time rows as (partner, tile, value)."""
+    tiles = ["avg_hours_to_first_sales_touch", "avg_days_contact_to_deal", "avg_deal_cycle_days", "avg_sales_touches_to_close"]
+    at = summary.filter(F.col("period_type") == "all_time").select("partner_id", *[F.col(t).cast("double").alias(t) for t in tiles])
+    return at.unpivot("partner_id", tiles, "tile", "value")
+
+
 def d_quality_rates(summary: DataFrame) -> DataFrame:
     """MQL / SQL / disqualified rates by partner (all time)."""
     return summary.filter(F.col("period_type") == "all_time").select(
         "partner_id", "partner_name", "mql_rate", "sql_rate", "disqualified_rate")
-
-
-def trailing_window(order_col: str, n: int, partition: list[str]) -> Window:
-    """The last ``n`` rows up to the current one."""
-    return Window.partitionBy(*partition).orderBy(order_col).rowsBetween(-(n - 1), 0)

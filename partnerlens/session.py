@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -32,17 +33,33 @@ def prepare_session(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; create a local one only when unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset, a local master gets a folder of its own; any other
+    master is refused, as executors could not see a machine-local folder.
+    """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        # Local runs and tests only: a cluster names a shared folder itself.
-        configured = tempfile.mkdtemp(prefix="partnerlens-ckpt-")
-    sc.setCheckpointDir(configured)
-    return configured
+    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not found:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="partnerlens-shared-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """An unused path in the shared folder; it goes when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark)}/partnerlens-{name}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Deletes a path made by new_path."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "partnerlens") -> SparkSession:
@@ -53,12 +70,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("PARTNERLENS_DRIVER_MEMORY", "8g"))
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # Tasks start at once instead of waiting up to 3 s for a "better" locality level;
-        # the inputs are shuffle files and checkpoints, not node-local HDFS blocks.
-        .config("spark.locality.wait", os.environ.get("PARTNERLENS_LOCALITY_WAIT", "0s"))
     )
+    if shuffle_partitions or master.startswith("local"):  # a cluster's own setting stays
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
     for k, v in {**_RESULT_CONF, **_EXEC_CONF}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

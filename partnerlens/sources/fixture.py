@@ -9,6 +9,8 @@ operations only, so every downstream model grows with the input tables.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,8 +70,7 @@ def ref_partners(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = _read(spark, sf_dir, "region", ["r_regionkey", "r_name"])
     k = F.col("n_nationkey")
     return (
-        n.filter(k < 20)
-        .join(r, n.n_regionkey == r.r_regionkey)
+        n.join(r, n.n_regionkey == r.r_regionkey)
         .select(
             F.concat(F.lit("p"), _s(k)).alias("partner_id"),
             F.col("n_name").alias("partner_name"),
@@ -268,7 +269,7 @@ def contact_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partner_customer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = _read(spark, sf_dir, "nation", ["n_nationkey"]).filter(F.col("n_nationkey") < 15)
+    n = _read(spark, sf_dir, "nation", ["n_nationkey"])
     k = F.col("n_nationkey")
     return n.select(
         F.concat(F.lit("p"), _s(k)).alias("partner_id"),
@@ -279,7 +280,7 @@ def partner_customer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partner_total_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = _read(spark, sf_dir, "nation", ["n_nationkey", "n_name"]).filter(F.col("n_nationkey") < 20)
+    n = _read(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
     k = F.col("n_nationkey")
     return n.select(
         F.concat(F.lit("p"), _s(k)).alias("partner_id"),
@@ -420,3 +421,83 @@ def owner_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.lit("946684800000")).alias("createdAt"),
         F.when(k % 5 == 0, F.lit(None).cast("boolean")).otherwise(k % 7 == 0).alias("archived"),
     )
+
+
+def form_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form objects: one per form that submissions name; some have only a guid, one has neither id nor guid."""
+    ev = _read(spark, sf_dir, "events", ["event_id", "event_type"]).filter(F.col("event_type") == "signup")
+    k = F.col("event_id") % 6
+    form = ev.select(k.alias("k")).distinct().select(F.col("k"), F.concat(F.lit("f"), _s(F.col("k"))).alias("form"))
+    return form.select(
+        F.when(~F.col("k").isin(1, 5), F.col("form")).alias("id"), F.when(F.col("k") != 5, F.concat(F.col("form"), F.lit("-guid"))).alias("guid"),
+        F.concat(F.lit("Form "), _s(F.col("k"))).alias("name"))
+
+
+def dump_objects(spark: SparkSession, sf_dir: str, raw: RawTables) -> dict[str, DataFrame]:
+    """All object dumps by kind. Every 11th contact and deal is in the dump twice, the older version with other values."""
+    contacts = contact_objects(raw.contact).join(raw.contact.select("id", _iso(F.col("_fivetran_synced")).alias("updatedAt")), "id")
+    history = deal_objects(spark, sf_dir)
+    deals = deal_property_objects(raw.deal).join(history, "id", "left")
+
+    def with_older(objs: DataFrame, key: Column, prop: str) -> DataFrame:
+        older = objs.filter(key % 11 == 0).withColumn("properties", F.map_concat(
+            F.map_filter("properties", lambda k, _: k != prop), F.create_map(F.lit(prop), F.lit("older")))).withColumn(
+            "updatedAt", _iso(_days(F.to_timestamp("updatedAt").cast("timestamp_ntz"), F.lit(-400))))
+        return objs.unionByName(older)
+
+    return {
+        "contacts": with_older(contacts, F.col("id").cast("bigint"), "lifecyclestage"),
+        "deals": with_older(deals, F.col("id").cast("bigint"), "dealstage"),
+        **engagement_objects(spark, sf_dir), "owners": owner_objects(spark, sf_dir), "forms": form_objects(spark, sf_dir),
+        "submissions": submission_objects(spark, sf_dir),
+    }
+
+
+# ------------------------------------------------------ publishing and counts
+
+# Properties of the target databases, by their kind.
+_KINDS = {"Name": "title", "Leads": "number", "Revenue": "number", "Top": "checkbox", "Quadrant": "select", "When": "date", "Period": "rich_text",
+          "Rate": "number"}
+# Target rows by region: source, filters, column map, key columns.
+_TARGETS = [
+    ("rankings", "partner_rankings", {}, {"partner_name": "Name", "total_leads": "Leads", "revenue_closed_won": "Revenue", "is_top_performer": "Top",
+                                          "volume_efficiency_quadrant": "Quadrant", "mql_rate": "Not there"}, []),
+    ("summary-month", "partner_summary", {"period_type": "month", "partner_id": "p1"}, {"period_start_date": "When", "total_leads": "Leads"}, ["period_start_date"]),
+    ("penetration", "partner_penetration", {}, {"as_of_date": "When", "penetration_rate": "Rate"}, ["as_of_date"]),
+    ("summary-any", "partner_summary", {"period_type": ""}, {"period_type": "Period", "period_start_date": "When", "total_leads": "Leads"},
+     ["period_type", "period_start_date"]),
+    ("unknown", "partner_leads", {}, {}, []),
+]
+
+
+def publish_target_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The publish targets: one for each region, enabled, and the same once more, disabled."""
+    r = _read(spark, sf_dir, "region", ["r_regionkey"])
+    pick = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("r_regionkey") + 1).cast("int"))
+    keys = F.element_at(F.array(*[F.array(*[F.lit(k) for k in t[4]]).cast("array<string>") for t in _TARGETS]), (F.col("r_regionkey") + 1).cast("int"))
+    on = r.select(
+        pick([t[0] for t in _TARGETS]).alias("id"), pick([t[1] for t in _TARGETS]).alias("source_table"),
+        F.concat(F.lit("db-"), _s(F.col("r_regionkey"))).alias("notion_database_id"), pick([json.dumps(t[2]) for t in _TARGETS]).alias("filter_json"),
+        pick([json.dumps(t[3]) for t in _TARGETS]).alias("column_map_json"), F.lit(json.dumps(_KINDS)).alias("kinds_json"), keys.alias("key_columns"),
+        F.lit(True).alias("enabled"))
+    return on.unionByName(on.withColumn("enabled", F.lit(False)))
+
+
+def published_pages(mart: DataFrame, target) -> DataFrame:
+    """Pages that are there already: for the partners with an even number, with blanks around the title; some titles twice."""
+    number = F.regexp_extract("partner_id", "([0-9]+)$", 1).try_cast("int")
+    some = mart.filter(number % 2 == 0)
+    page = F.concat_ws("/", F.lit("page"), "partner_id", *[F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in target.key_columns])
+    pages = some.select(page.alias("page_id"), F.concat(F.lit(" "), F.col(target.title_column), F.lit("\n")).alias("title"), *target.key_columns)
+    return pages.unionByName(pages.filter(F.col("page_id").contains("4")).withColumn("page_id", F.concat("page_id", F.lit("-again"))))
+
+
+def entered_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hand-entered counts, four of five with one fault."""
+    n = _read(spark, sf_dir, "nation", ["n_nationkey"])
+    k = F.col("n_nationkey")
+    return n.select(
+        F.when(k % 5 == 1, F.concat(F.lit("p"), _s(k), F.lit("x" * 64))).when(k % 10 == 4, F.lit("  ")).otherwise(F.concat(F.lit(" p"), _s(k))).alias("partner_id"),
+        F.when(k % 5 != 2, F.lit("2001-06-30")).cast("date").alias("as_of_date"),
+        F.when(k % 5 == 3, -k).otherwise(k).cast("int").alias("total_customer_count"),
+        F.when(k % 10 == 9, F.lit("n" * 501)).alias("notes"))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from partnerlens.functions import columns as X
+from partnerlens.operators.merge import latest_per_key
 from partnerlens.sources.tables import CONTACT_PROPERTIES, DEAL_PROPERTIES
 
 S = T.StringType()
@@ -40,14 +41,23 @@ SUBMISSION_SCHEMA = T.StructType([
     T.StructField("values", T.ArrayType(T.StructType([T.StructField("name", S), T.StructField("value", S)]))),
 ])
 
+OWNER_SCHEMA = T.StructType([
+    T.StructField("id", T.LongType()), T.StructField("email", S), T.StructField("firstName", S), T.StructField("lastName", S),
+    T.StructField("teams", T.ArrayType(T.StructType([T.StructField("id", T.LongType())]))), T.StructField("createdAt", S),
+    T.StructField("archived", T.BooleanType()),
+])
+FORM_SCHEMA = T.StructType([T.StructField("id", S), T.StructField("guid", S), T.StructField("name", S)])
+DUMP_SCHEMAS = {"object": OBJECT_SCHEMA, "submission": SUBMISSION_SCHEMA, "owner": OWNER_SCHEMA, "form": FORM_SCHEMA}
+# Dump folders that hold something else than CRM objects.
+KINDS = {"owners": "owner", "forms": "form", "submissions": "submission"}
+
 # Engagement object types and the type label each one lands with.
 ENGAGEMENT_TYPES = {"emails": "EMAIL", "calls": "CALL", "meetings": "MEETING", "notes": "NOTE", "tasks": "TASK"}
 
 
 def objects(spark: SparkSession, path: str, kind: str = "object") -> DataFrame:
     """A4: scan nested object dumps (JSON lines) with a declared schema."""
-    schema = SUBMISSION_SCHEMA if kind == "submission" else OBJECT_SCHEMA
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(DUMP_SCHEMAS[kind]).json(path)
 
 
 def objects_since(objs: DataFrame, watermark: dt.datetime | None, modified: Column | None = None) -> DataFrame:
@@ -60,7 +70,13 @@ def objects_since(objs: DataFrame, watermark: dt.datetime | None, modified: Colu
 
 def sync_state(spark: SparkSession, object_type: str, run_started_at: dt.datetime) -> DataFrame:
     """One state row per object type; the watermark is the run start, not the max seen."""
-    return spark.createDataFrame([(object_type, run_started_at)], "object_type string, last_synced_at timestamp_ntz")
+    return spark.createDataFrame([(object_type, run_started_at)], "object_name string, last_sync_at timestamp_ntz")
+
+
+def latest_objects(objs: DataFrame) -> DataFrame:
+    """Each object once: as it was updated last."""
+    updated = parse_ts(F.col("updatedAt")) if "updatedAt" in objs.columns else None
+    return latest_per_key(objs, ["id"], updated)
 
 
 def parse_ts(c: Column) -> Column:
@@ -88,11 +104,14 @@ def land_deals(objs: DataFrame, loaded_at: dt.datetime) -> DataFrame:
 
 
 def land_stage_history(objs: DataFrame) -> DataFrame:
-    """L3: stage history entries; incomplete entries dropped; exit = the next entry's time."""
-    e = objs.select(F.col("id").alias("deal_id"), F.explode("propertiesWithHistory.dealstage").alias("h")).filter(
+    """L3: stage history entries; incomplete entries dropped; exit = the next entry's time.
+
+    An object that a batch holds twice counts once, as it was updated last.
+    """
+    e = latest_objects(objs).select(F.col("id").alias("deal_id"), F.explode("propertiesWithHistory.dealstage").alias("h")).filter(
         (F.coalesce(F.col("h.value"), F.lit("")) != "") & (F.coalesce(F.col("h.timestamp"), F.lit("")) != ""))
     e = e.select("deal_id", F.col("h.value").alias("stage_id"), parse_ts(F.col("h.timestamp")).alias("entered_at")) \
-        .filter(F.col("entered_at").isNotNull())
+        .filter(F.col("entered_at").isNotNull()).distinct()
     w = Window.partitionBy("deal_id").orderBy("entered_at", "stage_id")
     return e.withColumn("exited_at", F.lead("entered_at").over(w))
 

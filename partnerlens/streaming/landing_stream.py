@@ -1,54 +1,54 @@
 """Streaming front for landing (A4 + L1-L12 + A8) with Structured Streaming.
 
-New object dump files arriving in a folder are read with ``readStream``;
-each micro-batch is landed with the batch transforms and upserted into the
-raw table by key (last write wins on the load time). The raw table itself
-holds the state, so no watermark or state store is needed; the stream's
-progress is kept in a checkpoint location under ``spark.checkpoint.dir``.
+Files that arrive in a dump folder are read with ``readStream``; each
+micro-batch is landed with the functions of the landing run and becomes one
+batch of its raw tables, numbered by the micro-batch. A micro-batch that runs
+again after a failure replaces its own batch, so rows land exactly once. The
+raw tables hold the state; the stream's progress is in the checkpoint location
+that the caller names, and a stream started there again goes on where the last
+one ended.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from partnerlens.operators.merge import upsert_table
-from partnerlens.session import ensure_checkpoint_dir
+from partnerlens.operators.merge import append_changes
+from partnerlens.plans.landing_run import land
 from partnerlens.sources import landing as L
+from partnerlens.sources.tables import RAW_KEYS
 
-LANDERS = {
-    "contact": (lambda df, at: L.land_contacts(df, at), ["id"]),
-    "deal": (lambda df, at: L.land_deals(df, at), ["deal_id"]),
-    "deal_stage_history": (lambda df, at: L.land_stage_history(df), ["deal_id", "stage_id", "entered_at"]),
-    "deal_contact": (lambda df, at: L.land_deal_contacts(df), ["deal_id", "contact_id"]),
+# Dump kinds and the raw tables that each one feeds.
+TABLES = {
+    "owners": ("owner",), "contacts": ("contact",), "deals": ("deal", "deal_stage_history", "deal_contact"),
+    **{kind: ("engagement", "engagement_contact") for kind in L.ENGAGEMENT_TYPES}, "forms": ("form",), "submissions": ("contact_form",),
 }
 
 
-def land_batch(spark: SparkSession, batch: DataFrame, kind: str, target_root: str,
-               loaded_at: dt.datetime | None = None) -> None:
-    """Land one micro-batch and upsert it into the raw table under ``target_root/kind``."""
-    fn, keys = LANDERS[kind]
-    at = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    rows = fn(batch, at)
-    seq = F.col("_fivetran_synced") if "_fivetran_synced" in rows.columns else None
-    upsert_table(spark, os.path.join(target_root, kind), rows, keys, seq)
+def land_batch(spark: SparkSession, batch: DataFrame, number: int, kind: str, target_root: str, at: dt.datetime) -> None:
+    """Lands one micro-batch into the raw tables of its kind, which stand under target_root by kind."""
+    empty = batch.limit(0)
+    objects = lambda wanted: batch if wanted == kind else empty
+    for table in TABLES[kind]:
+        append_changes(spark, f"{target_root}/{kind}/{table}", land(table, objects, at), RAW_KEYS[table], number)
 
 
-def start_landing_stream(spark: SparkSession, source_dir: str, target_root: str, kind: str = "contact",
-                         available_now: bool = False, processing_time: str = "30 minutes",
-                         loaded_at: dt.datetime | None = None):
-    """Start the stream; returns the ``StreamingQuery``.
+def start_landing_stream(spark: SparkSession, dump_root: str, target_root: str, checkpoint: str, kind: str = "contacts",
+                         available_now: bool = False, processing_time: str = "30 minutes", loaded_at: dt.datetime | None = None) -> StreamingQuery:
+    """Starts the stream of one dump kind; ``checkpoint`` is its stable progress folder, in a store that all executors share.
 
     ``available_now`` processes what is there and stops (a scheduled refresh);
     otherwise it triggers every ``processing_time`` (the pipeline's 30-minute cadence).
     """
-    ckpt_root = ensure_checkpoint_dir(spark)
-    objs = spark.readStream.schema(L.OBJECT_SCHEMA).json(source_dir)
-    writer = objs.writeStream.foreachBatch(
-        lambda batch, _id: land_batch(spark, batch, kind, target_root, loaded_at)
-    ).option("checkpointLocation", os.path.join(ckpt_root, f"stream-{kind}"))
+    objects = spark.readStream.schema(L.DUMP_SCHEMAS[L.KINDS.get(kind, "object")]).json(f"{dump_root}/{kind}")
+
+    def each(batch: DataFrame, number: int) -> None:
+        at = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        land_batch(spark, batch, number, kind, target_root, at)
+
+    writer = objects.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()

@@ -30,4 +30,4 @@ def spark():
 def models(spark):
     from partnerlens.plans.models import Models
 
-    return Models.from_fixture(spark, SF0001, materialize="checkpoint")
+    return Models.from_fixture(spark, SF0001, materialize="parquet")

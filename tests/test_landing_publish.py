@@ -35,16 +35,45 @@ def test_stage_history_drops_incomplete_and_links_exit(spark):
                     ("b", dt.datetime(1970, 1, 1, 0, 0, 2), None)]
 
 
-def test_publish_diff_dedup_blank_and_update(spark):
-    t = P.Target(id="t", source_table="partner_summary", database_id="db", column_map={"v": "V"}, kinds={"V": "number"},
-                 order_column="as_of")
-    rows = spark.createDataFrame([("A", 1, 1), ("A", 2, 2), (" ", 3, 1), (None, 4, 1), ("B", 5, 1), ("x" * 3000, 6, 1)],
-                                 "partner_name string, v int, as_of int")
-    shaped = P.publish_shape(rows.withColumn("period_type", F.lit("all_time")).select("partner_name", "v", "as_of"), t)
-    existing = spark.createDataFrame([("A", "page-a")], "title string, page_id string")
-    out = {r.title[:5]: (r.action, r.V) for r in P.publish_diff(shaped, existing, t).collect()}
-    assert out == {"A": ("update", 2.0), "B": ("create", 5.0), "xxxxx": ("create", 6.0)}
-    assert max(len(r.title) for r in P.publish_diff(shaped, existing, t).collect()) == 2000
+KINDS = {"Name": "title", "V": "number", "When": "date"}
+
+
+def _plan(rows, existing, **target):
+    t = P.Target(id="t", source_table="partner_rankings", database_id="db", kinds=KINDS, **target)
+    return sorted((tuple(r) for r in P.publish_plan(rows, existing, t).collect()), key=str)
+
+
+def test_publish_sends_every_row_and_matches_whole_titles(spark):
+    long = "x" * 2000
+    rows = spark.createDataFrame([("A", 1), ("A", 2), (" ", 3), (None, 4), (" B\n", 5), (long + "1", 6), (long + "2", 7)], "partner_name string, v int")
+    existing = spark.createDataFrame([("A ", "page-a"), ("A", "page-b"), ("B", "page-c"), (long + "2", "page-d"), ("", "blank")], "title string, page_id string")
+    out = _plan(rows, existing, column_map={"v": "V", "partner_name": "Name"})
+    assert [(r[1], r[2], r[4]) for r in sorted(out, key=lambda r: r[4])] == [
+        ("update", "page-b", 1.0), ("update", "page-b", 2.0), ("create", None, 3.0), ("update", "page-c", 5.0),
+        ("create", None, 6.0), ("update", "page-d", 7.0)]
+    assert max(len(r[3]) for r in out) == 2000
+
+
+def test_publish_matches_on_title_and_key_columns(spark):
+    rows = spark.createDataFrame([("A", "2001-01-01", 1), ("A", "2001-02-01", 2), ("A", None, 3)], "partner_name string, as_of string, v int")
+    existing = spark.createDataFrame([("A", "2001-01-01", "p1"), ("A", None, "p3"), ("A", "1999-01-01", "p9")], "title string, as_of string, page_id string")
+    out = _plan(rows, existing, column_map={"partner_name": "Name", "v": "V", "as_of": "When"}, key_columns=("as_of",))
+    assert sorted((r[2] or "-", r[4]) for r in out) == [("-", 2.0), ("p1", 1.0), ("p3", 3.0)]
+
+
+def test_publish_filters(spark):
+    make = lambda **f: P.publish_filters(P.Target(id="t", source_table="partner_summary", database_id="d", filters=f))
+    assert make() == {"period_type": "all_time"} and make(period_type="month", partner_id="p1") == {"period_type": "month"}
+    assert make(period_type="") == make(period_type=None) == make(period_type=[]) == {}
+
+
+def test_publish_values(spark):
+    df = spark.createDataFrame([("12.5", "x", dt.datetime(2001, 1, 2, 3, 4, 5, 6), True, 0)], "a string, b string, t timestamp_ntz, f boolean, n int")
+    kind = {f.name: f.dataType for f in df.schema.fields}
+    value = lambda c, k: df.select(P.coerce(F.col(c), k, kind[c]).alias("v")).first().v
+    assert (value("a", "number"), value("b", "number")) == (12.5, None)
+    assert value("t", "date") == "2001-01-02T03:04:05.000006" and value("f", "rich_text") == "True"
+    assert value("n", "checkbox") is False and value("b", "checkbox") is True
 
 
 def test_counts_validation(spark):
@@ -54,20 +83,59 @@ def test_counts_validation(spark):
                                  "partner_id string, as_of_date date, total_customer_count int, notes string")
     out = sorted(tuple(r) for r in P.upsert_counts(target, rows).collect())
     assert out == [("p1", dt.date(2001, 1, 1), 7, "ok")]
+    assert sorted(r.reason for r in P.rejected_counts(rows).collect()) == [
+        "as_of_date is missing", "notes are over 500 characters", "partner_id is missing", "total_customer_count is negative"]
     assert P.delete_counts(target, target).count() == 0
 
 
-def test_streaming_landing_upserts(spark, models, tmp_path):
-    from partnerlens.operators.merge import read_current
+def test_offsets_count_and_junk_is_null(spark):
+    texts = ["2024-01-01T00:00:00+02:00", "2024-01-01T00:00:00Z", "1704067200000", "2024-01-01", "12:30", "junk", "", None]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    got = [r.v for r in df.select("k", L.parse_ts(F.col("t")).alias("v")).orderBy("k").collect()]
+    day = dt.datetime(2024, 1, 1)
+    assert got == [day - dt.timedelta(hours=2), day, day, day, None, None, None, None]
+
+
+def test_a_deal_twice_in_a_batch_has_one_history(spark):
+    objs = spark.createDataFrame([("d1", ([("a", "1000")],), "2024-01-01T00:00:00Z"), ("d1", ([("a", "1000"), ("b", "2000"), ("b", "2000")],), "2024-01-02T00:00:00Z")],
+                                 "id string, propertiesWithHistory struct<dealstage:array<struct<value:string,timestamp:string>>>, updatedAt string")
+    rows = sorted((r.stage_id, r.exited_at) for r in L.land_stage_history(objs).collect())
+    assert rows == [("a", dt.datetime(1970, 1, 1, 0, 0, 2)), ("b", None)]
+
+
+def test_landing_runs_go_on_from_their_state(spark, tmp_path):
+    from partnerlens.plans.landing_run import landing_run, last_sync
+
+    dumps, root = tmp_path / "dumps", str(tmp_path / "raw")
+    (dumps / "contacts").mkdir(parents=True)
+    line = lambda i, at, stage: json.dumps({"id": i, "updatedAt": at, "properties": {"lifecyclestage": stage}}) + "\n"
+    (dumps / "contacts" / "a.json").write_text(line("1", "2001-12-01T00:00:00Z", "lead") + line("2", "2001-12-01T00:00:00Z", "lead"))
+    start = dt.datetime(2001, 12, 10)
+    assert last_sync(spark, root, "contact") is None
+    landing_run(spark, str(dumps), root, start)  # the other kinds have no folder: they are skipped
+    assert last_sync(spark, root, "contact") == start and last_sync(spark, root, "deal") is None
+    (dumps / "contacts" / "b.json").write_text(line("1", "2001-12-11T00:00:00Z", "customer") + line("2", "2001-12-02T00:00:00Z", "too old"))
+    tables = landing_run(spark, str(dumps), root, start + dt.timedelta(days=5))
+    assert {r.id: r.property_lifecyclestage for r in tables["contact"].collect()} == {"1": "customer", "2": "lead"}
+
+
+def test_a_restarted_stream_reads_no_file_twice(spark, models, tmp_path):
+    from partnerlens.operators.merge import read_batches
     from partnerlens.streaming.landing_stream import start_landing_stream
 
-    src = tmp_path / "in"
-    src.mkdir()
+    src = tmp_path / "dumps" / "contacts"
+    src.mkdir(parents=True)
     objs = contact_objects(models.raw.contact).limit(20).toJSON().collect()
+
+    def run(session):
+        q = start_landing_stream(session, str(tmp_path / "dumps"), str(tmp_path / "raw"), str(tmp_path / "progress"), "contacts",
+                                 available_now=True, loaded_at=dt.datetime(2002, 1, 1))
+        q.awaitTermination(120)
+        return sum(p.numInputRows for p in q.recentProgress)
+
     (src / "part-0.json").write_text("\n".join(objs[:12]) + "\n")
-    (src / "part-1.json").write_text("\n".join(objs[8:]) + "\n")  # overlapping keys: upsert, not duplicate
-    q = start_landing_stream(spark, str(src), str(tmp_path / "raw"), "contact", available_now=True,
-                             loaded_at=dt.datetime(2002, 1, 1))
-    q.awaitTermination(120)
-    out = read_current(spark, os.path.join(str(tmp_path / "raw"), "contact"))
+    assert run(spark) == 12
+    (src / "part-1.json").write_text("\n".join(objs[8:]) + "\n")  # overlapping keys: replaced, not repeated
+    assert run(spark.newSession()) == 12  # the second file alone
+    out = read_batches(spark, str(tmp_path / "raw" / "contacts" / "contact"), ["id"])
     assert out.count() == 20 and out.select("id").distinct().count() == 20

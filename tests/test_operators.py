@@ -116,14 +116,34 @@ def test_explode_periods_drops_null_dates_for_metrics(spark):
     assert K.explode_periods(df, "m", "q", keep_null_dates=True).count() == 6
 
 
-def test_versioned_table_write(spark, tmp_path):
+def test_upsert_keeps_target_only_columns_and_takes_given_nulls(spark):
+    target = spark.createDataFrame([(1, "a", "keep"), (2, "b", "stay")], "id int, v string, extra string")
+    rows = spark.createDataFrame([(1, None, 9), (3, "new", 7)], "id int, v string, seq int")
+    out = sorted((tuple(r) for r in M.upsert(target, rows, ["id"], "seq").select("id", "v", "extra", "seq").collect()), key=str)
+    assert out == [(1, None, "keep", 9), (2, "b", "stay", None), (3, "new", None, 7)]
+
+
+def test_latest_per_key_with_null_and_equal_sequence(spark):
+    rows = spark.createDataFrame([(1, "old", None), (1, "new", 5), (2, "only", None), (3, "x", 1), (3, "y", 1)], "id int, v string, seq int")
+    got = {r.id: r.v for r in M.latest_per_key(rows, ["id"], "seq").collect()}
+    assert got[1] == "new" and got[2] == "only" and got[3] in "xy"
+    again = {r.id: r.v for r in M.latest_per_key(rows.orderBy(F.desc("v")).repartition(3), ["id"], "seq").collect()}
+    assert again == got  # whatever the order of the rows
+
+
+def test_batches_keep_only_the_last_row_of_a_key(spark, tmp_path):
     root = str(tmp_path / "t")
-    a = spark.createDataFrame([("1", 1)], "id string, v int")
-    M.upsert_table(spark, root, a, ["id"])
-    b = spark.createDataFrame([("1", 2), ("2", 1)], "id string, v int")
-    out = M.upsert_table(spark, root, b, ["id"], "v")
-    assert sorted(tuple(r) for r in out.collect()) == [("1", 2), ("2", 1)]
-    assert M.current_version(root).startswith(root)
+    assert M.read_batches(spark, root, ["id"]) is None
+    make = lambda rows, schema: spark.createDataFrame(rows, schema)
+    M.append_changes(spark, root, make([(1, "a", "keep"), (2, "b", "stay")], "id int, v string, extra string"), ["id"], 10)
+    for _ in range(2):  # a batch that runs again replaces itself
+        M.append_changes(spark, root, make([(1, "c"), (3, "d")], "id int, v string"), ["id"], 20)
+    got = sorted((tuple(r) for r in M.read_batches(spark, root, ["id"]).select("id", "v", "extra").collect()), key=str)
+    assert got == [(1, "c", "keep"), (2, "b", "stay"), (3, "d", None)]
+    written = {r["_batch"]: r["count"] for r in spark.read.parquet(root).groupBy("_batch").count().collect()}
+    assert written == {10: 2, 20: 2}  # a merge writes what it changes
+    M.write_batch(make([(9, "z")], "id int, v string"), root, 30, first=True)
+    assert [tuple(r) for r in M.read_batches(spark, root, ["id"]).collect()] == [(9, "z")]
 
 
 def test_source_marker_attribution_is_opt_in(spark):

@@ -45,3 +45,20 @@ def test_scans_are_pruned(lazy):
         cols = s.split(",")
         assert len(cols) <= 6, s
     assert "l_extendedprice" not in txt and "l_comment" not in txt
+
+
+@pytest.mark.parametrize("name", ["partner_summary", "d_time_to_touch", "q_deals_open", "q_partner_all_time", "d_leads_by_month_source"])
+def test_registered_plans_read_pruned_tables(spark, name):
+    """The registered queries start from written Parquet tables: no row RDDs, only the columns they use."""
+    from partnerlens.plans.catalog import REGISTRY
+
+    txt = _plan(REGISTRY[name](spark, SF0001))
+    assert "Scan parquet" in txt and "ExistingRDD" not in txt and "CartesianProduct" not in txt
+
+
+def test_registered_report_reads_few_columns(spark):
+    from partnerlens.plans.catalog import REGISTRY
+
+    txt = _plan(REGISTRY["d_leads_by_month_source"](spark, SF0001))
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", txt)
+    assert schemas and all(len(s.split(",")) <= 4 for s in schemas)

@@ -1,6 +1,8 @@
 import datetime as dt
 
 
+from pyspark.sql import functions as F
+
 from partnerlens.operators import quality as T
 from partnerlens.plans import publish as P
 
@@ -39,19 +41,22 @@ def test_close_before_create_is_a_warning(spark):
 
 
 def test_publish_targets_and_log(spark):
-    targets = spark.createDataFrame([("t1", "partner_summary", "db1", "{}", "{}", True),
-                                     ("t2", "secret_table", "db2", "{}", "{}", True),
-                                     ("t3", "partner_rankings", "db3", "{}", "{}", False)], P.TARGET_SCHEMA)
-    got = {r.id: r.valid for r in P.publish_targets(targets).collect()}
-    assert got == {"t1": True, "t2": False}
+    kinds = '{"Name": "title", "Leads": "number"}'
+    rows = [("t1", "partner_summary", "db1", "{}", '{"total_leads": "Leads"}', kinds, [], True), ("t2", "secret_table", "db2", "{}", "{}", kinds, [], True),
+            ("t3", "partner_rankings", "db3", "{}", "{}", kinds, [], False), ("t4", "partner_penetration", "db4", "{}", "{}", kinds, [], True),
+            ("t5", "partner_rankings", "db5", "{}", '{"no_column": "Leads"}', kinds, [], True)]
+    targets = spark.createDataFrame(rows, P.TARGET_SCHEMA)
+    assert {r.id: r.known_source for r in P.publish_targets(targets).collect()} == {"t1": True, "t2": False, "t4": True, "t5": True}
     mart = spark.createDataFrame([("p1", "A", "all_time", 3), ("p2", "B", "month", 4)],
                                  "partner_id string, partner_name string, period_type string, total_leads int")
-    ts = [P.target_from_row(r) for r in targets.collect()]
-    ts = [P.Target(id=t.id, source_table=t.source_table, database_id=t.database_id, column_map={"total_leads": "Leads"},
-                   kinds={"Leads": "number"}, filters={"period_type": " ", "unknown": "x"}, enabled=t.enabled) for t in ts]
+    broken = mart.withColumn("partner_name", F.when(F.col("total_leads") > 0, F.raise_error(F.lit("broken " * 200)).cast("string")))
     empty = spark.createDataFrame([], "title string, page_id string")
-    plans, statuses = P.run_publish({"partner_summary": mart}, ts, {t.id: empty for t in ts})
-    assert [s[:2] for s in statuses] == [("t1", "ok"), ("t2", "error")]  # one failure does not stop the others
-    assert [tuple(r) for r in plans["t1"].select("action", "title", "Leads").collect()] == [("create", "A", 3.0)]
-    log = P.publish_log(spark, [(t, s, "x" * 600 if m else m) for t, s, m in statuses], AS_OF).collect()
-    assert len(log[1].message) == 500 and log[0].message is None
+    sent = {}
+    log = P.run_publish(spark, {"partner_summary": mart, "partner_penetration": broken, "partner_rankings": mart},
+                        [P.target_from_row(r) for r in targets.collect()], {t: empty for t in ("t1", "t4", "t5")},
+                        lambda t, plan: sent.update({t.id: [tuple(r) for r in plan.collect()]}), AS_OF)
+    got = {r.target_id: (r.status, r.message) for r in log.collect()}
+    assert got["t1"] == ("ok", "1 rows: 1 created, 0 updated") and sent["t1"] == [("t1", "create", None, "A", 3.0)]
+    assert got["t2"] == ("error", "unknown source table: secret_table") and got["t5"] == ("error", "bad column name: no_column")
+    assert got["t4"][0] == "error" and "broken" in got["t4"][1] and len(got["t4"][1]) == 500  # fails while it runs; the others go on
+    assert set(got) == {"t1", "t2", "t4", "t5"}

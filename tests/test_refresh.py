@@ -1,21 +1,31 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
 from partnerlens.config import EngineConfig
-from partnerlens.operators.merge import read_current
-from partnerlens.plans.refresh import refresh
+from partnerlens.operators.merge import read_batches
+from partnerlens.plans.refresh import batch_number, refresh
 
 
 def _rows(df, cols):
-    return sorted(tuple(r) for r in df.select(*cols).collect())
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=str)
 
 
 def test_full_then_incremental_refresh(spark, models, tmp_path):
     root = str(tmp_path / "marts")
     first = refresh(spark, models.raw, root)
     assert set(first) >= {"partner_leads", "partner_deals", "partner_summary", "partner_rankings"}
-    summary = read_current(spark, f"{root}/partner_summary")
-    assert summary.count() == models.summary.count()
-    # rerun incrementally: inputs unchanged, so every mart keeps the same rows (idempotent merge)
-    second = refresh(spark, models.raw, root, EngineConfig(), full_refresh=False)
-    assert second["partner_deals"] != first["partner_deals"]
     cols = ["partner_id", "period_type", "period_start_date", "total_leads", "deals_closed_won"]
-    assert _rows(read_current(spark, f"{root}/partner_summary"), cols) == _rows(summary, cols)
-    assert read_current(spark, f"{root}/partner_deals").count() == models.partner_deals.count()
+    before = _rows(spark.read.parquet(f"{root}/partner_summary"), cols)
+    assert before == _rows(models.summary, cols)
+    # Inputs unchanged: every mart keeps its rows, and only the slice is written.
+    cfg = EngineConfig()
+    second = batch_number(cfg.as_of) + 1
+    refresh(spark, models.raw, root, cfg, full_refresh=False, batch=second)
+    assert _rows(spark.read.parquet(f"{root}/partner_summary"), cols) == before
+    deals = read_batches(spark, f"{root}/partner_deals", ["deal_id"])
+    assert deals.count() == models.partner_deals.count()
+    lower = cfg.as_of - dt.timedelta(days=cfg.incremental_lookback_days)
+    sliced = models.partner_deals.filter(F.col("_synced_at") >= F.lit(lower).cast("timestamp_ntz")).count()
+    written = spark.read.parquet(f"{root}/partner_deals").filter(F.col("_batch") == second).count()
+    assert 0 < written == sliced < deals.count()

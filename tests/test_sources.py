@@ -19,7 +19,7 @@ def test_objects_since_and_state(spark):
     assert sorted(r.id for r in L.objects_since(objs, wm).collect()) == ["a", "c"]
     assert L.objects_since(objs, None).count() == 3  # no state: full scan
     st = L.sync_state(spark, "deals", dt.datetime(2002, 1, 1)).first()
-    assert st.last_synced_at == dt.datetime(2002, 1, 1)
+    assert st.last_sync_at == dt.datetime(2002, 1, 1)
 
 
 def test_seed_csv_blank_is_null_and_typed(spark, tmp_path):
