@@ -55,25 +55,29 @@ SELECT 'p' || {_v('n.n_nationkey')} AS partner_id, n.n_name AS partner_name,
        r.r_name AS partner_tier, DATE '1995-01-01' AS partner_start_date
 FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""")
 
+_CREATED = _iso(_days("TIMESTAMP '1994-07-01'", "(c.c_custkey * 37) % 2000"))
+_QUALIFIED = _iso(_days("TIMESTAMP '1994-07-01'", "(c.c_custkey * 37) % 2000 + c.c_custkey % 30"))
+
 cte("raw_contact", f"""
 SELECT {_v('c.c_custkey')} AS id,
   CASE WHEN c.c_custkey % 97 = 0 THEN '' ELSE 'User' || {_v('c.c_custkey')} || '@Corp' || {_v('c.c_custkey % 50')} || '.Example' END AS property_email,
-  CAST(NULL AS VARCHAR) AS property_firstname, CAST(NULL AS VARCHAR) AS property_lastname,
-  CAST(NULL AS VARCHAR) AS property_company, CAST(NULL AS VARCHAR) AS property_jobtitle, CAST(NULL AS VARCHAR) AS property_industry,
-  CASE WHEN c.c_custkey % 13 = 0 THEN '' ELSE {_v('c.c_custkey % 1000')} END AS property_numberofemployees,
-  {_v('CAST(c.c_acctbal AS DECIMAL(18,2))')} AS property_annualrevenue,
+  if(c.c_custkey % 4 = 0, '', 'First' || c.c_custkey) AS property_firstname, if(c.c_custkey % 6 <> 0, 'Last' || (c.c_custkey % 100), NULL) AS property_lastname,
+  if(c.c_custkey % 5 = 0, '', 'Company ' || (c.c_custkey % 50)) AS property_company,
+  CASE c.c_custkey % 3 WHEN 0 THEN 'CTO' WHEN 1 THEN 'Buyer' END AS property_jobtitle, 'ind' || (c.c_custkey % 7) AS property_industry,
+  CASE WHEN c.c_custkey % 13 = 0 THEN '' WHEN c.c_custkey % 21 = 7 THEN 'many' ELSE {_v('c.c_custkey % 1000')} END AS property_numberofemployees,
+  if(c.c_custkey % 23 = 5, 'n/a', {_v('CAST(c.c_acctbal AS DECIMAL(18,2))')}) AS property_annualrevenue,
   CASE c.c_custkey % 6 WHEN 0 THEN 'lead' WHEN 1 THEN 'MarketingQualifiedLead' WHEN 2 THEN 'salesqualifiedlead'
        WHEN 3 THEN 'opportunity' WHEN 4 THEN 'customer' ELSE 'other' END AS property_lifecyclestage,
   CASE WHEN c.c_custkey % 17 = 0 THEN 'UNQUALIFIED' WHEN c.c_custkey % 19 = 0 THEN 'bad_fit' ELSE 'OPEN' END AS property_hs_lead_status,
-  {_iso(_days("TIMESTAMP '1994-07-01'", '(c.c_custkey * 37) % 2000'))} AS property_createdate,
-  CASE WHEN c.c_custkey % 6 IN (2, 3, 4) AND c.c_custkey % 4 <> 0
-       THEN {_iso(_days("TIMESTAMP '1994-07-01'", '(c.c_custkey * 37) % 2000 + c.c_custkey % 30'))} ELSE '' END
+  CASE WHEN c.c_custkey % 47 = 3 THEN 'soon' WHEN c.c_custkey % 49 = 4 THEN '' ELSE {_CREATED} END AS property_createdate,
+  CASE WHEN c.c_custkey % 31 = 8 THEN 'not a date' WHEN c.c_custkey % 6 IN (2, 3, 4) AND c.c_custkey % 4 <> 0
+       THEN {_QUALIFIED} ELSE '' END
        AS property_hs_lifecyclestage_marketingqualifiedlead_date,
-  CAST(NULL AS VARCHAR) AS property_hs_lifecyclestage_lead_date,
-  CAST(NULL AS VARCHAR) AS property_hs_lifecyclestage_salesqualifiedlead_date,
-  CAST(NULL AS VARCHAR) AS property_hs_lifecyclestage_opportunity_date,
-  CAST(NULL AS VARCHAR) AS property_hs_lifecyclestage_customer_date,
-  CAST(NULL AS VARCHAR) AS property_hs_latest_source, CAST(NULL AS VARCHAR) AS property_hs_latest_source_data_1,
+  if(c.c_custkey % 2 = 0, {_CREATED}, '') AS property_hs_lifecyclestage_lead_date,
+  if(c.c_custkey % 12 = 3, {_QUALIFIED}, NULL) AS property_hs_lifecyclestage_salesqualifiedlead_date,
+  if(c.c_custkey % 6 = 3, {_QUALIFIED}, '') AS property_hs_lifecyclestage_opportunity_date,
+  if(c.c_custkey % 6 = 4, {_QUALIFIED}, '') AS property_hs_lifecyclestage_customer_date,
+  if(c.c_custkey % 3 = 0, 'DIRECT_TRAFFIC', NULL) AS property_hs_latest_source, 'd' || (c.c_custkey % 5) AS property_hs_latest_source_data_1,
   CAST(NULL AS VARCHAR) AS property_hs_latest_source_data_2,
   CASE WHEN c.c_custkey % 8 = 3 THEN 'REFERRALS' ELSE 'ORGANIC_SEARCH' END AS property_hs_analytics_source,
   CASE WHEN c.c_custkey % 8 = 3 THEN ' ' || lower(n.n_name) END AS property_hs_analytics_source_data_1,
@@ -81,8 +85,8 @@ SELECT {_v('c.c_custkey')} AS id,
   {_v('c.c_custkey % 10')} AS property_hubspot_owner_id,
   CASE WHEN c.c_custkey % 10 = 0 THEN '  ' || lower(n.n_name) || ' ' WHEN c.c_custkey % 40 = 5 THEN 'Unlisted Partner' ELSE '' END
        AS property_referring_partner,
-  CAST(NULL AS VARCHAR) AS property_lead_origin, CAST(NULL AS VARCHAR) AS property_lead_source,
-  CAST(NULL AS VARCHAR) AS property_partner_source,
+  if(c.c_custkey % 9 = 0, ' Partner Referral (Partner) ', '') AS property_lead_origin, if(c.c_custkey % 9 = 1, 'PARTNER', NULL) AS property_lead_source,
+  if(c.c_custkey % 9 = 2, ' met at a fair ', NULL) AS property_partner_source,
   {_days(AS_OF, '-(c.c_custkey % 30)')} AS _fivetran_synced,
   c.c_custkey % 101 = 0 AS _archived
 FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""")
@@ -100,26 +104,26 @@ LEFT JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN nation n ON c.c_nati
 cte("raw_deal", f"""
 SELECT {_v('o_orderkey')} AS deal_id,
   'Company ' || {_v('o_custkey % 300')} || CASE WHEN o_orderkey % 5 = 0 THEN ' expansion' ELSE '' END AS property_dealname,
-  CAST(NULL AS VARCHAR) AS property_pipeline,
-  stage AS property_dealstage,
-  CAST(NULL AS VARCHAR) AS property_hs_deal_stage_probability,
+  'pipe' || (o_orderkey % 2) AS property_pipeline,
+  if(o_orderkey % 29 <> 9, stage, NULL) AS property_dealstage,
+  CASE WHEN o_orderkey % 5 = 0 THEN '' WHEN o_orderkey % 21 = 3 THEN 'high' ELSE '0.' || (o_orderkey % 10) END AS property_hs_deal_stage_probability,
   CASE WHEN o_orderkey % 53 = 0 THEN '' ELSE {_v('CAST(o_totalprice AS DECIMAL(18,2))')} END AS property_amount,
-  CAST(NULL AS VARCHAR) AS property_amount_in_home_currency,
-  {_iso('o_orderdate')} AS property_createdate,
+  if(o_orderkey % 2 = 0, {_v('CAST(o_totalprice AS DECIMAL(18,2))')}, '') AS property_amount_in_home_currency,
+  if(o_orderkey % 33 = 6, 'unknown', {_iso('o_orderdate')}) AS property_createdate,
   CASE WHEN stage IN ('Closed_Won', 'closed_lost')
        THEN {_iso(_days('o_orderdate', 'CASE WHEN o_orderkey % 97 = 0 THEN -3 ELSE o_orderkey % 90 END'))} ELSE '' END AS property_closedate,
   CASE WHEN o_orderstatus = 'F' AND o_orderkey % 4 <> 0 THEN {_iso(_days('o_orderdate', 'o_orderkey % 90'))} ELSE '' END
        AS property_hs_closed_won_date,
   CASE WHEN o_orderkey % 31 = 0 THEN '' WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END AS property_hs_is_closed_won,
   CASE WHEN o_orderkey % 3 = 0 THEN '' WHEN stage IN ('Closed_Won', 'closed_lost') THEN 'true' ELSE 'false' END AS property_hs_is_closed,
-  CAST(NULL AS VARCHAR) AS property_dealtype,
+  if(o_orderkey % 2 = 0, 'existingbusiness', 'newbusiness') AS property_dealtype,
   {_v('o_orderkey % 11')} AS property_hubspot_owner_id,
   CASE o_orderkey % 4 WHEN 0 THEN 'Partner Referral' WHEN 1 THEN ' partner referral ' WHEN 2 THEN 'Inbound' ELSE '' END
        AS property_deal_source,
   CASE WHEN o_orderkey % 6 IN (0, 1) THEN n_name WHEN o_orderkey % 24 IN (2, 8) THEN 'Unlisted Partner' ELSE '' END
        AS property_referring_partner,
-  CAST(NULL AS VARCHAR) AS property_deal_source_detail,
-  {_days(AS_OF, '-(o_orderkey % 30)')} AS _fivetran_synced,
+  if(o_orderkey % 3 = 0, ' by phone ', NULL) AS property_deal_source_detail,
+  {_days(AS_OF, '-(o_orderkey % 30)')} - INTERVAL 10 HOUR AS _fivetran_synced,
   o_orderkey % 103 = 0 AS _archived
 FROM raw_deal_base""")
 
@@ -149,7 +153,7 @@ SELECT {_v('event_id')} AS engagement_id,
   CASE WHEN event_type = 'click' THEN CASE WHEN event_id % 2 = 0 THEN 'INCOMING' ELSE 'outgoing' END END AS email_metadata_direction,
   CASE WHEN event_type = 'click' THEN 'Rep@Nation' || {_v('user_id % 25')} || '.Example' END AS email_metadata_from_email,
   CAST(NULL AS VARCHAR) AS email_metadata_subject,
-  {AS_OF} AS _fivetran_synced
+  {AS_OF} - INTERVAL 30 HOUR AS _fivetran_synced
 FROM events""")
 
 cte("raw_engagement_contact", f"SELECT {_v('event_id')} AS engagement_id, {_v('user_id')} AS contact_id FROM events")

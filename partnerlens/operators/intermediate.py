@@ -17,8 +17,7 @@ def _is_sales_touch(type_col: Column, direction: Column) -> Column:
 
 def contact_engagements(engagements: DataFrame, engagement_contacts: DataFrame) -> DataFrame:
     """Engagements of each contact (edge x engagement), the shared input of I1, I3 and I5d."""
-    e = engagements.select("engagement_id", "engagement_type", "engaged_at", "email_direction",
-                           "email_from_domain", "engagement_owner_id")
+    e = engagements.select("engagement_id", "engagement_type", "engaged_at", "email_direction", "email_from_domain")
     return engagement_contacts.select("engagement_id", "contact_id").join(e, "engagement_id")
 
 
@@ -64,8 +63,10 @@ def sales_touches(deals: DataFrame, primary: DataFrame, contact_eng: DataFrame,
         "calls": (F.col("engagement_type") == "call").cast("int"),
         "meetings": (F.col("engagement_type") == "meeting").cast("int"),
     }
+    asked = d.filter(F.col("primary_contact_id").isNotNull() & F.col("deal_created_at").isNotNull())
     touches = (
         contact_eng.filter(F.col("engaged_at").isNotNull())
+        .join(asked.select(F.col("primary_contact_id").alias("contact_id")).distinct(), "contact_id", "left_semi")
         .select("contact_id", "engagement_id", "engaged_at", "engagement_type", "email_direction")
         .dropDuplicates(["contact_id", "engagement_id"])
         .select(F.col("contact_id"), F.col("engaged_at").alias("t"), F.lit(1).alias("kind"),
@@ -73,14 +74,15 @@ def sales_touches(deals: DataFrame, primary: DataFrame, contact_eng: DataFrame,
                 *[v.alias(k) for k, v in touch_flags.items()])
     )
     # Bound rows: side 0 = start (count strictly before t), side 1 = end (count up to and including t).
-    bounds = d.filter(F.col("primary_contact_id").isNotNull() & F.col("deal_created_at").isNotNull()).select(
+    # An open deal has a start only: its end count is its contact's total up to as_of.
+    bounds = asked.select(
         F.col("primary_contact_id").alias("contact_id"),
         F.explode(F.array(
             F.struct(F.col("deal_created_at").alias("t"), F.lit(0).alias("kind"), F.lit(0).alias("side")),
-            F.struct(F.coalesce(F.col("deal_close_date"), as_of).alias("t"), F.lit(2).alias("kind"), F.lit(1).alias("side")),
+            F.struct(F.col("deal_close_date").alias("t"), F.lit(2).alias("kind"), F.lit(1).alias("side")),
         )).alias("b"),
         F.col("deal_id"),
-    ).select("contact_id", "b.t", "b.kind", "deal_id", "b.side", *[F.lit(0).alias(k) for k in TOUCH_KINDS])
+    ).filter(F.col("b.t").isNotNull()).select("contact_id", "b.t", "b.kind", "deal_id", "b.side", *[F.lit(0).alias(k) for k in TOUCH_KINDS])
 
     line = touches.unionByName(bounds).withColumn("day", F.to_date("t"))
     # Running totals inside each (contact, day) slice; kind orders start < touches < end at equal times.
@@ -99,6 +101,10 @@ def sales_touches(deals: DataFrame, primary: DataFrame, contact_eng: DataFrame,
         .join(before_day, ["contact_id", "day"])
         .select("deal_id", "side", *[(F.col(f"_pre_{k}") + F.col(f"_in_{k}")).alias(k) for k in TOUCH_KINDS])
     )
+    totals = touches.filter(F.col("t") <= as_of).groupBy("contact_id").agg(*[F.sum(k).alias(k) for k in TOUCH_KINDS])
+    ends = asked.filter(F.col("deal_close_date").isNull()).join(totals, F.col("primary_contact_id") == F.col("contact_id")).select(
+        "deal_id", F.lit(1).alias("side"), *TOUCH_KINDS)
+    at_bound = at_bound.unionByName(ends)
     signed = lambda k: F.sum(F.when(F.col("side") == 1, F.col(k)).otherwise(-F.col(k)))
     per_deal = at_bound.groupBy("deal_id").agg(*[F.greatest(signed(k), F.lit(0)).cast("bigint").alias(k) for k in TOUCH_KINDS])
     return (

@@ -286,9 +286,9 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _median_from_counts(counted: DataFrame, keys: list[str], value: str, out: str,
-                        offset: str | None = None, n_col: str = "_n") -> DataFrame:
-    """Median from (group, value, count) rows: running counts over the sorted values.
+def _quantile_from_counts(counted: DataFrame, keys: list[str], value: str, out: str, q: float = 0.5,
+                          offset: str | None = None, n_col: str = "_n") -> DataFrame:
+    """Quantile (linear interpolation) from (group, value, count) rows: running counts over the sorted values.
 
     ``offset`` (per group) is the number of values below the rows given, so the
     ranks stay those of the whole group.
@@ -296,31 +296,32 @@ def _median_from_counts(counted: DataFrame, keys: list[str], value: str, out: st
     w_run = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     off = F.col(offset) if offset else F.lit(0)
     ranked = counted.select(*keys, value, "_c", n_col, off.alias("_off"), F.sum("_c").over(w_run).alias("_cum"))
-    lo = F.floor((F.col(n_col) - 1) / 2)
-    hi = F.ceil((F.col(n_col) - 1) / 2)
+    at = (F.col(n_col) - 1) * F.lit(q)
     prev = F.col("_off") + F.col("_cum") - F.col("_c")
     cum = F.col("_off") + F.col("_cum")
     holds = lambda r: (prev <= r) & (r < cum)
     v = F.col(value).cast("double")
-    return ranked.groupBy(*keys).agg(((F.max(F.when(holds(lo), v)) + F.max(F.when(holds(hi), v))) / F.lit(2.0)).alias(out))
+    found = ranked.groupBy(*keys).agg(F.max(F.when(holds(F.floor(at)), v)).alias("_low"), F.max(F.when(holds(F.ceil(at)), v)).alias("_high"),
+                                      F.max(at - F.floor(at)).alias("_share"))
+    return found.select(*keys, (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_share")).alias(out))
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, out: str, accuracy: int = 10_000) -> DataFrame:
-    """Exact median (linear interpolation, nulls skipped) per group, safe for one huge group.
+def exact_quantile(df: DataFrame, keys: list[str], value: str, out: str, q: float = 0.5, accuracy: int = 10_000) -> DataFrame:
+    """Exact quantile (linear interpolation, nulls skipped) per group, safe for one huge group.
 
     1. A mergeable quantile sketch (``percentile_approx``, partially aggregated,
        so a hot group never sits in one task) gives per group two values
-       ``lo <= median <= hi`` whose ranks are guaranteed within ``n/accuracy`` of
-       0.5 +- 2/accuracy, i.e. a band holding about 4/accuracy of the group.
+       ``lo <= quantile <= hi`` whose ranks are guaranteed within ``n/accuracy`` of
+       q +- 2/accuracy, i.e. a band holding about 4/accuracy of the group.
     2. Values below ``lo`` are only counted; values inside the band are counted
        per distinct value and ranked with a sort-based window, so the per-group
        sorted part is ~0.04 % of the group instead of all of it.
-    3. The band is verified per group (the two median ranks must fall inside);
-       a group that fails is recomputed over all of its values, so the result
-       is exact in every case.
+    3. The band is verified per group (the two ranks must fall inside); a group
+       that fails is recomputed over all of its values, so the result is exact
+       in every case.
     """
     vals = df.filter(F.col(value).isNotNull()).select(*keys, value)
-    p_lo, p_hi = max(0.0, 0.5 - 2.0 / accuracy), min(1.0, 0.5 + 2.0 / accuracy)
+    p_lo, p_hi = max(0.0, q - 2.0 / accuracy), min(1.0, q + 2.0 / accuracy)
     stats = vals.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx(F.col(value).cast("double"), F.array(F.lit(p_lo), F.lit(p_hi)), accuracy).alias("_band"))
@@ -331,15 +332,15 @@ def exact_median(df: DataFrame, keys: list[str], value: str, out: str, accuracy:
     tagged = join_null_safe(vals, stats, keys)
     below = tagged.groupBy(*keys).agg(F.count_if(v < F.col("_lo")).alias("_below"),
                                       F.count_if((v >= F.col("_lo")) & (v <= F.col("_hi"))).alias("_inside"))
+    at = (F.col("_n") - 1) * F.lit(q)
     checked = join_null_safe(stats, below, keys).withColumn(
-        "_ok", (F.col("_below") <= F.floor((F.col("_n") - 1) / 2))
-        & (F.ceil((F.col("_n") - 1) / 2) < F.col("_below") + F.col("_inside")))
+        "_ok", (F.col("_below") <= F.floor(at)) & (F.ceil(at) < F.col("_below") + F.col("_inside")))
     band = tagged.filter((v >= F.col("_lo")) & (v <= F.col("_hi"))).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
     good = checked.filter("_ok").select(*keys, "_n", "_below")
-    fast = _median_from_counts(join_null_safe(band, good, keys), keys, value, out, offset="_below")
+    fast = _quantile_from_counts(join_null_safe(band, good, keys), keys, value, out, q, offset="_below")
     bad = checked.filter(~F.col("_ok")).select(*keys, "_n")
     full = join_null_safe(vals, bad, keys).groupBy(*keys, value, "_n").agg(F.count(F.lit(1)).alias("_c"))
-    return fast.unionByName(_median_from_counts(full, keys, value, out))
+    return fast.unionByName(_quantile_from_counts(full, keys, value, out, q))
 
 
 def summary(leads: DataFrame, pdeals_canon: DataFrame, partners: DataFrame, penetration_df: DataFrame) -> DataFrame:
@@ -378,7 +379,7 @@ def summary(leads: DataFrame, pdeals_canon: DataFrame, partners: DataFrame, pene
         F.avg(F.when(won, F.col("sales_touches_total"))).alias("avg_sales_touches_to_close"),
         F.lit(True).alias("_close_hit"),
     )
-    median_m = exact_median(closes.filter(won).select(*PERIOD_KEYS, "amount"), PERIOD_KEYS, "amount", "median_deal_size")
+    median_m = exact_quantile(closes.filter(won).select(*PERIOD_KEYS, "amount"), PERIOD_KEYS, "amount", "median_deal_size")
 
     # Spine and metric tables share the key (partner_id, period_type, period_start_date):
     # one union + group-by lines them up in a single shuffle (grouping treats the
@@ -400,11 +401,10 @@ def summary(leads: DataFrame, pdeals_canon: DataFrame, partners: DataFrame, pene
     revenue = F.when(F.col("_close_hit").isNull(), F.lit(0).cast("decimal(28,2)")).otherwise(F.col("revenue_closed_won"))
     j = j.withColumn("_leads", leads_n).withColumn("_deals", deals_n).withColumn("_won", won_n).withColumn("_rev", revenue)
 
-    # Totals per period over all partners: a window per period (one row per partner in it).
-    w_period = Window.partitionBy("period_type", "period_start_date")
-    j = j.withColumn("all_partners_leads", F.sum("_leads").over(w_period)) \
-         .withColumn("all_partners_deals", F.sum("_deals").over(w_period)) \
-         .withColumn("all_partners_revenue", F.sum("_rev").over(w_period))
+    # Totals per period over all partners, summed in part before the shuffle and joined back.
+    totals = j.groupBy("period_type", "period_start_date").agg(
+        F.sum("_leads").alias("all_partners_leads"), F.sum("_deals").alias("all_partners_deals"), F.sum("_rev").alias("all_partners_revenue"))
+    j = join_null_safe(j, totals, ["period_type", "period_start_date"], "left")
 
     lp = penetration_df.groupBy("partner_id").agg(
         F.max_by(F.struct("partner_name", "penetration_rate", "total_customer_count", "our_customer_count"),

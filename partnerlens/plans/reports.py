@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partnerlens.functions import columns as X
+from partnerlens.operators.marts import exact_quantile
 
 PERIODS = ("all", "ytd", "last_12m", "qtd", "mtd")
 
@@ -251,10 +252,10 @@ def d_form_breakdown(leads: DataFrame) -> DataFrame:
 
 def d_time_to_touch(leads: DataFrame) -> DataFrame:
     """Hours to first sales touch per partner: mean, median, p90 (exact)."""
-    h = F.col("hours_to_first_sales_touch")
-    return leads.filter(F.col("partner_id").isNotNull()).groupBy("partner_id").agg(
-        F.avg(h).alias("avg_hours"), F.percentile(h, 0.5).alias("p50_hours"), F.percentile(h, 0.9).alias("p90_hours"),
-        F.count(h).alias("n_touched"))
+    h, key = "hours_to_first_sales_touch", ["partner_id"]
+    ours = leads.filter(F.col("partner_id").isNotNull()).select("partner_id", h)
+    means = ours.groupBy(*key).agg(F.avg(h).alias("avg_hours"), F.count(h).alias("n_touched"))
+    return means.join(exact_quantile(ours, key, h, "p50_hours", 0.5), key, "left").join(exact_quantile(ours, key, h, "p90_hours", 0.9), key, "left")
 
 
 def d_rep_partner_matrix(reps: DataFrame) -> DataFrame:

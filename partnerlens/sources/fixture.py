@@ -92,34 +92,34 @@ def contacts(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
         "id": _s(k),
         "property_email": F.when(k % 97 == 0, F.lit("")).otherwise(
             F.concat(F.lit("User"), _s(k), F.lit("@Corp"), _s(k % 50), F.lit(".Example"))),
-        "property_firstname": _blank(),
-        "property_lastname": _blank(),
-        "property_company": _blank(),
-        "property_jobtitle": _blank(),
-        "property_industry": _blank(),
-        "property_numberofemployees": F.when(k % 13 == 0, F.lit("")).otherwise(_s(k % 1000)),
-        "property_annualrevenue": _s(F.col("c_acctbal").cast("decimal(18,2)")),
+        "property_firstname": F.when(k % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("First"), _s(k))),
+        "property_lastname": F.when(k % 6 != 0, F.concat(F.lit("Last"), _s(k % 100))),
+        "property_company": F.when(k % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("Company "), _s(k % 50))),
+        "property_jobtitle": F.when(k % 3 == 0, F.lit("CTO")).when(k % 3 == 1, F.lit("Buyer")),
+        "property_industry": F.concat(F.lit("ind"), _s(k % 7)),
+        "property_numberofemployees": F.when(k % 13 == 0, F.lit("")).when(k % 21 == 7, F.lit("many")).otherwise(_s(k % 1000)),
+        "property_annualrevenue": F.when(k % 23 == 5, F.lit("n/a")).otherwise(_s(F.col("c_acctbal").cast("decimal(18,2)"))),
         "property_lifecyclestage": lifecycle,
         "property_hs_lead_status": F.when(k % 17 == 0, F.lit("UNQUALIFIED")).when(k % 19 == 0, F.lit("bad_fit")).otherwise(F.lit("OPEN")),
-        "property_createdate": _iso(created),
-        "property_hs_lifecyclestage_lead_date": _blank(),
-        "property_hs_lifecyclestage_marketingqualifiedlead_date": F.when(
+        "property_createdate": F.when(k % 47 == 3, F.lit("soon")).when(k % 49 == 4, F.lit("")).otherwise(_iso(created)),
+        "property_hs_lifecyclestage_lead_date": F.when(k % 2 == 0, _iso(created)).otherwise(F.lit("")),
+        "property_hs_lifecyclestage_marketingqualifiedlead_date": F.when(k % 31 == 8, F.lit("not a date")).when(
             (k % 6).isin(2, 3, 4) & (k % 4 != 0), _iso(mql_at)).otherwise(F.lit("")),
-        "property_hs_lifecyclestage_salesqualifiedlead_date": _blank(),
-        "property_hs_lifecyclestage_opportunity_date": _blank(),
-        "property_hs_lifecyclestage_customer_date": _blank(),
+        "property_hs_lifecyclestage_salesqualifiedlead_date": F.when(k % 12 == 3, _iso(mql_at)),
+        "property_hs_lifecyclestage_opportunity_date": F.when(k % 6 == 3, _iso(mql_at)).otherwise(F.lit("")),
+        "property_hs_lifecyclestage_customer_date": F.when(k % 6 == 4, _iso(mql_at)).otherwise(F.lit("")),
         "property_hs_analytics_source": F.when(k % 8 == 3, F.lit("REFERRALS")).otherwise(F.lit("ORGANIC_SEARCH")),
         "property_hs_analytics_source_data_1": F.when(k % 8 == 3, F.concat(F.lit(" "), F.lower("n_name"))),
         "property_hs_analytics_source_data_2": F.when(k % 16 == 3, F.concat(F.lit("NATION_"), _s(k % 20))),
-        "property_hs_latest_source": _blank(),
-        "property_hs_latest_source_data_1": _blank(),
+        "property_hs_latest_source": F.when(k % 3 == 0, F.lit("DIRECT_TRAFFIC")),
+        "property_hs_latest_source_data_1": F.concat(F.lit("d"), _s(k % 5)),
         "property_hs_latest_source_data_2": _blank(),
         "property_hubspot_owner_id": _s(k % 10),
         "property_referring_partner": F.when(k % 10 == 0, F.concat(F.lit("  "), F.lower("n_name"), F.lit(" ")))
         .when(k % 40 == 5, F.lit("Unlisted Partner")).otherwise(F.lit("")),
-        "property_lead_origin": _blank(),
-        "property_lead_source": _blank(),
-        "property_partner_source": _blank(),
+        "property_lead_origin": F.when(k % 9 == 0, F.lit(" Partner Referral (Partner) ")).otherwise(F.lit("")),
+        "property_lead_source": F.when(k % 9 == 1, F.lit("PARTNER")),
+        "property_partner_source": F.when(k % 9 == 2, F.lit(" met at a fair ")),
         "_fivetran_synced": _days(F.lit(as_of), -(k % 30)),
         "_archived": k % 101 == 0,
     }
@@ -150,23 +150,23 @@ def deals(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
         "deal_id": _s(k),
         "property_dealname": F.concat(F.lit("Company "), _s(F.col("o_custkey") % 300),
                                       F.when(k % 5 == 0, F.lit(" expansion")).otherwise(F.lit(""))),
-        "property_pipeline": _blank(),
-        "property_dealstage": stage,
-        "property_hs_deal_stage_probability": _blank(),
+        "property_pipeline": F.concat(F.lit("pipe"), _s(k % 2)),
+        "property_dealstage": F.when(k % 29 != 9, stage),
+        "property_hs_deal_stage_probability": F.when(k % 5 == 0, F.lit("")).when(k % 21 == 3, F.lit("high")).otherwise(F.concat(F.lit("0."), _s(k % 10))),
         "property_amount": F.when(k % 53 == 0, F.lit("")).otherwise(_s(F.col("o_totalprice").cast("decimal(18,2)"))),
-        "property_amount_in_home_currency": _blank(),
-        "property_createdate": _iso(F.col("o_orderdate")),
+        "property_amount_in_home_currency": F.when(k % 2 == 0, _s(F.col("o_totalprice").cast("decimal(18,2)"))).otherwise(F.lit("")),
+        "property_createdate": F.when(k % 33 == 6, F.lit("unknown")).otherwise(_iso(F.col("o_orderdate"))),
         "property_closedate": F.when(closed, _iso(_days(F.col("o_orderdate"), close_shift))).otherwise(F.lit("")),
         "property_hs_closed_won_date": F.when(won & (k % 4 != 0), _iso(_days(F.col("o_orderdate"), k % 90))).otherwise(F.lit("")),
         "property_hs_is_closed_won": F.when(k % 31 == 0, F.lit("")).when(won, F.lit("true")).otherwise(F.lit("false")),
         "property_hs_is_closed": F.when(k % 3 == 0, F.lit("")).when(closed, F.lit("true")).otherwise(F.lit("false")),
-        "property_dealtype": _blank(),
+        "property_dealtype": F.when(k % 2 == 0, F.lit("existingbusiness")).otherwise(F.lit("newbusiness")),
         "property_hubspot_owner_id": _s(k % 11),
         "property_deal_source": F.element_at(F.array(*[F.lit(v) for v in DEAL_SOURCE_BY_MOD4]), (k % 4 + 1).cast("int")),
         "property_referring_partner": F.when((k % 6).isin(0, 1), F.col("n_name"))
         .when((k % 24).isin(2, 8), F.lit("Unlisted Partner")).otherwise(F.lit("")),
-        "property_deal_source_detail": _blank(),
-        "_fivetran_synced": _days(F.lit(as_of), -(k % 30)),
+        "property_deal_source_detail": F.when(k % 3 == 0, F.lit(" by phone ")),
+        "_fivetran_synced": _days(F.lit(as_of), -(k % 30)) - F.expr("INTERVAL 10 HOURS"),
         "_archived": k % 103 == 0,
     }
     return (
@@ -216,7 +216,7 @@ def engagements(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
         F.when(click, F.when(e % 2 == 0, F.lit("INCOMING")).otherwise(F.lit("outgoing"))).alias("email_metadata_direction"),
         F.when(click, F.concat(F.lit("Rep@Nation"), _s(u % 25), F.lit(".Example"))).alias("email_metadata_from_email"),
         _blank().alias("email_metadata_subject"),
-        F.lit(as_of).cast("timestamp_ntz").alias("_fivetran_synced"),
+        (F.lit(as_of).cast("timestamp_ntz") - F.expr("INTERVAL 30 HOURS")).alias("_fivetran_synced"),
         F.lit(False).alias("_archived"),
     )
 

@@ -42,17 +42,27 @@ def test_exact_median_matches_numpy(spark):
     rows += [(None, float(x)) for x in (4, 1, 3)]  # a null group key (all_time periods) must still match
     df = spark.createDataFrame(rows, "g string, v double")
     for acc in (10_000, 100, 1):
-        got = {r.g: r.m for r in K.exact_median(df, ["g"], "v", "m", accuracy=acc).collect()}
+        got = {r.g: r.m for r in K.exact_quantile(df, ["g"], "v", "m", accuracy=acc).collect()}
         for g in ["a", "b", "c", "hot", None]:
             vals = [v for gg, v in rows if gg == g]
             assert abs(got[g] - float(np.median(vals))) < 1e-9, (acc, g)
         assert "d" not in got  # a group with only nulls has no median row (left join gives null)
 
 
+def test_exact_quantile_matches_numpy(spark):
+    rnd = random.Random(9)
+    rows = [(g, rnd.random() * 100) for g in "ab" for _ in range(rnd.randint(1, 40))] + [("hot", float(rnd.randint(0, 9999))) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    for q in (0.1, 0.9, 0.99, 1.0):
+        got = {r.g: r.m for r in K.exact_quantile(df, ["g"], "v", "m", q, accuracy=100).collect()}
+        for g in ("a", "b", "hot"):
+            assert abs(got[g] - float(np.quantile([v for x, v in rows if x == g], q))) < 1e-9
+
+
 def test_median_fallback_path_is_exact(spark):
     df = spark.createDataFrame([("g", float(x)) for x in [5, 1, 9, 3, 7, 7]], "g string, v double")
     counted = df.groupBy("g", "v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_n", F.lit(6))
-    assert K._median_from_counts(counted, ["g"], "v", "m").first().m == 6.0
+    assert K._quantile_from_counts(counted, ["g"], "v", "m").first().m == 6.0
 
 
 def _touch_fixture(spark):
