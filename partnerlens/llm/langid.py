@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from partnerlens.llm.common import arrow_rows, utf8, values
+from partnerlens.llm.common import arrow_rows, others, utf8, values, written
 
 BUCKETS = 1 << 16
 #: Sample of labelled rows for the fit: at most so many of each language.
@@ -160,8 +160,13 @@ def train(docs: DataFrame, learnable: Column, aside: Column, id_col: str = "doc_
             if len(at):
                 yield lang, a, at.astype("<u2").tobytes(), n.astype("<u4").tobytes()
 
+    # Texts of twice the rows asked for are shuffled, by their ids' hashes; rows without an id have one hash.
+    # The list of languages is written, so that its size is known before the texts are moved.
+    number, _ = written(ours.groupBy(F.col("lang").alias("l")).agg(F.count("*").alias("total")), "languages")
+    near = ours.join(number, F.col("lang") == F.col("l")).filter(
+        F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 30)) / (1 << 30) * F.col("total") <= 2 * rows_per_lang)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    sample = ours.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= rows_per_lang).drop("place")
+    sample = near.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= rows_per_lang).select("lang", "aside", "text")
     rows = sample.mapInArrow(arrow_rows(schema, counted, lambda r: len(r[2]) + len(r[3])), "lang string, aside boolean, at binary, n binary").collect()
     rows.sort(key=lambda r: (r["lang"], bytes(r["at"]), bytes(r["n"])))
     return fit([(r["lang"], r["aside"], np.frombuffer(r["at"], "<u2").astype(np.int64), np.frombuffer(r["n"], "<u4").astype(np.float64)) for r in rows], idf)
@@ -174,7 +179,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     two names are replaced.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    kept = others(docs, "lang_pred", "score")
     picked = docs.select(F.struct(*kept).alias("row"), F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"))
 
     def run(batches):
