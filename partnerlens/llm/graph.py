@@ -17,23 +17,21 @@ def components(edges: DataFrame) -> DataFrame:
     are grouped, so a node of very many edges is no hot spot. Nodes without an
     edge to another node are not returned.
     """
-    now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct()
-    now, path = written(now, "edges")
-    before = _state(now)
-    while before[0]:
+    spark = edges.sparkSession
+    now, path = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct(), "edges")
+    state, before = _state(now), None
+    while state[0] and state != before:
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
         large = large.union(least.select("a", F.col("least").alias("b"))).filter("a > b").distinct()
+        large, large_path = written(large, "edges")
+        drop_path(spark, path)
         least = large.groupBy("a").agg(F.min("b").alias("least"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).union(least)
-        after, new_path = written(small.filter("a > b").distinct(), "edges")
-        drop_path(now.sparkSession, path)
-        now, path = after, new_path
-        state = _state(now)
-        if state == before:
-            break
-        before = state
+        now, path = written(small.filter("a > b").distinct(), "edges")
+        drop_path(spark, large_path)
+        state, before = _state(now), state
     nodes = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = now.select(F.col("b").alias("node")).distinct()
     return nodes.union(roots.select("node", F.col("node").alias("component")))

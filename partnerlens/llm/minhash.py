@@ -3,21 +3,24 @@
 Every document gives the set of its distinct word shingles. Documents with
 equal sets are one class from then on, so a group of copies is never expanded.
 A class keeps the low BITS bits of HASHES minima, packed, and a key for each
-band of ROWS full minima.
+of BANDS bands of ROWS full minima.
 
 Links are searched so that no bucket is paired with itself as a whole:
-1. In each bucket the smallest class is compared with every other one.
-2. Components of the confirmed links are built. In buckets that still hold
-   several components, classes of different components are compared, where
-   the bucket has at most SMALL classes.
+1. In each bucket the smallest class is compared with every other one. Each
+   class gets the label of the smallest one that confirmed links lead to in
+   two steps; equal labels mean that classes are connected.
+2. In buckets that still hold several labels, classes of different labels are
+   compared, where the bucket has at most SMALL classes.
 3. For the classes in larger ones of these buckets, prefixes are joined: two
    sets as similar as asked share one of their rarest shingles, of which
-   1 - similarity of each set suffices. That loses no link, and what very
+   1 - similarity of each set suffices, and for one of the two sets
+   (1 - similarity) / (1 + similarity). What stands after the first shared
+   one bounds what two sets have in common. That loses no link, and what very
    many classes share (a passage) is in few prefixes.
 Pairs first pass the similarity that the packed bits estimate, corrected for
-chance collisions, with a margin of seven standard deviations; the others are
-confirmed exactly on the full sets. A pair at the bound itself shares none of
-the bands with a probability of 3e-7.
+chance collisions, with a margin of more than five standard deviations; the
+others are confirmed exactly on the full sets. A pair at the bound itself
+shares none of the bands with a probability of 3e-7.
 """
 
 from __future__ import annotations
@@ -25,19 +28,22 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partnerlens.llm.common import arrow_rows, drop_path, utf8, values, written
+from partnerlens.llm.common import arrow_rows, drop_path, let_go, utf8, values, written
 from partnerlens.llm.graph import components
 from partnerlens.llm.shingles import shingles
 
 BANDS, ROWS, BITS = 40, 4, 4
-HASHES = BANDS * ROWS
+#: The first BANDS * ROWS of them make bands; all of them make the estimate.
+HASHES = 320
 #: Classes in a bucket that are still compared with each other.
-SMALL = 64
-#: What an estimate may lack of the similarity asked for: seven standard deviations.
-MARGIN = 0.27
+SMALL = 256
+#: Size of the table of shingle counts by which prefixes are ordered.
+SLOTS = 1 << 21
+#: What an estimate may lack of the similarity asked for; a standard deviation is 0.025.
+MARGIN = 0.13
 
 _random = np.random.default_rng(20240229)
 _FACTORS = _random.integers(1, 1 << 62, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -60,7 +66,7 @@ def packed_bits(least: np.ndarray) -> np.ndarray:
 def band_keys(least: np.ndarray) -> np.ndarray:
     """A 64-bit key for each band; different bands have different keys."""
     h = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for column in least.reshape(BANDS, ROWS).T:
+    for column in least[: BANDS * ROWS].reshape(BANDS, ROWS).T:
         h = (h ^ column) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
     return h.view(np.int64)
@@ -130,27 +136,51 @@ def fitting(na: str, nb: str, percent: int) -> Column:
     return 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
 
 
-def by_prefix(classes: DataFrame, docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """Pairs (a, b) of classes of different components that share one of the rarest shingles of their sets."""
-    schema = pa.schema([("rep", pa.int64()), ("shingle", pa.int64())])
-    texts = docs.select(F.col(id_col).cast("long").alias("rep"), utf8(text_col).alias("text"))
-    texts = texts.join(classes.select("rep"), "rep", "left_semi").dropDuplicates(["rep"])
+def by_prefix(classes: DataFrame, docs: DataFrame, size: int, percent: int, id_col: str, text_col: str, slots: int = SLOTS) -> DataFrame:
+    """Pairs (a, b) of classes of different labels that share one of the rarest shingles of their sets.
+
+    Any order of shingles that is the same for all sets loses no link. Here it
+    is by counts in a table of fixed size, which tasks can hold: a shingle's
+    slot may count others too, so it is only about its frequency.
+    """
+    spark = docs.sparkSession
+    texts = docs.select(F.col(id_col).cast("long").alias("rep"), utf8(text_col).alias("text")).dropDuplicates(["rep"])
+    texts, path = written(texts.join(classes.select("rep", "label", "bits"), "rep"), "texts")
+
+    def tally(batches):
+        counts = np.zeros(slots, np.int64)
+        for batch in batches:
+            for raw in values(batch, "text"):
+                np.add.at(counts, shingles(raw, size) % np.uint64(slots), 1)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["slot", "n"])
+
+    found = texts.select("text").mapInArrow(tally, "slot long, n long").groupBy("slot").agg(F.least(F.sum("n"), F.lit(255)).alias("n")).toPandas()
+    table = np.zeros(slots, np.uint8)
+    table[found["slot"].to_numpy()] = found["n"].to_numpy()
+    held = spark.sparkContext.broadcast(table)
+    schema = pa.schema([("rep", pa.int64()), ("label", pa.int64()), ("n", pa.int64()), ("place", pa.int64()), ("shingle", pa.int64()), ("bits", pa.list_(pa.int64()))])
 
     def rows(batch):
-        for rep, raw in zip(values(batch, "rep"), values(batch, "text")):
-            for h in shingles(raw, size).view(np.int64).tolist():
-                yield rep, h
-
-    found = texts.mapInArrow(arrow_rows(schema, rows, lambda _: 16), "rep long, shingle long")
-    found = found.join(found.groupBy("shingle").agg(F.count("*").alias("df")), "shingle")
-    place = F.row_number().over(Window.partitionBy("rep").orderBy("df", "shingle"))
-    found = found.withColumn("place", place).join(classes.select("rep", "component", "n"), "rep")
-    need = F.ceil(F.col("n") * percent / 100)
-    found = found.filter((F.col("place") <= F.col("n") - need + 1) & (F.col("df") > 1)).select("shingle", "rep", "component", "n")
-    left, right = found.alias("l"), found.alias("r")
-    unlike = (F.col("l.rep") < F.col("r.rep")) & (F.col("l.component") != F.col("r.component"))
-    pairs = left.join(right, (F.col("l.shingle") == F.col("r.shingle")) & unlike & fitting("l.n", "r.n", percent))
-    return pairs.select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b")).distinct()
+        counts = held.value
+        for rep, label, raw, bits in zip(*(values(batch, c) for c in ("rep", "label", "text", "bits"))):
+            own = shingles(raw, size)
+            often = counts[own % np.uint64(slots)]
+            order = np.lexsort((own, often))
+            last = (100 - percent) * len(own) // 100 + 1
+            for place in range(int((often == 1).sum()), min(last, len(own))):  # those counted once are in no other set
+                yield rep, label, len(own), place + 1, int(own[order[place]].view(np.int64)), bits
+
+    found, _ = written(texts.mapInArrow(arrow_rows(schema, rows, lambda _: 160), "rep long, label long, n long, place long, shingle long, bits array<long>"), "prefixes")
+    drop_path(spark, path)
+    short = found.filter((100 + percent) * F.col("place") <= (100 - percent) * F.col("n") + 100 + percent)
+    left, right = short.alias("l"), found.alias("r")
+    # If it is the first one that both share, they share no more than what is left of either set.
+    most = F.least(F.col("l.n") - F.col("l.place"), F.col("r.n") - F.col("r.place")) + 1
+    near = (F.col("l.label") != F.col("r.label")) & fitting("l.n", "r.n", percent) & ((100 + percent) * most >= percent * (F.col("l.n") + F.col("r.n")))
+    near = near & (estimate("l.bits", "r.bits") >= percent / 100 - MARGIN)
+    pairs = left.join(right, (F.col("l.shingle") == F.col("r.shingle")) & near)
+    return pairs.select(F.least("l.rep", "r.rep").alias("a"), F.greatest("l.rep", "r.rep").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text", small: int = SMALL) -> DataFrame:
@@ -164,42 +194,59 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
     component and is kept. Other columns are not read.
     """
     spark = docs.sparkSession
-    signed, _ = written(signatures(docs, size, id_col, text_col), "signatures")
+    signed, signed_path = written(signatures(docs, size, id_col, text_col), "signatures")
     known = signed.filter(F.col("id").isNotNull() & F.col("set_key").isNotNull())
     first = known.groupBy("set_key").agg(F.min("id").alias("rep"))
     firsts = known.join(first.withColumnRenamed("set_key", "key"), (F.col("set_key") == F.col("key")) & (F.col("id") == F.col("rep")), "left_semi")
     classes, classes_path = written(firsts.select(F.col("id").alias("rep"), F.col("n_shingles").alias("n"), "bits", "bands").dropDuplicates(["rep"]), "classes")
 
+    ids, _ = written(signed.select("id", "n_shingles", "set_key"), "ids")
+    first, _ = written(first, "firsts")
+    drop_path(spark, signed_path)
+    let_go(spark)
+
     # 1. Each bucket's smallest class with every other one.
     entries = classes.select("rep", F.explode("bands").alias("bucket"))
     buckets = entries.groupBy("bucket").agg(F.min("rep").alias("least"), F.count("*").alias("members")).filter("members > 1")
     shared, shared_path = written(entries.join(buckets, "bucket").select("bucket", "rep", "least", "members"), "buckets")
     stars = likely(shared.select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct(), classes, percent)
+    let_go(spark)
     links, links_path = written(confirmed(stars, docs, size, percent, id_col, text_col), "links")
-
-    # 2. What is left in buckets of several components.
-    part, part_path = written(components(links), "components")
-    here = shared.join(part.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = here.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("bucket")
-    here, here_path = written(here.join(mixed, "bucket").select("bucket", "rep", "least", "members", "component"), "mixed")
+    let_go(spark)
+
+    # 2. What is left in buckets of several labels.
+    up = links.groupBy(F.col("b").alias("rep")).agg(F.min("a").alias("label"))
+    up = up.join(up.select(F.col("rep").alias("label"), F.col("label").alias("higher")), "label", "left")
+    up = up.select("rep", F.coalesce("higher", "label").alias("label"))
+    here = shared.join(up, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    here, here_path = written(here.select("bucket", "rep", "least", "members", "label"), "labelled")
+    drop_path(spark, shared_path)
+    slim, slim_path = written(classes.select("rep", "n", "bits"), "classes")
+    drop_path(spark, classes_path)
+    classes, classes_path = slim, slim_path
+    mixed = here.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("bucket")
+    here, mixed_path = written(here.join(mixed, "bucket"), "mixed")
+    drop_path(spark, here_path)
+    let_go(spark)
     few = here.filter((F.col("members") <= small) & (F.col("rep") != F.col("least")))  # the smallest one has been compared
     few = few.join(classes.select("rep", "n", "bits"), "rep")
     left, right = few.alias("l"), few.alias("r")
-    unlike = (F.col("l.rep") < F.col("r.rep")) & (F.col("l.component") != F.col("r.component")) & fitting("l.n", "r.n", percent)
+    unlike = (F.col("l.rep") < F.col("r.rep")) & (F.col("l.label") != F.col("r.label")) & fitting("l.n", "r.n", percent)
     pairs = left.join(right, (F.col("l.bucket") == F.col("r.bucket")) & unlike & (estimate("l.bits", "r.bits") >= percent / 100 - MARGIN))
-    pairs = pairs.select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b")).distinct()
+    pairs, pairs_path = written(pairs.select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b")).distinct(), "pairs")
 
     # 3. Larger ones of them.
-    many = here.filter(F.col("members") > small).select("rep", "component").distinct().join(classes.select("rep", "n"), "rep")
-    pairs = pairs.union(likely(by_prefix(many, docs, size, percent, id_col, text_col), classes, percent)).distinct()
-    more, more_path = written(confirmed(pairs, docs, size, percent, id_col, text_col), "links")
+    many = here.filter(F.col("members") > small).select("rep", "label").distinct().join(classes.select("rep", "bits"), "rep")
+    more, more_path = written(by_prefix(many, docs, size, percent, id_col, text_col), "pairs")
+    let_go(spark)
+    more, found_path = written(confirmed(pairs.union(more).distinct(), docs, size, percent, id_col, text_col), "links")
 
-    both = part.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
-    found, _ = written(components(both), "components")
-    for path in (classes_path, shared_path, links_path, part_path, here_path, more_path):
+    found = components(links.union(more))
+    for path in (classes_path, links_path, mixed_path, pairs_path, more_path, found_path):
         drop_path(spark, path)
 
-    ids = signed.select("id", "n_shingles", "set_key").join(first, "set_key", "left")
+    let_go(spark)
+    ids = ids.join(first, "set_key", "left")
     ids = ids.join(found.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.coalesce("component", "rep", "id")
     out = ids.select(F.col("id").alias(id_col), "n_shingles", F.when(F.col("id").isNotNull(), component).alias("component_id"))

@@ -14,7 +14,7 @@ _known: dict[bytes, int] = {}
 def word_hashes(raw: bytes) -> np.ndarray:
     """A 64-bit hash of each word `[^\\x20\\x09-\\x0D]+`, A-Z lower-cased; remembered within a bound."""
     words = raw.lower().split()
-    forget(_known)
+    forget(_known, 250_000)
     for w in set(words).difference(_known):
         _known[w] = xxhash.xxh3_64_intdigest(w)
     return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
