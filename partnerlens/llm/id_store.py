@@ -23,6 +23,8 @@ from __future__ import annotations
 
 import functools
 import os
+import re
+import string
 import struct
 import uuid
 from collections.abc import Iterator
@@ -34,9 +36,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from partnerlens.llm.common import arrow_rows, forget, new_path, utf8, values, written
+from partnerlens.llm.common import REMEMBERED, arrow_rows, forget, new_path, utf8, values, written
 
 MAGIC = b"PFORIDS1"
+_UPPER = string.ascii_uppercase + "".join(chr(c) for c in range(0xC0, 0xDF) if c != 0xD7)
 BLOCK = 512
 #: Ids that are encoded or decoded at once, a multiple of BLOCK.
 CHUNK = BLOCK * 1024
@@ -50,12 +53,12 @@ def encode_blocks(ids: np.ndarray, percentile: float = 0.9) -> tuple[bytes, np.n
         return b"", np.zeros(0, np.int64)
     counts = np.full(n, BLOCK)
     counts[-1] = len(ids) - BLOCK * (n - 1)
-    grid = np.concatenate([ids, np.full(n * BLOCK - len(ids), ids[-1])]).astype(np.uint64).reshape(n, BLOCK)
+    grid = np.concatenate([ids, np.full(n * BLOCK - len(ids), ids[-1])]).astype(np.uint32).reshape(n, BLOCK)
     low = grid.min(axis=1)
     grid -= low[:, None]
     at = min(BLOCK - 1, int(percentile * BLOCK))
     widths = np.array([int(x).bit_length() for x in np.partition(grid, at, axis=1)[:, at]])
-    over = grid >> widths[:, None].astype(np.uint64) != 0
+    over = grid > ((np.uint64(1) << widths.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)[:, None]
     over.reshape(-1)[len(ids):] = False
     exceptions = over.sum(axis=1)
     sizes = _HEAD + BLOCK // 8 * widths + 6 * exceptions
@@ -69,7 +72,7 @@ def encode_blocks(ids: np.ndarray, percentile: float = 0.9) -> tuple[bytes, np.n
     out[starts[:, None] + np.arange(_HEAD)] = head
     for width in np.unique(widths[widths > 0]).tolist():
         rows = np.flatnonzero(widths == width)
-        cells = (grid[rows] & np.uint64((1 << width) - 1)).reshape(len(rows), BLOCK // 64, 64)
+        cells = (grid[rows] & np.uint32((1 << width) - 1)).astype(np.uint64).reshape(len(rows), BLOCK // 64, 64)
         packed = np.zeros((len(rows), BLOCK // 64, width + 1), np.uint64)
         for j in range(64):
             word, shift = divmod(j * width, 64)
@@ -196,27 +199,109 @@ def read_shard(path: str) -> Iterator[tuple[int | None, int, bytes]]:
             at += n
 
 
+class Stretches(dict):
+    """Packed ids of stretches of text; one that is missing gets an empty place, which is noted and filled later."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, stretch: str) -> bytearray:
+        self.new.append(stretch)
+        place = self[stretch] = bytearray()
+        return place
+
+
 class Encoder:
     """Ids of texts by the tokenizers library, without special tokens, and an end id."""
 
+    #: A word of its own that stands between stretches which the library encodes in one text.
+    BETWEEN = "~"
+    #: A word and ASCII marks after it, which the library splits off too. (İ gets a mark when it is lower-cased.)
+    _MARKED = re.compile(r"([^\W\d_İ]+)([!-&(-/:-@\[-`{-~]+)")
+
     def __init__(self, path: str, end_id: int, cut: bool):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library, self.cut = Tokenizer.from_file(path), cut
         self.end = struct.pack("<I", end_id)
-        self.known: dict[str, bytes] = {}
+        self.known = Stretches()
+        between = self.library.encode(self.BETWEEN, add_special_tokens=False).ids
+        self.between = between[0] if len(between) == 1 else None
+        rule = self.library.normalizer
+        self.lowers = rule is not None and rule.normalize_str(_UPPER) == _UPPER.lower()
+        self.special = [t.content.lower() for t in self.library.get_added_tokens_decoder().values()]
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    def packed_words(self, words: list[str]) -> list[bytes]:
+        """The ids of each of some stretches: about a thousand go in one text, cut where the word between them stands."""
+        out = []
+        for k in range(0, len(words), 1000):
+            group = words[k : k + 1000]
+            ids = self.packed([f" {self.BETWEEN} ".join(group)])[0] if self.between is not None else b""
+            at = (4 * np.flatnonzero(np.frombuffer(ids, "<u4") == self.between)).tolist()
+            if len(at) == len(group) - 1 and not any(self.BETWEEN in w for w in group):
+                out += map(ids.__getitem__, map(slice, [0, *(x + 4 for x in at)], [*at, len(ids)]))
+            else:
+                out += self.packed(group)
+        return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [t.replace("\n", " ").split(" ") for t in texts] if self.cut else [[t] for t in texts]
-        forget(self.known)
-        new = list(set().union(*parts).difference(self.known))
-        for s, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[s] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-        out = [b"".join(map(self.known.__getitem__, p)) + self.end for p in parts]
+    def fill(self, new: list[str]) -> None:
+        """Encodes new stretches and fills their places; a word and the marks after it are encoded each for itself."""
+        known, split = self.known, self._MARKED.fullmatch
+        marked, plain = [], []
         for s in new:
-            if len(s) > 64:
-                del self.known[s]
+            if m := split(s):
+                word, marks = m.groups()
+                marked.append((known[s], known[word], known[marks]))  # places, of which some may be new
+            else:
+                plain.append(s)
+        plain += known.new
+        known.new = []
+        odd = [s for s in plain if self.BETWEEN in s]
+        if odd:
+            plain = [s for s in plain if self.BETWEEN not in s]
+        for s, ids in zip(plain + odd, self.packed_words(plain) + self.packed(odd)):
+            known[s].extend(ids)
+        for place, word, marks in marked:
+            place += word
+            place += marks
+
+    def lowered(self, text: str) -> str:
+        """A Latin-1 text in lower case, where the library makes it so and no special string could arise."""
+        if not self.lowers:
+            return text
+        try:
+            text.isascii() or text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+        low = text.lower()
+        return text if any(s in low for s in self.special) else low
+
+    def cuts(self, text: str) -> list[str]:
+        """The stretches of a text."""
+        text = self.lowered(text)
+        if text.isascii() and not any(c in text for c in "\x1c\x1d\x1e\x1f"):
+            return text.split()  # at all that is white space to the library too
+        return text.replace("\n", " ").split(" ")
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.cut:
+            return [ids + self.end for ids in self.packed(texts)]
+        known = self.known
+        forget(known, 2 * REMEMBERED)
+        get = known.__getitem__
+        found = [list(map(get, self.cuts(t))) for t in texts]
+        new, known.new = known.new, []
+        self.fill(new)
+        out = [b"".join(f) + self.end for f in found]
+        known.update(zip(new, map(bytes, map(get, new))))  # smaller than the places
+        for s in [s for s in new if len(s) > 64]:
+            del known[s]
         return out
 
 
@@ -235,9 +320,9 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, cu
     end id alone; null ids come first; rows that share an id are all written,
     in the order of their texts. shard_ids bounds a file (one document more).
 
-    cut_at_spaces: for tokenizers none of whose tokens holds a space or line
-    feed and that drop both; texts are then encoded in the stretches between
-    them, whose ids are remembered.
+    cut_at_spaces: for tokenizers that drop all white space, so that no token
+    holds any; texts are then encoded in the stretches between, whose ids are
+    remembered.
     """
     schema = pa.schema([("part", pa.int64()), ("number", pa.int64()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
 
@@ -287,7 +372,7 @@ def read_ids(manifest: DataFrame, id_col: str = "doc_id") -> DataFrame:
             for doc_id, at, packed in read_shard(path):
                 yield doc_id, start + at, packed
 
-    spread = manifest.select("path", "start").repartition("path")
+    spread = manifest.select("path", "start").repartition(max(1, manifest.count()), "path")  # a task for about each file
     return spread.mapInArrow(arrow_rows(schema, rows, lambda r: len(r[2]) + 24), f"`{id_col}` long, start long, token_ids binary")
 
 

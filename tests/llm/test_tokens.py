@@ -12,7 +12,7 @@ from partnerlens.llm import byte_bpe, id_store, token_count
 
 RANKS, WORDS = P.path("byte_bpe_50k.tiktoken"), P.path("word_bpe_49k.json")
 PARTS = ["a", "b", "th", "the", "T", " ", "  ", "\n", "\t", "'s", "'", "é", "É", "ß", "中", "😀", "1", "23", "\x1c", "\x85", " ", " ", "\r\n", "!", "??",
-         "́", "ﬁ", "Σ", "İ", "ΑΣ", "\x00", "\v", "\f", "\x1f", "--", "~", " ~ ", "a~b", "<|endoftext|>", "<|STARTOFTEXT|>", "<|startoftext|>", "DON'T", "word,"]
+         "́", "ﬁ", "Σ", "İ", "ΑΣ", "\x00", "\v", "\f", "\x1f", "\xa0", "À", "Œuf", "--", "~", " ~ ", "a~b", "<|endoftext|>", "<|STARTOFTEXT|>", "<|startoftext|>", "DON'T", "word,"]
 
 
 def texts(n, seed=1):
