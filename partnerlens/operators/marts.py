@@ -401,10 +401,15 @@ def summary(leads: DataFrame, pdeals_canon: DataFrame, partners: DataFrame, pene
     revenue = F.when(F.col("_close_hit").isNull(), F.lit(0).cast("decimal(28,2)")).otherwise(F.col("revenue_closed_won"))
     j = j.withColumn("_leads", leads_n).withColumn("_deals", deals_n).withColumn("_won", won_n).withColumn("_rev", revenue)
 
-    # Totals per period over all partners, summed in part before the shuffle and joined back.
-    totals = j.groupBy("period_type", "period_start_date").agg(
-        F.sum("_leads").alias("all_partners_leads"), F.sum("_deals").alias("all_partners_deals"), F.sum("_rev").alias("all_partners_revenue"))
-    j = join_null_safe(j, totals, ["period_type", "period_start_date"], "left")
+    # Totals per period over all partners: from the metric tables (all their rows are in the spine), summed in
+    # part before the shuffle and joined back.
+    period = ["period_type", "period_start_date"]
+    counts = lead_m.select(*period, "total_leads").unionByName(create_m.select(*period, "total_deals_created"), allowMissingColumns=True) \
+        .unionByName(close_m.select(*period, "revenue_closed_won"), allowMissingColumns=True)
+    totals = counts.groupBy(*period).agg(
+        F.sum("total_leads").alias("all_partners_leads"), F.sum("total_deals_created").alias("all_partners_deals"),
+        F.sum("revenue_closed_won").alias("all_partners_revenue"))
+    j = join_null_safe(j, totals, period, "left")
 
     lp = penetration_df.groupBy("partner_id").agg(
         F.max_by(F.struct("partner_name", "penetration_rate", "total_customer_count", "our_customer_count"),

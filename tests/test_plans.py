@@ -30,8 +30,8 @@ def test_no_nested_loop_joins(lazy, name):
     assert "NestedLoopJoin" not in txt and "CartesianProduct" not in txt
 
 
-def test_rankings_only_cross_joins_one_row(lazy):
-    txt = _plan(lazy.rankings)
+def test_rankings_only_cross_joins_one_row(models):
+    txt = _plan(models.rankings)
     assert txt.count("BroadcastNestedLoopJoin") <= 2  # the node and its formatted detail entry
     assert "CartesianProduct" not in txt
 
