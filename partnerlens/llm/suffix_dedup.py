@@ -30,14 +30,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partnerlens.llm.common import arrow_rows, drop_path, let_go, utf8, values, written
+from partnerlens.llm.common import arrow_rows, drop_path, let_go, small_batches, sole_memory, utf8, values, written
 from partnerlens.llm.suffixes import suffix_order
 
-GRAM = 20
+GRAM = 40
 #: Different stretches of one anchor that a task takes.
 MOST = 16_384
 #: Stretches that a task works on together (more only within one anchor).
 TOGETHER = 16_384
+#: The table of anchors that occur again has 2**25 bits, 4 MB, whatever their number.
+TABLE_BITS = 25
 
 _FACTOR = 0x9E3779B97F4A7C15
 _random = np.random.default_rng(20240301)
@@ -110,13 +112,54 @@ def _many(place):
     return (place & 127) + 1
 
 
-def find_stretches(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """anchor (hash), content (digest of the bytes), id and place of every stretch of texts (id, text)."""
+def count_anchors(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """anchor (hash) and n of all stretches, counted in part by tasks; further counts of an anchor may follow."""
+    schema = pa.schema([("anchor", pa.int64()), ("n", pa.int64())])
+
+    def run(batches):
+        sole_memory("suffix_dedup")
+        held: list[np.ndarray] = []
+        n = 0
+
+        def out() -> pa.RecordBatch:
+            anchors, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(anchors.view(np.int64)), pa.array(n)], schema=schema)
+
+        for batch in batches:
+            for raw in values(batch, "text"):
+                held.append(stretches(raw, length, gram)[0].astype(np.uint64))
+                n += len(held[-1])
+                if n >= 1_000_000:
+                    yield out()
+                    held, n = [], 0
+        if held:
+            yield out()
+
+    return texts.select("text").mapInArrow(run, "anchor long, n long")
+
+
+def anchor_bits(anchors: DataFrame, bits: int) -> np.ndarray:
+    """A table of 2**bits bits, those of the anchors set: its size does not depend on their number.
+
+    The low bits are taken: anchors are least hashes, so their high bits are mostly zero.
+    """
+    place = F.col("anchor").bitwiseAND(F.lit((1 << bits) - 1))
+    words = anchors.select(place.alias("place")).select(F.shiftrightunsigned("place", 6).alias("word"), F.expr("shiftleft(1L, cast(place & 63 AS int))").alias("bit"))
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    table = np.zeros(1 << (bits - 6), np.uint64)
+    table[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return table
+
+
+def find_stretches(texts: DataFrame, table: np.ndarray, length: int, gram: int) -> DataFrame:
+    """anchor (hash), content (digest of the bytes), id and place of every stretch of texts (id, text) whose anchor's bit is set."""
     schema = pa.schema([(c, pa.int64()) for c in ("anchor", "content", "id", "place")])
+    held_table = texts.sparkSession.sparkContext.broadcast(table)
+    mask = np.uint64(len(table) * 64 - 1)
 
     def run(batches):
         held: list[list[np.ndarray]] = []
-        n = 0
+        n, bits = 0, held_table.value
 
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], schema=schema)
@@ -124,8 +167,11 @@ def find_stretches(texts: DataFrame, length: int, gram: int) -> DataFrame:
         for batch in batches:
             for i, raw in zip(values(batch, "id"), values(batch, "text")):
                 anchor, _, start, many = stretches(raw, length, gram)
-                if not len(start):
+                bit = anchor & mask
+                kept = np.flatnonzero((bits[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1))
+                if not len(kept):
                     continue
+                anchor, start, many = anchor[kept], start[kept], many[kept]
                 ends = (start + many + (length - 1)).tolist()
                 content = np.array([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(start.tolist(), ends)], np.uint64)
                 held.append([anchor.view(np.int64), content.view(np.int64), np.full(len(start), i, np.int64), _place(_print(raw), start, many)])
@@ -237,7 +283,7 @@ def bucket_repeats(keys: np.ndarray, ids: np.ndarray, places: np.ndarray, texts:
 
 def group_repeats(length: int, gram: int, together: int):
     """For mapInArrow over rows sorted by anchor, id and place: the ranges of bucket_repeats, by id and place."""
-    schema = pa.schema([("id", pa.int64()), ("place", pa.int64()), ("from", pa.int64()), ("to", pa.int64())])
+    schema = pa.schema([("id", pa.int64()), ("place", pa.int64()), ("from", pa.int32()), ("to", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -247,10 +293,12 @@ def group_repeats(length: int, gram: int, together: int):
             found = bucket_repeats(np.array(keys, np.int64), np.array(ids, np.int64), np.array(places, np.int64), texts, np.array(anchors), length, gram)
             ranges = [(ids[r], places[r], x, y) for r, x, y in found]
             columns = zip(*ranges) if ranges else [[]] * 4
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
         for batch in batches:
             for row in zip(*(values(batch, c) for c in ("anchor", "id", "place", "bytes", "at"))):
+                if held and row[:3] == held[-1][:3]:
+                    continue  # of a repeated row
                 if len(held) >= together and row[0] != held[-1][0]:
                     yield out(held)
                     held = []
@@ -261,37 +309,42 @@ def group_repeats(length: int, gram: int, together: int):
     return run
 
 
-def removal_ranges(texts: DataFrame, length: int, gram: int, most: int, together: int) -> DataFrame:
-    """Ranges of bytes to remove from texts (id, text): id, place (of the stretch), from and to within the stretch."""
+def removal_ranges(texts: DataFrame, length: int, gram: int, most: int, together: int, bits: int) -> tuple[DataFrame, DataFrame]:
+    """What to remove from texts (id, text): whole stretches (id, place), and ranges (id, place, from and to within the stretch)."""
     spark = texts.sparkSession
-    every, path = written(find_stretches(texts, length, gram), "stretches")
-    again = every.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    every, found_path = written(every.join(again, "anchor"), "repeated")
-    drop_path(spark, path)
+    again = count_anchors(texts, length, gram).groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1")
+    again, again_path = written(again.select("anchor"), "anchors")
     let_go(spark)
+    table = anchor_bits(again, bits)
+    every, found_path = written(find_stretches(texts, table, length, gram), "stretches")
+    drop_path(spark, again_path)
 
     # Copies: all strings of a stretch start earlier, but for the first of equal ones.
     contents = every.groupBy("anchor", "content").agg(F.min(F.struct("id", "place")).alias("first"), F.count("*").alias("n"))
-    contents, _ = written(contents.select("anchor", "content", F.col("first.id").alias("first_id"), F.col("first.place").alias("first_place"), "n"), "contents")
+    contents, contents_path = written(contents.select("anchor", "content", F.col("first.id").alias("first_id"), F.col("first.place").alias("first_place"), "n"), "contents")
     let_go(spark)
     copies = every.join(contents.filter("n > 1").drop("n"), ["anchor", "content"]).filter("id != first_id or place != first_place")
-    copies = copies.select("id", "place", F.lit(0).cast("long").alias("from"), (F.col("place").bitwiseAND(127) + length).alias("to")).distinct()
+    copies, _ = written(copies.select("id", "place"), "copies")
+    drop_path(spark, found_path)
+    let_go(spark)
 
     # First ones whose anchor has several contents: their bytes come from the texts.
     size = contents.groupBy("anchor").agg(F.count("*").alias("contents")).filter("contents > 1")
     shared = contents.join(size, "anchor").select("anchor", F.col("first_id").alias("id"), F.col("first_place").alias("place"), "contents")
     few = with_bytes(texts, shared.filter(F.col("contents") <= most), length, gram)
     few = few.repartition("anchor").sortWithinPartitions("anchor", "id", "place")
-    ranges, _ = written(few.mapInArrow(group_repeats(length, gram, together), "id long, place long, from long, to long"), "ranges")
-    let_go(spark)
-    out = copies.union(ranges)
+    ranges, _ = written(few.mapInArrow(group_repeats(length, gram, together), "id long, place long, from int, to int"), "ranges")
+    out = ranges
     large = shared.filter(F.col("contents") > most)
-    if not large.isEmpty():
+    if large.isEmpty():
+        drop_path(spark, contents_path)
+    else:
         digests, _ = written(string_digests(texts, large, length, gram), "strings")
         least = digests.groupBy("d1", "d2").agg(F.min(F.struct("id", "start")).alias("least"), F.count("*").alias("n")).filter("n > 1")
         later = digests.join(least.drop("n"), ["d1", "d2"]).filter(F.struct("id", "start") != F.col("least"))
-        out = out.union(later.select("id", F.col("start").alias("place"), F.lit(0).cast("long").alias("from"), F.lit(length).cast("long").alias("to")))
-    return out
+        out = out.union(later.select("id", F.col("start").alias("place"), F.lit(0).alias("from"), F.lit(length).alias("to")))
+    let_go(spark)
+    return copies, out
 
 
 def _by_text(texts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -337,7 +390,7 @@ def string_digests(texts: DataFrame, wanted: DataFrame, length: int, gram: int)
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
-                   most: int = MOST, together: int = TOGETHER) -> DataFrame:
+                   most: int = MOST, together: int = TOGETHER, bits: int = TABLE_BITS) -> DataFrame:
     """id_col, n_bytes, spans (array of struct from, to: removed bytes, maximal) and kept (binary: the other bytes) of every row.
 
     A byte goes if a string of `length` bytes that covers it also starts
@@ -345,23 +398,26 @@ def remove_repeats(docs: DataFrame, length: int = 100, gram: int = GRAM, id_col:
     are judged on the texts as they are; none crosses rows. A null text is
     empty. A null id comes before all others. Rows that repeat id and text are
     one document, and each is returned; other rows of one id come in the order
-    of a 16-bit fingerprint of their texts. length is 51 to 127 + gram.
+    of a 16-bit fingerprint of their texts. length is gram + 31 to gram + 127.
     """
     if not gram + 31 <= length < gram + 128:
         raise ValueError("length must be from gram + 31 to gram + 127")
+    small_batches(docs.sparkSession)
     null = -(1 << 63)
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(null)).alias("id"), utf8(text_col).alias("text"))
-    ranges = removal_ranges(texts, length, gram, most, together)
-    lists = ranges.groupBy("id").agg(F.collect_list(F.struct("place", "from", "to")).alias("ranges"))
+    copies, ranges = removal_ranges(texts, length, gram, most, together, bits)
+    copies = copies.groupBy("id").agg(F.collect_list("place").alias("copies"))
+    ranges = ranges.groupBy("id").agg(F.collect_list(F.struct("place", "from", "to")).alias("ranges"))
+    lists = copies.join(ranges, "id", "full")
     span = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
     schema = pa.schema([(id_col, pa.int64()), ("n_bytes", pa.int64()), ("spans", span), ("kept", pa.binary())])
 
     def run(batches):
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index("ranges"))
+            copies, ranges = (batch.column(batch.schema.get_field_index(c)) for c in ("copies", "ranges"))
             out, held = [], 0
             for k, (i, raw) in enumerate(zip(values(batch, "id"), values(batch, "text"))):
-                spans, kept = taken_out(raw, column[k])
+                spans, kept = taken_out(raw, copies[k], ranges[k], length)
                 out.append((None if i == null else i, len(raw), [{"from": a, "to": b} for a, b in spans], kept))
                 held += len(kept)
                 if held > 8 << 20:
@@ -370,19 +426,24 @@ def remove_repeats(docs: DataFrame, length: int = 100, gram: int = GRAM, id_col:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
-    both = texts.join(lists, "id", "left").select("id", "text", "ranges")
+    both = texts.join(lists, "id", "left").select("id", "text", "copies", "ranges")
     return both.mapInArrow(run, f"`{id_col}` long, n_bytes long, spans array<struct<from: bigint, to: bigint>>, kept binary")
 
 
-def taken_out(raw: bytes, ranges: pa.Scalar) -> tuple[list[tuple[int, int]], bytes]:
+def taken_out(raw: bytes, copies: pa.Scalar, ranges: pa.Scalar, length: int) -> tuple[list[tuple[int, int]], bytes]:
     """The maximal ranges to remove from a text, and what is left of it."""
-    if not ranges.is_valid:
-        return [], raw
-    found = ranges.values
-    place = np.array(found.field("place"))
-    mine = place >> 47 == _print(raw)
-    start = _start(place[mine])
-    a, b = start + np.array(found.field("from"))[mine], start + np.array(found.field("to"))[mine]
+    firsts, lasts, mine = [], [], _print(raw)
+    if copies.is_valid:
+        place = np.array(copies.values)
+        place = place[place >> 47 == mine]
+        firsts.append(_start(place))
+        lasts.append(_start(place) + _many(place) + length - 1)
+    if ranges.is_valid:
+        place, x, y = (np.array(ranges.values.field(c)) for c in ("place", "from", "to"))
+        own = place >> 47 == mine
+        firsts.append(_start(place[own]) + x[own])
+        lasts.append(_start(place[own]) + y[own])
+    a, b = (np.concatenate([np.zeros(0, np.int64), *parts]) for parts in (firsts, lasts))
     order = np.argsort(a, kind="stable")
     a, b = a[order], np.maximum.accumulate(b[order])
     if not len(a):
