@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partnerlens.llm.common import arrow_rows, forget, utf8, values
+from partnerlens.llm.common import REMEMBERED, arrow_rows, forget, sole_memory, utf8, values
 
 #: Longer stretches are not remembered.
 REMEMBERED_LENGTH = 64
@@ -69,7 +69,7 @@ class ByteBpe:
         """Whether b may follow a; remembered."""
         found = self.pairs.get(a * len(self.tokens) + b)
         if found is None:
-            forget(self.pairs)
+            forget(self.pairs, REMEMBERED // 2)
             x, y = self.tokens[a].decode("latin-1"), self.tokens[b].decode("latin-1")
             found = self.pairs[a * len(self.tokens) + b] = self.merged(x + y) == [x, y]
         return found
@@ -120,7 +120,7 @@ class ByteBpe:
         if _OTHER_SPACE.search(text):
             return self._packed(text)  # other white space may join runs: no cuts
         known, stretches = self.known, _STRETCH.findall(text)
-        forget(known)
+        forget(known, REMEMBERED // 2)
         long = []
         for s in set(stretches).difference(known):
             known[s] = self._packed(s)
@@ -162,6 +162,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     def rows(batch):
         bpe = coder(ranks_path, pattern)
+        sole_memory("byte_bpe", bpe.known, bpe.pairs)
         for i, text in zip(values(batch, id_col), values(batch, text_col)):
             yield i, bpe.encode(text.decode("utf-8", "replace"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import itertools
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -12,11 +13,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Python builds its result batches up to about this many bytes before it hands them to Spark.
+#: Batches between Spark and Python have at most about so many bytes (or one row), and so many rows.
 BATCH_BYTES = 8 << 20
+BATCH_ROWS = 2000
 
 #: Entries that a worker's memory of words or pairs holds at most (and one text's more).
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,8 +77,17 @@ def utf8(col: str | Column) -> Column:
     return F.coalesce((F.col(col) if isinstance(col, str) else col).cast("binary"), F.lit(b""))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to BATCH_ROWS rows and BATCH_BYTES, so that few long texts are in memory at once."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        if not 0 < int(re.sub(r"\D", "", spark.conf.get(name))) <= most:
+            spark.conf.set(name, str(most))
+
+
 def arrow_rows(schema: pa.Schema, rows: Callable[[pa.RecordBatch], Iterator[tuple]], size: Callable[[tuple], int] = lambda _: 64):
     """A function for mapInArrow: each batch gives row tuples, which leave in batches of bounded size."""
+    small_batches(SparkSession.active())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple] = []
@@ -104,6 +115,17 @@ def values(batch: pa.RecordBatch, name: str) -> Iterator:
     return (v.as_py() for v in batch.column(batch.schema.get_field_index(name)))
 
 
+_memory: list = [None, ()]
+
+
+def sole_memory(owner: str, *memories: dict) -> None:
+    """Lets a worker keep the memories of one operator at a time: those of another one are emptied."""
+    if _memory[0] != owner:
+        for m in _memory[1]:
+            m.clear()
+        _memory[:] = owner, memories
+
+
 def forget(known: dict, most: int = REMEMBERED) -> None:
     """Drops the newer half of a full memory: what came early is what is frequent."""
     if len(known) >= most:

@@ -21,7 +21,7 @@ from pyspark import SparkContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partnerlens.llm.common import arrow_rows, others, utf8, values
+from partnerlens.llm.common import arrow_rows, others, small_batches, sole_memory, utf8, values
 
 #: Bytes of windows that are broadcast at once.
 BLOCK_BYTES = 32 << 20
@@ -128,6 +128,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 13, id_col: s
     itself. Input columns with these three names are replaced.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     kept = others(docs, "n_words", "spans", "items")
     span = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
     found = docs.select(F.struct(*kept).alias("row"), F.lit(0).cast("long").alias("n_words"),
@@ -144,6 +145,7 @@ def _scan(sc: SparkContext, block: dict[bytes, list[str]], text_col: str, span:
 
     def run(batches):
         windows = _set_of(held)
+        sole_memory("decontaminate")
         for batch in batches:
             row = batch.column(batch.schema.get_field_index("row"))
             text = row.field(row.type.get_field_index(text_col))

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from partnerlens.llm.common import REMEMBERED, arrow_rows, forget, new_path, utf8, values, written
+from partnerlens.llm.common import REMEMBERED, arrow_rows, forget, new_path, small_batches, sole_memory, utf8, values, written
 
 MAGIC = b"PFORIDS1"
 _UPPER = string.ascii_uppercase + "".join(chr(c) for c in range(0xC0, 0xDF) if c != 0xD7)
@@ -293,7 +293,7 @@ class Encoder:
         if not self.cut:
             return [ids + self.end for ids in self.packed(texts)]
         known = self.known
-        forget(known, 2 * REMEMBERED)
+        forget(known, 5 * REMEMBERED // 2)
         get = known.__getitem__
         found = [list(map(get, self.cuts(t))) for t in texts]
         new, known.new = known.new, []
@@ -324,10 +324,12 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, cu
     holds any; texts are then encoded in the stretches between, whose ids are
     remembered.
     """
+    small_batches(docs.sparkSession)
     schema = pa.schema([("part", pa.int64()), ("number", pa.int64()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
 
     def run(batches):
         code, part, shard, number = encoder(tokenizer_path, end_id, cut_at_spaces), TaskContext.get().partitionId(), None, 0
+        sole_memory("id_store", code.known)
 
         def row(shard, number):
             path, n_docs, n_ids = shard.close()

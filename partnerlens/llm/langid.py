@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from partnerlens.llm.common import arrow_rows, others, utf8, values, written
+from partnerlens.llm.common import arrow_rows, others, small_batches, sole_memory, utf8, values, written
 
 BUCKETS = 1 << 16
 #: Sample of labelled rows for the fit: at most so many of each language.
@@ -136,8 +136,11 @@ def train(docs: DataFrame, learnable: Column, aside: Column, id_col: str = "doc_
     ours = docs.filter(F.coalesce(learnable, F.lit(False)) & F.col(lang_col).isNotNull()).select(
         F.col(id_col).alias("id"), utf8(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.coalesce(aside, F.lit(False)).alias("aside"))
 
+    small_batches(docs.sparkSession)
+
     # Document frequencies over all these rows: each task sums its own, then Spark sums by bucket.
     def frequencies(batches):
+        sole_memory("langid")
         n, total = np.zeros(BUCKETS, np.int64), 0
         for batch in batches:
             for raw in values(batch, "text"):
@@ -178,11 +181,13 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     Only the text is an input. Every row is predicted; input columns with the
     two names are replaced.
     """
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
     kept = others(docs, "lang_pred", "score")
     picked = docs.select(F.struct(*kept).alias("row"), F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"))
 
     def run(batches):
+        sole_memory("langid")
         for batch in batches:
             row = batch.column(batch.schema.get_field_index("row"))
             text = row.field(row.type.get_field_index(text_col))

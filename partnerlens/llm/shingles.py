@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-from partnerlens.llm.common import forget
+from partnerlens.llm.common import forget, sole_memory
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _known: dict[bytes, int] = {}
@@ -14,7 +14,8 @@ _known: dict[bytes, int] = {}
 def word_hashes(raw: bytes) -> np.ndarray:
     """A 64-bit hash of each word `[^\\x20\\x09-\\x0D]+`, A-Z lower-cased; remembered within a bound."""
     words = raw.lower().split()
-    forget(_known, 250_000)
+    sole_memory("shingles", _known)
+    forget(_known, 100_000)
     for w in set(words).difference(_known):
         _known[w] = xxhash.xxh3_64_intdigest(w)
     return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))

@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partnerlens.llm.common import arrow_rows, forget, utf8, values
+from partnerlens.llm.common import arrow_rows, forget, sole_memory, utf8, values
 
 
 def byte_symbols() -> list[str]:
@@ -143,6 +143,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int, id_col: str =
 
     def rows(batch):
         bpe = counter(tokenizer_path)
+        sole_memory("token_count", bpe.known, bpe.words)
         ids, texts, held = [], [], 0
         for i, raw in zip(values(batch, id_col), values(batch, text_col)):
             ids.append((i, len(raw)))

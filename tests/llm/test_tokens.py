@@ -57,13 +57,11 @@ def test_byte_bpe_long_words_are_linear(reference):
 
 
 def test_byte_bpe_forgets_within_its_bound(reference, monkeypatch):
-    import partnerlens.llm.common as common
-
-    monkeypatch.setattr(common.forget, "__defaults__", (50,))
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 100)
     bpe = byte_bpe.ByteBpe(byte_bpe.read_ranks(RANKS), P.PATTERN)
     for t in texts(300, seed=2):
         assert bpe.encode(t) == packed(reference.encode_ordinary(t))
-    assert len(bpe.known) < 200
+    assert len(bpe.known) < 150 and len(bpe.pairs) <= 50
 
 
 def test_byte_bpe_table(spark, docs, odd, reference):
