@@ -1,31 +1,35 @@
-"""Benchmark decontamination by a broadcast set of word windows.
+"""Benchmark decontamination by a bit table of word windows and a join.
 
 Words of both sides are runs of digits, letters and non-ASCII characters with
 A-Z lower-cased. Each benchmark item gives its windows of consecutive words (a
-shorter item is one window). Tasks hold a set of window hashes, slide over the
-words of each text, verify every hit word by word, and return the spans of
-covered words and the items that were found.
+shorter item is one window), which are written as a table. Tasks hold a bit
+table of window hashes and slide over the words of each text; windows that it
+lets pass are joined with the table of windows word by word. The spans of
+covered words and the items that were found go back to the texts by a digest.
 
-The broadcast set has a size bound: larger benchmarks are cut by window into
-blocks below it, and the texts go through one scan for each block.
+The bit table has a fixed size, and nothing else is broadcast or collected: a
+larger benchmark fills it more, and more windows go to the join.
 """
 
 from __future__ import annotations
 
-import functools
-import itertools
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partnerlens.llm.common import arrow_rows, others, small_batches, sole_memory, utf8, values
+from partnerlens.llm.common import arrow_rows, drop_path, others, small_batches, utf8, values, written
+from partnerlens.llm.shingles import word_hashes
 
-#: Bytes of windows that are broadcast at once.
+#: Bytes of the bit table that is broadcast, whatever the number of windows (rounded down to a power of two).
 BLOCK_BYTES = 32 << 20
 
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Each window sets a bit for each of these.
+_PROBES = np.array([0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD], np.uint64)
+
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
@@ -34,48 +38,35 @@ def words(raw: bytes) -> list[bytes]:
     return raw.translate(_LOWER).split()
 
 
-class Windows:
-    """A block of benchmark windows, as tasks hold it."""
-
-    def __init__(self, windows: dict[bytes, list[str]]):
-        vocabulary = sorted({w for key in windows for w in key.split()})
-        self.number = {w: i + 1 for i, w in enumerate(vocabulary)}  # 0: in no window
-        by_length: dict[int, dict[tuple, list[str]]] = {}
-        for key, items in windows.items():
-            parts = tuple(map(self.number.__getitem__, key.split()))
-            by_length.setdefault(len(parts), {})[parts] = items
-        self.by_length = [(n, found, np.sort(self.hashes(np.array(list(found), np.uint64)))) for n, found in sorted(by_length.items())]
-
-    @staticmethod
-    def hashes(numbers: np.ndarray) -> np.ndarray:
-        """A 64-bit hash for each row."""
-        h = np.zeros(len(numbers), np.uint64)
-        for column in numbers.T:
-            h = (h ^ column) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
-        return h
-
-    def scan(self, text: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
-        """Spans [from, to) of text's words that windows cover, and the items of these."""
-        if not self.number:
-            return [], set()
-        ids = np.fromiter(map(self.number.get, text, itertools.repeat(0)), np.uint64, len(text))
-        known = np.r_[0, np.cumsum(ids > 0)]
-        spans, items = [], set()
-        for n, found, hashes in self.by_length:
-            if len(ids) < n:
-                break
-            at = np.flatnonzero(known[n:] - known[:-n] == n)
-            if not len(at):
-                continue
-            rows = ids[at[:, None] + np.arange(n)]
-            h = self.hashes(rows)
-            near = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-            for k in np.flatnonzero(hashes[near] == h).tolist():
-                if (owners := found.get(tuple(rows[k].tolist()))) is not None:
-                    spans.append((int(at[k]), int(at[k]) + n))
-                    items.update(owners)
-        return spans, items
+def n_words(text: Column) -> Column:
+    """Number of words; one character stands for each, so that no array of them is made."""
+    between = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
+    ended = F.concat(F.coalesce(text, F.lit("")), F.lit(" a"))
+    return (F.char_length(F.regexp_replace(ended, f"[{between}]*[^{between}]+", "a")) - 1).cast("long")
+
+
+def window_hashes(hashes: np.ndarray, lengths: Iterable[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """For each of these lengths a 64-bit hash of the window from each place on; hashes are those of the words."""
+    h = np.zeros(len(hashes), np.uint64)
+    for n in range(1, min(max(lengths, default=0), len(hashes)) + 1):
+        h = (h[: len(hashes) - n + 1] ^ hashes[n - 1 :]) * _MIX
+        h ^= h >> np.uint64(31)
+        if n in lengths:
+            yield n, h
+
+
+def slots(h: np.ndarray, factor: np.uint64, size: int) -> np.ndarray:
+    """Places of hashes in a table of `size` bits, a power of two."""
+    return (h * factor) >> np.uint64(65 - size.bit_length())
+
+
+def passes(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Places of the hashes of which all bits are set; among them all of the table's windows."""
+    at = np.arange(len(h))
+    for factor in _PROBES:
+        found = slots(h[at], factor, 64 * len(table))
+        at = at[(table[found >> np.uint64(6)] >> (found & np.uint64(63))) & np.uint64(1) == 1]
+    return at
 
 
 def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -90,33 +81,55 @@ def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def item_windows(items: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
-    """The distinct windows (words joined by a space) of all items, with the ids that hold them."""
-    schema = pa.schema([("item", pa.string()), ("words", pa.binary())])
+    """The distinct windows (words joined by a space) of all items, with their length and hash and the ids that hold them."""
+    schema = pa.schema([("item", pa.string()), ("words", pa.binary()), ("n", pa.int64()), ("hash", pa.int64())])
 
     def rows(batch):
         for item, raw in zip(values(batch, "item"), values(batch, "raw")):
             parts = words(raw)
-            for k in range(max(1, len(parts) - window + 1) if parts else 0):
-                yield item, b" ".join(parts[k : k + window])
+            for n, h in window_hashes(word_hashes(b" ".join(parts)), {min(window, len(parts))}):
+                for k, x in enumerate(h.view(np.int64).tolist()):
+                    yield item, b" ".join(parts[k : k + n]), n, x
 
-    picked = items.select(F.col(id_col).cast("string").alias("item"), utf8(text_col).alias("raw"))
-    found = picked.filter(F.col("item").isNotNull()).mapInArrow(arrow_rows(schema, rows), "item string, words binary")
-    return found.groupBy("words").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    picked = items.select(F.col(id_col).cast("string").alias("item"), utf8(text_col).alias("raw")).filter(F.col("item").isNotNull())
+    found = picked.mapInArrow(arrow_rows(schema, rows, lambda r: len(r[1]) + 64), "item string, words binary, n long, hash long")
+    return found.groupBy("words").agg(F.min("n").alias("n"), F.min("hash").alias("hash"), F.array_sort(F.collect_set("item")).alias("items"))
 
 
-def blocks(windows: DataFrame, block_bytes: int) -> list[dict[bytes, list[str]]]:
-    """All windows, in blocks of about block_bytes at most."""
-    windows = windows.withColumn("bytes", F.octet_length("words") + F.aggregate("items", F.lit(0), lambda a, x: a + F.octet_length(x)) + 64)
-    total = windows.agg(F.sum("bytes")).first()[0] or 0
-    n = -(-total // block_bytes)
-    at = F.pmod(F.xxhash64("words"), F.lit(max(n, 1)))
-    return [{bytes(r.words): r["items"] for r in windows.filter(at == k).select("words", "items").collect()} for k in range(n)]
+def bit_table(windows: DataFrame, n_bytes: int) -> np.ndarray:
+    """A table of at most n_bytes (8 at least) in which the bits of all windows are set, as 64-bit words."""
+    size = 1 << (max(n_bytes, 8) * 8).bit_length() - 1
+
+    def bits(batches):
+        for batch in batches:
+            h = np.array(batch.column(0)).view(np.uint64)
+            found = np.concatenate([slots(h, factor, size) for factor in _PROBES])
+            at, mask = found >> np.uint64(6), np.uint64(1) << (found & np.uint64(63))
+            yield pa.RecordBatch.from_arrays([pa.array(at.view(np.int64)), pa.array(mask.view(np.int64))], names=["at", "mask"])
 
+    found = windows.select("hash").mapInArrow(bits, "at long, mask long").groupBy("at").agg(F.bit_or("mask").alias("mask")).toArrow()
+    table = np.zeros(size >> 6, np.uint64)
+    table[found["at"].to_numpy()] = found["mask"].to_numpy().view(np.uint64)
+    return table
 
-@functools.lru_cache(maxsize=2)
-def _set_of(block) -> Windows:
-    """A worker's own set of a broadcast block, made once."""
-    return Windows(block.value)
+
+def likely(texts: DataFrame, windows: DataFrame, n_bytes: int) -> tuple[DataFrame, str]:
+    """key, at, n and words of all windows of texts (key, raw) that the bit table lets pass, and the path they are written to."""
+    lengths = {r["n"] for r in windows.select("n").distinct().collect()}  # at most as many as a window has words
+    held = texts.sparkSession.sparkContext.broadcast(bit_table(windows, n_bytes))
+    schema = pa.schema([("key", pa.binary()), ("at", pa.int64()), ("n", pa.int64()), ("words", pa.binary())])
+
+    def rows(batch):
+        for key, raw in zip(values(batch, "key"), values(batch, "raw")):
+            plain, parts = raw.translate(_LOWER), None
+            for n, h in window_hashes(word_hashes(plain), lengths):
+                for k in passes(held.value, h).tolist():
+                    parts = parts or plain.split()
+                    yield key, k, n, b" ".join(parts[k : k + n])
+
+    found = written(texts.mapInArrow(arrow_rows(schema, rows, lambda r: len(r[3]) + 128), "key binary, at long, n long, words binary"), "windows-likely")
+    held.destroy()
+    return found
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text",
@@ -125,42 +138,34 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 13, id_col: s
 
     A null text has no words; items without words or with a null id give no
     window; without items nothing is covered. Every row of docs is judged by
-    itself. Input columns with these three names are replaced.
+    itself. Input columns with these three names are replaced. docs is read
+    twice and must give the same rows.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    kept = others(docs, "n_words", "spans", "items")
+    windows, windows_path = written(item_windows(items, window, item_id, item_text), "windows")
+    # The id only deals copies out: rows of one key have the same text.
+    key = F.unhex(F.sha2(utf8(text_col), 256))
+    key = F.concat(key, utf8(F.col(id_col).cast("string"))) if id_col in docs.columns else key
+    passed, passed_path = likely(docs.select(key.alias("key"), utf8(text_col).alias("raw")), windows, block_bytes)
+    hits = passed.join(windows.select("words", "items"), "words")
+    hits = hits.groupBy("key").agg(F.collect_set(F.struct("at", "n")).alias("places"), F.collect_set("items").alias("owners"))
     span = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
-    found = docs.select(F.struct(*kept).alias("row"), F.lit(0).cast("long").alias("n_words"),
-                        F.expr("cast(array() as array<struct<from: bigint, to: bigint>>)").alias("spans"),
-                        F.expr("cast(array() as array<string>)").alias("items"))
-    for block in blocks(item_windows(items, window, item_id, item_text), block_bytes) or [{}]:
-        found = found.mapInArrow(_scan(spark.sparkContext, block, text_col, span), found.schema)
-    return found.select("row.*", "n_words", "spans", "items")
+    schema = pa.schema([("key", pa.binary()), ("spans", span), ("items", pa.list_(pa.string()))])
 
+    def rows(batch):
+        for of, places, owners in zip(*(values(batch, c) for c in ("key", "places", "owners"))):
+            spans = joined([(p["at"], p["at"] + p["n"]) for p in places])
+            yield of, [{"from": a, "to": b} for a, b in spans], sorted(set().union(*owners))
 
-def _scan(sc: SparkContext, block: dict[bytes, list[str]], text_col: str, span: pa.DataType):
-    """One pass over the texts: what a block's windows cover joins what earlier blocks covered."""
-    held = sc.broadcast(block)
+    merged = arrow_rows(schema, rows, lambda r: 16 * len(r[1]) + sum(map(len, r[2])) + 128)
+    found, _ = written(hits.mapInArrow(merged, "key binary, spans array<struct<from: bigint, to: bigint>>, items array<string>"), "contamination")
+    for path in (windows_path, passed_path):
+        drop_path(spark, path)
 
-    def run(batches):
-        windows = _set_of(held)
-        sole_memory("decontaminate")
-        for batch in batches:
-            row = batch.column(batch.schema.get_field_index("row"))
-            text = row.field(row.type.get_field_index(text_col))
-            counts, spans, items = [], [], []
-            before = zip(values(batch, "spans"), values(batch, "items"))
-            for raw, (old_spans, old_items) in zip(text, before):
-                parts = words((raw.as_py() or "").encode())
-                more, owners = windows.scan(parts)
-                counts.append(len(parts))
-                spans.append([{"from": a, "to": b} for a, b in joined([(s["from"], s["to"]) for s in old_spans] + more)])
-                items.append(sorted(owners.union(old_items)))
-            yield pa.RecordBatch.from_arrays([row, pa.array(counts, pa.int64()), pa.array(spans, span), pa.array(items, pa.list_(pa.string()))],
-                                             names=["row", "n_words", "spans", "items"])
-
-    return run
+    kept = others(docs, "n_words", "spans", "items")
+    out = docs.select(F.struct(*kept).alias("row"), n_words(F.col(text_col)).alias("n_words"), key.alias("key")).join(found, "key", "left")
+    return out.select("row.*", "n_words", *(F.coalesce(c, F.expr(f"cast(array() as {found.schema[c].dataType.simpleString()})")).alias(c) for c in ("spans", "items")))
 
 
 def n_hit() -> F.Column:

@@ -1,5 +1,6 @@
 """URL rules, language ID, decontamination and nearest vectors against brute force."""
 import itertools
+import pickle
 import random
 import re
 import zlib
@@ -156,6 +157,19 @@ def test_contamination_without_items(spark, docs, odd):
     assert decontaminate.contamination(docs([]), spark.createDataFrame([(1, "a b c")], "item_id long, text string")).count() == 0
 
 
+def test_contamination_broadcasts_a_table_of_fixed_size(spark, docs, monkeypatch):
+    r = random.Random(3)
+    items = [(k, " ".join(f"w{r.randrange(5000)}" for _ in range(40))) for k in range(200)]
+    rows = [(k, f"x{k} " + " ".join(items[k][1].split()[k % 20 :])) for k in range(50)] + [(None, items[7][1])] * 3
+    held = []
+    real = type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda sc, value: held.append(len(pickle.dumps(value))) or real(sc, value))
+    found = decontaminate.contamination(docs(rows), spark.createDataFrame(items, "item_id long, text string"), window=13, block_bytes=4096)
+    got = sorted(((x.doc_id, x.n_words, x.hit, list(x["items"])) for x in found.withColumn("hit", decontaminate.n_hit()).collect()), key=repr)
+    assert got == sorted(brute_contamination(rows, items, 13), key=repr)
+    assert len(held) == 1 and held[0] < 2 * 4096  # the windows have over 400 kB
+
+
 # Nearest vectors
 
 def test_hilbert_curve_visits_neighbours():
