@@ -11,7 +11,7 @@ Vectors that are equal are indexed once, with their smallest ids; so a vector
 that a third of all rows share takes one place. A block's length is not
 guessed: for a bounded sample of queries the exact neighbours are found, and
 the block is made as long as their distance along the best curve asks for
-TARGET of them.
+TARGET of them. Long blocks are compared in parts, each a group of its own.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ BITS = 3
 SAMPLE = 256
 TARGET = 0.92
 LEAST_BLOCK = 64
+#: Vectors, and queries, of a block that a task compares at once, on the average; longer blocks are dealt out by hash.
+PART = 16_384
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -184,7 +186,8 @@ def block_length(classes: DataFrame, asked: DataFrame, placed: DataFrame, kind:
 
 
 def search(rows: DataFrame, query: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", curves: int = CURVES,
-           dimensions: int = DIMENSIONS, bits: int = BITS, sample: int = SAMPLE, target: float = TARGET, least_block: int = LEAST_BLOCK) -> DataFrame:
+           dimensions: int = DIMENSIONS, bits: int = BITS, sample: int = SAMPLE, target: float = TARGET, least_block: int = LEAST_BLOCK,
+           part: int = PART) -> DataFrame:
     """The k nearest rows found for each row whose id fits query (a condition on the column `id`): query_id, rank, id, score.
 
     Nearness is the cosine in double precision; ties go to smaller ids; a row
@@ -219,6 +222,13 @@ def search(rows: DataFrame, query: Column, k: int = 5, id_col: str = "vec_id", v
     wide = wide.select(F.col("curve").alias("q_curve"), F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("q_block"),
                        F.col("class_id").alias("q_class"), F.col("vector").alias("q_vector"))
 
+    # Every part of a block's vectors meets every part of its queries, so that a group's size does not grow with the table.
+    crowd = wide.groupBy("q_curve", "q_block").count().agg(F.max("count")).first()[0] or 0
+    parts, sets = -(-length // part), max(1, -(-crowd // part))
+    dealt = lambda c, n: F.pmod(F.xxhash64(F.col(c), F.lit("part")), F.lit(n))
+    indexed = indexed.withColumn("part", dealt("class_id", parts)).withColumn("set", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(sets - 1).cast("long"))))
+    wide = wide.withColumn("q_set", dealt("q_class", sets)).withColumn("q_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+
     def compare(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_class": [], "class_id": [], "score": []})
@@ -226,7 +236,8 @@ def search(rows: DataFrame, query: Column, k: int = 5, id_col: str = "vec_id", v
         own = left["q_class"].to_numpy()
         return pd.DataFrame([(own[q], c, s) for q, c, s in found], columns=["query_class", "class_id", "score"])
 
-    near = wide.groupBy("q_curve", "q_block").cogroup(indexed.groupBy("curve", "block")).applyInPandas(compare, "query_class long, class_id long, score double")
+    near = wide.groupBy("q_curve", "q_block", "q_part", "q_set").cogroup(indexed.groupBy("curve", "block", "part", "set"))
+    near = near.applyInPandas(compare, "query_class long, class_id long, score double")
     near = near.groupBy("query_class", "class_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_class").orderBy(F.desc("score"), "class_id")
     near = near.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1).drop("place")

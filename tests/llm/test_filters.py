@@ -210,6 +210,25 @@ def test_recall_on_clusters(spark):
     assert all(exact[q, i] == s for q, found in got.items() for i, s in found if (q, i) in exact)
 
 
+def test_long_blocks_are_compared_in_parts(spark, monkeypatch):
+    v = np.random.default_rng(4).normal(size=(1500, 8))
+    df = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(curves, "block_length", lambda *args: 1500)
+    whole = found_by_query(curves.search(df, F.col("id") % 3 == 0, curves=2))
+    real = curves.nearest
+
+    def bounded(queries, rows, ids, k):
+        if len(rows) > 160 or len(queries) > 160:
+            raise ValueError("a task compares more than a part")
+        return real(queries, rows, ids, k)
+
+    monkeypatch.setattr(curves, "nearest", bounded)
+    assert found_by_query(curves.search(df, F.col("id") % 3 == 0, curves=2, part=100)) == whole
+    assert whole == brute_nearest(list(enumerate(v)), lambda i: i % 3 == 0, 5)
+    with pytest.raises(Exception, match="more than a part"):
+        curves.search(df, F.col("id") % 3 == 0, curves=2).collect()
+
+
 def test_ties_copies_and_invalid_vectors(spark):
     base = [[1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.6, 0.8, 0.0]]
     rows = [(k, base[0]) for k in range(40)] + [(100 + k, base[1 + k % 2]) for k in range(5)]
