@@ -15,12 +15,14 @@ Links are searched so that no bucket is paired with itself as a whole:
    sets as similar as asked share one of their rarest shingles, of which
    1 - similarity of each set suffices, and for one of the two sets
    (1 - similarity) / (1 + similarity). What stands after the first shared
-   one bounds what two sets have in common. That loses no link, and what very
-   many classes share (a passage) is in few prefixes.
+   one bounds what two sets have in common. Prefixes lose no link, and what very
+   many classes share (a passage) is in few of them.
 Pairs first pass the similarity that the packed bits estimate, corrected for
-chance collisions, with a margin of more than five standard deviations; the
-others are confirmed exactly on the full sets. A pair at the bound itself
-shares none of the bands with a probability of 3e-7.
+chance collisions, with a margin of about five standard deviations; those that
+pass are confirmed exactly on the full sets. All three searches have this filter,
+prefixes too, so none is strictly exact: by the binomial sum a pair at the bound
+itself is lost here with a probability of 6e-7, and shares none of the bands with
+one of 3e-7. More similar pairs are lost less often.
 """
 
 from __future__ import annotations
@@ -139,7 +141,8 @@ def fitting(na: str, nb: str, percent: int) -> Column:
 def by_prefix(classes: DataFrame, docs: DataFrame, size: int, percent: int, id_col: str, text_col: str, slots: int = SLOTS) -> DataFrame:
     """Pairs (a, b) of classes of different labels that share one of the rarest shingles of their sets.
 
-    Any order of shingles that is the same for all sets loses no link. Here it
+    Any order of shingles that is the same for all sets loses no link; only the
+    estimate can, which pairs have to pass here too (see above). Here it
     is by counts in a table of fixed size, which tasks can hold: a shingle's
     slot may count others too, so it is only about its frequency.
     """
