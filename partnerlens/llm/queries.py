@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partnerlens.llm import byte_bpe, curves, decontaminate, id_store, langid, line_dedup, minhash, suffix_dedup, token_count, url_rules
+from partnerlens.llm import byte_bpe, curves, decontaminate, id_store, langid, line_dedup, minhash, spelling, suffix_dedup, token_count, url_rules
 from partnerlens.llm.common import table
 
 
@@ -101,6 +101,12 @@ def op10_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", F.expr("octet_length(token_ids) div 4").cast("long").alias("n_tokens"), F.crc32("token_ids").alias("ids_crc32"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word's near words and the more frequent form that it is taken for."""
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), min_chars=7, min_count=2, slip=31)
+    return spelling.variants(words, ratio=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_minhash": op2_minhash,
@@ -112,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest": op8_nearest,
     "op9_token_counts": op9_token_counts,
     "op10_id_store": op10_id_store,
+    "op11_spelling": op11_spelling,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -173,4 +180,38 @@ select doc_id, cast(len(w) as bigint) n_words, coalesce(n_hit, 0) n_hit, coalesc
 from docs left join hits using (doc_id) left join owners using (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_minhash": _NEAR, "op5_line_dedup": _LINES, "op7_decontaminate": _WINDOWS}
+#: The table of the byte-wise crc32, from its polynomial, and the crc32 of a text whose code points are below 2048.
+_CRC_TABLE = "list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end))"
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split({}, ''), lambda x:
+  case when unicode(x) < 128 then [unicode(x)::bigint] else [192 + (unicode(x)::bigint >> 6), 128 + (unicode(x)::bigint & 63)] end))),
+  lambda c, b: xor(c >> 8, crcs[xor(c & 255, b) + 1])))"""
+
+_SPELLING = f"""
+with recursive runs as (
+  select doc_id, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[a-z\u00C0-\u00FF]+')) run from documents),
+pairs as (
+  select doc_id, run, count(*) c from runs where length(run) >= 7 group by all),
+hashed as (
+  select run, c, {_CRC.format("coalesce(doc_id::varchar, '') || ':' || run")} h from pairs, (select {_CRC_TABLE} crcs)),
+damaged as (
+  select case when h % 31 = 0 then run[: h % length(run)] || run[h % length(run) + 2 :] else run end word, c from hashed),
+words as (
+  select word, cast(sum(c) as bigint) n from damaged where length(word) >= 7 group by word having sum(c) >= 2),
+cut as (
+  select word, n, k, word[: k - 1] || word[k + 1 :] rest from words, unnest(range(1, length(word) + 1)) as t(k)),
+near as (
+  select a.word, b.word other, b.n from cut a join cut b using (k, rest) where a.word <> b.word
+  union select a.word, b.word, b.n from cut a join words b on a.rest = b.word
+  union select b.word, a.word, a.n from cut a join words b on a.rest = b.word),
+best as (
+  select word, count(*) n_near, arg_min(other, (-n, other)) form, max(n) form_n from near group by word),
+forms as (
+  select word, n, coalesce(n_near, 0) n_near, case when form_n >= 10 * n then form end form, case when form_n >= 10 * n then form_n end form_n
+  from words left join best using (word)),
+ways as (
+  select word, word last from words union all select w.word, f.form from ways w join forms f on f.word = w.last where f.form is not null)
+select f.word, f.form, w.last root, f.n, f.n_near, f.form_n
+from forms f join ways w using (word) join forms g on g.word = w.last where g.form is null
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_minhash": _NEAR, "op5_line_dedup": _LINES, "op7_decontaminate": _WINDOWS, "op11_spelling": _SPELLING}

@@ -21,13 +21,13 @@ COLUMNS = {
     "op1": "doc_id n_tokens ids_sha256 decoded_sha256", "op2": "doc_id n_shingles component_id kept", "op3": "page_id host path rule verdict",
     "op4": "doc_id n_bytes n_removed n_spans kept_sha256", "op5": "doc_id n_lines n_dropped kept_sha256", "op6": "doc_id held_out lang_pred score",
     "op7": "doc_id n_words n_hit n_items items_sha256 contaminated", "op8": "query_id rank vec_id score", "op9": "doc_id n_bytes n_tokens over_limit",
-    "op10": "doc_id start n_tokens ids_crc32"}
+    "op10": "doc_id start n_tokens ids_crc32", "op11": "word form root n n_near form_n"}
 
 
 @pytest.fixture(scope="module")
 def con():
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "benchmark", "labels"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     return con
 
