@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partnerlens.llm import byte_bpe, curves, decontaminate, id_store, langid, line_dedup, minhash, spelling, suffix_dedup, token_count, url_rules
-from partnerlens.llm.common import table
+from partnerlens.llm import byte_bpe, conversation, curves, decontaminate, id_store, langid, line_dedup, minhash, spelling, suffix_dedup, token_count, url_rules
+from partnerlens.llm.common import table, written
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,6 +107,19 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(words, ratio=10)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's faults after some damage, its cheapest repair and a digest of the repaired rows."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = conversation.damaged(given)
+    found, _ = written(conversation.audits(rows), "audits")
+    digest = conversation.digests(conversation.repaired(rows, found))
+    named = found.join(digest.withColumnRenamed("conv", "c"), F.col("conv").eqNullSafe(F.col("c")), "left").drop("c")
+    ids = given.select("conv_id").distinct().join(named, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return ids.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_minhash": op2_minhash,
@@ -119,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_id_store": op10_id_store,
     "op11_spelling": op11_spelling,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -214,4 +228,51 @@ select f.word, f.form, w.last root, f.n, f.n_near, f.form_n
 from forms f join ways w using (word) join forms g on g.word = w.last where g.form is null
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_minhash": _NEAR, "op5_line_dedup": _LINES, "op7_decontaminate": _WINDOWS, "op11_spelling": _SPELLING}
+#: One row after another: the state is the last role's initial, before each edit up to two rows are inserted.
+_REPAIR = f"""
+with recursive kinds as (
+  select conv_id, turn, coalesce(role, ' ') role, coalesce(text, ' ') text, {_CRC.format("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 kind
+  from conversations, (select {_CRC_TABLE} crcs)),
+damaged as (
+  select conv_id, turn, case kind when 4 then 'user' else role end role,
+         case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end text
+  from kinds, unnest(range(case kind when 3 then 2 else 1 end)) as t(k) where kind <> 0),
+placed as (
+  select *, row_number() over w p, left(role, 1) i, lag(left(role, 1)) over w || left(role, 1) meet from damaged
+  window w as (partition by conv_id order by turn nulls first, role, text)),
+judged as (
+  select *, case when not regexp_matches(text, '[^\\x20\\x09-\\x0D]') then 'blank'
+                 when row_number() over (partition by conv_id, role, text order by p) > 1 then 'duplicate'
+                 when not regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') then 'truncated' else '' end fault from placed),
+counted as (
+  select conv_id, max(p) n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps, count(*) filter (where fault = 'blank') blank,
+         count(*) filter (where fault = 'duplicate') duplicate, count(*) filter (where fault = 'truncated') truncated,
+         count(*) filter (where meet not in ('su', 'ua', 'au')) illegal from judged group by conv_id),
+inserted(here, there, n, lines) as (
+  values ('', '', 0, ''), ('', 'u', 1, chr(10) || 'user:'), ('', 'a', 2, chr(10) || 'user:' || chr(10) || 'assistant:'),
+         ('s', 's', 0, ''), ('s', 'u', 1, chr(10) || 'user:'), ('s', 'a', 2, chr(10) || 'user:' || chr(10) || 'assistant:'),
+         ('u', 'u', 0, ''), ('u', 'a', 1, chr(10) || 'assistant:'), ('u', 'u', 2, chr(10) || 'assistant:' || chr(10) || 'user:'),
+         ('a', 'a', 0, ''), ('a', 'u', 1, chr(10) || 'user:'), ('a', 'a', 2, chr(10) || 'user:' || chr(10) || 'assistant:')),
+edits as (
+  select conv_id, p, n, there, op, here, inserted.lines, repeat('I', n) || op made,
+         5 * n + case op when 'D' then 2 else (op = 'R')::int + 5 * (fault = 'truncated')::int end price,
+         case when op = 'D' then there when op = 'K' then i when there = 'u' then 'a' else 'u' end last,
+         case op when 'D' then '' when 'K' then chr(10) || role || ':' || text
+              else chr(10) || case there when 'u' then 'assistant:' else 'user:' end || text end line
+  from judged, inserted, (values ('D'), ('K'), ('R')) as ops(op)
+  where op = 'D' or (fault not in ('blank', 'duplicate') and (op = 'R' or (there = '' and i in ('s', 'u')) or there || i in ('su', 'ua', 'au')))),
+cells(conv_id, p, last, best) as (
+  select conv_id, 0::bigint, '', {{'cost': 0::bigint, 'audit': '', 'text': ''}} from counted
+  union all
+  select c.conv_id, c.p + 1, e.last, min({{'cost': c.best.cost + e.price, 'audit': c.best.audit || e.made, 'text': c.best.text || e.lines || e.line}})
+  from cells c join edits e on e.conv_id is not distinct from c.conv_id and e.p = c.p + 1 and e.here = c.last group by all),
+ends as (
+  select conv_id, min({{'cost': c.best.cost + 5 * i.n, 'audit': c.best.audit || repeat('I', i.n), 'text': c.best.text || i.lines}}) best
+  from cells c join counted using (conv_id) join inserted i on i.here = c.last where c.p = counted.n and i.there in ('', 'a') group by conv_id)
+select conv_id, coalesce(gaps, 0) gaps, coalesce(blank, 0) blank, coalesce(duplicate, 0) duplicate, coalesce(truncated, 0) truncated,
+       coalesce(illegal, 0) illegal, coalesce(best.cost, 0) as cost, coalesce(best.audit, '') audit, sha256(substr(coalesce(best.text, ''), 2)) repaired_sha256
+from (select distinct conv_id from conversations) left join counted using (conv_id) left join ends using (conv_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_minhash": _NEAR, "op5_line_dedup": _LINES, "op7_decontaminate": _WINDOWS, "op11_spelling": _SPELLING,
+                              "op12_conversation_repair": _REPAIR}

@@ -1,12 +1,15 @@
 """Spelling variants, conversation repair and toxicity against brute force and held-out labels."""
+import hashlib
+import itertools
 import random
+import re
 import zlib
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from partnerlens.llm import spelling
+from partnerlens.llm import conversation, spelling
 
 
 @pytest.fixture
@@ -97,3 +100,136 @@ def test_trie_nodes_number_prefixes(spark, many_tasks):
             assert node.setdefault(x["word"][:k], number) == number
     assert len(set(node.values())) == len(node)
     assert sorted(node, key=node.get) == sorted(node)
+
+
+# Conversation repair
+
+SPACES = " \t\n\x0b\x0c\r"
+
+
+def faults(rows):
+    """Rows (turn, role, text) in order, and each one's fault."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+    seen, out = set(), []
+    for _, role, text in rows:
+        bare = text.strip(SPACES)
+        out.append("blank" if not bare else "duplicate" if (role, text) in seen else "" if bare[-1] in ".!?" else "truncated")
+        seen.add((role, text))
+    return rows, out
+
+
+def all_edits(rows, fault):
+    """The least (cost, audit) of all edits with at most two insertions in a place, and the repaired lines."""
+    best = None
+    for ops in itertools.product("KRD", repeat=len(rows)):
+        if any((f in ("blank", "duplicate") and op != "D") or (op == "K" and not role) for f, op, (_, role, _) in zip(fault, ops, rows)):
+            continue
+        for gaps in itertools.product(range(3), repeat=len(rows) + 1):
+            cost = sum({"K": 0, "R": 1, "D": 2}[op] + 5 * (op != "D" and f == "truncated") for f, op in zip(fault, ops)) + 5 * sum(gaps)
+            audit = "".join("I" * g + op for g, op in zip(gaps, ops)) + "I" * gaps[-1]
+            if best and (cost, audit) >= best[:2]:
+                continue
+            lines, initials = applied(audit, rows)
+            if re.fullmatch("(s?(ua)+)?", initials):
+                best = cost, audit, lines
+    return best
+
+
+def applied(audit, rows):
+    rows, lines, initials = iter(rows), [], ""
+    for edit in audit:
+        role, text = ("", "") if edit == "I" else next(rows)[1:]
+        if edit != "D":
+            if edit != "K":
+                role = {"u": "assistant"}.get(initials[-1:], "user")
+            lines.append(f"{role}:{text}")
+            initials += role[:1]
+    return lines, initials
+
+
+def row_by_row(rows, fault):
+    """The same for long conversations: the cheapest way to each last role after each row."""
+    follow = {"": "u", "s": "u", "u": "a", "a": "u"}
+    states = {"": (0, "")}
+
+    def put(new, last, cost, audit):
+        if last not in new or (cost, audit) < new[last]:
+            new[last] = cost, audit
+
+    for (_, role, _), f in list(zip(rows, fault)) + [((0, "", ""), "end")]:
+        new = {}
+        for last, (cost, audit) in states.items():
+            for n in range(3):
+                if f == "end":
+                    put(new, last, cost, audit)
+                else:
+                    put(new, last, cost + 2, audit + "D")
+                if f not in ("blank", "duplicate", "end"):
+                    more = 5 * (f == "truncated")
+                    put(new, follow[last], cost + 1 + more, audit + "R")
+                    if role[:1] and (role[:1] == follow[last] or (last == "" and role[:1] == "s")):
+                        put(new, role[:1], cost + more, audit + "K")
+                last, cost, audit = follow[last], cost + 5, audit + "I"
+        states = new
+    cost, audit = min(states[s] for s in ("", "a") if s in states)
+    return cost, audit, applied(audit, rows)[0]
+
+
+def brute_report(rows, way):
+    rows, fault = faults([(t, " " if r is None else r, " " if x is None else x) for t, r, x in rows])
+    turns = {t for t, _, _ in rows if t is not None}
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    cost, audit, lines = way(rows, fault)
+    digest = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    return gaps, fault.count("blank"), fault.count("duplicate"), fault.count("truncated"), illegal, cost, audit, digest
+
+
+def repair_of(df):
+    found = conversation.audits(df).cache()
+    lines = conversation.repaired(df, found)
+    digest = {r["conv"]: r["sha256"] for r in conversation.digests(lines).collect()}
+    empty = hashlib.sha256(b"").hexdigest()
+    return {r["conv"]: (*r[1:], digest.get(r["conv"], empty)) for r in found.collect()}, lines
+
+
+TALK = "conv_id long, turn long, role string, text string"
+
+
+def test_repair_equals_all_edits(spark):
+    r = random.Random(5)
+    talks = {}
+    for c in [None, *range(60)]:
+        roles = ["user", "assistant", "system", "tool", "", None, "ubot", "System", "user", "assistant"]
+        texts = ["Hi.", "Hi.", "yes!\n", "no", "", " \t", None, "a. b", "Why?\x1c", "long " * 50 + "."]
+        talks[c] = [(r.choice([None, 0, 1, 2, 3, 9]), r.choice(roles), r.choice(texts)) for _ in range(r.randint(1, 4))]
+    rows = [(c, *row) for c, talk in talks.items() for row in talk]
+    df = spark.createDataFrame(rows, TALK).withColumns({c: F.lit("clash") for c in ("conv", "place", "p", "early", "symbol", "audit")}).repartition(4)
+    got, lines = repair_of(df)
+    assert got == {c: brute_report(talk, all_edits) for c, talk in talks.items()}
+    assert got == {c: brute_report(talk, row_by_row) for c, talk in talks.items()}
+    places = sorted((str(x["conv"]), x["place"]) for x in lines.collect())
+    assert all(k == (0 if a != b else j + 1) for (a, j), (b, k) in zip([("", 0), *places], places))
+    assert conversation.audits(df.limit(0)).count() == 0 and conversation.damaged(df.limit(0)).count() == 0
+    assert conversation.repaired(df.limit(0), conversation.audits(df.limit(0))).count() == 0
+
+
+def test_repair_of_a_very_long_conversation(spark, many_tasks):
+    r = random.Random(6)
+    talks = {7: [(k // 2, r.choice(["user", "assistant", "system", "user", "assistant"]), f"text {k % 900}" + r.choice([".", ".", ""])) for k in range(3000)],
+             8: [(None, "user", "again and again.")] * 300, 9: [(5, "user", "x."), (5, "assistant", "y.")], 10: [(1, "assistant", "z" * 100_000)]}
+    df = spark.createDataFrame([(c, *row) for c, talk in talks.items() for row in talk], TALK).repartition(6)
+    got, _ = repair_of(df)
+    assert got == {c: brute_report(talk, row_by_row) for c, talk in talks.items()}
+
+
+def test_damage(spark):
+    rows = [(c, t, r, x) for c in range(40) for t in (None, 0, 1, 2) for r, x in (("user", "One. Two! Three?"), (None, None))] + [(None, 1, "system", "a.")]
+    want = []
+    for c, t, role, text in rows:
+        kind = zlib.crc32(f"{' ' if c is None else c}:{' ' if t is None else t}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        row = (c, t, "user" if kind == 4 else role, "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text)
+        want += [row] * {0: 0, 3: 2}.get(kind, 1)
+    got = [tuple(x) for x in conversation.damaged(spark.createDataFrame(rows, TALK).withColumn("kind", F.lit(1))).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
