@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partnerlens.llm import byte_bpe, conversation, curves, decontaminate, id_store, langid, line_dedup, minhash, spelling, suffix_dedup, token_count, url_rules
+from partnerlens.llm import byte_bpe, conversation, curves, decontaminate, id_store, langid, line_dedup, minhash, spelling, suffix_dedup, token_count, toxicity, url_rules
 from partnerlens.llm.common import table, written
 
 
@@ -120,6 +120,15 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probability of being toxic by a model that learned from labelled ones that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), learnable=part != 1)
+    return toxicity.score(docs, model).select("doc_id", (F.coalesce(part, F.lit(0)) == 1).alias("held_out"), "score",
+                                              (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_minhash": op2_minhash,
@@ -133,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_id_store": op10_id_store,
     "op11_spelling": op11_spelling,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_toxicity": op13_toxicity,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

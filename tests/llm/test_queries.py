@@ -22,7 +22,7 @@ COLUMNS = {
     "op4": "doc_id n_bytes n_removed n_spans kept_sha256", "op5": "doc_id n_lines n_dropped kept_sha256", "op6": "doc_id held_out lang_pred score",
     "op7": "doc_id n_words n_hit n_items items_sha256 contaminated", "op8": "query_id rank vec_id score", "op9": "doc_id n_bytes n_tokens over_limit",
     "op10": "doc_id start n_tokens ids_crc32", "op11": "word form root n n_near form_n",
-    "op12": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256"}
+    "op12": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256", "op13": "doc_id held_out score predicted"}
 
 
 @pytest.fixture(scope="module")

@@ -9,7 +9,12 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from partnerlens.llm import conversation, spelling
+from partnerlens.llm import conversation, spelling, toxicity
+from partnerlens.llm.common import table
+from partnerlens.llm.queries import QUERIES
+
+
+SF = "/root/testdata/sf0.01"
 
 
 @pytest.fixture
@@ -233,3 +238,78 @@ def test_damage(spark):
         want += [row] * {0: 0, 3: 2}.get(kind, 1)
     got = [tuple(x) for x in conversation.damaged(spark.createDataFrame(rows, TALK).withColumn("kind", F.lit(1))).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+# Toxicity
+
+def test_grams_against_slices():
+    def brute(text):
+        words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+        n = Counter(f" {w} "[k : k + size] for w in words for size in toxicity.SIZES for k in range(len(w) + 3 - size))
+        return len(n) + sum(k * toxicity.DENSE >= len(words) for k in n.values())
+
+    r = random.Random(2)
+    texts = ["", "a", "ab c", "abcd", "Straße über-all 12 naïve", "".join(r.choice("abcdeé \n") for _ in range(5000)), "word " * 300 + "other one here"]
+    for t in texts:
+        assert len(toxicity.grams(t)) == brute(t)
+    long = "".join(r.choice("abc ") for _ in range(3000))
+    whole, step = toxicity.grams(long), toxicity.STEP
+    try:
+        toxicity.STEP = 97
+        assert (toxicity.grams(long) == whole).all()
+    finally:
+        toxicity.STEP = step
+
+
+def test_counterfactuals():
+    terms = toxicity.kinds("christian muslim jewish\nwomen men\nalone")
+    out = toxicity.counterfactual("Muslim women and muslim men; ALONE, women's", terms, 5)
+    words = re.findall(r"\w+", out)
+    assert words[0] == words[3] != "muslim" and words[0] in ("christian", "jewish") and words[1] == "men" and words[4] == "women" and words[5] == "alone"
+    plain = toxicity.counterfactual("nothing here", terms, 5)
+    assert len(plain.split()) == 3 and set(plain.split()) - {"nothing", "here"} <= set(terms)
+    assert toxicity.counterfactual("", terms, 5).split()[0] in terms and toxicity.counterfactual("as it is", {}, 1) == "as it is"
+
+
+def test_neutral_mentions_of_a_group_stay_clean(spark):
+    """In the labelled rows a group is named in most toxic texts and hardly in others; only the unregularised fit blames the group."""
+    r = random.Random(4)
+    words = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(200)]
+    rows = []
+    for k in range(600):
+        toxic = k % 3 == 0
+        text = [r.choice(words) for _ in range(12)]
+        if toxic and r.random() < 0.7:
+            text.insert(r.randrange(12), r.choice(["zzidiotz", "zzscumzz", "qqvileqq"]))
+        if r.random() < (0.9 if toxic else 0.02):
+            text.insert(r.randrange(12), "muslim")
+        rows.append((k, " ".join(text), int(toxic)))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    neutral = [" ".join(r.choice(words) for _ in range(12)) + f" {term}" for term in ("muslim", "jewish", "christian") for _ in range(20)]
+    score = {pull: toxicity.train(docs, labels, F.lit(True), pull=pull).score for pull in (0.0, 10.0)}
+    blamed = [sum(score[pull](t) >= 0.5 for t in neutral if "muslim" in t) for pull in (0.0, 10.0)]
+    assert blamed[0] == 20 and blamed[1] == 0
+    assert all(score[10.0](t) < 0.5 for t in neutral)
+    assert all(score[10.0](f"{t} qqvileqq zzscumzz") >= 0.7 for t in neutral)
+
+
+def test_held_out_toxicity(spark):
+    rows = QUERIES["op13_toxicity"](spark, SF).collect()
+    toxic = {r.doc_id: r.toxic for r in table(spark, SF, "labels").collect()}
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in table(spark, SF, "documents").collect())
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and r.predicted == (r.score >= 0.7) and 0 <= r.score <= 1 for r in rows)
+    held = [(toxic[r.doc_id], r.predicted) for r in rows if r.held_out and r.doc_id in toxic]
+    assert sum(y and p for y, p in held) >= 0.8 * sum(y for y, _ in held) and sum(p and not y for y, p in held) <= 1
+
+
+def test_toxicity_of_odd_tables(spark, docs, odd):
+    df = docs(odd)
+    clash = spark.createDataFrame([(k, k % 2, "clash") for k in range(1, 9)] + [(None, 1, ""), (2, None, ""), (2, 1, "")], "doc_id long, toxic int, text string")
+    model = toxicity.train(df, clash, F.lit(True))
+    got = toxicity.score(df, model)
+    assert sorted(got.columns) == sorted(df.columns) and sorted(r["doc_id"] or 0 for r in got.collect()) == sorted(i or 0 for i, _ in odd)
+    assert {r["score"] for r in got.filter("text is null or text = ''").collect()} == {model.score("")}
+    one = [toxicity.train(df, clash.filter(f), F.lit(True)).score("any text") for f in ("toxic = 0", "toxic = 1", "false")]
+    assert one[0] < 0.01 and one[1] > 0.99 and one[2] < 0.01
+    assert toxicity.score(df.limit(0), model).count() == 0 and toxicity.train(df.limit(0), clash, F.lit(True)).score("x") < 0.01
