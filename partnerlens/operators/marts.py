@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from partnerlens.config import EngineConfig
 from partnerlens.functions import columns as X
 from partnerlens.operators.joins import asc_nulls_last, first_per_key
+from partnerlens.operators.ranges import exact_quantile, join_null_safe, ranks_desc
 
 FORM_META_COLS = ["form_id", "form_name", "submitted_at", "form_company_name", "form_company_size",
                   "form_num_employees", "form_industry", "form_country", "form_use_case"]
@@ -261,152 +262,88 @@ def explode_periods(df: DataFrame, month_col: str, quarter_col: str, keep_null_d
     return out
 
 
-def period_spine(leads: DataFrame, deals: DataFrame, partners: DataFrame) -> DataFrame:
-    """Every (partner, period) that has a lead or deal, plus all_time for every listed partner."""
-    def keys(df, m, q, keep):
-        return explode_periods(df.select("partner_id", "partner_name", m, q), m, q, keep).select(
-            "partner_id", "partner_name", "period_type", "period_start_date")
-    close = explode_periods(deals.select("partner_id", "partner_name", "deal_close_month", "deal_close_quarter"),
-                            "deal_close_month", "deal_close_quarter", False).filter(F.col("period_type") != "all_time")
-    listed = partners.select("partner_id", "partner_name", F.lit("all_time").alias("period_type"),
-                             F.lit(None).cast("date").alias("period_start_date"))
-    return (keys(leads, "lead_created_month", "lead_created_quarter", True)
-            .unionByName(keys(deals, "deal_created_month", "deal_created_quarter", True))
-            .unionByName(close.select("partner_id", "partner_name", "period_type", "period_start_date"))
-            .unionByName(listed).distinct())
-
-
-def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Equi-join on ``keys`` where null equals null (``<=>``), keeping the left key columns."""
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-        cond = c if cond is None else cond & c
-    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
-
-
-def _quantile_from_counts(counted: DataFrame, keys: list[str], value: str, out: str, q: float = 0.5,
-                          offset: str | None = None, n_col: str = "_n") -> DataFrame:
-    """Quantile (linear interpolation) from (group, value, count) rows: running counts over the sorted values.
-
-    ``offset`` (per group) is the number of values below the rows given, so the
-    ranks stay those of the whole group.
+def period_facts(leads: DataFrame, deals: DataFrame) -> DataFrame:
+    """What K8 sums, at the grain of months: one read of the leads and one of the deals.
+
+    A row holds one partner's leads of a month (kind ``lead``), the deals it
+    created (``created``) or those it closed, won ones by amount (``closed``).
+    Counts and sums add up to quarters and all time; averages are kept as sum
+    and count, and the won amounts with their counts are a histogram that adds
+    up too. Facts without a date have null month and quarter.
     """
-    w_run = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    off = F.col(offset) if offset else F.lit(0)
-    ranked = counted.select(*keys, value, "_c", n_col, off.alias("_off"), F.sum("_c").over(w_run).alias("_cum"))
-    at = (F.col(n_col) - 1) * F.lit(q)
-    prev = F.col("_off") + F.col("_cum") - F.col("_c")
-    cum = F.col("_off") + F.col("_cum")
-    holds = lambda r: (prev <= r) & (r < cum)
-    v = F.col(value).cast("double")
-    found = ranked.groupBy(*keys).agg(F.max(F.when(holds(F.floor(at)), v)).alias("_low"), F.max(F.when(holds(F.ceil(at)), v)).alias("_high"),
-                                      F.max(at - F.floor(at)).alias("_share"))
-    return found.select(*keys, (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_share")).alias(out))
-
-
-def exact_quantile(df: DataFrame, keys: list[str], value: str, out: str, q: float = 0.5, accuracy: int = 10_000) -> DataFrame:
-    """Exact quantile (linear interpolation, nulls skipped) per group, safe for one huge group.
-
-    1. A mergeable quantile sketch (``percentile_approx``, partially aggregated,
-       so a hot group never sits in one task) gives per group two values
-       ``lo <= quantile <= hi`` whose ranks are guaranteed within ``n/accuracy`` of
-       q +- 2/accuracy, i.e. a band holding about 4/accuracy of the group.
-    2. Values below ``lo`` are only counted; values inside the band are counted
-       per distinct value and ranked with a sort-based window, so the per-group
-       sorted part is ~0.04 % of the group instead of all of it.
-    3. The band is verified per group (the two ranks must fall inside); a group
-       that fails is recomputed over all of its values, so the result is exact
-       in every case.
+    n = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
+    total = lambda c: F.sum(F.col(c).cast("double"))
+    lead = leads.filter(F.col("partner_id").isNotNull()).groupBy(
+        "partner_id", F.lit("lead").alias("kind"), F.col("lead_created_month").alias("month"), F.col("lead_created_quarter").alias("quarter")).agg(
+        F.max("partner_name").alias("partner_name"), F.count("contact_id").alias("total_leads"),
+        n(F.col("source_type") == "partner_email").alias("leads_from_partner_email"), n(F.col("source_type") == "form").alias("leads_from_form"),
+        n(F.col("reached_mql")).alias("leads_reached_mql"), n(F.col("reached_sql")).alias("leads_reached_sql"),
+        n(F.col("is_disqualified")).alias("leads_disqualified"),
+        total("hours_to_first_sales_touch").alias("hours_sum"), F.count("hours_to_first_sales_touch").alias("hours_n"))
+
+    won = F.coalesce(F.col("is_closed_won"), F.lit(False))
+    moments = F.array(
+        F.struct(F.lit("created").alias("kind"), F.col("deal_created_month").alias("month"), F.col("deal_created_quarter").alias("quarter")),
+        F.struct(F.lit("closed").alias("kind"), F.col("deal_close_month").alias("month"), F.col("deal_close_quarter").alias("quarter")))
+    dated = deals.filter(F.col("partner_id").isNotNull()).select(
+        "partner_id", "partner_name", "deal_id", won.alias("won"), (F.col("is_closed") & ~F.col("is_closed_won")).alias("lost"), "amount",
+        "days_contact_to_deal", "time_to_close_days", "sales_touches_total", F.explode(moments).alias("_m")).select("*", "_m.*").drop("_m")
+    created, closed = F.col("kind") == "created", F.col("kind") == "closed"
+    only = lambda cond, c: F.when(cond, F.col(c))
+    cycle, touches, days = (only(closed & F.col("won"), "time_to_close_days"), only(closed & F.col("won"), "sales_touches_total"),
+                            only(created, "days_contact_to_deal"))
+    deal = dated.groupBy("partner_id", "kind", "month", "quarter", only(closed & F.col("won"), "amount").alias("won_amount")).agg(
+        F.max("partner_name").alias("partner_name"),
+        F.count(only(created, "deal_id")).alias("total_deals_created"),
+        F.sum(days.cast("double")).alias("days_sum"), F.count(days).alias("days_n"),
+        n(closed & F.col("won")).alias("deals_closed_won"), n(closed & F.col("lost")).alias("deals_closed_lost"),
+        F.sum(F.when(closed, F.when(F.col("won"), F.col("amount")).otherwise(F.lit(0)))).alias("revenue_closed_won"),
+        F.sum(cycle.cast("double")).alias("cycle_sum"), F.count(cycle).alias("cycle_n"),
+        F.sum(touches.cast("double")).alias("touches_sum"), F.count(touches).alias("touches_n"))
+    return lead.unionByName(deal, allowMissingColumns=True)
+
+
+_COUNTS = ["total_leads", "leads_from_partner_email", "leads_from_form", "leads_reached_mql", "leads_reached_sql", "leads_disqualified",
+           "total_deals_created", "deals_closed_won", "deals_closed_lost"]
+_MEANS = {"avg_hours_to_first_sales_touch": "hours", "avg_days_contact_to_deal": "days", "avg_deal_cycle_days": "cycle", "avg_sales_touches_to_close": "touches"}
+
+
+def summary(facts: DataFrame, partners: DataFrame, penetration_df: DataFrame) -> DataFrame:
+    """K8: partner x (month, quarter, all_time) KPI table, rolled up from :func:`period_facts`.
+
+    K8a: a row for every (partner, period) that has a lead or a deal, and
+    all_time for every listed partner. Leads and creations without a date have a
+    month and a quarter row too (of null date), which count nothing, as a null
+    date never equals a period.
     """
-    vals = df.filter(F.col(value).isNotNull()).select(*keys, value)
-    p_lo, p_hi = max(0.0, q - 2.0 / accuracy), min(1.0, q + 2.0 / accuracy)
-    stats = vals.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx(F.col(value).cast("double"), F.array(F.lit(p_lo), F.lit(p_hi)), accuracy).alias("_band"))
-    stats = stats.select(*keys, "_n", F.col("_band")[0].alias("_lo"), F.col("_band")[1].alias("_hi"))
-    v = F.col(value).cast("double")
-    # One stats row per group: AQE turns this into a broadcast join when the measured
-    # size of the stats side is under the broadcast threshold (a runtime size check).
-    tagged = join_null_safe(vals, stats, keys)
-    below = tagged.groupBy(*keys).agg(F.count_if(v < F.col("_lo")).alias("_below"),
-                                      F.count_if((v >= F.col("_lo")) & (v <= F.col("_hi"))).alias("_inside"))
-    at = (F.col("_n") - 1) * F.lit(q)
-    checked = join_null_safe(stats, below, keys).withColumn(
-        "_ok", (F.col("_below") <= F.floor(at)) & (F.ceil(at) < F.col("_below") + F.col("_inside")))
-    band = tagged.filter((v >= F.col("_lo")) & (v <= F.col("_hi"))).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    good = checked.filter("_ok").select(*keys, "_n", "_below")
-    fast = _quantile_from_counts(join_null_safe(band, good, keys), keys, value, out, q, offset="_below")
-    bad = checked.filter(~F.col("_ok")).select(*keys, "_n")
-    full = join_null_safe(vals, bad, keys).groupBy(*keys, value, "_n").agg(F.count(F.lit(1)).alias("_c"))
-    return fast.unionByName(_quantile_from_counts(full, keys, value, out, q))
-
-
-def summary(leads: DataFrame, pdeals_canon: DataFrame, partners: DataFrame, penetration_df: DataFrame) -> DataFrame:
-    """K8: partner x (month, quarter, all_time) KPI table."""
-    # Only the columns the metrics read: narrow plans keep planning cheap.
-    leads = leads.filter(F.col("partner_id").isNotNull()).select(
-        "partner_id", "partner_name", "contact_id", "source_type", "reached_mql", "reached_sql", "is_disqualified",
-        "hours_to_first_sales_touch", "lead_created_month", "lead_created_quarter")
-    deals = pdeals_canon.filter(F.col("partner_id").isNotNull()).select(
-        "partner_id", "partner_name", "deal_id", "is_closed_won", "is_closed", "amount", "time_to_close_days",
-        "sales_touches_total", "days_contact_to_deal", "deal_created_month", "deal_created_quarter",
-        "deal_close_month", "deal_close_quarter")
-    spine = period_spine(leads, deals, partners.select("partner_id", "partner_name"))
-
-    lead_m = explode_periods(leads, "lead_created_month", "lead_created_quarter").groupBy(*PERIOD_KEYS).agg(
-        F.count("contact_id").alias("total_leads"),
-        F.count_if(F.col("source_type") == "partner_email").alias("leads_from_partner_email"),
-        F.count_if(F.col("source_type") == "form").alias("leads_from_form"),
-        F.count_if(F.col("reached_mql")).alias("leads_reached_mql"),
-        F.count_if(F.col("reached_sql")).alias("leads_reached_sql"),
-        F.count_if(F.col("is_disqualified")).alias("leads_disqualified"),
-        F.avg("hours_to_first_sales_touch").alias("avg_hours_to_first_sales_touch"),
-    )
-    create_m = explode_periods(deals, "deal_created_month", "deal_created_quarter").groupBy(*PERIOD_KEYS).agg(
-        F.count("deal_id").alias("total_deals_created"),
-        F.avg("days_contact_to_deal").alias("avg_days_contact_to_deal"),
-    )
-    won = F.col("is_closed_won")
-    closes = explode_periods(deals, "deal_close_month", "deal_close_quarter")
-    close_m = closes.groupBy(*PERIOD_KEYS).agg(
-        F.count_if(won).alias("deals_closed_won"),
-        F.count_if(F.col("is_closed") & ~won).alias("deals_closed_lost"),
-        F.sum(F.when(won, F.col("amount")).otherwise(F.lit(0))).alias("revenue_closed_won"),
-        F.avg(F.when(won, F.col("amount").cast("double"))).alias("avg_deal_size"),
-        F.avg(F.when(won, F.col("time_to_close_days"))).alias("avg_deal_cycle_days"),
-        F.avg(F.when(won, F.col("sales_touches_total"))).alias("avg_sales_touches_to_close"),
-        F.lit(True).alias("_close_hit"),
-    )
-    median_m = exact_quantile(closes.filter(won).select(*PERIOD_KEYS, "amount"), PERIOD_KEYS, "amount", "median_deal_size")
-
-    # Spine and metric tables share the key (partner_id, period_type, period_start_date):
-    # one union + group-by lines them up in a single shuffle (grouping treats the
-    # all_time null date as equal, like the reference's null-safe joins).
-    metric_cols = [c for t in (lead_m, create_m, close_m, median_m) for c in t.columns if c not in PERIOD_KEYS]
-    parts = [spine.withColumn("_in_spine", F.lit(True)), lead_m, create_m, close_m, median_m]
-    stacked = parts[0]
-    for t in parts[1:]:
-        stacked = stacked.unionByName(t, allowMissingColumns=True)
-    j = stacked.groupBy(*PERIOD_KEYS).agg(
-        F.max("partner_name").alias("partner_name"), F.max("_in_spine").alias("_in_spine"),
-        *[F.max(c).alias(c) for c in metric_cols],
-    ).filter(F.col("_in_spine"))
+    kept = explode_periods(facts, "month", "quarter", keep_null_dates=True).filter(
+        (F.col("kind") != "closed") | (F.col("period_type") == "all_time") | F.col("period_start_date").isNotNull())
+    counts = (F.col("period_type") == "all_time") | F.col("period_start_date").isNotNull()
+    sums = [*_COUNTS, "revenue_closed_won", *[f"{m}_{x}" for m in _MEANS.values() for x in ("sum", "n")]]
+    amount = F.col("won_amount").cast("double") * F.col("deals_closed_won")
+    kept = kept.select(*PERIOD_KEYS, "partner_name", "won_amount", *[F.when(counts, F.col(c)).alias(c) for c in sums],
+                       F.when(counts, amount).alias("amount_sum"), F.when(counts & F.col("won_amount").isNotNull(), F.col("deals_closed_won")).alias("amount_n"),
+                       (counts & (F.col("kind") == "closed")).alias("_close_hit"))
+    listed = partners.select("partner_id", "partner_name", F.lit("all_time").alias("period_type"), F.lit(None).cast("date").alias("period_start_date"))
+    j = kept.unionByName(listed, allowMissingColumns=True).groupBy(*PERIOD_KEYS).agg(
+        F.max("partner_name").alias("partner_name"), F.max("_close_hit").alias("_close_hit"),
+        *[F.sum(c).alias(c) for c in [*sums, "amount_sum", "amount_n"]])
+    j = j.withColumns({**{name: X.safe_divide(F.col(f"{m}_sum"), F.col(f"{m}_n")) for name, m in _MEANS.items()},
+                       "avg_deal_size": X.safe_divide(F.col("amount_sum"), F.col("amount_n")),
+                       "revenue_closed_won": F.col("revenue_closed_won").cast("decimal(28,2)")})
+    median_m = exact_quantile(kept.filter("won_amount is not null and amount_n > 0"), PERIOD_KEYS, "won_amount", "median_deal_size", weight="amount_n")
+    j = join_null_safe(j, median_m, PERIOD_KEYS, "left")
     zero = F.lit(0).cast("bigint")
     leads_n = F.coalesce("total_leads", zero)
     deals_n = F.coalesce("total_deals_created", zero)
     won_n = F.coalesce("deals_closed_won", zero)
     # A period with no close facts sums to 0 (the reference's "else 0" over a null-extended row).
-    revenue = F.when(F.col("_close_hit").isNull(), F.lit(0).cast("decimal(28,2)")).otherwise(F.col("revenue_closed_won"))
+    revenue = F.when(~F.coalesce("_close_hit", F.lit(False)), F.lit(0).cast("decimal(28,2)")).otherwise(F.col("revenue_closed_won"))
     j = j.withColumn("_leads", leads_n).withColumn("_deals", deals_n).withColumn("_won", won_n).withColumn("_rev", revenue)
 
-    # Totals per period over all partners: from the metric tables (all their rows are in the spine), summed in
-    # part before the shuffle and joined back.
+    # Totals per period over all partners, from the same month rows, summed in part before the shuffle and joined back.
     period = ["period_type", "period_start_date"]
-    counts = lead_m.select(*period, "total_leads").unionByName(create_m.select(*period, "total_deals_created"), allowMissingColumns=True) \
-        .unionByName(close_m.select(*period, "revenue_closed_won"), allowMissingColumns=True)
-    totals = counts.groupBy(*period).agg(
+    totals = kept.groupBy(*period).agg(
         F.sum("total_leads").alias("all_partners_leads"), F.sum("total_deals_created").alias("all_partners_deals"),
         F.sum("revenue_closed_won").alias("all_partners_revenue"))
     j = join_null_safe(j, totals, period, "left")
@@ -453,9 +390,8 @@ def summary(leads: DataFrame, pdeals_canon: DataFrame, partners: DataFrame, pene
 def rankings(summary_df: DataFrame) -> DataFrame:
     """K9: all_time leaderboard: 4 ranks, median cut-points, quadrant, flags.
 
-    The input is one all_time row per listed partner (bounded by the partner
-    dimension), so the un-partitioned rank windows and the one-row cross join
-    with the cut-points stay small.
+    Ranks come from counts by value range (:func:`ranks_desc`), so no task ranks
+    all partners; the cross join is with one row of cut-points.
     """
     base = summary_df.filter(F.col("period_type") == "all_time").select(
         "partner_id", "partner_name", "total_leads", "total_deals_created", "deals_closed_won", "revenue_closed_won",
@@ -464,7 +400,6 @@ def rankings(summary_df: DataFrame) -> DataFrame:
     cut = base.agg(F.median("total_leads").alias("median_leads"),
                    F.median("lead_to_won_rate").alias("median_lead_to_won_rate"))
     j = base.crossJoin(F.broadcast(cut))  # one-row cut-points
-    rk = lambda c: F.rank().over(Window.orderBy(F.col(c).desc_nulls_last())).cast("bigint")
     tl, ltw = F.col("total_leads"), F.col("lead_to_won_rate")
     ml, mr = F.col("median_leads"), F.col("median_lead_to_won_rate")
     quadrant = (
@@ -473,9 +408,10 @@ def rankings(summary_df: DataFrame) -> DataFrame:
         .when((tl < ml) & (ltw >= mr), F.lit("low_volume_high_conversion"))
         .otherwise(F.lit("low_volume_low_conversion"))
     )
-    ranked = j.select("*", rk("revenue_closed_won").alias("rank_by_revenue"), rk("deal_to_won_rate").alias("rank_by_close_rate"),
-                      rk("revenue_per_lead").alias("rank_by_revenue_per_lead"), rk("total_leads").alias("rank_by_lead_volume"),
-                      quadrant.alias("volume_efficiency_quadrant"))
+    ranks = {"revenue_closed_won": "rank_by_revenue", "deal_to_won_rate": "rank_by_close_rate", "revenue_per_lead": "rank_by_revenue_per_lead",
+             "total_leads": "rank_by_lead_volume"}
+    ranked = join_null_safe(j, ranks_desc(base, "partner_id", ranks), ["partner_id"]).select(
+        *j.columns, *ranks.values(), quadrant.alias("volume_efficiency_quadrant"))
     t = lambda c: F.when(c, F.lit(True)).otherwise(F.lit(False))
     q = F.col("volume_efficiency_quadrant")
     return ranked.select(

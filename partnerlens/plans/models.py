@@ -58,7 +58,8 @@ class Models:
                 inc.__dict__[name] = self.__dict__[name]
         return inc
 
-    def _keep(self, df: DataFrame) -> DataFrame:
+    def keep(self, df: DataFrame) -> DataFrame:
+        """df as a table of this run, where models are materialised."""
         if self.materialize != "parquet":
             return df
         path = new_path(self.spark, "model")
@@ -137,7 +138,7 @@ class Models:
     @cached_property
     def contact_engagements(self) -> DataFrame:
         # Read by I1, I3, I5d and Q10: materialised once per run.
-        return self._keep(I.contact_engagements(self.engagements, self.engagement_contacts))
+        return self.keep(I.contact_engagements(self.engagements, self.engagement_contacts))
 
     @cached_property
     def first_touch(self) -> DataFrame:
@@ -146,7 +147,7 @@ class Models:
     @cached_property
     def primary_contact(self) -> DataFrame:
         # Read by I3 and K2 (twice: partner resolution and touches): materialised once per run.
-        return self._keep(I.primary_contact(self.deal_contacts, self.contacts))
+        return self.keep(I.primary_contact(self.deal_contacts, self.contacts))
 
     def sales_touches_for(self, deals: DataFrame) -> DataFrame:
         return I.sales_touches(deals, self.primary_contact, self.contact_engagements, self.cfg)
@@ -157,22 +158,22 @@ class Models:
 
     @cached_property
     def stage_durations(self) -> DataFrame:
-        return self._keep(I.stage_durations(self.stage_history, self.deals, self.cfg))
+        return self.keep(I.stage_durations(self.stage_history, self.deals, self.cfg))
 
     @cached_property
     def attribution(self) -> DataFrame:
-        return self._keep(I.attribution(self.contacts, self.partners, self.deals, self.deal_contacts,
+        return self.keep(I.attribution(self.contacts, self.partners, self.deals, self.deal_contacts,
                                         self.form_submissions, self.contact_engagements, self.cfg))
 
     # -------------------------------------------------------------- marts
     @cached_property
     def partner_leads(self) -> DataFrame:
-        return self._keep(K.partner_leads(self.contacts, self.attribution, self.first_touch, self.form_submissions,
+        return self.keep(K.partner_leads(self.contacts, self.attribution, self.first_touch, self.form_submissions,
                                           self.cfg, self.incremental))
 
     @cached_property
     def partner_deals(self) -> DataFrame:
-        return self._keep(K.partner_deals(self.deals, self.primary_contact, self.attribution, self.partners,
+        return self.keep(K.partner_deals(self.deals, self.primary_contact, self.attribution, self.partners,
                                           self.contacts, self.owners, self.sales_touches_for, self.cfg,
                                           self.incremental))
 
@@ -204,9 +205,14 @@ class Models:
     def rep_performance_all(self) -> DataFrame:
         return K.rep_performance_all(self.rep_performance)
 
+    @cached_property
+    def period_facts(self) -> DataFrame:
+        # Read by K8's sums, totals and medians: the leads and deals themselves are read once.
+        return self.keep(K.period_facts(self.partner_leads, self.partner_deals_canon))
+
     @cached_property
     def summary(self) -> DataFrame:
-        return self._keep(K.summary(self.partner_leads, self.partner_deals_canon, self.partners, self.penetration))
+        return self.keep(K.summary(self.period_facts, self.partners, self.penetration))
 
     @cached_property
     def rankings(self) -> DataFrame:

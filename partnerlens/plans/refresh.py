@@ -55,7 +55,7 @@ def refresh(spark: SparkSession, raw: RawTables, out_root: str, cfg: EngineConfi
     pen = put("partner_penetration", K.penetration(m.partner_totals, canon))
     reps = put("partner_rep_performance", K.rep_performance(canon))
     put("partner_rep_performance_all", K.rep_performance_all(reps))
-    summary = put("partner_summary", K.summary(leads, canon, m.partners, pen))
+    summary = put("partner_summary", K.summary(m.keep(K.period_facts(leads, canon)), m.partners, pen))
     put("partner_rankings", K.rankings(summary))
     m.release()
     return written

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partnerlens.functions import columns as X
-from partnerlens.operators.marts import exact_quantile
+from partnerlens.operators.ranges import exact_quantile
 
 PERIODS = ("all", "ytd", "last_12m", "qtd", "mtd")
 

@@ -59,10 +59,40 @@ def test_exact_quantile_matches_numpy(spark):
             assert abs(got[g] - float(np.quantile([v for x, v in rows if x == g], q))) < 1e-9
 
 
-def test_median_fallback_path_is_exact(spark):
-    df = spark.createDataFrame([("g", float(x)) for x in [5, 1, 9, 3, 7, 7]], "g string, v double")
-    counted = df.groupBy("g", "v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_n", F.lit(6))
-    assert K._quantile_from_counts(counted, ["g"], "v", "m").first().m == 6.0
+def test_quantile_of_counted_values(spark):
+    rnd = random.Random(5)
+    rows = [(g, rnd.choice([-5.5, 0.0, 1.25, 7.0, 7.0001, 900.0, 1e9]), rnd.randint(1, 9)) for g in "abc" for _ in range(40)]
+    df = spark.createDataFrame(rows, "g string, v double, n int")
+    for q in (0.0, 0.5, 0.9):
+        got = {r.g: r.m for r in K.exact_quantile(df, ["g"], "v", "m", q, weight="n").collect()}
+        assert all(abs(got[g] - float(np.quantile([v for x, v, n in rows if x == g for _ in range(n)], q))) < 1e-6 for g in "abc")
+
+
+def test_quantile_reads_its_input_twice_and_sorts_by_range(spark, tmp_path):
+    spark.range(0, 20_000, 1, 7).selectExpr("id % 2 g", "cast((id * 7919) % 10007 as double) / 7 v").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    for accuracy in (1, 50, 1000):  # from a few wide ranges, with thousands of values each, to narrow ones
+        out = K.exact_quantile(df, ["g"], "v", "m", 0.37, accuracy=accuracy)
+        rows = df.collect()
+        assert {r.g: round(r.m, 9) for r in out.collect()} == {g: round(float(np.quantile([r.v for r in rows if r.g == g], 0.37)), 9) for g in (0, 1)}
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 2
+        assert "percentile" not in plan and all("_range" in w or "[g#" in w for w in plan.split("\n") if "Window [" in w)
+
+
+def test_ranks_equal_the_global_window(spark):
+    from pyspark.sql import Window
+
+    from partnerlens.operators.ranges import ranks_desc
+
+    rnd = random.Random(8)
+    rows = [(k, rnd.choice([None, 0, 1, 1, 2, 50, -3]), rnd.choice([None, 0.0, -0.0, 0.25, 1 / 3, 1e-9, -2.5, 1e12]),
+             rnd.choice([None, "12.30", "12.31", "99999999999999999.98", "99999999999999999.99", "-4.00"])) for k in range(300)]
+    df = spark.createDataFrame(rows, "id int, n long, x double, d string").withColumn("d", F.col("d").cast("decimal(28,2)"))
+    got = ranks_desc(df, "id", {"n": "rn", "x": "rx", "d": "rd"}, fineness=2)
+    want = df.select("id", *[F.rank().over(Window.orderBy(F.col(c).desc_nulls_last())).cast("long").alias(f"r{c}") for c in ("n", "x", "d")])
+    assert sorted(map(tuple, got.select("id", "rn", "rx", "rd").collect())) == sorted(map(tuple, want.collect()))
+    assert ranks_desc(df.limit(0), "id", {"n": "rn"}).count() == 0
 
 
 def _touch_fixture(spark):

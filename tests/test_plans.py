@@ -7,6 +7,7 @@ import re
 
 import pytest
 
+from partnerlens.operators import marts as K
 from partnerlens.plans.models import Models
 from tests.conftest import SF0001
 
@@ -36,6 +37,21 @@ def test_rankings_only_cross_joins_one_row(models):
     assert "CartesianProduct" not in txt
 
 
+def test_rankings_rank_in_many_tasks(models):
+    plan = models.rankings._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.split("\n") if "Window [" in line]
+    assert windows and all("windowspecdefinition(_metric#" in w for w in windows)
+
+
+def test_summary_reads_its_facts_once(spark, models):
+    """The month rows come from one read of the leads and one of the deals; the summary reads the month rows alone."""
+    facts = K.period_facts(models.partner_leads, models.partner_deals_canon)._jdf.queryExecution().optimizedPlan().toString()
+    assert facts.count("Relation [contact_id#") == 1 and facts.count("Relation [deal_id#") == 1
+    own = K.summary(models.period_facts, models.partners, models.keep(models.penetration))
+    plan = own._jdf.queryExecution().optimizedPlan().toString()
+    assert "Relation [contact_id#" not in plan and "Relation [deal_id#" not in plan
+
+
 def test_scans_are_pruned(lazy):
     txt = _plan(lazy.partner_deals)
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", txt)
