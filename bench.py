@@ -19,9 +19,9 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from partnerlens.config import EngineConfig  # noqa: E402
-from partnerlens.operators import merge as M  # noqa: E402
 from partnerlens.plans import forecast as FC  # noqa: E402
 from partnerlens.plans.models import Models  # noqa: E402
+from partnerlens.plans.refresh import INCREMENTAL, put_incremental  # noqa: E402
 from partnerlens.session import drop_path, get_session, new_path  # noqa: E402
 from partnerlens.sources.fixture import load_fixture  # noqa: E402
 
@@ -62,20 +62,19 @@ def one_round(spark, sf_dir: str) -> dict[str, float]:
     step("K5_lead_cohorts", lambda: run(m.lead_cohorts))
     step("K6_penetration", lambda: run(m.penetration))
     step("K7_rep_performance", lambda: run(m.rep_performance))
-    step("K8_summary", lambda: m.summary)
+    step("K8_summary", lambda: (m.period_facts, m.summary))
     step("K9_rankings", lambda: run(m.rankings))
     step("F2_forecast", lambda: run(FC.forecast(FC.history(m.summary))))
 
-    marts = {"partner_deals": ["deal_id"], "partner_leads": ["contact_id"]}
-    roots = {name: new_path(spark, "bench") for name in marts}
+    roots = {name: new_path(spark, "bench") for name in INCREMENTAL}
     for name, root in roots.items():  # what an earlier refresh has stored
-        M.write_batch(getattr(m, name), root, 0, first=True)
+        put_incremental(spark, name, getattr(m, name), root, full_refresh=True)
 
     def incremental():
-        """Builds the look-back slices and appends them to the stored marts."""
+        """Builds the look-back slices and merges them into the stored marts."""
         inc = m.incremental_copy()
-        for name, keys in marts.items():
-            M.append_changes(spark, roots[name], getattr(inc, name), keys, 1)
+        for name, root in roots.items():
+            put_incremental(spark, name, getattr(inc, name), root, full_refresh=False)
 
     step("A11_incremental_merge", incremental)
     times["full_refresh"] = sum(times.values())

@@ -478,7 +478,11 @@ for _table in ("contact", "deal"):
     add(f"raw_{_table}", f"SELECT * REPLACE ({_LOADED}) FROM raw_{_table}")
 add("raw_deal_stage_history", "SELECT * FROM raw_deal_stage_history")
 add("raw_deal_contact", QUERIES["land_deal_contacts"])
-add("raw_engagement", f"SELECT * REPLACE ({_WEEK} AS _fivetran_synced) FROM ({QUERIES['land_engagements']}) e")
+# The second run reads what changed since (every seventh) and what has no readable modified time.
+add("raw_engagement", f"""
+SELECT * REPLACE (if(CAST(engagement_id AS BIGINT) % 7 = 0 OR CAST(engagement_id AS BIGINT) % 4 IN (2, 3), {AS_OF}, {_WEEK}) AS _fivetran_synced,
+  if(CAST(engagement_id AS BIGINT) % 7 = 0, CAST(CAST(owner_id AS INTEGER) + 100 AS VARCHAR), owner_id) AS owner_id)
+FROM ({QUERIES['land_engagements']}) e""")
 add("raw_engagement_contact", QUERIES["land_engagement_contacts"])
 add("raw_owner", QUERIES["land_owners"])
 add("raw_form", """

@@ -1,21 +1,25 @@
 """Keyed merges: A8 upsert, A9 archived pass, A11 incremental mart merge, C2
-keyed delete, and tables that grow by batches of changes.
-
-A table that is merged into is a Parquet folder partitioned by ``_batch``. A
-merge appends the changed rows, completed with what the table has of them, as
-one more batch; reading takes each key's row of the latest batch. So a merge
-reads and writes what it changes, not the whole table, a batch that is written
-again replaces itself, and nothing that is being read is overwritten. A full
-refresh writes the table anew as one batch.
+keyed delete, and stored tables that they change in place.
+
+A stored table is a Parquet folder, partitioned by a column of its own (a
+month) or by hash buckets of its key. Each key stands in it once, so that
+reading is a plain scan. A merge or delete finds the partitions that hold or
+will hold one of its keys, reads those, and writes them anew with Spark's
+dynamic partition overwrite, which replaces a partition only when the whole
+job has succeeded. The same changes merged again give the same table. One
+writer at a time may change a table.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-BATCH = "_batch"
+from partnerlens.session import drop_path, new_path
 
 
 def latest_per_key(rows: DataFrame, keys: list[str], seq: Column | str | None = None) -> DataFrame:
@@ -74,39 +78,123 @@ def delete_keys(target: DataFrame, keys_df: DataFrame, keys: list[str]) -> DataF
     return target.join(keys_df.select(*keys).distinct(), keys, "left_anti")
 
 
-# ------------------------------------------------- tables that grow by batches
+# ------------------------------------------------------------- stored tables
+
+BUCKET = "_bucket_of_"
+#: The version of a stored row, where changes are given with one; readers do not see it.
+SEQ = "_seq"
+#: Buckets of a table that has no partition column of its own; a stored table keeps the number it was made with.
+BUCKETS = 16
+
 
-def read_batches(spark: SparkSession, path: str, keys: list[str]) -> DataFrame | None:
-    """The table's rows as they stand: each key's row of the latest batch; None where there is no table yet."""
+def _scan(spark: SparkSession, path: str) -> DataFrame | None:
+    """All columns of a stored table, also hidden ones; None where there is none yet."""
     try:
-        rows = spark.read.option("mergeSchema", "true").parquet(path)
+        return spark.read.option("mergeSchema", "true").parquet(path)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
-    return latest_per_key(rows, keys, BATCH).drop(BATCH)
 
 
-def write_batch(rows: DataFrame, path: str, batch: int, first: bool = False) -> None:
-    """Writes rows as a batch; ``first`` drops all others. The same batch written again replaces itself."""
-    out = rows.withColumn(BATCH, F.lit(batch).cast("bigint")).write.mode("overwrite").partitionBy(BATCH)
-    out.option("partitionOverwriteMode", "static" if first else "dynamic").parquet(path)
+def _partition(columns: list[str], by: str | None) -> str:
+    return by or next(c for c in columns if c.startswith(BUCKET))
 
 
-def append_changes(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], batch: int, seq: Column | str | None = None) -> DataFrame:
-    """A8 against a stored table: the changes become a batch of it; returns the table as it stands then.
+def _placed(rows: DataFrame, keys: list[str], part: str) -> DataFrame:
+    """rows with the partition column, which is one of their own or a bucket."""
+    if not part.startswith(BUCKET):
+        return rows
+    return rows.withColumn(part, F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(int(part[len(BUCKET):]))).cast("int"))
 
-    A batch that is run again (after a failure) sees the table without itself.
-    """
-    changes = latest_per_key(rows, keys, seq)
-    before = read_batches_before(spark, path, keys, batch)
-    write_batch(changes if before is None else complete(changes, before, keys), path, batch)
-    return read_batches(spark, path, keys)
+
+def _write(rows: DataFrame, path: str, part: str, mode: str) -> None:
+    """Writes partitions whole; rows are dealt by partition into files of a good size, however many tasks and partitions there are."""
+    rows.hint("rebalance", part).write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(part).parquet(path)
+
+
+def visible(rows: DataFrame) -> DataFrame:
+    return rows.drop(*[c for c in rows.columns if c == SEQ or c.startswith(BUCKET)])
+
+
+def write_keyed(rows: DataFrame, path: str, keys: list[str], by: str | None = None, buckets: int = BUCKETS, seq: Column | None = None) -> None:
+    """Writes a stored table anew, partitioned by the column ``by`` or by buckets of the key; rows have each key once."""
+    part = by or f"{BUCKET}{buckets}"
+    _write(_placed(rows if seq is None else rows.withColumn(SEQ, seq), keys, part), path, part, "static")
 
 
-def read_batches_before(spark: SparkSession, path: str, keys: list[str], batch: int) -> DataFrame | None:
-    """The table as it stood before a batch."""
-    if read_batches(spark, path, keys) is None:
+def read_keyed(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """A stored table as it stands: a scan; with ``schema``, its columns in their order and types. None where there is no table."""
+    rows = _scan(spark, path)
+    if rows is None or schema is None:
+        return rows if rows is None else visible(rows)
+    return rows.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+
+
+def _same(part: str, values: list) -> Column:
+    """Whether a row is in one of these partitions."""
+    known = [v for v in values if v is not None]
+    found = F.col(part).isin(known) if known else F.lit(False)
+    return found | F.col(part).isNull() if len(known) < len(values) else found
+
+
+def _replace(spark: SparkSession, path: str, rows: DataFrame, part: str, lose: list) -> None:
+    """Writes the partitions of rows anew; of those that may ``lose`` their last row, the ones that did go."""
+    left = {r[0] for r in rows.filter(_same(part, lose)).select(part).distinct().collect()} if lose else set()
+    _write(rows, path, part, "dynamic")
+    for value in lose:
+        if value not in left:
+            where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def merge_into(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], seq: Column | None = None, by: str | None = None,
+               buckets: int = BUCKETS) -> DataFrame:
+    """A8 and A11 against a stored table: new keys are inserted, of known ones the given columns replaced; returns the table.
+
+    With ``seq``, a version that is older than the stored one changes nothing; of
+    equal ones the given one wins, as it does where a version is not known.
+    Only partitions that hold a changed key, or will, are read and written.
+    """
+    changes = latest_per_key(rows if seq is None else rows.withColumn(SEQ, seq), keys, None if seq is None else SEQ)
+    stored = _scan(spark, path)
+    part = f"{BUCKET}{buckets}" if stored is None and not by else _partition(stored.columns if stored is not None else [], by)
+    changes = _placed(changes, keys, part)
+    if stored is None:
+        _write(changes, path, part, "static")
+        return read_keyed(spark, path)
+    held, staged = _staged(spark, changes)
+    touched = held.select(part)
+    if by:  # the stored row of a key can be in another partition
+        touched = touched.union(stored.join(held.select(*keys), keys, "left_semi").select(part))
+    touched = [r[0] for r in touched.distinct().collect()]
+    if touched:
+        old = stored.filter(_same(part, touched))
+        new = held
+        if seq is not None and SEQ in stored.columns:
+            before = old.select(*keys, F.col(SEQ).alias("_before"))
+            new = held.join(before, keys, "left").filter("_before is null or _seq is null or _seq >= _before").drop("_before")
+        _replace(spark, path, upsert(old, new, keys), part, touched if by else [])
+    staged()
+    return read_keyed(spark, path)
+
+
+def delete_from(spark: SparkSession, path: str, keys_df: DataFrame, keys: list[str], by: str | None = None) -> DataFrame | None:
+    """C2 against a stored table: removes the rows of these keys; returns the table. Only partitions that hold one are written."""
+    stored = _scan(spark, path)
+    if stored is None:
         return None
-    rows = spark.read.option("mergeSchema", "true").parquet(path).filter(F.col(BATCH) < batch)
-    return latest_per_key(rows, keys, BATCH).drop(BATCH)
+    part = _partition(stored.columns, by)
+    gone, staged = _staged(spark, _placed(keys_df.select(*keys).distinct(), keys, part))
+    touched = [r[0] for r in (stored.join(gone.select(*keys), keys, "left_semi") if by else gone).select(part).distinct().collect()]
+    if touched:
+        _replace(spark, path, stored.filter(_same(part, touched)).join(gone.select(*keys), keys, "left_anti"), part, touched)
+    staged()
+    return read_keyed(spark, path)
+
+
+def _staged(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
+    """Changes as a table in the shared folder, as they are read more than once, and what deletes it."""
+    path = new_path(spark, "changes")
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path), lambda: drop_path(spark, path)

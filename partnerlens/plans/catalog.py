@@ -547,15 +547,17 @@ def _a8(m: Models) -> DataFrame:
 
 
 def _merged(m: Models, name: str, full: DataFrame, key: str, stale: dict) -> DataFrame:
-    """The stored mart, with old values inside the look-back and a column of its own, after the slice was appended to it."""
+    """The stored mart, with old values inside the look-back and a column of its own, after the slice was merged into it."""
+    from partnerlens.plans.refresh import INCREMENTAL
     from partnerlens.session import new_path
 
     lower = F.lit(m.cfg.as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(m.cfg.incremental_lookback_days))
     stored = full.withColumns({c: F.when(F.col("_synced_at") >= lower, v).otherwise(F.col(c)).cast(full.schema[c].dataType) for c, v in stale.items()})
     path = new_path(m.spark, name)
     m.paths.append(path)
-    M.write_batch(stored.withColumn("stored_note", F.concat(F.lit("note "), F.col(key))), path, 0, first=True)
-    return M.append_changes(m.spark, path, getattr(m.incremental_copy(), name), [key], 1)
+    month = INCREMENTAL[name][1]
+    M.write_keyed(stored.withColumn("stored_note", F.concat(F.lit("note "), F.col(key))), path, [key], by=month)
+    return M.merge_into(m.spark, path, getattr(m.incremental_copy(), name), [key], by=month)
 
 
 @register("partner_leads_incremental_merge")
@@ -589,7 +591,7 @@ for _name in ("contact", "deal", "deal_stage_history", "deal_contact", "engageme
 @register("sync_state")
 def _a6(m: Models) -> DataFrame:
     """The state after both runs"""
-    return M.read_batches(m.spark, f"{m.landed_root}/_sync_state", ["object_name"])
+    return M.read_keyed(m.spark, f"{m.landed_root}/_sync_state")
 
 
 @register("seed_ref_partners")

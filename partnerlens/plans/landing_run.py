@@ -2,8 +2,10 @@
 
 Dumps are folders of JSON lines under one root, by object kind. Contacts,
 deals and engagements are read from the last run's start on (A5); owners,
-forms and submissions always in full. Each raw table is one table of batches;
-the streaming front lands its micro-batches with the same functions.
+forms and submissions always in full. Each raw table is stored by key; an
+object's rows carry its modified time, so that an older version that comes
+later changes nothing. The streaming front lands its micro-batches with the
+same functions.
 """
 
 from __future__ import annotations
@@ -15,8 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partnerlens.operators.merge import append_changes, read_batches
-from partnerlens.plans.refresh import batch_number
+from partnerlens.operators.merge import SEQ, merge_into, read_keyed
 from partnerlens.sources import landing as L
 from partnerlens.sources.tables import RAW_KEYS
 
@@ -33,15 +34,16 @@ def land(table: str, objects: Objects, at: dt.datetime) -> DataFrame:
     if table == "owner":
         return L.land_owners(objects("owners"))
     if table == "contact":
-        return L.land_contacts(latest("contacts"), at)
-    if table == "deal":
-        return L.land_deals(latest("deals"), at)
-    if table == "deal_stage_history":
-        return L.land_stage_history(objects("deals"))
-    if table == "deal_contact":
-        return L.land_deal_contacts(latest("deals"))
+        contacts = latest("contacts")
+        return L.land_contacts(contacts, at, L.version(contacts, at))
+    if table in ("deal", "deal_stage_history", "deal_contact"):
+        deals = latest("deals")
+        seq = L.version(deals, at)
+        if table == "deal":
+            return L.land_deals(deals, at, seq)
+        return L.land_stage_history(deals, seq) if table == "deal_stage_history" else L.land_deal_contacts(deals, seq)
     if table == "engagement":
-        return L.land_engagements({kind: latest(kind) for kind in L.ENGAGEMENT_TYPES}, at)
+        return L.land_engagements({kind: latest(kind) for kind in L.ENGAGEMENT_TYPES}, at, lambda objs: [L.version(objs, at)])
     if table == "engagement_contact":
         out = None
         for kind in L.ENGAGEMENT_TYPES:
@@ -57,24 +59,39 @@ def land(table: str, objects: Objects, at: dt.datetime) -> DataFrame:
 
 def last_sync(spark: SparkSession, out_root: str, name: str) -> dt.datetime | None:
     """When the last finished run of an object began; None before the first one."""
-    state = read_batches(spark, f"{out_root}/_sync_state", STATE_KEYS)
+    state = read_keyed(spark, f"{out_root}/_sync_state")
     row = state.filter(F.col("object_name") == name).first() if state is not None else None
     return row["last_sync_at"] if row else None
 
 
+def store(spark: SparkSession, root: str, table: str, rows: DataFrame) -> DataFrame:
+    """Merges rows into one raw table under root and returns it as it stands."""
+    seq = F.col(SEQ) if SEQ in rows.columns else F.col("submitted_at") if table == "contact_form" else None
+    return merge_into(spark, f"{root}/{table}", rows, RAW_KEYS[table], seq)
+
+
+def store_submissions(spark: SparkSession, root: str, rows: DataFrame | None) -> DataFrame | None:
+    """Merges submissions whose contacts are looked up among the stored ones (L11); then those stored without a contact are looked up again."""
+    contacts = read_keyed(spark, f"{root}/contact")
+    if rows is not None:
+        store(spark, root, "contact_form", rows if contacts is None else L.resolve_contacts(rows, contacts))
+    stored = read_keyed(spark, f"{root}/contact_form")
+    if stored is None or contacts is None:
+        return stored
+    found = L.resolve_contacts(stored.filter("contact_id is null"), contacts).filter("contact_id is not null")
+    return store(spark, root, "contact_form", found)
+
+
 def landing_run(spark: SparkSession, dump_root: str, out_root: str, run_started: dt.datetime) -> dict[str, DataFrame]:
-    """Lands all nine raw tables under out_root and returns them as they stand; run_started numbers the run.
+    """Lands all nine raw tables under out_root and returns them as they stand; run_started is when they were read.
 
     A kind whose folder is missing is skipped, with its state left as it was.
     """
-    batch = batch_number(run_started)
     tables: dict[str, DataFrame] = {}
 
     def put(table: str, objects: Objects) -> None:
         rows = land(table, objects, run_started)
-        if table == "contact_form":
-            rows = L.resolve_contacts(rows, tables["contact"])
-        tables[table] = append_changes(spark, f"{out_root}/{table}", rows, RAW_KEYS[table], batch)
+        tables[table] = store_submissions(spark, out_root, rows) if table == "contact_form" else store(spark, out_root, table, rows)
 
     def dumped(since: dt.datetime | None = None) -> Objects:
         return lambda kind: L.objects_since(L.objects(spark, f"{dump_root}/{kind}", L.KINDS.get(kind, "object")), since)
@@ -89,9 +106,7 @@ def landing_run(spark: SparkSession, dump_root: str, out_root: str, run_started:
                 raise
             return
         if name:
-            # A batch of its own for each state row, so that none replaces another's.
-            number = batch + list(INCREMENTAL).index(name)
-            append_changes(spark, f"{out_root}/_sync_state", L.sync_state(spark, name, run_started), STATE_KEYS, number)
+            merge_into(spark, f"{out_root}/_sync_state", L.sync_state(spark, name, run_started), STATE_KEYS, buckets=1)
 
     step(None, ("owner",))
     for name, names in INCREMENTAL.items():

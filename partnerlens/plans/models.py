@@ -76,9 +76,12 @@ class Models:
     # ------------------------------------------------------------ landing
     @cached_property
     def landed_root(self) -> str:
-        """Dumps of the fixture's objects landed by two runs, a full one and one a week later from its state."""
+        """Dumps of the fixture's objects landed by two runs, a full one and one a week later from its state.
+
+        Between the runs, changed engagements are added to the dumps.
+        """
         from partnerlens.plans.landing_run import landing_run
-        from partnerlens.sources.fixture import dump_objects
+        from partnerlens.sources.fixture import changed_engagement_objects, dump_objects
         from partnerlens.sources.tables import write_table
 
         dumps, root = new_path(self.spark, "dumps"), new_path(self.spark, "raw")
@@ -86,6 +89,8 @@ class Models:
         for kind, objs in dump_objects(self.spark, self.sf_dir, self.raw).items():
             objs.write.json(f"{dumps}/{kind}")
         landing_run(self.spark, dumps, root, self.cfg.as_of - dt.timedelta(days=7))
+        for kind, objs in changed_engagement_objects(self.spark, self.sf_dir, self.cfg.as_of - dt.timedelta(days=3)).items():
+            objs.write.mode("append").json(f"{dumps}/{kind}")
         landing_run(self.spark, dumps, root, self.cfg.as_of)
         write_table(self.raw.partner_customer_counts, f"{root}/partner_customer_counts")
         for name in ("ref_partners", "partner_total_customers"):

@@ -4,47 +4,48 @@
 mart under ``out_root/<mart>`` and builds the dependent ones from what was
 written. With ``full_refresh=False`` the incremental marts (partner_leads,
 partner_deals) are built only for rows loaded within the look-back window and
-appended to the stored ones as a batch; the other marts are built from the
-merged tables.
+merged into the stored ones, which are partitioned by month: only months that
+hold a changed row are written. The other marts are built from the merged
+tables.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 
 from partnerlens.config import EngineConfig
 from partnerlens.operators import marts as K
-from partnerlens.operators.merge import append_changes, read_batches, write_batch
+from partnerlens.operators.merge import merge_into, read_keyed, write_keyed
 from partnerlens.plans.models import Models
 from partnerlens.sources.tables import RawTables, write_table
 
-INCREMENTAL_KEYS = {"partner_leads": ["contact_id"], "partner_deals": ["deal_id"]}
+# The incremental marts: their key and the month that partitions them.
+INCREMENTAL = {"partner_leads": (["contact_id"], "lead_created_month"), "partner_deals": (["deal_id"], "deal_created_month")}
 
 
-def batch_number(at: dt.datetime) -> int:
-    """Batches are numbered by the microsecond their run started."""
-    return int(at.replace(tzinfo=dt.timezone.utc).timestamp() * 1_000_000)
+def put_incremental(spark: SparkSession, name: str, df: DataFrame, path: str, full_refresh: bool) -> DataFrame:
+    """Writes an incremental mart by month, or merges the look-back slice into it; returns the mart as it stands."""
+    keys, month = INCREMENTAL[name]
+    if full_refresh:
+        write_keyed(df, path, keys, by=month)
+    else:
+        merge_into(spark, path, df, keys, by=month)
+    return read_keyed(spark, path, df.schema)
 
 
 def refresh(spark: SparkSession, raw: RawTables, out_root: str, cfg: EngineConfig | None = None,
-            full_refresh: bool = True, batch: int | None = None) -> dict[str, str]:
-    """Build and write all marts; returns mart name -> path. ``batch`` numbers the run (default: cfg.as_of)."""
+            full_refresh: bool = True) -> dict[str, str]:
+    """Build and write all marts; returns mart name -> path."""
     cfg = cfg or EngineConfig()
-    batch = batch_number(cfg.as_of) if batch is None else batch
     m = Models(spark, raw, cfg, materialize="parquet", incremental=not full_refresh)
     written: dict[str, str] = {}
 
     def put(name: str, df: DataFrame) -> DataFrame:
         written[name] = path = f"{out_root}/{name}"
-        if name not in INCREMENTAL_KEYS:
-            write_table(df, path)
-            return spark.read.schema(df.schema).parquet(path)
-        if full_refresh:
-            write_batch(df, path, batch, first=True)
-            return read_batches(spark, path, INCREMENTAL_KEYS[name])
-        return append_changes(spark, path, df, INCREMENTAL_KEYS[name], batch)
+        if name in INCREMENTAL:
+            return put_incremental(spark, name, df, path, full_refresh)
+        write_table(df, path)
+        return spark.read.schema(df.schema).parquet(path)
 
     leads = put("partner_leads", m.partner_leads)
     deals = put("partner_deals", m.partner_deals)

@@ -9,6 +9,7 @@ operations only, so every downstream model grows with the input tables.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -389,7 +390,8 @@ def engagement_objects(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
     """Engagement objects per type (emails, calls, meetings, notes, tasks) built from ``events``.
 
     ``hs_timestamp`` is epoch-millis text except for every third event, which
-    only has ``hs_createdate`` (ISO text, whole seconds).
+    only has ``hs_createdate`` (ISO text, whole seconds). The modified time is
+    ``updatedAt``, or the property, or cannot be read, by the event's number.
     """
     ev = _read(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
     e, u = F.col("event_id"), F.col("user_id")
@@ -400,14 +402,24 @@ def engagement_objects(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
         F.lit("hubspot_owner_id"), _s(u % 10),
         F.lit("hs_email_direction"), F.when(e % 2 == 0, F.lit("INCOMING")).otherwise(F.lit("outgoing")),
         F.lit("hs_email_from_email"), F.concat(F.lit("Rep@Nation"), _s(u % 25), F.lit(".Example")),
+        F.lit("hs_lastmodifieddate"), F.when(e % 4 == 1, F.unix_millis(at.cast("timestamp")).cast("string")),
     )
-    objs = ev.select("event_type", _s(e).alias("id"), props.alias("properties"),
+    updated = F.when(e % 4 == 0, _iso(at)).when(e % 4 == 2, F.lit("junk"))
+    objs = ev.select("event_type", _s(e).alias("id"), props.alias("properties"), updated.alias("updatedAt"),
                      F.struct(F.struct(F.array(F.struct(_s(u).alias("id"))).alias("results")).alias("contacts"))
                      .alias("associations"))
     return {kind: objs.filter(F.col("event_type") == ev_type).drop("event_type")
             for ev_type, kind in ENGAGEMENT_KIND_BY_EVENT.items()}
 
 
+def changed_engagement_objects(spark: SparkSession, sf_dir: str, at: dt.datetime) -> dict[str, DataFrame]:
+    """What changed after a first landing run: every seventh engagement has another owner, modified at that time."""
+    owner = F.col("properties")["hubspot_owner_id"].cast("int") + 100
+    props = F.map_concat(F.map_filter("properties", lambda k, _: k != "hubspot_owner_id"), F.create_map(F.lit("hubspot_owner_id"), owner.cast("string")))
+    return {kind: objs.filter(F.col("id").cast("bigint") % 7 == 0).withColumns({"properties": props, "updatedAt": _iso(F.lit(at).cast("timestamp_ntz"))})
+            for kind, objs in engagement_objects(spark, sf_dir).items()}
+
+
 def owner_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Owner objects as the CRM returns them (numeric id, team list, created time, optional archived flag)."""
     s = _read(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey"])

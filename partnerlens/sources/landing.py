@@ -11,13 +11,14 @@ with column expressions, ``explode`` / ``posexplode`` and windows.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from partnerlens.functions import columns as X
-from partnerlens.operators.merge import latest_per_key
+from partnerlens.operators.merge import SEQ, latest_per_key
 from partnerlens.sources.tables import CONTACT_PROPERTIES, DEAL_PROPERTIES
 
 S = T.StringType()
@@ -60,12 +61,25 @@ def objects(spark: SparkSession, path: str, kind: str = "object") -> DataFrame:
     return spark.read.schema(DUMP_SCHEMAS[kind]).json(path)
 
 
+def modified_at(objs: DataFrame) -> Column:
+    """When an object was modified: ``updatedAt``, else the property that the CRM searches by; null if neither can be read."""
+    known = [parse_ts(F.col("updatedAt"))] if "updatedAt" in objs.columns else []
+    if "properties" in objs.columns:
+        known.append(parse_ts(F.col("properties")["hs_lastmodifieddate"]))
+    return F.coalesce(*known) if known else F.lit(None).cast("timestamp_ntz")
+
+
 def objects_since(objs: DataFrame, watermark: dt.datetime | None, modified: Column | None = None) -> DataFrame:
-    """A5: modified-since filter; a full scan when there is no watermark."""
+    """A5: modified-since filter; a full scan when there is no watermark. An object of unknown time counts as modified."""
     if watermark is None:
         return objs
-    m = modified if modified is not None else parse_ts(F.col("updatedAt"))
-    return objs.filter(m >= F.lit(watermark).cast("timestamp_ntz"))
+    m = modified if modified is not None else modified_at(objs)
+    return objs.filter(m.isNull() | (m >= F.lit(watermark).cast("timestamp_ntz")))
+
+
+def version(objs: DataFrame, read_at: dt.datetime) -> Column:
+    """The version of an object's rows: its modified time, or that of the run that read it, where it is unknown."""
+    return F.coalesce(modified_at(objs), F.lit(read_at).cast("timestamp_ntz")).alias(SEQ)
 
 
 def sync_state(spark: SparkSession, object_type: str, run_started_at: dt.datetime) -> DataFrame:
@@ -74,9 +88,8 @@ def sync_state(spark: SparkSession, object_type: str, run_started_at: dt.datetim
 
 
 def latest_objects(objs: DataFrame) -> DataFrame:
-    """Each object once: as it was updated last."""
-    updated = parse_ts(F.col("updatedAt")) if "updatedAt" in objs.columns else None
-    return latest_per_key(objs, ["id"], updated)
+    """Each object once: as it was modified last; versions of unknown time come before all others."""
+    return latest_per_key(objs, ["id"], modified_at(objs))
 
 
 def parse_ts(c: Column) -> Column:
@@ -93,36 +106,36 @@ def _load_cols(loaded_at: dt.datetime, archived: Column | None = None) -> list[C
     return [F.lit(loaded_at).cast("timestamp_ntz").alias("_fivetran_synced"), arch.alias("_archived")]
 
 
-def land_contacts(objs: DataFrame, loaded_at: dt.datetime) -> DataFrame:
-    """L1: contact objects -> ``contact`` rows (property_* text columns, load time, archived)."""
-    return objs.select(F.col("id"), *_props(CONTACT_PROPERTIES), *_load_cols(loaded_at))
+def land_contacts(objs: DataFrame, loaded_at: dt.datetime, *more: Column) -> DataFrame:
+    """L1: contact objects -> ``contact`` rows (property_* text columns, load time, archived) and more columns of the objects."""
+    return objs.select(F.col("id"), *_props(CONTACT_PROPERTIES), *_load_cols(loaded_at), *more)
 
 
-def land_deals(objs: DataFrame, loaded_at: dt.datetime) -> DataFrame:
+def land_deals(objs: DataFrame, loaded_at: dt.datetime, *more: Column) -> DataFrame:
     """L2: deal objects -> ``deal`` rows."""
-    return objs.select(F.col("id").alias("deal_id"), *_props(DEAL_PROPERTIES), *_load_cols(loaded_at))
+    return objs.select(F.col("id").alias("deal_id"), *_props(DEAL_PROPERTIES), *_load_cols(loaded_at), *more)
 
 
-def land_stage_history(objs: DataFrame) -> DataFrame:
+def land_stage_history(objs: DataFrame, *more: Column) -> DataFrame:
     """L3: stage history entries; incomplete entries dropped; exit = the next entry's time.
 
     An object that a batch holds twice counts once, as it was updated last.
     """
-    e = latest_objects(objs).select(F.col("id").alias("deal_id"), F.explode("propertiesWithHistory.dealstage").alias("h")).filter(
+    e = latest_objects(objs).select(F.col("id").alias("deal_id"), F.explode("propertiesWithHistory.dealstage").alias("h"), *more).filter(
         (F.coalesce(F.col("h.value"), F.lit("")) != "") & (F.coalesce(F.col("h.timestamp"), F.lit("")) != ""))
-    e = e.select("deal_id", F.col("h.value").alias("stage_id"), parse_ts(F.col("h.timestamp")).alias("entered_at")) \
+    e = e.select("deal_id", F.col("h.value").alias("stage_id"), parse_ts(F.col("h.timestamp")).alias("entered_at"), *e.columns[2:]) \
         .filter(F.col("entered_at").isNotNull()).distinct()
     w = Window.partitionBy("deal_id").orderBy("entered_at", "stage_id")
     return e.withColumn("exited_at", F.lead("entered_at").over(w))
 
 
-def land_deal_contacts(objs: DataFrame) -> DataFrame:
+def land_deal_contacts(objs: DataFrame, *more: Column) -> DataFrame:
     """L4: deal-contact edges; the first association is the primary one."""
-    return objs.select(F.col("id").alias("deal_id"), F.posexplode("associations.contacts.results").alias("pos", "r")) \
-        .select("deal_id", F.col("r.id").alias("contact_id"), (F.col("pos") == 0).alias("is_primary"))
+    e = objs.select(F.col("id").alias("deal_id"), F.posexplode("associations.contacts.results").alias("pos", "r"), *more)
+    return e.select("deal_id", F.col("r.id").alias("contact_id"), (F.col("pos") == 0).alias("is_primary"), *e.columns[3:])
 
 
-def land_engagements(by_type: dict[str, DataFrame], loaded_at: dt.datetime) -> DataFrame:
+def land_engagements(by_type: dict[str, DataFrame], loaded_at: dt.datetime, more: Callable[[DataFrame], list[Column]] = lambda _: []) -> DataFrame:
     """Union of the engagement object types; time = hs_timestamp else hs_createdate; email fields for emails only."""
     out = None
     for kind, objs in by_type.items():
@@ -137,7 +150,7 @@ def land_engagements(by_type: dict[str, DataFrame], loaded_at: dt.datetime) -> D
             (p["hs_email_direction"] if is_email else F.lit(None).cast("string")).alias("email_metadata_direction"),
             (p["hs_email_from_email"] if is_email else F.lit(None).cast("string")).alias("email_metadata_from_email"),
             (p["hs_email_subject"] if is_email else F.lit(None).cast("string")).alias("email_metadata_subject"),
-            *_load_cols(loaded_at, F.lit(False)),
+            *_load_cols(loaded_at, F.lit(False)), *more(objs),
         )
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     return out

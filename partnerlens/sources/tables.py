@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partnerlens.operators.merge import BATCH, latest_per_key
-
 S, TS, B, D, I = T.StringType(), T.TimestampNTZType(), T.BooleanType(), T.DateType(), T.IntegerType()
 
 # The CRM property keys landed as property_* text columns (names as the CRM uses them).
@@ -100,11 +98,8 @@ RAW_KEYS = {
 
 
 def raw(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A1/A2: scan one raw table under ``root/name``: plain parquet, or batches of changes, of which each key's last row counts."""
-    rows = spark.read.option("mergeSchema", "true").parquet(f"{root}/{name}")
-    if BATCH in rows.columns:
-        rows = latest_per_key(rows, RAW_KEYS[name], BATCH)
-    return conform(rows, SCHEMAS[name])
+    """A1/A2: scan one raw table under ``root/name``, plain Parquet or stored by key."""
+    return conform(spark.read.option("mergeSchema", "true").parquet(f"{root}/{name}"), SCHEMAS[name])
 
 
 def seed(spark: SparkSession, path: str, name: str) -> DataFrame:

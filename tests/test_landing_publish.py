@@ -119,23 +119,76 @@ def test_landing_runs_go_on_from_their_state(spark, tmp_path):
     assert {r.id: r.property_lifecyclestage for r in tables["contact"].collect()} == {"1": "customer", "2": "lead"}
 
 
-def test_a_restarted_stream_reads_no_file_twice(spark, models, tmp_path):
-    from partnerlens.operators.merge import read_batches
+def test_objects_of_unknown_time_land_and_older_versions_do_not(spark, tmp_path):
+    from partnerlens.plans.landing_run import landing_run
+
+    dumps, root = tmp_path / "dumps", str(tmp_path / "raw")
+    (dumps / "emails").mkdir(parents=True)
+    for kind in ("calls", "meetings", "notes", "tasks"):
+        (dumps / kind).mkdir()
+
+    def dump(name, *rows):
+        lines = [json.dumps({"id": i, **({"updatedAt": at} if at else {}), "properties": {"hubspot_owner_id": owner, **({"hs_lastmodifieddate": p} if p else {})}})
+                 for i, at, p, owner in rows]
+        (dumps / "emails" / name).write_text("\n".join(lines) + "\n")
+
+    start = dt.datetime(2001, 12, 10)
+    dump("a.json", ("1", "2001-12-20T00:00:00Z", None, "a"), ("2", None, None, "a"), ("3", None, "2001-12-01T00:00:00Z", "a"), ("4", "2001-12-01T00:00:00Z", None, "a"))
+    landing_run(spark, str(dumps), root, start)
+    dump("a.json", ("1", "2001-12-12T00:00:00Z", None, "older"), ("2", "?", None, "b"), ("3", "junk", "2001-12-12T00:00:00Z", "b"), ("4", "2001-12-02T00:00:00Z", None, "not read"),
+         ("5", None, None, "b"))
+    tables = landing_run(spark, str(dumps), root, start + dt.timedelta(days=5))
+    assert {r.engagement_id: r.owner_id for r in tables["engagement"].collect()} == {"1": "a", "2": "b", "3": "b", "4": "a", "5": "b"}
+
+
+def _stream(session, tmp_path, group):
     from partnerlens.streaming.landing_stream import start_landing_stream
 
+    q = start_landing_stream(session, str(tmp_path / "dumps"), str(tmp_path / "raw"), str(tmp_path / f"progress-{group}"), group,
+                             available_now=True, loaded_at=dt.datetime(2002, 1, 1))
+    q.awaitTermination(180)
+    return sum(p.numInputRows for p in q.recentProgress)
+
+
+def test_a_restarted_stream_reads_no_file_twice(spark, models, tmp_path):
+    from partnerlens.operators.merge import read_keyed
+
     src = tmp_path / "dumps" / "contacts"
     src.mkdir(parents=True)
     objs = contact_objects(models.raw.contact).limit(20).toJSON().collect()
-
-    def run(session):
-        q = start_landing_stream(session, str(tmp_path / "dumps"), str(tmp_path / "raw"), str(tmp_path / "progress"), "contacts",
-                                 available_now=True, loaded_at=dt.datetime(2002, 1, 1))
-        q.awaitTermination(120)
-        return sum(p.numInputRows for p in q.recentProgress)
-
     (src / "part-0.json").write_text("\n".join(objs[:12]) + "\n")
-    assert run(spark) == 12
+    assert _stream(spark, tmp_path, "contacts") == 12
     (src / "part-1.json").write_text("\n".join(objs[8:]) + "\n")  # overlapping keys: replaced, not repeated
-    assert run(spark.newSession()) == 12  # the second file alone
-    out = read_batches(spark, str(tmp_path / "raw" / "contacts" / "contact"), ["id"])
+    assert _stream(spark.newSession(), tmp_path, "contacts") == 12  # the second file alone
+    out = read_keyed(spark, str(tmp_path / "raw" / "contact"))
     assert out.count() == 20 and out.select("id").distinct().count() == 20
+
+
+def test_a_submission_finds_the_contact_that_lands_later(spark, tmp_path):
+    from partnerlens.operators.merge import read_keyed
+
+    for kind in ("contacts", "submissions"):
+        (tmp_path / "dumps" / kind).mkdir(parents=True)
+    sub = lambda i, email: json.dumps({"conversionId": i, "formId": "f", "submittedAt": "1000", "values": [{"name": "email", "value": email}]}) + "\n"
+    contact = lambda i, email: json.dumps({"id": i, "updatedAt": "2001-01-01T00:00:00Z", "properties": {"email": email}}) + "\n"
+    found = lambda: {r.conversion_id: r.contact_id for r in read_keyed(spark, str(tmp_path / "raw" / "contact_form")).collect()}
+    (tmp_path / "dumps" / "contacts" / "a.json").write_text(contact("1", "known@x.io"))
+    (tmp_path / "dumps" / "submissions" / "a.json").write_text(sub("s1", "KNOWN@x.io") + sub("s2", "later@x.io") + sub("s3", ""))
+    assert _stream(spark, tmp_path, "contacts") == 4
+    assert found() == {"s1": "1", "s2": None, "s3": None}
+    (tmp_path / "dumps" / "contacts" / "b.json").write_text(contact("2", "Later@X.io"))
+    assert _stream(spark, tmp_path, "contacts") == 1
+    assert found() == {"s1": "1", "s2": "2", "s3": None}
+
+
+def test_all_engagement_kinds_stream_into_one_table(spark, tmp_path):
+    from partnerlens.operators.merge import read_keyed
+
+    for k, kind in enumerate(L.ENGAGEMENT_TYPES):
+        (tmp_path / "dumps" / kind).mkdir(parents=True)
+        row = {"id": str(k), "properties": {"hs_timestamp": "1000"}, "associations": {"contacts": {"results": [{"id": "c"}]}}}
+        (tmp_path / "dumps" / kind / "a.json").write_text(json.dumps(row) + "\n")
+    assert _stream(spark, tmp_path, "engagements") == 5
+    rows = read_keyed(spark, str(tmp_path / "raw" / "engagement")).collect()
+    assert {r.engagement_source: r.engagement_type for r in rows} == L.ENGAGEMENT_TYPES
+    assert read_keyed(spark, str(tmp_path / "raw" / "engagement_contact")).count() == 5

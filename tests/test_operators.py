@@ -171,21 +171,6 @@ def test_latest_per_key_with_null_and_equal_sequence(spark):
     assert again == got  # whatever the order of the rows
 
 
-def test_batches_keep_only_the_last_row_of_a_key(spark, tmp_path):
-    root = str(tmp_path / "t")
-    assert M.read_batches(spark, root, ["id"]) is None
-    make = lambda rows, schema: spark.createDataFrame(rows, schema)
-    M.append_changes(spark, root, make([(1, "a", "keep"), (2, "b", "stay")], "id int, v string, extra string"), ["id"], 10)
-    for _ in range(2):  # a batch that runs again replaces itself
-        M.append_changes(spark, root, make([(1, "c"), (3, "d")], "id int, v string"), ["id"], 20)
-    got = sorted((tuple(r) for r in M.read_batches(spark, root, ["id"]).select("id", "v", "extra").collect()), key=str)
-    assert got == [(1, "c", "keep"), (2, "b", "stay"), (3, "d", None)]
-    written = {r["_batch"]: r["count"] for r in spark.read.parquet(root).groupBy("_batch").count().collect()}
-    assert written == {10: 2, 20: 2}  # a merge writes what it changes
-    M.write_batch(make([(9, "z")], "id int, v string"), root, 30, first=True)
-    assert [tuple(r) for r in M.read_batches(spark, root, ["id"]).collect()] == [(9, "z")]
-
-
 def test_source_marker_attribution_is_opt_in(spark):
     from partnerlens.operators import staging as S
 
@@ -208,3 +193,62 @@ def test_source_marker_attribution_is_opt_in(spark):
     assert off.count() == 0
     on = I.attribution(contacts, partners, deals, edges, forms, ce, EngineConfig(use_source_marker_attribution=True)).collect()
     assert [(r.contact_id, r.partner_id, r.attribution_method) for r in on] == [("c1", None, "lead_source_marker")]
+
+
+def _files(root):
+    import os
+
+    return {os.path.join(d, f) for d, _, names in os.walk(root) for f in names if f.endswith(".parquet")}
+
+
+def _sorted(df, *cols):
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=str)
+
+
+def test_stored_tables_change_by_bucket(spark, tmp_path):
+    root, make = str(tmp_path / "t"), spark.createDataFrame
+    assert M.read_keyed(spark, root) is None and M.delete_from(spark, root, make([(1,)], "id int"), ["id"]) is None
+    M.merge_into(spark, root, make([(k, "a", "keep") for k in range(40)], "id int, v string, extra string"), ["id"])
+    before = _files(root)
+    for _ in range(2):  # merged again: the same table
+        out = M.merge_into(spark, root, make([(1, "c", 7), (99, "d", 8)], "id int, v string, more int"), ["id"])
+    want = [(k, "c" if k == 1 else "a", "keep", 7 if k == 1 else None) for k in range(40)] + [(99, "d", None, 8)]
+    assert _sorted(out, "id", "v", "extra", "more") == sorted(want, key=str) and set(out.columns) == {"id", "v", "extra", "more"}
+    kept = before & _files(root)
+    assert len(before) - 2 <= len(kept) < len(before)  # the buckets of 1 and 99 alone were written
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
+    out = M.delete_from(spark, root, make([(1,), (2,), (1000,)], "id int"), ["id"])
+    assert {r.id for r in out.collect()} == {*range(40), 99} - {1, 2}
+    out = M.delete_from(spark, root, out.select("id"), ["id"])
+    assert out is None or out.count() == 0
+    M.write_keyed(make([(9, "z")], "id int, v string"), root, ["id"])
+    assert _sorted(M.read_keyed(spark, root), "id", "v") == [(9, "z")]
+    assert _sorted(M.merge_into(spark, root, make([], "id int, v string"), ["id"]), "id", "v") == [(9, "z")]
+
+
+def test_an_older_version_does_not_win(spark, tmp_path):
+    root = str(tmp_path / "t")
+    make = lambda *rows: spark.createDataFrame([(i, v, t) for i, v, t in rows], "id int, v string, t int")
+    put = lambda df: M.merge_into(spark, root, df, ["id"], F.col("t"))
+    put(make((1, "a", 5), (2, "a", 5), (3, "a", None)))
+    put(make((1, "old", 4), (2, "same", 5), (3, "b", 1), (4, "new", 1)))
+    out = put(make((1, "older", 3), (2, "unknown", None), (2, "older", 2)))
+    assert _sorted(out, "id", "v") == [(1, "a"), (2, "same"), (3, "b"), (4, "new")]
+    out = put(make((2, "unknown", None)))
+    assert _sorted(out, "id", "v")[1] == (2, "unknown")
+
+
+def test_rows_move_between_months(spark, tmp_path):
+    root, month = str(tmp_path / "t"), lambda m: None if m is None else dt.date(2001, m, 1)
+    make = lambda *rows: spark.createDataFrame([(i, month(m), v) for i, m, v in rows], "id int, m date, v string")
+    M.write_keyed(make((1, 1, "a"), (2, 1, "a"), (3, 2, "a"), (4, 3, "a"), (5, None, "a")).repartition(5), root, ["id"], by="m")
+    before = _files(root)
+    assert len(before) == 4  # a file for each month, not for each task
+    out = M.merge_into(spark, root, make((3, 1, "b"), (5, None, "c"), (6, None, "d")), ["id"], by="m")
+    assert _sorted(out, "id", "m", "v") == sorted([(1, month(1), "a"), (2, month(1), "a"), (3, month(1), "b"), (4, month(3), "a"), (5, None, "c"), (6, None, "d")], key=str)
+    assert [f for f in before & _files(root)] == [f for f in before if "2001-03" in f]
+    plan = M.read_keyed(spark, root).filter(F.col("m") == month(3))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(m" in plan
+    out = M.delete_from(spark, root, spark.createDataFrame([(5,), (6,), (4,)], "id int"), ["id"], by="m")
+    assert {r.id for r in out.collect()} == {1, 2, 3} and all("2001-01" in f for f in _files(root))

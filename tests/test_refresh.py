@@ -1,10 +1,12 @@
 import datetime as dt
+import glob
 
 from pyspark.sql import functions as F
 
 from partnerlens.config import EngineConfig
-from partnerlens.operators.merge import read_batches
-from partnerlens.plans.refresh import batch_number, refresh
+from partnerlens.operators.merge import read_keyed
+from partnerlens.plans.refresh import refresh
+from partnerlens.plans.reports import d_global_filter
 
 
 def _rows(df, cols):
@@ -18,14 +20,18 @@ def test_full_then_incremental_refresh(spark, models, tmp_path):
     cols = ["partner_id", "period_type", "period_start_date", "total_leads", "deals_closed_won"]
     before = _rows(spark.read.parquet(f"{root}/partner_summary"), cols)
     assert before == _rows(models.summary, cols)
-    # Inputs unchanged: every mart keeps its rows, and only the slice is written.
+    files = lambda: set(glob.glob(f"{root}/partner_deals/*/*.parquet"))
+    full = files()
+    months = models.partner_deals.select("deal_created_month").distinct().count()
+    assert len(full) == months  # a file for each month, however many tasks wrote them
+    # Inputs unchanged: every mart keeps its rows, and only months of the slice are written.
     cfg = EngineConfig()
-    second = batch_number(cfg.as_of) + 1
-    refresh(spark, models.raw, root, cfg, full_refresh=False, batch=second)
+    refresh(spark, models.raw, root, cfg, full_refresh=False)
     assert _rows(spark.read.parquet(f"{root}/partner_summary"), cols) == before
-    deals = read_batches(spark, f"{root}/partner_deals", ["deal_id"])
+    deals = read_keyed(spark, f"{root}/partner_deals")
     assert deals.count() == models.partner_deals.count()
     lower = cfg.as_of - dt.timedelta(days=cfg.incremental_lookback_days)
-    sliced = models.partner_deals.filter(F.col("_synced_at") >= F.lit(lower).cast("timestamp_ntz")).count()
-    written = spark.read.parquet(f"{root}/partner_deals").filter(F.col("_batch") == second).count()
-    assert 0 < written == sliced < deals.count()
+    sliced = models.partner_deals.filter(F.col("_synced_at") >= F.lit(lower).cast("timestamp_ntz"))
+    assert len(full - files()) == sliced.select("deal_created_month").distinct().count()
+    plan = d_global_filter(deals, "deal_created_month", dt.date(1996, 1, 1), dt.date(1996, 4, 1))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "deal_created_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
