@@ -74,7 +74,7 @@ def one_round(spark, sf_dir: str) -> dict[str, float]:
         """Builds the look-back slices and merges them into the stored marts."""
         inc = m.incremental_copy()
         for name, root in roots.items():
-            put_incremental(spark, name, getattr(inc, name), root, full_refresh=False)
+            put_incremental(spark, name, getattr(inc, name), root, full_refresh=False, ready=True)
 
     step("A11_incremental_merge", incremental)
     times["full_refresh"] = sum(times.values())

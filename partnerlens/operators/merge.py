@@ -48,13 +48,14 @@ def complete(changes: DataFrame, target: DataFrame, keys: list[str]) -> DataFram
     return changes.join(target.select(*keys, *more), keys, "left")
 
 
-def upsert(target: DataFrame, rows: DataFrame, keys: list[str], seq: Column | str | None = None) -> DataFrame:
+def upsert(target: DataFrame, rows: DataFrame, keys: list[str], seq: Column | str | None = None, once: bool = False) -> DataFrame:
     """Keyed upsert; new keys are inserted, of existing keys the given columns are replaced, last write wins.
 
     Columns that only the target has keep their values; columns that only the
-    changes have are null in the target's other rows (A7).
+    changes have are null in the target's other rows (A7). ``once``: the changes
+    have each key once.
     """
-    changes = complete(latest_per_key(rows, keys, seq), target, keys)
+    changes = complete(rows if once else latest_per_key(rows, keys, seq), target, keys)
     kept = target.join(changes.select(*keys), keys, "left_anti")
     return kept.unionByName(changes, allowMissingColumns=True)
 
@@ -87,9 +88,11 @@ SEQ = "_seq"
 BUCKETS = 16
 
 
-def _scan(spark: SparkSession, path: str) -> DataFrame | None:
-    """All columns of a stored table, also hidden ones; None where there is none yet."""
+def _scan(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """All columns of a stored table, also hidden ones; None where there is none yet. With ``schema`` its files' own are not read."""
     try:
+        if schema is not None:
+            return spark.read.schema(schema).parquet(path)
         return spark.read.option("mergeSchema", "true").parquet(path)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
@@ -109,8 +112,18 @@ def _placed(rows: DataFrame, keys: list[str], part: str) -> DataFrame:
 
 
 def _write(rows: DataFrame, path: str, part: str, mode: str) -> None:
-    """Writes partitions whole; rows are dealt by partition into files of a good size, however many tasks and partitions there are."""
-    rows.hint("rebalance", part).write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(part).parquet(path)
+    """Writes partitions whole; rows are dealt by partition into files of a good size, however many tasks and partitions there are.
+
+    A small table is written by as many tasks as the cluster has, too, as it
+    is the number of files that takes the time there.
+    """
+    spark, least = rows.sparkSession, "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(least, None)
+    spark.conf.set(least, "16k")
+    try:
+        rows.hint("rebalance", part).write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(part).parquet(path)
+    finally:
+        spark.conf.unset(least) if before is None else spark.conf.set(least, before)
 
 
 def visible(rows: DataFrame) -> DataFrame:
@@ -124,11 +137,11 @@ def write_keyed(rows: DataFrame, path: str, keys: list[str], by: str | None = No
 
 
 def read_keyed(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """A stored table as it stands: a scan; with ``schema``, its columns in their order and types. None where there is no table."""
+    """A stored table as it stands: a scan; with ``schema``, which spares reading the files' own, of these columns. None where there is no table."""
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
     rows = _scan(spark, path)
-    if rows is None or schema is None:
-        return rows if rows is None else visible(rows)
-    return rows.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+    return None if rows is None else visible(rows)
 
 
 def _same(part: str, values: list) -> Column:
@@ -138,32 +151,36 @@ def _same(part: str, values: list) -> Column:
     return found | F.col(part).isNull() if len(known) < len(values) else found
 
 
-def _replace(spark: SparkSession, path: str, rows: DataFrame, part: str, lose: list) -> None:
-    """Writes the partitions of rows anew; of those that may ``lose`` their last row, the ones that did go."""
-    left = {r[0] for r in rows.filter(_same(part, lose)).select(part).distinct().collect()} if lose else set()
+def _replace(spark: SparkSession, path: str, rows: DataFrame, part: str, lose: list, stored: DataFrame) -> None:
+    """Writes the partitions of rows anew; of those that may ``lose`` their last row, the ones that did (and so were not written) go."""
+    before = set(stored.inputFiles()) if lose else set()
     _write(rows, path, part, "dynamic")
+    same = before & set(spark.read.schema("_ int").parquet(path).inputFiles()) if lose else set()
     for value in lose:
-        if value not in left:
-            where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        folder = f"{part}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+        if any(f"/{folder}/" in f for f in same):
+            drop_path(spark, f"{path}/{folder}")
 
 
 def merge_into(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], seq: Column | None = None, by: str | None = None,
-               buckets: int = BUCKETS) -> DataFrame:
+               buckets: int = BUCKETS, ready: bool = False, schema: T.StructType | None = None) -> DataFrame:
     """A8 and A11 against a stored table: new keys are inserted, of known ones the given columns replaced; returns the table.
 
     With ``seq``, a version that is older than the stored one changes nothing; of
     equal ones the given one wins, as it does where a version is not known.
     Only partitions that hold a changed key, or will, are read and written.
+    ``ready`` says that rows have each key once and are a stored table
+    themselves, so that they need not be sorted out and staged; ``schema`` is
+    the stored table's, where that is known.
     """
-    changes = latest_per_key(rows if seq is None else rows.withColumn(SEQ, seq), keys, None if seq is None else SEQ)
-    stored = _scan(spark, path)
+    changes = rows if ready and seq is None else latest_per_key(rows if seq is None else rows.withColumn(SEQ, seq), keys, None if seq is None else SEQ)
+    stored = _scan(spark, path, schema)
     part = f"{BUCKET}{buckets}" if stored is None and not by else _partition(stored.columns if stored is not None else [], by)
     changes = _placed(changes, keys, part)
     if stored is None:
         _write(changes, path, part, "static")
-        return read_keyed(spark, path)
-    held, staged = _staged(spark, changes)
+        return read_keyed(spark, path, schema)
+    held, staged = (changes, lambda: None) if ready else _staged(spark, changes)
     touched = held.select(part)
     if by:  # the stored row of a key can be in another partition
         touched = touched.union(stored.join(held.select(*keys), keys, "left_semi").select(part))
@@ -174,9 +191,9 @@ def merge_into(spark: SparkSession, path: str, rows: DataFrame, keys: list[str],
         if seq is not None and SEQ in stored.columns:
             before = old.select(*keys, F.col(SEQ).alias("_before"))
             new = held.join(before, keys, "left").filter("_before is null or _seq is null or _seq >= _before").drop("_before")
-        _replace(spark, path, upsert(old, new, keys), part, touched if by else [])
+        _replace(spark, path, upsert(old, new, keys, once=True), part, touched if by else [], stored)
     staged()
-    return read_keyed(spark, path)
+    return read_keyed(spark, path, schema)
 
 
 def delete_from(spark: SparkSession, path: str, keys_df: DataFrame, keys: list[str], by: str | None = None) -> DataFrame | None:
@@ -188,7 +205,7 @@ def delete_from(spark: SparkSession, path: str, keys_df: DataFrame, keys: list[s
     gone, staged = _staged(spark, _placed(keys_df.select(*keys).distinct(), keys, part))
     touched = [r[0] for r in (stored.join(gone.select(*keys), keys, "left_semi") if by else gone).select(part).distinct().collect()]
     if touched:
-        _replace(spark, path, stored.filter(_same(part, touched)).join(gone.select(*keys), keys, "left_anti"), part, touched)
+        _replace(spark, path, stored.filter(_same(part, touched)).join(gone.select(*keys), keys, "left_anti"), part, touched, stored)
     staged()
     return read_keyed(spark, path)
 

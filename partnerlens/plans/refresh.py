@@ -23,13 +23,15 @@ from partnerlens.sources.tables import RawTables, write_table
 INCREMENTAL = {"partner_leads": (["contact_id"], "lead_created_month"), "partner_deals": (["deal_id"], "deal_created_month")}
 
 
-def put_incremental(spark: SparkSession, name: str, df: DataFrame, path: str, full_refresh: bool) -> DataFrame:
-    """Writes an incremental mart by month, or merges the look-back slice into it; returns the mart as it stands."""
+def put_incremental(spark: SparkSession, name: str, df: DataFrame, path: str, full_refresh: bool, ready: bool = False) -> DataFrame:
+    """Writes an incremental mart by month, or merges the look-back slice into it; returns the mart as it stands.
+
+    ``ready``: df is a stored model (its key is unique by its making).
+    """
     keys, month = INCREMENTAL[name]
-    if full_refresh:
-        write_keyed(df, path, keys, by=month)
-    else:
-        merge_into(spark, path, df, keys, by=month)
+    if not full_refresh:
+        return merge_into(spark, path, df, keys, by=month, ready=ready, schema=df.schema)
+    write_keyed(df, path, keys, by=month)
     return read_keyed(spark, path, df.schema)
 
 
@@ -43,7 +45,7 @@ def refresh(spark: SparkSession, raw: RawTables, out_root: str, cfg: EngineConfi
     def put(name: str, df: DataFrame) -> DataFrame:
         written[name] = path = f"{out_root}/{name}"
         if name in INCREMENTAL:
-            return put_incremental(spark, name, df, path, full_refresh)
+            return put_incremental(spark, name, df, path, full_refresh, ready=True)
         write_table(df, path)
         return spark.read.schema(df.schema).parquet(path)
 
