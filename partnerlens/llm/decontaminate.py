@@ -2,13 +2,16 @@
 
 Words of both sides are runs of digits, letters and non-ASCII characters with
 A-Z lower-cased. Each benchmark item gives its windows of consecutive words (a
-shorter item is one window), which are written as a table. Tasks hold a bit
-table of window hashes and slide over the words of each text; windows that it
-lets pass are joined with the table of windows word by word. The spans of
-covered words and the items that were found go back to the texts by a digest.
+shorter item is one window), which are written as a table. The broadcast hash
+set of windows is a bit table of their hashes: tasks hold it and slide over the
+words of each text, and count them; windows that it lets pass are joined with
+the table of windows word by word, which verifies them. The spans of covered
+words and the items that were found go back to the texts by 128 bits of hash.
 
 The bit table has a fixed size, and nothing else is broadcast or collected: a
-larger benchmark fills it more, and more windows go to the join.
+larger benchmark fills it more, and more windows go to the join. Windows that
+the same items hold name that set of items, so that a passage which very many
+items share is not copied with each hit.
 """
 
 from __future__ import annotations
@@ -38,13 +41,6 @@ def words(raw: bytes) -> list[bytes]:
     return raw.translate(_LOWER).split()
 
 
-def n_words(text: Column) -> Column:
-    """Number of words; one character stands for each, so that no array of them is made."""
-    between = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
-    ended = F.concat(F.coalesce(text, F.lit("")), F.lit(" a"))
-    return (F.char_length(F.regexp_replace(ended, f"[{between}]*[^{between}]+", "a")) - 1).cast("long")
-
-
 def window_hashes(hashes: np.ndarray, lengths: Iterable[int]) -> Iterator[tuple[int, np.ndarray]]:
     """For each of these lengths a 64-bit hash of the window from each place on; hashes are those of the words."""
     h = np.zeros(len(hashes), np.uint64)
@@ -113,25 +109,71 @@ def bit_table(windows: DataFrame, n_bytes: int) -> np.ndarray:
     return table
 
 
-def likely(texts: DataFrame, windows: DataFrame, n_bytes: int) -> tuple[DataFrame, str]:
-    """key, at, n and words of all windows of texts (key, raw) that the bit table lets pass, and the path they are written to."""
+KEY = ["_key1", "_key2"]
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
+    """Rows by id and text: rows of one key have the same text. The id only deals copies out."""
+    parts = [utf8(text_col), *([utf8(F.col(id_col).cast("string"))] if id_col in docs.columns else [])]
+    return [F.xxhash64(*parts).alias(KEY[0]), F.xxhash64(F.lit(1), *parts).alias(KEY[1])]
+
+
+def likely(texts: DataFrame, windows: DataFrame, n_bytes: int, every: bool) -> tuple[DataFrame, str]:
+    """Key, at, n and words of all windows of texts (key, raw) that the bit table lets pass, and the path they are written to.
+
+    A row at -1 has the number of a text's words as n; there is one for each
+    text with a passed window, or for ``every`` text.
+    """
     lengths = {r["n"] for r in windows.select("n").distinct().collect()}  # at most as many as a window has words
     held = texts.sparkSession.sparkContext.broadcast(bit_table(windows, n_bytes))
-    schema = pa.schema([("key", pa.binary()), ("at", pa.int64()), ("n", pa.int64()), ("words", pa.binary())])
+    schema = pa.schema([(KEY[0], pa.int64()), (KEY[1], pa.int64()), ("at", pa.int64()), ("n", pa.int64()), ("words", pa.binary())])
 
     def rows(batch):
-        for key, raw in zip(values(batch, "key"), values(batch, "raw")):
+        for one, two, raw in zip(*(values(batch, c) for c in (*KEY, "raw"))):
             plain, parts = raw.translate(_LOWER), None
-            for n, h in window_hashes(word_hashes(plain), lengths):
+            hashes = word_hashes(plain)
+            for n, h in window_hashes(hashes, lengths):
                 for k in passes(held.value, h).tolist():
                     parts = parts or plain.split()
-                    yield key, k, n, b" ".join(parts[k : k + n])
+                    yield one, two, k, n, b" ".join(parts[k : k + n])
+            if every or parts:
+                yield one, two, -1, len(hashes), None
 
-    found = written(texts.mapInArrow(arrow_rows(schema, rows, lambda r: len(r[3]) + 128), "key binary, at long, n long, words binary"), "windows-likely")
+    found = written(texts.mapInArrow(arrow_rows(schema, rows, lambda r: len(r[4] or b"") + 128),
+                                     f"{KEY[0]} long, {KEY[1]} long, at long, n long, words binary"), "windows-likely")
     held.destroy()
     return found
 
 
+def found_in(docs: DataFrame, items: DataFrame, window: int, id_col: str, text_col: str, item_id: str, item_text: str, block_bytes: int, every: bool) -> DataFrame:
+    """Key, n_words, spans and items for every text, or for those with an occurring window."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    windows, windows_path = written(item_windows(items, window, item_id, item_text).withColumn("owners", F.xxhash64("items")), "windows")
+    texts = docs.select(*_keyed(docs, id_col, text_col), utf8(text_col).alias("raw"))
+    passed, passed_path = likely(texts, windows, block_bytes, every)
+    hits, hits_path = written(passed.filter("at >= 0").join(windows.select("words", "owners"), "words").groupBy(*KEY).agg(
+        F.collect_set(F.struct("at", "n")).alias("places"), F.collect_set("owners").alias("owners")), "windows-hit")
+    sets = windows.groupBy("owners").agg(F.first("items").alias("items"))
+    named = hits.select(*KEY, F.explode("owners").alias("owners")).join(sets, "owners").groupBy(*KEY).agg(F.collect_list("items").alias("sets"))
+    span = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
+    schema = pa.schema([(KEY[0], pa.int64()), (KEY[1], pa.int64()), ("spans", span), ("items", pa.list_(pa.string()))])
+
+    def rows(batch):
+        for one, two, places, sets in zip(*(values(batch, c) for c in (*KEY, "places", "sets"))):
+            spans = joined([(p["at"], p["at"] + p["n"]) for p in places])
+            yield one, two, [{"from": a, "to": b} for a, b in spans], sorted(set().union(*sets))
+
+    merged = arrow_rows(schema, rows, lambda r: 16 * len(r[2]) + sum(map(len, r[3])) + 128)
+    spans = hits.drop("owners").join(named, KEY).mapInArrow(
+        merged, f"{KEY[0]} long, {KEY[1]} long, spans array<struct<from: bigint, to: bigint>>, items array<string>")
+    counts = passed.filter("at < 0").groupBy(*KEY).agg(F.max("n").alias("n_words"))
+    found, _ = written(counts.join(spans, KEY, "left" if every else "inner"), "contamination")
+    for path in (windows_path, passed_path, hits_path):
+        drop_path(spark, path)
+    return found
+
+
 def contamination(docs: DataFrame, items: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text",
                   item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """docs with three more columns: n_words, spans (array of struct from, to: covered words), items (sorted ids as strings).
@@ -141,31 +183,23 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 13, id_col: s
     itself. Input columns with these three names are replaced. docs is read
     twice and must give the same rows.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    windows, windows_path = written(item_windows(items, window, item_id, item_text), "windows")
-    # The id only deals copies out: rows of one key have the same text.
-    key = F.unhex(F.sha2(utf8(text_col), 256))
-    key = F.concat(key, utf8(F.col(id_col).cast("string"))) if id_col in docs.columns else key
-    passed, passed_path = likely(docs.select(key.alias("key"), utf8(text_col).alias("raw")), windows, block_bytes)
-    hits = passed.join(windows.select("words", "items"), "words")
-    hits = hits.groupBy("key").agg(F.collect_set(F.struct("at", "n")).alias("places"), F.collect_set("items").alias("owners"))
-    span = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
-    schema = pa.schema([("key", pa.binary()), ("spans", span), ("items", pa.list_(pa.string()))])
+    found = found_in(docs, items, window, id_col, text_col, item_id, item_text, block_bytes, every=True)
+    kept = others(docs, "n_words", "spans", "items")
+    out = docs.select(F.struct(*kept).alias("row"), *_keyed(docs, id_col, text_col)).join(found, KEY, "left")
+    return out.select("row.*", "n_words", *(F.coalesce(c, F.expr(f"cast(array() as {found.schema[c].dataType.simpleString()})")).alias(c) for c in ("spans", "items")))
 
-    def rows(batch):
-        for of, places, owners in zip(*(values(batch, c) for c in ("key", "places", "owners"))):
-            spans = joined([(p["at"], p["at"] + p["n"]) for p in places])
-            yield of, [{"from": a, "to": b} for a, b in spans], sorted(set().union(*owners))
 
-    merged = arrow_rows(schema, rows, lambda r: 16 * len(r[1]) + sum(map(len, r[2])) + 128)
-    found, _ = written(hits.mapInArrow(merged, "key binary, spans array<struct<from: bigint, to: bigint>>, items array<string>"), "contamination")
-    for path in (windows_path, passed_path):
-        drop_path(spark, path)
+def clean(docs: DataFrame, items: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text",
+          item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of docs that are not contaminated, as they are, whatever their columns are named.
 
-    kept = others(docs, "n_words", "spans", "items")
-    out = docs.select(F.struct(*kept).alias("row"), n_words(F.col(text_col)).alias("n_words"), key.alias("key")).join(found, "key", "left")
-    return out.select("row.*", "n_words", *(F.coalesce(c, F.expr(f"cast(array() as {found.schema[c].dataType.simpleString()})")).alias(c) for c in ("spans", "items")))
+    Rows without an occurring window are never moved. docs is read twice and
+    must give the same rows.
+    """
+    found = found_in(docs, items, window, id_col, text_col, item_id, item_text, block_bytes, every=False)
+    gone = found.filter(contaminated()).select(*KEY)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), *_keyed(docs, id_col, text_col))
+    return rows.join(gone, KEY, "left_anti").select("row.*")
 
 
 def n_hit() -> F.Column:
