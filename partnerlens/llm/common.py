@@ -136,3 +136,23 @@ def forget(known: dict, most: int = REMEMBERED) -> None:
 def others(df: DataFrame, *names: str) -> list[str]:
     """The columns of df but those of these names, in any case of letters."""
     return [c for c in df.columns if c.lower() not in names]
+
+
+def own_ids(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """rows (id, text, ...) with an id that stands for one text, and what it stands for (node, true_id).
+
+    Where no id has several texts (by 64-bit hash), rows stay as they are and
+    the second is None. Else each distinct id and text (by 128 bits) gets a
+    number; numbers ascend with the ids. Repeated rows share theirs. A null id
+    stays null.
+    """
+    prints = [F.xxhash64("text").alias("print1"), F.xxhash64(F.lit(1), "text").alias("print2")]
+    known = rows.filter("id is not null").select("id", *prints)
+    if known.groupBy("id").agg(F.min("print1").alias("low"), F.max("print1").alias("high")).filter("low <> high").isEmpty():
+        return rows, None
+    order = ["true_id", "print1", "print2"]
+    ranged = known.withColumnRenamed("id", "true_id").distinct().repartitionByRange(*order).sortWithinPartitions(*order)
+    nodes, _ = written(ranged.withColumn("node", F.monotonically_increasing_id()), "own-ids")
+    keyed = rows.select("*", *prints)
+    same = (F.col("id") == F.col("true_id")) & (keyed["print1"] == nodes["print1"]) & (keyed["print2"] == nodes["print2"])
+    return keyed.join(nodes, same, "left").select(F.col("node").alias("id"), *[c for c in rows.columns if c != "id"]), nodes.select("node", "true_id")

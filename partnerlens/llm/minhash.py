@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partnerlens.llm.common import arrow_rows, drop_path, let_go, utf8, values, written
+from partnerlens.llm.common import arrow_rows, drop_path, let_go, own_ids, utf8, values, written
 from partnerlens.llm.graph import components
 from partnerlens.llm.shingles import shingles
 
@@ -193,9 +193,41 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
     distinct shingles of `size` words; component_id is the smallest id that
     links reach, kept says that it is the row's own. A null text or one without
     words has an empty set and is linked with nothing. Rows that share an id
-    share a component, and each is returned; a row with a null id has no
-    component and is kept. Other columns are not read.
+    share a component, whatever their texts, and each is returned; a row with a
+    null id has no component and is kept. Other columns are not read.
     """
+    texts, names = own_ids(docs.select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("text")))
+    found = _components(texts, size, percent, small)
+    if names is not None:
+        # Rows of one id are linked; numbers ascend with the ids, so the smallest number is that of the smallest id.
+        found, _ = written(found.join(names.withColumnRenamed("node", "id"), "id", "left"), "named")
+        least = found.filter("true_id is not null").groupBy("true_id").agg(F.min("component").alias("least"))
+        edges = found.join(least, "true_id").filter("component <> least").select(F.col("component").alias("a"), F.col("least").alias("b")).distinct()
+        merged = components(edges).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+        found = found.join(merged, "component", "left").withColumn("component", F.coalesce("whole", "component"))
+        roots = names.select(F.col("node").alias("component"), F.col("true_id").alias("root"))
+        found = found.join(roots, "component", "left").select(F.col("true_id").alias("id"), "n_shingles", F.col("root").alias("component"))
+    return found.select(F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"),
+                        F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text", small: int = SMALL) -> DataFrame:
+    """docs with one row of each group of linked texts, that of the smallest id; rows without an id stay, all columns as they are.
+
+    Here rows that share an id but not a text are documents of their own:
+    none goes but for a near copy of its own text that stays.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("text"), F.struct("*").alias("row"))
+    named, _ = own_ids(rows.filter("id is not null"))
+    found = _components(named.select("id", "text"), size, percent, small)
+    gone = found.filter("id <> component").select("id").distinct()
+    stay = named.select("id", "row").join(gone, "id", "left_anti").dropDuplicates(["id"])
+    return stay.select("row.*").union(rows.filter("id is null").select("row.*"))
+
+
+def _components(docs: DataFrame, size: int, percent: int, small: int) -> DataFrame:
+    """id, n_shingles and component (smallest id that links reach) for docs (id, text); rows of one id have one text."""
+    id_col, text_col = "id", "text"
     spark = docs.sparkSession
     signed, signed_path = written(signatures(docs, size, id_col, text_col), "signatures")
     known = signed.filter(F.col("id").isNotNull() & F.col("set_key").isNotNull())
@@ -252,5 +284,4 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
     ids = ids.join(first, "set_key", "left")
     ids = ids.join(found.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.coalesce("component", "rep", "id")
-    out = ids.select(F.col("id").alias(id_col), "n_shingles", F.when(F.col("id").isNotNull(), component).alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
+    return ids.select("id", "n_shingles", F.when(F.col("id").isNotNull(), component).alias("component"))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partnerlens.llm.common import arrow_rows, drop_path, let_go, small_batches, sole_memory, utf8, values, written
+from partnerlens.llm.common import arrow_rows, drop_path, let_go, own_ids, small_batches, sole_memory, utf8, values, written
 from partnerlens.llm.suffixes import suffix_order
 
 GRAM = 40
@@ -350,7 +350,7 @@ def removal_ranges(texts: DataFrame, length: int, gram: int, most: int, together
 def _by_text(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows of texts with the list of wanted (anchor, place) of each: bounded by the text's own length."""
     lists = wanted.groupBy("id").agg(F.collect_list(F.struct("anchor", "place")).alias("wanted"))
-    return texts.join(lists, "id").select("id", "text", "wanted")  # rows of one id pick theirs by fingerprint
+    return texts.join(lists, "id").select("id", "text", "wanted")
 
 
 def with_bytes(texts: DataFrame, wanted: DataFrame, length: int, gram: int) -> DataFrame:
@@ -397,14 +397,16 @@ def remove_repeats(docs: DataFrame, length: int = 100, gram: int = GRAM, id_col:
     earlier: in a row of smaller id, or earlier in the same row. All strings
     are judged on the texts as they are; none crosses rows. A null text is
     empty. A null id comes before all others. Rows that repeat id and text are
-    one document, and each is returned; other rows of one id come in the order
-    of a 16-bit fingerprint of their texts. length is gram + 31 to gram + 127.
+    one document, and each is returned; other rows of one id, or of none, are
+    documents of their own, in the order of a 64-bit hash of their texts. length
+    is gram + 31 to gram + 127.
     """
     if not gram + 31 <= length < gram + 128:
         raise ValueError("length must be from gram + 31 to gram + 127")
     small_batches(docs.sparkSession)
     null = -(1 << 63)
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(null)).alias("id"), utf8(text_col).alias("text"))
+    own = F.col(id_col).cast("long")
+    texts, _ = own_ids(docs.select(F.coalesce(own, F.lit(null)).alias("id"), utf8(text_col).alias("text"), own.alias("own")))
     copies, ranges = removal_ranges(texts, length, gram, most, together, bits)
     copies = copies.groupBy("id").agg(F.collect_list("place").alias("copies"))
     ranges = ranges.groupBy("id").agg(F.collect_list(F.struct("place", "from", "to")).alias("ranges"))
@@ -416,9 +418,9 @@ def remove_repeats(docs: DataFrame, length: int = 100, gram: int = GRAM, id_col:
         for batch in batches:
             copies, ranges = (batch.column(batch.schema.get_field_index(c)) for c in ("copies", "ranges"))
             out, held = [], 0
-            for k, (i, raw) in enumerate(zip(values(batch, "id"), values(batch, "text"))):
+            for k, (i, raw) in enumerate(zip(values(batch, "own"), values(batch, "text"))):
                 spans, kept = taken_out(raw, copies[k], ranges[k], length)
-                out.append((None if i == null else i, len(raw), [{"from": a, "to": b} for a, b in spans], kept))
+                out.append((i, len(raw), [{"from": a, "to": b} for a, b in spans], kept))
                 held += len(kept)
                 if held > 8 << 20:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
@@ -426,7 +428,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, gram: int = GRAM, id_col:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
-    both = texts.join(lists, "id", "left").select("id", "text", "copies", "ranges")
+    both = texts.join(lists, "id", "left").select("own", "text", "copies", "ranges")
     return both.mapInArrow(run, f"`{id_col}` long, n_bytes long, spans array<struct<from: bigint, to: bigint>>, kept binary")
 
 

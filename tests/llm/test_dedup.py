@@ -1,6 +1,6 @@
 """Line, near-duplicate and suffix dedup against brute force."""
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -203,3 +203,31 @@ def test_repeated_strings_of_odd_rows(spark, docs, odd):
     assert (len(text), b"") in got[31] and got[1] == [(0, b"")] and got[2] == [(0, b"")]
     assert got[5] == [(30000, b"x")]  # all but the first byte is covered by strings that start earlier
     assert suffix_dedup.remove_repeats(docs([])).count() == 0
+
+
+def test_rows_that_share_an_id_keep_their_links(spark, docs):
+    """(3, A) (5, A) (5, B) (7, nearly B): one component, in any order of rows; one row of each text's group stays."""
+    a, b = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
+    rows = [(3, a), (5, a), (5, b), (7, "zz " + b), (9, "something else"), (None, a), (None, b), (5, b), (11, None), (11, "other words here")]
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        got = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in minhash.near_duplicates(docs(rows), 5, 75).collect()}
+        assert got == {(3, 36): (3, True), (5, 36): (3, False), (7, 37): (3, False), (9, 1): (9, True), (None, 36): (None, True), (11, 0): (11, True), (11, 1): (11, True)}
+        left = minhash.one_of_each(docs(rows), 5, 75)
+        assert left.columns == docs(rows).columns and {r["rep"] for r in left.collect()} == {"clash"}
+        assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted(
+            [(3, a), (5, b), (9, "something else"), (None, a), (None, b), (11, None), (11, "other words here")], key=repr)
+
+
+def test_repeated_strings_of_many_rows_without_an_id(spark, docs):
+    r = random.Random(9)
+    shared = ["".join(r.choice("abcdef ") for _ in range(150)) for _ in range(6)]
+    rows = [(None if k % 4 else 5, "".join(r.choice("ghijkl ") for _ in range(60)) + r.choice([*shared, ""]) + f" {k}") for k in range(1500)]
+    out = suffix_dedup.remove_repeats(docs(rows, extra=False), length=100)
+    got = sorted((r["n_bytes"], sum(s["to"] - s["from"] for s in r["spans"]), bytes(r["kept"])) for r in out.collect())
+    # All rows that hold a shared passage lose it, but for the first one in the documented order, whichever that is.
+    want = Counter(t[60:210] for _, t in rows if t[60:210] in shared)
+    again = sum(n - 1 for n in want.values())
+    lost = [n for _, n, _ in got]
+    assert sum(n >= 150 for n in lost) == again and sum(n == 0 for n in lost) == len(rows) - again
+    assert sum(bytes(s, "utf8") in kept for _, _, kept in got for s in shared) == len(want)
