@@ -312,15 +312,30 @@ add("check_unlisted_lead_partners", """
 SELECT l.partner_name, count(*) AS lead_count
 FROM partner_leads l LEFT JOIN stg_partners p ON lower(trim(l.partner_name)) = p.partner_name_key
 WHERE p.partner_id IS NULL GROUP BY 1""")
-add("check_lost_by_cast", """
-SELECT 'contact_numberofemployees' AS column_name, count(*) FILTER (WHERE NULLIF(trim(property_numberofemployees), '') IS NOT NULL
-  AND TRY_CAST(NULLIF(property_numberofemployees, '') AS BIGINT) IS NULL) AS lost_values FROM raw_contact
-UNION ALL SELECT 'contact_annualrevenue', count(*) FILTER (WHERE NULLIF(trim(property_annualrevenue), '') IS NOT NULL
-  AND TRY_CAST(NULLIF(property_annualrevenue, '') AS DECIMAL(18,2)) IS NULL) FROM raw_contact
-UNION ALL SELECT 'contact_createdate', count(*) FILTER (WHERE NULLIF(trim(property_createdate), '') IS NOT NULL
-  AND TRY_CAST(NULLIF(property_createdate, '') AS TIMESTAMP) IS NULL) FROM raw_contact
-UNION ALL SELECT 'contact_mql_date', count(*) FILTER (WHERE NULLIF(trim(property_hs_lifecyclestage_marketingqualifiedlead_date), '') IS NOT NULL
-  AND TRY_CAST(NULLIF(property_hs_lifecyclestage_marketingqualifiedlead_date, '') AS TIMESTAMP) IS NULL) FROM raw_contact""")
+# All casts of the five typed models, listed once more.
+_LOSSES = """contact property_numberofemployees BIGINT, contact property_annualrevenue DECIMAL(18;2), contact property_createdate TIMESTAMP,
+contact property_hs_lifecyclestage_lead_date TIMESTAMP, contact property_hs_lifecyclestage_marketingqualifiedlead_date TIMESTAMP,
+contact property_hs_lifecyclestage_salesqualifiedlead_date TIMESTAMP, contact property_hs_lifecyclestage_opportunity_date TIMESTAMP,
+contact property_hs_lifecyclestage_customer_date TIMESTAMP, deal property_hs_deal_stage_probability DOUBLE, deal property_amount DECIMAL(18;2),
+deal property_amount_in_home_currency DECIMAL(18;2), deal property_createdate TIMESTAMP, deal property_closedate TIMESTAMP,
+deal property_hs_closed_won_date TIMESTAMP, deal property_hs_is_closed_won BOOLEAN, deal property_hs_is_closed BOOLEAN,
+engagement engagement_timestamp TIMESTAMP, contact_form submitted_at TIMESTAMP"""
+add("check_lost_by_cast", " UNION ALL ".join(f"""
+SELECT '{t}.{c}' AS column_name, count(*) FILTER (WHERE NULLIF(trim(CAST({c} AS VARCHAR)), '') IS NOT NULL
+  AND TRY_CAST(NULLIF(CAST({c} AS VARCHAR), '') AS {kind.replace(';', ',')}) IS NULL) AS lost_values FROM raw_{t}"""
+    for t, c, kind in (x.split() for x in _LOSSES.replace("\n", " ").split(","))))
+_FAILING = " UNION ALL ".join([
+    """SELECT 'not_null:contact.property_jobtitle' AS "check", '{"id":"' || id || '"}' AS failing_key, 1 AS n FROM raw_contact WHERE property_jobtitle IS NULL""",
+    """SELECT 'unique:contact.property_company', '{"property_company":"' || property_company || '"}', count(*) FROM raw_contact
+       WHERE property_company IS NOT NULL GROUP BY property_company HAVING count(*) > 1""",
+    """SELECT 'unique:contact.property_industry+property_lifecyclestage',
+       '{"property_industry":"' || property_industry || '","property_lifecyclestage":"' || property_lifecyclestage || '"}', count(*) FROM raw_contact
+       GROUP BY property_industry, property_lifecyclestage HAVING count(*) > 1""",
+    """SELECT 'accepted_values:contact.property_lifecyclestage', '{"id":"' || id || '"}', 1 FROM raw_contact
+       WHERE property_lifecyclestage NOT IN ('lead', 'customer')""",
+    """SELECT 'unique:deal_contact.deal_id', '{"deal_id":"' || deal_id || '"}', count(*) FROM raw_deal_contact GROUP BY deal_id HAVING count(*) > 1"""])
+add("quality_failures", f"""
+SELECT "check", failing_key, n FROM ({_FAILING}) every QUALIFY row_number() OVER (PARTITION BY "check" ORDER BY failing_key) <= 5""")
 add("source_freshness", " UNION ALL ".join(f"""
 SELECT '{t}' AS source_table, max(_fivetran_synced) AS max_loaded_at,
   (epoch_us({AS_OF}) - epoch_us(max(_fivetran_synced))) / 3.6e9 AS age_hours,

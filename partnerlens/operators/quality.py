@@ -1,19 +1,23 @@
 """Data-quality checks T1-T9 and source freshness A12.
 
 Each check returns failure counts; ``run_checks`` evaluates a list of checks
-with one aggregation per table (all not-null / range / accepted-values
-checks of a table share a single scan) and returns the result table
-``(check, model, column_name, failures, severity, status)``.
+from one scan of each table: a row gives one entry for each check that it
+fails, and one for each of its keys that must be unique. The entries of all
+tables are counted in one aggregation, of which ``failing_keys`` samples.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from partnerlens.functions import columns as X
+from partnerlens.operators.staging import CASTS
+
 
 @dataclass(frozen=True)
 class Check:
@@ -51,38 +55,48 @@ def _row_failure(c: Check) -> Column | None:
     return None
 
 
-def _result(label: str, model: str, column: str, failures: Column, severity: str) -> list[Column]:
-    f = F.coalesce(failures, F.lit(0)).cast("bigint")
-    return [F.lit(label).alias("check"), F.lit(model).alias("model"), F.lit(column).alias("column_name"),
-            f.alias("failures"), F.lit(severity).alias("severity"),
-            F.when(f == 0, F.lit("pass")).otherwise(F.lit(severity)).alias("status")]
+def _entries(tables: dict[str, DataFrame], checks: list[Check], ids: dict[str, list[str]] | None = None) -> DataFrame:
+    """no (of the check), key and n (rows that have the key): failing rows, and rows of keys that occur more than once.
 
+    The key of a unique check is the key it names (T2: a single one that is
+    null does not count; T3: nulls of a combination are equal), that of another
+    check the row's own, where ``ids`` names it.
+    """
+    def entry(no: int, c: Check) -> Column:
+        if c.kind == "unique":
+            found = F.struct(F.lit(no).alias("no"), F.to_json(F.struct(*c.columns)).alias("key"))
+            return F.when(F.col(c.columns[0]).isNotNull(), found) if len(c.columns) == 1 else found
+        own = (ids or {}).get(c.model)
+        key = F.to_json(F.struct(*own)) if own else F.lit(None).cast("string")
+        return F.when(_row_failure(c), F.struct(F.lit(no).alias("no"), key.alias("key")))
 
-def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """Evaluate the checks; row-level checks of one table in one aggregation."""
     parts: list[DataFrame] = []
-    by_model: dict[str, list[Check]] = {}
-    for c in checks:
-        by_model.setdefault(c.model, []).append(c)
-    for model, cs in by_model.items():
-        df = tables[model]
-        row_checks = [c for c in cs if _row_failure(c) is not None]
-        if row_checks:
-            counts = df.agg(*[F.count_if(_row_failure(c)).alias(f"_c{i}") for i, c in enumerate(row_checks)])
-            stacked = F.explode(F.array(*[
-                F.struct(*_result(c.label, model, "+".join(c.columns), F.col(f"_c{i}"), c.severity))
-                for i, c in enumerate(row_checks)]))
-            parts.append(counts.select(stacked.alias("r")).select("r.*"))
-        for c in cs:
-            if c.kind == "unique":
-                # A single key ignores nulls; T3: a column combination groups nulls together.
-                keyed = df.filter(F.col(c.columns[0]).isNotNull()) if len(c.columns) == 1 else df
-                dup = keyed.groupBy(*c.columns).count().filter(F.col("count") > 1)
-                parts.append(dup.agg(*_result(c.label, model, "+".join(c.columns), F.sum("count"), c.severity)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    for model in dict.fromkeys(c.model for c in checks):
+        entries = [entry(no, c) for no, c in enumerate(checks) if c.model == model]
+        parts.append(tables[model].select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.no", "e.key"))
+    counted = reduce(DataFrame.unionByName, parts).groupBy("no", "key").agg(F.count(F.lit(1)).alias("n"))
+    keys = [no for no, c in enumerate(checks) if c.kind == "unique"]
+    return counted.filter(~F.col("no").isin(keys) | (F.col("n") > 1)) if keys else counted
+
+
+def _listed(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+    rows = [(no, c.label, c.model, "+".join(c.columns), c.severity) for no, c in enumerate(checks)]
+    return next(iter(tables.values())).sparkSession.createDataFrame(rows, "no int, check string, model string, column_name string, severity string")
+
+
+def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """``(check, model, column_name, failures, severity, status)`` of every check, from one scan of each table."""
+    failed = _entries(tables, checks).groupBy("no").agg(F.sum("n").alias("n"))
+    f = F.coalesce("n", F.lit(0)).cast("bigint")
+    return _listed(tables, checks).join(failed, "no", "left").select(
+        "check", "model", "column_name", f.alias("failures"), "severity", F.when(f == 0, F.lit("pass")).otherwise(F.col("severity")).alias("status"))
+
+
+def failing_keys(tables: dict[str, DataFrame], checks: list[Check], ids: dict[str, list[str]], most: int) -> DataFrame:
+    """``(check, failing_key, n)``: of each check that fails the first ``most`` keys (as JSON), and how many rows have each."""
+    first = Window.partitionBy("no").orderBy("key")
+    few = _entries(tables, checks, ids).withColumn("place", F.row_number().over(first)).filter(F.col("place") <= most)
+    return few.join(_listed(tables, checks), "no").select("check", F.col("key").alias("failing_key"), "n")
 
 
 def close_before_create(deals: DataFrame) -> Check:
@@ -109,6 +123,16 @@ def lost_by_cast(df: DataFrame, casts: dict[str, tuple[str, Column]]) -> DataFra
         .alias("r")).select("r.*")
 
 
+def lost_by_declared_casts(tables: dict[str, DataFrame]) -> DataFrame:
+    """T9 over every declared cast of these raw tables: ``(column_name, lost_values)``, the column as ``table.raw_column``."""
+    parts = []
+    for table, df in tables.items():
+        casts = {f"{table}_{src}": (src, X.safe_cast(src, kind)) for src, kind in CASTS[table].values()}
+        lost = lost_by_cast(df, casts)
+        parts.append(lost.withColumn("column_name", F.concat(F.lit(f"{table}."), F.expr(f"substr(column_name, {len(table) + 2})"))))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def freshness(df: DataFrame, table: str, ts_col: str, as_of: dt.datetime,
               warn_hours: float = 6, error_hours: float = 24) -> DataFrame:
     """Hours since the newest load time; pass / warn / error."""

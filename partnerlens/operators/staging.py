@@ -9,12 +9,37 @@ from pyspark.sql import functions as F
 from partnerlens.config import EngineConfig
 from partnerlens.functions import columns as X
 
+# Every cast of raw text to a type: raw table -> typed column -> (raw column, type). The projections below take
+# their casts from here, and so does the count of values that a cast loses.
+CASTS: dict[str, dict[str, tuple[str, str]]] = {
+    "contact": {
+        "company_size_employees": ("property_numberofemployees", "int"), "company_annual_revenue": ("property_annualrevenue", "numeric"),
+        "contact_created_at": ("property_createdate", "timestamp"), "became_lead_at": ("property_hs_lifecyclestage_lead_date", "timestamp"),
+        "became_mql_at": ("property_hs_lifecyclestage_marketingqualifiedlead_date", "timestamp"),
+        "became_sql_at": ("property_hs_lifecyclestage_salesqualifiedlead_date", "timestamp"),
+        "became_opportunity_at": ("property_hs_lifecyclestage_opportunity_date", "timestamp"),
+        "became_customer_at": ("property_hs_lifecyclestage_customer_date", "timestamp")},
+    "deal": {
+        "deal_stage_probability": ("property_hs_deal_stage_probability", "double"), "amount": ("property_amount", "numeric"),
+        "amount_home_currency": ("property_amount_in_home_currency", "numeric"), "deal_created_at": ("property_createdate", "timestamp"),
+        "deal_close_date": ("property_closedate", "timestamp"), "deal_closed_won_at": ("property_hs_closed_won_date", "timestamp"),
+        "is_closed_won": ("property_hs_is_closed_won", "bool"), "is_closed": ("property_hs_is_closed", "bool")},
+    "engagement": {"engaged_at": ("engagement_timestamp", "timestamp")},
+    "contact_form": {"submitted_at": ("submitted_at", "timestamp")},
+    "deal_contact": {"is_primary_contact": ("is_primary", "bool")},
+    "owner": {"owner_created_at": ("created_at", "timestamp"), "is_archived": ("archived", "bool")},
+}
+
+
+def typed(table: str, name: str) -> Column:
+    """A declared cast; what cannot be cast is null."""
+    return X.safe_cast(*CASTS[table][name]).alias(name)
 
 
 def stg_contacts(contact: DataFrame, cfg: EngineConfig) -> DataFrame:
     """One row per contact."""
     email = F.lower("property_email")
-    ts = lambda p: X.safe_cast(f"property_{p}", "timestamp")
+    cast = lambda name: typed("contact", name)
     return contact.select(
         F.col("id").alias("contact_id"),
         email.alias("email"),
@@ -24,16 +49,16 @@ def stg_contacts(contact: DataFrame, cfg: EngineConfig) -> DataFrame:
         F.col("property_company").alias("company_name"),
         F.col("property_jobtitle").alias("job_title"),
         F.col("property_industry").alias("industry"),
-        X.safe_cast("property_numberofemployees", "int").alias("company_size_employees"),
-        X.safe_cast("property_annualrevenue", "numeric").alias("company_annual_revenue"),
+        cast("company_size_employees"),
+        cast("company_annual_revenue"),
         F.lower("property_lifecyclestage").alias("lifecycle_stage"),
         F.lower("property_hs_lead_status").alias("lead_status"),
-        ts("createdate").alias("contact_created_at"),
-        ts("hs_lifecyclestage_lead_date").alias("became_lead_at"),
-        ts("hs_lifecyclestage_marketingqualifiedlead_date").alias("became_mql_at"),
-        ts("hs_lifecyclestage_salesqualifiedlead_date").alias("became_sql_at"),
-        ts("hs_lifecyclestage_opportunity_date").alias("became_opportunity_at"),
-        ts("hs_lifecyclestage_customer_date").alias("became_customer_at"),
+        cast("contact_created_at"),
+        cast("became_lead_at"),
+        cast("became_mql_at"),
+        cast("became_sql_at"),
+        cast("became_opportunity_at"),
+        cast("became_customer_at"),
         F.col("property_hs_analytics_source").alias("original_source"),
         F.col("property_hs_analytics_source_data_1").alias("original_source_drill_down_1"),
         F.col("property_hs_analytics_source_data_2").alias("original_source_drill_down_2"),
@@ -51,23 +76,24 @@ def stg_contacts(contact: DataFrame, cfg: EngineConfig) -> DataFrame:
 
 def stg_deals(deal: DataFrame, cfg: EngineConfig) -> DataFrame:
     """One row per deal with status flags."""
+    cast = lambda name: typed("deal", name)
     stage = F.lower("property_dealstage")
     closed_stages = list(cfg.closed_won_stages) + list(cfg.closed_lost_stages)
-    is_won = F.coalesce(X.safe_cast("property_hs_is_closed_won", "bool"), F.lit(False))
-    is_closed = F.coalesce(X.safe_cast("property_hs_is_closed", "bool"), stage.isin(*closed_stages), F.lit(False))
+    is_won = F.coalesce(cast("is_closed_won"), F.lit(False))
+    is_closed = F.coalesce(cast("is_closed"), stage.isin(*closed_stages), F.lit(False))
     source_raw = F.col("property_deal_source")
     partner_deal = X.property_col("property", cfg.partner_name_deal_property)
-    typed = deal.select(
+    rows = deal.select(
         F.col("deal_id"),
         F.col("property_dealname").alias("deal_name"),
         F.col("property_pipeline").alias("pipeline_id"),
         stage.alias("deal_stage"),
-        X.safe_cast("property_hs_deal_stage_probability", "double").alias("deal_stage_probability"),
-        X.safe_cast("property_amount", "numeric").alias("amount"),
-        X.safe_cast("property_amount_in_home_currency", "numeric").alias("amount_home_currency"),
-        X.safe_cast("property_createdate", "timestamp").alias("deal_created_at"),
-        X.safe_cast("property_closedate", "timestamp").alias("deal_close_date"),
-        X.safe_cast("property_hs_closed_won_date", "timestamp").alias("deal_closed_won_at"),
+        cast("deal_stage_probability"),
+        cast("amount"),
+        cast("amount_home_currency"),
+        cast("deal_created_at"),
+        cast("deal_close_date"),
+        cast("deal_closed_won_at"),
         is_won.alias("is_closed_won"),
         is_closed.alias("is_closed"),
         F.col("property_dealtype").alias("deal_type"),
@@ -84,9 +110,9 @@ def stg_deals(deal: DataFrame, cfg: EngineConfig) -> DataFrame:
         .when(F.col("is_closed") & ~F.col("is_closed_won"), F.lit("lost"))
         .otherwise(F.lit("open"))
     )
-    cols = typed.columns
+    cols = rows.columns
     at = cols.index("is_closed") + 1
-    return typed.select(*cols[:at], status.alias("deal_status"), *cols[at:])
+    return rows.select(*cols[:at], status.alias("deal_status"), *cols[at:])
 
 
 def stg_stage_history(hist: DataFrame, cfg: EngineConfig) -> DataFrame:
@@ -112,7 +138,7 @@ def stg_engagements(eng: DataFrame) -> DataFrame:
     return eng.select(
         F.col("engagement_id"),
         F.lower("engagement_type").alias("engagement_type"),
-        X.safe_cast("engagement_timestamp", "timestamp").alias("engaged_at"),
+        typed("engagement", "engaged_at"),
         F.col("owner_id").alias("engagement_owner_id"),
         F.col("engagement_source"),
         F.lower("email_metadata_direction").alias("email_direction"),
@@ -154,7 +180,7 @@ def stg_form_submissions(contact_form: DataFrame, form: DataFrame, cfg: EngineCo
             F.col("contact_id"),
             F.col("form_id"),
             F.col("form_name"),
-            X.safe_cast("submitted_at", "timestamp").alias("submitted_at"),
+            typed("contact_form", "submitted_at"),
             F.col("page_url").alias("submission_page_url"),
             raw_values.alias("submission_values_raw"),
             partner_name.alias("partner_name_from_form"),
@@ -169,7 +195,7 @@ def stg_deal_contacts(edges: DataFrame) -> DataFrame:
     """Deal-contact edges; primary defaults to false."""
     return edges.filter(F.col("deal_id").isNotNull() & F.col("contact_id").isNotNull()).select(
         "deal_id", "contact_id",
-        F.coalesce(X.safe_cast("is_primary", "bool"), F.lit(False)).alias("is_primary_contact"),
+        F.coalesce(typed("deal_contact", "is_primary_contact"), F.lit(False)).alias("is_primary_contact"),
     )
 
 
@@ -188,8 +214,8 @@ def stg_owners(owner: DataFrame) -> DataFrame:
         F.col("last_name").alias("owner_last_name"),
         F.trim(F.concat(F.coalesce("first_name", F.lit("")), F.lit(" "), F.coalesce("last_name", F.lit("")))).alias("owner_name"),
         F.col("team_id").alias("owner_team_id"),
-        X.safe_cast("created_at", "timestamp").alias("owner_created_at"),
-        F.coalesce(X.safe_cast("archived", "bool"), F.lit(False)).alias("is_archived"),
+        typed("owner", "owner_created_at"),
+        F.coalesce(typed("owner", "is_archived"), F.lit(False)).alias("is_archived"),
     )
 
 

@@ -7,6 +7,7 @@ driver tables under ``sf_dir`` and returns the result in canonical shape
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -436,6 +437,16 @@ def _p4_long(m: Models) -> DataFrame:
     return P.publish_plan(mart, FX.published_pages(mart, t), t).drop("Name")
 
 
+def _statuses(m: Models, log: DataFrame) -> DataFrame:
+    """The log as it stands in the stored targets after two runs of which the first failed: one row for each target."""
+    path = m.new_path("targets")
+    M.write_keyed(FX.publish_target_rows(m.spark, m.sf_dir).filter("enabled").select("id", "source_table", "notion_database_id"), path, ["id"])
+    failed = [(r["target_id"], "error", "first run") for r in log.select("target_id").collect()]  # one row for each target
+    P.store_status(m.spark, path, P.publish_log(m.spark, failed, m.cfg.as_of - dt.timedelta(hours=1)))
+    stored = P.store_status(m.spark, path, log)
+    return stored.select(F.col("id").alias("target_id"), *[F.col(name).alias(c) for c, name in P.STATUS_COLS.items()])
+
+
 @register("publish_log")
 def _p5(m: Models) -> DataFrame:
     """P5: every target run; an unknown source and a plan that fails while it runs do not stop the others"""
@@ -448,15 +459,23 @@ def _p5(m: Models) -> DataFrame:
         plan.write.format("noop").mode("overwrite").save()
 
     log = P.run_publish(m.spark, marts, targets, existing, send, m.cfg.as_of)
+    log = _statuses(m, log)
     return log.withColumn("message", F.when(F.col("message").contains("broken mart"), "broken mart").otherwise(F.col("message")))
 
 
+def _stored_counts(m: Models) -> str:
+    """The hand-entered counts as a stored table of their own."""
+    path = m.new_path("counts")
+    M.write_keyed(m.raw.partner_customer_counts, path, P.COUNT_KEYS)
+    return path
+
+
 @register("upsert_counts")
 def _c1(m: Models) -> DataFrame:
-    """Seed totals upserted into the hand-entered counts"""
+    """Seed totals merged into the stored hand-entered counts, read back"""
     rows = m.raw.partner_total_customers.select("partner_id", "as_of_date", "total_customer_count",
                                                 F.lit(None).cast("string").alias("notes"))
-    return P.upsert_counts(m.raw.partner_customer_counts, rows)
+    return P.store_counts(m.spark, _stored_counts(m), rows)
 
 
 @register("rejected_counts")
@@ -468,8 +487,8 @@ def _c1_rejected(m: Models) -> DataFrame:
 
 @register("delete_counts")
 def _c2(m: Models) -> DataFrame:
-    """Delete the count rows that the seed also has"""
-    return P.delete_counts(m.raw.partner_customer_counts, m.raw.partner_total_customers)
+    """The count rows that the seed also has removed from the stored ones, read back"""
+    return P.unstore_counts(m.spark, _stored_counts(m), m.raw.partner_total_customers)
 
 
 # ------------------------------------------------------------------ quality
@@ -493,6 +512,16 @@ def _t8(m: Models) -> DataFrame:
     return T.run_checks(_mart_tables(m), T.standard_checks())
 
 
+@register("quality_failures")
+def _t8_failures(m: Models) -> DataFrame:
+    """Keys of the rows that fail, the smallest five of each check; checks with declared faults, as the declared ones all pass"""
+    c = T.Check
+    checks = [c("not_null", "contact", ("property_jobtitle",)), c("unique", "contact", ("property_company",)),
+              c("unique", "contact", ("property_industry", "property_lifecyclestage")), c("accepted_values", "contact", ("property_lifecyclestage",), values=("lead", "customer")),
+              c("unique", "deal_contact", ("deal_id",)), c("not_null", "deal_contact", ("contact_id",))]
+    return T.failing_keys({"contact": m.raw.contact, "deal_contact": m.raw.deal_contact}, checks, {"contact": ["id"], "deal_contact": ["deal_id", "contact_id"]}, 5)
+
+
 @register("check_close_before_create")
 def _t6(m: Models) -> DataFrame:
     """T6 (warn)"""
@@ -507,17 +536,8 @@ def _t7(m: Models) -> DataFrame:
 
 @register("check_lost_by_cast")
 def _t9(m: Models) -> DataFrame:
-    """Non-blank raw text that a safe cast turned into null"""
-    from partnerlens.functions import columns as X
-
-    casts = {
-        "contact_numberofemployees": ("property_numberofemployees", X.safe_cast("property_numberofemployees", "int")),
-        "contact_annualrevenue": ("property_annualrevenue", X.safe_cast("property_annualrevenue", "numeric")),
-        "contact_createdate": ("property_createdate", X.safe_cast("property_createdate", "timestamp")),
-        "contact_mql_date": ("property_hs_lifecyclestage_marketingqualifiedlead_date",
-                             X.safe_cast("property_hs_lifecyclestage_marketingqualifiedlead_date", "timestamp")),
-    }
-    return T.lost_by_cast(m.raw.contact, casts)
+    """Non-blank raw text that a cast of S1-S5 turned into null, for every declared cast"""
+    return T.lost_by_declared_casts({"contact": m.raw.contact, "deal": m.raw.deal, "engagement": m.raw.engagement, "contact_form": m.raw.contact_form})
 
 
 @register("source_freshness")
@@ -549,12 +569,10 @@ def _a8(m: Models) -> DataFrame:
 def _merged(m: Models, name: str, full: DataFrame, key: str, stale: dict) -> DataFrame:
     """The stored mart, with old values inside the look-back and a column of its own, after the slice was merged into it."""
     from partnerlens.plans.refresh import INCREMENTAL
-    from partnerlens.session import new_path
 
     lower = F.lit(m.cfg.as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(m.cfg.incremental_lookback_days))
     stored = full.withColumns({c: F.when(F.col("_synced_at") >= lower, v).otherwise(F.col(c)).cast(full.schema[c].dataType) for c, v in stale.items()})
-    path = new_path(m.spark, name)
-    m.paths.append(path)
+    path = m.new_path(name)
     month = INCREMENTAL[name][1]
     M.write_keyed(stored.withColumn("stored_note", F.concat(F.lit("note "), F.col(key))), path, [key], by=month)
     return M.merge_into(m.spark, path, getattr(m.incremental_copy(), name), [key], by=month)

@@ -67,6 +67,11 @@ class Models:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def new_path(self, name: str) -> str:
+        """A path of this run in the shared folder."""
+        self.paths.append(new_path(self.spark, name))
+        return self.paths[-1]
+
     def release(self) -> None:
         """Deletes the materialised models; nothing may read them afterwards. (Else they go when the application ends.)"""
         for path in self.paths:

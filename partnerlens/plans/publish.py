@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from partnerlens.functions import columns as X
-from partnerlens.operators.merge import delete_keys, upsert
+from partnerlens.operators.merge import delete_from, delete_keys, merge_into, upsert
 
 # Fixed values of the publish job: the sources, their title, filter keys and default filters.
 SOURCES = {
@@ -166,6 +166,15 @@ def publish_log(spark: SparkSession, results: list[tuple[str, str, str | None]],
     return spark.createDataFrame(rows, LOG_SCHEMA)
 
 
+STATUS_COLS = {"status": "last_sync_status", "message": "last_sync_message", "synced_at": "last_synced_at"}
+
+
+def store_status(spark: SparkSession, path: str, log: DataFrame) -> DataFrame:
+    """P5: the status of each target merged into the stored targets (key ``id``), whose other columns stay; returns them."""
+    status = log.select(F.col("target_id").alias("id"), *[F.col(c).alias(name) for c, name in STATUS_COLS.items()])
+    return merge_into(spark, path, status, ["id"])
+
+
 def run_publish(spark: SparkSession, marts: dict[str, DataFrame], targets: list[Target], existing: dict[str, DataFrame],
                 send: Callable[[Target, DataFrame], None], at: dt.datetime) -> DataFrame:
     """Plans each enabled target and hands its plan to ``send``, which runs it (writes it, or sends the requests).
@@ -217,6 +226,16 @@ def upsert_counts(target: DataFrame, rows: DataFrame) -> DataFrame:
     return upsert(target, valid_counts(rows), COUNT_KEYS)
 
 
+def store_counts(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """C1 against the stored counts: accepted rows are merged in; returns the counts."""
+    return merge_into(spark, path, valid_counts(rows), COUNT_KEYS)
+
+
+def unstore_counts(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame | None:
+    """C2 against the stored counts: rows of these keys are removed; returns the counts."""
+    return delete_from(spark, path, keys, COUNT_KEYS)
+
+
 def delete_counts(target: DataFrame, keys: DataFrame) -> DataFrame:
     """Delete count rows by (partner_id, as_of_date)."""
     return delete_keys(target, keys, COUNT_KEYS)

@@ -60,3 +60,63 @@ def test_publish_targets_and_log(spark):
     assert got["t2"] == ("error", "unknown source table: secret_table") and got["t5"] == ("error", "bad column name: no_column")
     assert got["t4"][0] == "error" and "broken" in got["t4"][1] and len(got["t4"][1]) == 500  # fails while it runs; the others go on
     assert set(got) == {"t1", "t2", "t4", "t5"}
+
+
+def test_checks_read_each_table_once(spark, tmp_path):
+    from partnerlens.operators import quality as Q
+
+    spark.createDataFrame([(1, "a", None), (1, "a", "x"), (2, None, "x"), (None, None, "y"), (None, "b", "y")], "id int, v string, w string").write.parquet(str(tmp_path / "t"))
+    spark.createDataFrame([(k, "ok") for k in range(5)], "id int, v string").write.parquet(str(tmp_path / "u"))
+    tables = {name: spark.read.parquet(str(tmp_path / name)) for name in "tu"}
+    c = Q.Check
+    checks = [c("unique", "t", ("id",)), c("unique", "t", ("id", "v")), c("unique", "t", ("w",)), c("not_null", "t", ("v",)), c("accepted_values", "t", ("w",), values=("x",)),
+              c("accepted_range", "t", ("id",), max_value=1), c("unique", "u", ("id",), severity="warn"), c("not_null", "u", ("v",))]
+    out = Q.run_checks(tables, checks)
+    assert [r.failures for r in sorted(out.collect(), key=lambda r: [x.label for x in checks].index(r["check"]))] == [2, 2, 4, 2, 2, 1, 0, 0]
+    assert {r["check"]: r.status for r in out.collect()}["unique:u.id"] == "pass"
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+    keys = Q.failing_keys(tables, checks, {"t": ["id", "w"]}, 1)
+    assert sorted((r["check"], r.failing_key, r.n) for r in keys.collect()) == [
+        ("accepted_range:t.id", '{"id":2,"w":"x"}', 1), ("accepted_values:t.w", '{"w":"y"}', 2), ("not_null:t.v", '{"id":2,"w":"x"}', 1),
+        ("unique:t.id", '{"id":1}', 2), ("unique:t.id+v", '{"id":1,"v":"a"}', 2), ("unique:t.w", '{"w":"x"}', 2)]
+
+
+def test_every_staged_cast_is_declared():
+    """The registry is the only place of the staging models that names a cast."""
+    import inspect
+
+    from partnerlens.operators import staging
+
+    source = inspect.getsource(staging)
+    assert source.count("safe_cast(") == 1
+    assert all(f'"{name}")' in source.split("def typed(")[1] for casts in staging.CASTS.values() for name in casts)
+
+
+def test_statuses_are_merged_into_the_stored_targets(spark, tmp_path):
+    import datetime as dt
+
+    from partnerlens.operators import merge as M
+    from partnerlens.plans import publish as P
+
+    path = str(tmp_path / "targets")
+    M.write_keyed(spark.createDataFrame([("a", "db-a"), ("b", "db-b")], "id string, notion_database_id string"), path, ["id"])
+    first, second = dt.datetime(2001, 1, 1), dt.datetime(2001, 1, 2)
+    P.store_status(spark, path, P.publish_log(spark, [("a", "error", "x" * 600), ("b", "ok", "1 rows")], first))
+    out = P.store_status(spark, path, P.publish_log(spark, [("a", "ok", None)], second))
+    assert sorted((r.id, r.notion_database_id, r.last_sync_status, r.last_sync_message, r.last_synced_at) for r in out.collect()) == [
+        ("a", "db-a", "ok", None, second), ("b", "db-b", "ok", "1 rows", first)]
+
+
+def test_stored_counts_are_edited_and_deleted(spark, tmp_path):
+    import datetime as dt
+
+    from partnerlens.operators import merge as M
+    from partnerlens.plans import publish as P
+
+    path, day = str(tmp_path / "counts"), dt.date(2001, 1, 1)
+    make = lambda *rows: spark.createDataFrame(list(rows), "partner_id string, as_of_date date, total_customer_count int, notes string")
+    M.write_keyed(make(("p1", day, 5, None), ("p2", day, 6, "n")), path, P.COUNT_KEYS)
+    out = P.store_counts(spark, path, make((" p1 ", day, 7, "ok"), ("p3", day, -1, None)))
+    assert sorted(tuple(r[c] for c in ("partner_id", "total_customer_count", "notes")) for r in out.collect()) == [("p1", 7, "ok"), ("p2", 6, "n")]
+    out = P.unstore_counts(spark, path, make(("p2", day, None, None)))
+    assert [r.partner_id for r in out.collect()] == ["p1"]
