@@ -20,6 +20,12 @@ from partnerlens.llm.queries import fold
 LEAST_SCORE = 0.5
 
 
+def _apart(docs: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """docs with its columns of these names (in any case of letters) under others, and how to name them back: a stage's own columns replace none."""
+    other = {c: f"_own_{k}_{c}" for k, c in enumerate(docs.columns) if c.lower() in names}
+    return docs.withColumnsRenamed(other), {new: old for old, new in other.items()}
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: rows without a letter, or without a language of at least LEAST_SCORE, go.
 
@@ -27,31 +33,32 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labelled, nothing can be rejected but what has no letter.
     """
     model = langid.train(docs, learnable=fold() != 2, aside=fold() == 3)
-    found = langid.predict(docs, model)
+    rows, back = _apart(docs, "lang_pred", "score")
+    found = langid.predict(rows, model)
     known = F.col("lang_pred") != langid.UNKNOWN if model.langs else F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return found.filter(known & (F.col("score") >= (LEAST_SCORE if model.langs else 0))).select(docs.columns)
+    return found.filter(known & (F.col("score") >= (LEAST_SCORE if model.langs else 0))).withColumnsRenamed(back).select(docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Line dedup: every row loses its lines that at least 5 documents hold; n_chars follows the text."""
-    kept = line_dedup.drop_repeated_lines(docs, min_chars=40, min_docs=5)
+    rows, back = _apart(docs, "n_lines", "n_dropped")
+    kept = line_dedup.drop_repeated_lines(rows, min_chars=40, min_docs=5).drop("n_lines", "n_dropped").withColumnsRenamed(back)
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return kept.select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup: of each group of near copies the row of the smallest id stays, once; rows without an id stay."""
-    found = minhash.near_duplicates(docs, size=5, percent=75)
-    gone = found.filter(~F.col("kept")).select("doc_id").distinct()
-    named = docs.filter(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).union(docs.filter(F.col("doc_id").isNull()))
+    """MinHash near-dedup: of each group of near copies the row of the smallest id stays, once; rows without an id stay.
+
+    Rows that share an id but not a text are documents of their own here.
+    """
+    return minhash.one_of_each(docs, size=5, percent=75)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: rows of which windows of 13 benchmark words cover one word in twenty or more go."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), window=13)
-    return found.filter(~decontaminate.contaminated()).select(docs.columns)
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"), window=13)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
