@@ -86,6 +86,25 @@ def test_pipeline_stages(spark):
                 assert r.n_tokens == len(code.encode_ordinary(texts[r.doc_id])) and r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
 
 
+def test_pipeline_stages_keep_clashing_columns(spark):
+    """Columns that are named like a stage's own pass every stage but the last with their values."""
+    names = ("score", "lang_pred", "N_Lines", "n_dropped", "n_words", "spans", "items", "id", "row", "component", "_key1")
+    docs = table(spark, SF, "documents").withColumns({c: F.concat(F.lit(f"{c} "), "doc_id") for c in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        columns = docs.columns
+        docs, _ = written(stage(spark, docs, SF), "test-stage")
+        assert docs.columns == columns and docs.count() > 0
+        assert docs.filter(" or ".join(f"`{c}` <> concat('{c} ', doc_id)" for c in names)).count() == 0
+
+
+def test_pipeline_loses_no_text_of_a_shared_id(spark):
+    texts = {k: " ".join(f"{w}{k}" for w in "the and of to in that it with from which this are".split()) for k in "ab"}
+    rows = [(3, texts["a"]), (5, texts["a"]), (5, texts["b"])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], table(spark, SF, "documents").schema)
+    left = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert sorted((r.doc_id, r.text) for r in left.collect()) == [(3, texts["a"]), (5, texts["b"])]
+
+
 def test_pipeline_runs_on_an_empty_table(spark):
     docs = table(spark, SF, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
