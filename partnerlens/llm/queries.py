@@ -34,17 +34,29 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
 
-def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page's host, path, given rule and verdict; FP-growth learns from labels of the documents that URLs name.
+#: Words of a host that mark it as a bad example for op3.
+BAD_HOST_WORDS = {"ads", "adult", "bet", "bets", "casino", "pills", "poker", "porn", "spam", "viagra", "xxx"}
+
+
+def mined_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules that FP-growth mines from the pages' URLs.
 
-    A page shows the document whose id is the first number in its path; it is a
-    bad example if that document is toxic or of low quality.
+    Examples are URLs of hosts with a bad word, those that a given rule decides,
+    and those that name a labelled document: a page shows the document whose id
+    is the first number in its path, and is a bad example if that one is toxic
+    or of low quality.
     """
-    pages, labels = table(spark, sf_dir, "pages").select("page_id", "url"), table(spark, sf_dir, "labels")
-    bad = labels.groupBy("doc_id").agg(F.max((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("block"))
-    named = url_rules.url_tokens(pages).select("tokens", F.expr("try_cast(regexp_extract(url, '://[^/?#]*[^?#]*?/([0-9]+)', 1) as bigint)").alias("doc_id"))
-    mined = url_rules.mine(named.join(bad, "doc_id").select("tokens", "block"))
-    return url_rules.judge(pages, URL_RULES, mined).select("page_id", "host", "path", "rule", "verdict")
+    pages, labels = table(spark, sf_dir, "pages").select("url"), table(spark, sf_dir, "labels")
+    bad = labels.groupBy("doc_id").agg(F.max((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("known"))
+    named = pages.select("url", F.expr("try_cast(regexp_extract(url, '://[^/?#]*[^?#]*?/([0-9]+)', 1) as bigint)").alias("doc_id"))
+    examples = url_rules.labelled_urls(named.join(bad, "doc_id", "left"), URL_RULES, BAD_HOST_WORDS, "known")
+    return url_rules.mine(examples, min_support=0.001, min_rows=5, min_gain=0.9)
+
+
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host, path, given rule and verdict; where no given rule fits, by the rules that were mined."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_rules.judge(pages, URL_RULES, mined_url_rules(spark, sf_dir)).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,19 +4,21 @@ A URL becomes a set of tokens (scheme, host and its parents, path segments
 with numbers as one token, extension, query keys, fragment). FP-growth finds
 the frequent combinations of tokens with the label `block`; combinations of
 enough support and confidence become rules, unless a smaller one is as sure.
-An inverted index from token to rules matches them: a rule applies when all
-its tokens are found. URLs with equal tokens are matched once.
+Tokens that always occur together count as one, so that they do not multiply
+the combinations. An inverted index from token to rules matches them: a rule
+applies when all its tokens are found. URLs with equal tokens are matched once.
 """
 
 from __future__ import annotations
 
 import string
 
+import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partnerlens.llm.common import others, written
+from partnerlens.llm.common import others, values, written
 
 BLOCK = "=block"
 
@@ -72,27 +74,50 @@ def tokens(url: str, host_col: str, path_col: str) -> Column:
     return F.when(F.col(host_col) == "", F.expr("cast(array() as array<string>)")).otherwise(F.array_sort(F.array_distinct(F.concat(*parts))))
 
 
-def mine(labelled: DataFrame, min_support: float = 0.01, min_rows: int = 20, min_confidence: float = 0.6) -> DataFrame:
+def telling_tokens(rows: DataFrame, least: float) -> DataFrame:
+    """token: those in ``least`` rows or more, but not in all; of tokens that are in the same rows (by count and 64-bit hashes) the first."""
+    n = rows.count()
+    each = rows.select(F.explode("tokens").alias("token"), F.xxhash64("tokens").cast("decimal(38,0)").alias("h"))
+    found = each.groupBy("token").agg(F.count("*").alias("n"), F.sum("h").alias("h")).filter((F.col("n") >= least) & (F.col("n") < n))
+    return found.groupBy("n", "h").agg(F.min("token").alias("token")).select("token")
+
+
+def mine(labelled: DataFrame, min_support: float = 0.01, min_rows: int = 20, min_confidence: float = 0.6, min_gain: float = 0.0) -> DataFrame:
     """Rules from rows of tokens (array of distinct strings) and block (boolean): rule id, tokens, confidence, support.
 
     A combination needs min_support of the rows and min_rows of them;
-    min_confidence of its rows must be blocked; and no part of it may be as
-    sure. Rows with a null are left out; too few rows give no rules.
+    min_confidence of its rows must be blocked, and so many that it takes away
+    min_gain of what the share of blocked rows in all lacks to 1; and no part of
+    it may be as sure. Of tokens that are in the same rows the first stands for
+    all; tokens of all rows tell nothing. Rows with a null are left out; too few
+    rows give no rules.
     """
     spark = labelled.sparkSession
     schema = "rule long, tokens array<string>, confidence double, support double"
     rows = labelled.filter(F.col("tokens").isNotNull() & F.col("block").isNotNull())
-    n = rows.count()
+    n, blocked = rows.agg(F.count("*"), F.count_if("block")).first()
     support = max(min_support, min_rows / n) if n else 2.0
     if support > 1:
         return spark.createDataFrame([], schema)
-    items = rows.select(F.when(F.col("block"), F.array_append("tokens", F.lit(BLOCK))).otherwise(F.col("tokens")).alias("items"))
+    min_confidence = max(min_confidence, blocked / n + min_gain * (1 - blocked / n))
+    # As each is in so many rows, they are at most the tokens of a URL divided by the support.
+    telling = spark.sparkContext.broadcast({r["token"] for r in telling_tokens(rows, support * n).collect()})
+
+    def lean(batches):
+        for batch in batches:
+            kept = [[t for t in row if t in telling.value] + [BLOCK] * b for row, b in zip(values(batch, "tokens"), values(batch, "block"))]
+            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.list_(pa.string()))], names=["items"])
+
+    items, _ = written(rows.select("tokens", "block").mapInArrow(lean, "items array<string>"), "url-items")
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(items)
     sure = model.associationRules.filter(F.col("consequent") == F.array(F.lit(BLOCK)))
     sure = sure.select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
     sure, _ = written(sure, "url-rules")
-    smaller = sure.select(F.explode("tokens").alias("t"), F.col("tokens").alias("small"), F.col("confidence").alias("small_confidence"))
-    larger = sure.select(F.explode("tokens").alias("t"), "tokens", "confidence", "support").join(smaller, "t")
+    # A part of a rule has the part's own rarest token: only those are compared, not all rules that share a token.
+    often = sure.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count("*").alias("often"))
+    parts = sure.select(F.col("tokens").alias("small"), F.col("confidence").alias("small_confidence"), F.explode("tokens").alias("t")).join(often, "t")
+    parts = parts.groupBy("small", "small_confidence").agg(F.min_by("t", F.struct("often", "t")).alias("t"))
+    larger = sure.select(F.explode("tokens").alias("t"), "tokens", "confidence").join(parts, "t")
     larger = larger.filter((F.size("small") < F.size("tokens")) & (F.col("small_confidence") >= F.col("confidence"))
                            & (F.size(F.array_except("small", "tokens")) == 0)).select("tokens").distinct()
     kept = sure.join(larger, "tokens", "left_anti")
@@ -130,3 +155,15 @@ def url_tokens(urls: DataFrame, url_col: str = "url") -> DataFrame:
     kept = others(urls, "tokens")
     out = urls.select(F.struct(*kept).alias("row"), F.col(url_col).cast("string").alias("u")).withColumns({"h": host("u"), "p": path("u")})
     return out.select("row.*", tokens("u", "h", "p").alias("tokens"))
+
+
+def labelled_urls(urls: DataFrame, rules: list[tuple[str, str, str]], bad_words: set[str], label_col: str, url_col: str = "url") -> DataFrame:
+    """tokens and block (boolean, null if unknown) of urls, as mine takes them.
+
+    A URL is a bad example if its host has one of these words (between dots and
+    hyphens); else the given rule that fits says what it is; else label_col.
+    """
+    out = urls.select(F.col(url_col).cast("string").alias("u"), F.col(label_col).alias("known")).withColumns({"h": host("u"), "p": path("u")})
+    bad = F.arrays_overlap(F.split("h", "[.-]", -1), F.array(*map(F.lit, sorted(bad_words)))) if bad_words else F.lit(False)
+    ruled = given_rule("h", "p", rules)["verdict"] == "block"
+    return out.select(tokens("u", "h", "p").alias("tokens"), F.when(bad, True).otherwise(F.coalesce(ruled, "known")).alias("block"))

@@ -75,6 +75,32 @@ def test_mined_rules_block_urls(spark):
     assert got == {k: (None, "block" if k % 3 == 0 else "allow") for k in range(300)} | {300: (None, "allow"), 301: ("example.com/en/", "block")}
 
 
+def test_tokens_that_always_come_together_count_as_one(spark):
+    """25 tokens of the same rows would be 2 ** 25 combinations."""
+    r = random.Random(3)
+    rows = []
+    for k in range(300):
+        spam = k % 5 == 0
+        tokens = ["everywhere", f"x{r.randrange(4)}", *([f"spam{j:02}" for j in range(25)] if spam else ["fine"])]
+        rows.append((sorted(tokens), spam or r.random() < 0.1))
+    got = url_rules.mine(spark.createDataFrame(rows, "tokens array<string>, block boolean"), 0.01, 5, min_gain=0.9).collect()
+    assert [(x.tokens, x.confidence) for x in got] == [(["spam00"], 1.0)]
+
+
+def test_rules_are_mined_from_the_given_tables(spark):
+    from partnerlens.llm.queries import mined_url_rules, op3_url_rules
+
+    mined = [(set(x.tokens), x.confidence) for x in mined_url_rules(spark, SF).collect()]
+    assert mined and all(c >= 0.9 for _, c in mined)
+    assert any(t <= {"label:net", "path:fr"} or t <= {"label:com", "path:en"} for t, _ in mined)
+    rows = op3_url_rules(spark, SF).collect()
+    free = [x for x in rows if x.rule is None]
+    assert any(x.verdict == "block" for x in free) and any(x.verdict == "allow" for x in free)
+    # Each blocked one holds all tokens of a mined rule.
+    urls = {x.page_id: set(x.tokens) for x in url_rules.url_tokens(table(spark, SF, "pages").select("page_id", "url")).collect()}
+    assert all((x.verdict == "block") == any(t <= urls[x.page_id] for t, _ in mined) for x in free)
+
+
 # Language ID
 
 def test_language_of_held_out_documents(spark):
