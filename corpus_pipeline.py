@@ -36,7 +36,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows, back = _apart(docs, "lang_pred", "score")
     found = langid.predict(rows, model)
     known = F.col("lang_pred") != langid.UNKNOWN if model.langs else F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return found.filter(known & (F.col("score") >= (LEAST_SCORE if model.langs else 0))).withColumnsRenamed(back).select(docs.columns)
+    return found.filter(known & (F.col("score") >= (LEAST_SCORE if model.langs else 0))) \
+        .drop("lang_pred", "score").withColumnsRenamed(back).select(docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
