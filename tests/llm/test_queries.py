@@ -1,11 +1,14 @@
 """The registered queries on the small tables, and the pipeline stage by stage."""
 import hashlib
+import zlib
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
@@ -13,8 +16,8 @@ from partnerlens.llm import byte_bpe, langid
 from partnerlens.llm.common import table, written
 from partnerlens.llm.queries import ORACLE_SQL, QUERIES
 
-from .test_dedup import brute_lines, brute_near
-from .test_filters import brute_contamination
+from .test_dedup import brute_lines, brute_near, brute_strings
+from .test_filters import brute_contamination, brute_judge
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = {
@@ -52,6 +55,73 @@ def test_query(spark, con, name):
         assert sorted(r[0] for r in rows) == [r[0] for r in con.sql("select doc_id from documents order by 1").fetchall()]
 
 
+def expected(name, docs):
+    """What a query returns that SQL cannot express, from the tokenizer libraries and from brute force on bytes."""
+    sha = lambda raw: hashlib.sha256(raw).hexdigest()
+    if name.startswith("op4_"):
+        return [(i, n, gone, spans, sha(kept)) for i, n, gone, spans, kept in brute_strings([(i, (t or "").encode()) for i, t in docs], 100)]
+    if name.startswith("op1_"):
+        ranks = {t: k for k, t in enumerate(byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))}
+        code = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        ids = [(i, t or "", code.encode_ordinary(t or "")) for i, t in docs]
+        return [(i, len(x), sha(np.array(x, "<u4").tobytes()), sha(t.encode())) for i, t, x in ids]
+    words = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    if name.startswith("op9_"):
+        n = [(i, t or "", len(words.encode(t or "", add_special_tokens=False).ids)) for i, t in docs]
+        return [(i, len(t.encode()), k, k > 2048) for i, t, k in n]
+    out, start = [], 0
+    for i, t in sorted(docs):
+        ids = words.encode(t or "", add_special_tokens=False).ids + [2]
+        out.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return out
+
+
+@pytest.mark.parametrize("name", [q for q in QUERIES if q.startswith(("op1_", "op4_", "op9_", "op10_"))])
+def test_query_against_libraries_and_brute_force(spark, name):
+    docs = [tuple(r) for r in table(spark, SF, "documents").select("doc_id", "text").collect()]
+    assert sorted(tuple(r) for r in QUERIES[name](spark, SF).collect()) == sorted(expected(name, docs))
+
+
+def test_language_query_on_held_out_documents(spark):
+    lang = {r.doc_id: (r.lang, r.text) for r in table(spark, SF, "documents").collect()}
+    rows = QUERIES["op6_language_id"](spark, SF).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in rows)
+    assert all((r.lang_pred == "und") == (not any(c.isalpha() for c in lang[r.doc_id][1] or "")) for r in rows)
+    held = [r for r in rows if r.held_out and lang[r.doc_id][0]]
+    assert sum(r.lang_pred == lang[r.doc_id][0] for r in held) >= 0.95 * len(held)
+
+
+def test_given_url_rules_of_the_query(spark):
+    pages = {r.page_id: r.url for r in table(spark, SF, "pages").select("page_id", "url").collect()}
+    rows = QUERIES["op3_url_rules"](spark, SF).collect()
+    assert sorted(r.page_id for r in rows) == sorted(pages)
+    for r in rows:
+        host, path, rule, verdict = brute_judge(pages[r.page_id], False)
+        assert (r.host, r.path, r.rule) == (host, path, rule) and (rule is None or r.verdict == verdict)
+
+
+def test_nearest_query_finds_the_exact_neighbours(spark):
+    """Recall over all queries of the given embeddings, and exact scores and ranks of what is found."""
+    sf = "/root/testdata/sf0.01"
+    v = {r.vec_id: np.array(r.embedding, float) for r in table(spark, sf, "embeddings").collect()}
+    found = {}
+    for r in QUERIES["op8_nearest"](spark, sf).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert set(found) == {i for i in v if i % 50 == 0}
+    hits = 0
+    for q, rows in found.items():
+        ids = np.array([i for i in sorted(v) if i != q])
+        m = np.array([v[i] for i in ids])
+        score = m @ v[q] / (np.linalg.norm(m, axis=1) * np.linalg.norm(v[q]))
+        best = ids[np.lexsort((ids, -score))[:5]]
+        rows.sort()
+        assert [k for k, *_ in rows] == [1, 2, 3, 4, 5] and [s for *_, s in rows] == sorted((s for *_, s in rows), reverse=True)
+        assert all(abs(s - score[np.searchsorted(ids, i)]) < 1e-12 for _, i, s in rows)
+        hits += len({i for _, i, _ in rows} & set(best.tolist()))
+    assert hits >= 0.95 * 5 * len(found)
+
+
 def test_pipeline_stages(spark):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["language_id", "line_dedup", "minhash", "decontaminate", "byte_bpe"]
