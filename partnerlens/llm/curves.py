@@ -82,6 +82,12 @@ def unpack(raw, kind: str) -> np.ndarray:
     return np.stack([np.frombuffer(x, kind) for x in raw]).astype(np.float64)
 
 
+def scaled(v: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component to 0.5 to 1: exact, and squares neither overflow nor vanish."""
+    _, power = np.frexp(np.abs(v).max(axis=1, initial=0.0))
+    return np.ldexp(v, -power[:, None])
+
+
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosine of each pair of rows, each summed alike wherever it stands."""
     return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
@@ -89,6 +95,7 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def nearest(queries: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int) -> list[tuple[int, int, float]]:
     """For each query the k nearest rows: query's number, row's id and cosine; ties to smaller ids."""
+    queries, rows = scaled(queries), scaled(rows)
     unit = rows / np.linalg.norm(rows, axis=1)[:, None]
     out = []
     for first in range(0, len(queries), 256):
@@ -138,6 +145,7 @@ def places(classes: DataFrame, kind: str, curves: int, dimensions: int, bits: in
             if not batch.num_rows:
                 continue
             ids, v = batch.column(0), unpack((x.as_py() for x in batch.column(1)), kind)
+            v = scaled(v)
             v /= np.linalg.norm(v, axis=1)[:, None]
             for c in range(curves):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), c, np.int32)), pa.array(curve_keys(v, c, dimensions, bits)), ids], schema=schema)

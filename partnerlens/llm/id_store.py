@@ -129,7 +129,7 @@ def _open(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
     if path.startswith("file:"):
         return pyarrow.fs.LocalFileSystem(), path.removeprefix("file://").removeprefix("file:")
     if "://" in path:
-        return pyarrow.fs.FileSystem.from_uri(path)
+        return pyarrow.fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", path))  # Hadoop's names of the scheme
     return pyarrow.fs.LocalFileSystem(), os.path.abspath(path)
 
 

@@ -63,7 +63,7 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int, min_docs: int, id_col:
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
     text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(stay, lambda p: F.col("lines")[p]), "\n"))
-    new = {text_col: text, n_lines: F.size("lines").cast("long"), n_dropped: F.coalesce(F.size("gone"), F.lit(0)).cast("long")}
+    new = {text_col: text, n_lines: F.size("lines").cast("long"), n_dropped: F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long")}
     old = others(docs, n_lines.lower(), n_dropped.lower())
     return both.select(*[new[c].alias(c) if c == text_col else F.col("row")[c].alias(c) for c in old],
                        new[n_lines].alias(n_lines), new[n_dropped].alias(n_dropped))

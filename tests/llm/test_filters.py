@@ -198,6 +198,17 @@ def test_contamination_broadcasts_a_table_of_fixed_size(spark, docs, monkeypatch
 
 # Nearest vectors
 
+def test_huge_and_tiny_components_have_cosines(spark):
+    r = np.random.default_rng(4)
+    rows = [(k, (r.normal(size=8) * 10.0 ** int(r.choice([-250, -170, 0, 170, 250]))).tolist()) for k in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = curves.search(df, query=F.col("id") % 10 == 0, k=3, id_col="vec_id", vec_col="embedding").collect()
+    assert len(got) == 18 and all(-1.000001 < x.score < 1.000001 for x in got)
+    unit = {k: np.array(v) / max(map(abs, v)) for k, v in rows}
+    unit = {k: v / np.linalg.norm(v) for k, v in unit.items()}
+    assert all(abs(x.score - unit[x.query_id] @ unit[x.id]) < 1e-9 for x in got)
+
+
 def test_hilbert_curve_visits_neighbours():
     for axes, bits in ((2, 4), (3, 3), (4, 2)):
         cells = np.array(list(itertools.product(range(1 << bits), repeat=axes)))
