@@ -44,8 +44,10 @@ class ByteBpe:
 
     def __init__(self, tokens: list[bytes], pattern: str):
         self.tokens = tokens
-        self.ranks = {t.decode("latin-1"): i for i, t in enumerate(tokens)}
+        self.texts = [t.decode("latin-1") for t in tokens]
+        self.ranks = {t: i for i, t in enumerate(self.texts)}
         self.pieces = regex.compile(pattern).findall
+        self.lengths = [len(t) for t in tokens]
         self.automaton = ahocorasick.Automaton()
         for text, i in self.ranks.items():
             self.automaton.add_word(text, (i, len(text)))
@@ -56,29 +58,33 @@ class ByteBpe:
 
     def merged(self, text: str) -> list[str]:
         """The plain merges of a short Latin-1 text: the lowest rank first, the leftmost of equals."""
-        parts, worst = list(text), len(self.ranks)
-        while len(parts) > 1:
-            ranks = [self.ranks.get(a + b, worst) for a, b in zip(parts, parts[1:])]
-            if (low := min(ranks)) == worst:
-                break
+        parts, worst, rank = list(text), len(self.tokens), self.ranks.get
+        ranks = [rank(a + b, worst) for a, b in zip(parts, parts[1:])]
+        while ranks and (low := min(ranks)) < worst:
             at = ranks.index(low)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            joined = parts[at] = parts[at] + parts.pop(at + 1)
+            del ranks[at]
+            if at < len(ranks):
+                ranks[at] = rank(joined + parts[at + 1], worst)
+            if at:
+                ranks[at - 1] = rank(parts[at - 1] + joined, worst)
         return parts
 
     def fits(self, a: int, b: int) -> bool:
         """Whether b may follow a; remembered."""
-        found = self.pairs.get(a * len(self.tokens) + b)
+        pair = a * len(self.tokens) + b
+        found = self.pairs.get(pair)
         if found is None:
             forget(self.pairs, REMEMBERED // 2)
-            x, y = self.tokens[a].decode("latin-1"), self.tokens[b].decode("latin-1")
-            found = self.pairs[a * len(self.tokens) + b] = self.merged(x + y) == [x, y]
+            x, y = self.texts[a], self.texts[b]
+            found = self.pairs[pair] = self.merged(x + y) == [x, y]
         return found
 
     def next_shorter(self, i: int) -> int:
         """The longest token that is a proper prefix of token i; -1 if none is."""
         found = self.shorter.get(i)
         if found is None:
-            text = self.tokens[i].decode("latin-1")
+            text = self.texts[i]
             found = self.shorter[i] = next((self.ranks[text[:k]] for k in range(len(text) - 1, 0, -1) if text[:k] in self.ranks), -1)
         return found
 
@@ -86,33 +92,46 @@ class ByteBpe:
         """The ids of one piece, its bytes given as Latin-1."""
         if (whole := self.ranks.get(piece)) is not None:
             return [whole]
-        n = len(piece)
+        n, n_tokens, lengths = len(piece), len(self.tokens), self.lengths
+        shorter, fits, pairs = self.next_shorter, self.fits, self.pairs.get
         longest = [-1] * n
         for end, (i, length) in self.automaton.iter(piece):
             longest[end - length + 1] = i  # ends ascend, so the last one is the longest
-        open_at = bytearray(b"\x01") * (n + 1)
         ids: list[int] = []
-        at, tokens = 0, self.tokens
-        i = longest[0]
+        at, last = 0, -1
+        while at < n and (i := longest[at]) >= 0:  # mostly, the longest tokens fit each other
+            if last >= 0 and not (fits(last, i) if (known := pairs(last * n_tokens + i)) is None else known):
+                break
+            ids.append(i)
+            at += lengths[i]
+            last = i
+        if at == n:
+            return ids
+        open_at = bytearray(b"\x01") * (n + 1)
         while at < n:
             last = ids[-1] if ids else -1
-            while i >= 0 and not (open_at[at + len(tokens[i])] and (last < 0 or self.fits(last, i))):
-                i = self.next_shorter(i)
+            while i >= 0 and not (open_at[at + lengths[i]] and (last < 0 or (fits(last, i) if (known := pairs(last * n_tokens + i)) is None else known))):
+                i = shorter(i)
             if i >= 0:
                 ids.append(i)
-                at += len(tokens[i])
+                at += lengths[i]
                 i = longest[at] if at < n else -1
             elif ids:
                 open_at[at] = 0
                 i = ids.pop()
-                at -= len(tokens[i])
-                i = self.next_shorter(i)
+                at -= lengths[i]
+                i = shorter(i)
             else:
                 raise ValueError("the rank file lacks a byte of the text")
         return ids
 
     def _packed(self, text: str) -> bytes:
-        ids = [i for piece in self.pieces(text) for i in self.encode_piece(piece.encode("utf-8").decode("latin-1"))]
+        pieces = self.pieces(text)
+        if not text.isascii():
+            pieces = [p.encode("utf-8").decode("latin-1") for p in pieces]
+        ids: list[int] = []
+        for piece in pieces:
+            ids += self.encode_piece(piece)
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:

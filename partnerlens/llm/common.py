@@ -90,6 +90,7 @@ def arrow_rows(schema: pa.Schema, rows: Callable[[pa.RecordBatch], Iterator[tupl
     small_batches(SparkSession.active())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()  # a worker that is used again gives back what earlier batches took
         kept: list[tuple] = []
         held = 0
 

@@ -1,4 +1,5 @@
 """Encoders against the public tokenizer libraries."""
+import itertools
 import random
 import zlib
 
@@ -137,3 +138,27 @@ def test_id_files(spark, docs, odd, library):
     assert got == want
     assert [zlib.crc32(x[2]) for x in got] == [zlib.crc32(x[2]) for x in want]
     assert id_store.read_ids(id_store.write_ids(docs([]), id_store.new_folder(spark), WORDS, 2)).count() == 0
+
+
+def test_merging_looks_up_each_pair_once():
+    """A merge changes two neighbours; no other pair is looked up again."""
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            Counted.asked += 1
+            return super().get(*key)
+
+    coder = byte_bpe.ByteBpe([bytes([i]) for i in range(256)] + [b"ab", b"abab", b"abababab"], r"\S+|\s+")
+    coder.ranks = Counted(coder.ranks)
+    assert coder.merged("ab" * 64) == ["abababab"] * 16
+    assert Counted.asked <= 3 * 128
+
+
+def test_longest_tokens_that_do_not_fit_are_stepped_back_from():
+    """Every piece of few letters as its plain merges give it, also where the longest token is wrong."""
+    coder = byte_bpe.ByteBpe([bytes([i]) for i in range(256)] + [b"bc", b"ab", b"bcd", b"abc", b"dab"], r"\S+|\s+")
+    for n in range(1, 7):
+        for letters in itertools.product("abcd", repeat=n):
+            piece = "".join(letters)
+            assert [coder.texts[i] for i in coder.encode_piece(piece)] == coder.merged(piece), piece
