@@ -94,19 +94,19 @@ class ByteBpe:
             return [whole]
         n, n_tokens, lengths = len(piece), len(self.tokens), self.lengths
         shorter, fits, pairs = self.next_shorter, self.fits, self.pairs.get
-        longest = [-1] * n
-        for end, (i, length) in self.automaton.iter(piece):
-            longest[end - length + 1] = i  # ends ascend, so the last one is the longest
         ids: list[int] = []
         at, last = 0, -1
-        while at < n and (i := longest[at]) >= 0:  # mostly, the longest tokens fit each other
-            if last >= 0 and not (fits(last, i) if (known := pairs(last * n_tokens + i)) is None else known):
+        for end, (i, length) in self.automaton.iter_long(piece):  # mostly, the longest tokens follow and fit each other
+            if end - length + 1 != at or last >= 0 and not (fits(last, i) if (known := pairs(last * n_tokens + i)) is None else known):
                 break
             ids.append(i)
-            at += lengths[i]
-            last = i
+            at, last = end + 1, i
         if at == n:
             return ids
+        longest = [-1] * n
+        for end, (i, length) in self.automaton.iter(piece):
+            longest[end - length + 1] = i  # ends ascend, so the last one is the longest
+        ids, at, i = [], 0, longest[0]
         open_at = bytearray(b"\x01") * (n + 1)
         while at < n:
             last = ids[-1] if ids else -1

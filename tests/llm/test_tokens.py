@@ -162,3 +162,24 @@ def test_longest_tokens_that_do_not_fit_are_stepped_back_from():
         for letters in itertools.product("abcd", repeat=n):
             piece = "".join(letters)
             assert [coder.texts[i] for i in coder.encode_piece(piece)] == coder.merged(piece), piece
+
+
+def test_byte_bpe_takes_longest_tokens_in_one_pass(reference):
+    class Sole:  # an automaton that is asked for the longest tokens only
+        def iter(self, piece):
+            raise AssertionError("all matches are listed")
+
+    class Wrong(Sole):
+        def iter_long(self, piece):
+            return iter([(0, (bpe.ranks[piece[0]], 1)), (len(piece) - 1, (bpe.ranks[piece[-1]], 1))])
+
+    bpe = byte_bpe.ByteBpe(byte_bpe.read_ranks(RANKS), P.PATTERN)
+    real = bpe.automaton
+    words = [" shufflepartition", " toothbrushless", " dataframes"]
+    expected = [packed(reference.encode_ordinary(w)) for w in words]
+    bpe.automaton = Sole()
+    bpe.automaton.iter_long = real.iter_long
+    assert [packed(bpe.encode_piece(w)) for w in words] == expected
+    bpe.automaton = Wrong()
+    bpe.automaton.iter = real.iter
+    assert [packed(bpe.encode_piece(w)) for w in words] == expected
