@@ -163,24 +163,27 @@ def _replace(spark: SparkSession, path: str, rows: DataFrame, part: str, lose: l
 
 
 def merge_into(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], seq: Column | None = None, by: str | None = None,
-               buckets: int = BUCKETS, ready: bool = False, schema: T.StructType | None = None) -> DataFrame:
+               buckets: int = BUCKETS, ready: bool = False, schema: T.StructType | None = None, once: bool = False) -> DataFrame:
     """A8 and A11 against a stored table: new keys are inserted, of known ones the given columns replaced; returns the table.
 
     With ``seq``, a version that is older than the stored one changes nothing; of
     equal ones the given one wins, as it does where a version is not known.
     Only partitions that hold a changed key, or will, are read and written.
     ``ready`` says that rows have each key once and are a stored table
-    themselves, so that they need not be sorted out and staged; ``schema`` is
-    the stored table's, where that is known.
+    themselves, so that they need not be sorted out and staged; ``once`` only
+    that they have each key once; ``schema`` is the stored table's, where that
+    is known.
     """
-    changes = rows if ready and seq is None else latest_per_key(rows if seq is None else rows.withColumn(SEQ, seq), keys, None if seq is None else SEQ)
+    changes = rows if seq is None else rows.withColumn(SEQ, seq)
+    if not once and not (ready and seq is None):
+        changes = latest_per_key(changes, keys, None if seq is None else SEQ)
     stored = _scan(spark, path, schema)
     part = f"{BUCKET}{buckets}" if stored is None and not by else _partition(stored.columns if stored is not None else [], by)
     changes = _placed(changes, keys, part)
     if stored is None:
         _write(changes, path, part, "static")
         return read_keyed(spark, path, schema)
-    held, staged = (changes, lambda: None) if ready else _staged(spark, changes)
+    held, drop = (changes, lambda: None) if ready else staged(spark, changes)
     touched = held.select(part)
     if by:  # the stored row of a key can be in another partition
         touched = touched.union(stored.join(held.select(*keys), keys, "left_semi").select(part))
@@ -192,7 +195,7 @@ def merge_into(spark: SparkSession, path: str, rows: DataFrame, keys: list[str],
             before = old.select(*keys, F.col(SEQ).alias("_before"))
             new = held.join(before, keys, "left").filter("_before is null or _seq is null or _seq >= _before").drop("_before")
         _replace(spark, path, upsert(old, new, keys, once=True), part, touched if by else [], stored)
-    staged()
+    drop()
     return read_keyed(spark, path, schema)
 
 
@@ -202,15 +205,15 @@ def delete_from(spark: SparkSession, path: str, keys_df: DataFrame, keys: list[s
     if stored is None:
         return None
     part = _partition(stored.columns, by)
-    gone, staged = _staged(spark, _placed(keys_df.select(*keys).distinct(), keys, part))
+    gone, drop = staged(spark, _placed(keys_df.select(*keys).distinct(), keys, part))
     touched = [r[0] for r in (stored.join(gone.select(*keys), keys, "left_semi") if by else gone).select(part).distinct().collect()]
     if touched:
         _replace(spark, path, stored.filter(_same(part, touched)).join(gone.select(*keys), keys, "left_anti"), part, touched, stored)
-    staged()
+    drop()
     return read_keyed(spark, path)
 
 
-def _staged(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
+def staged(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
     """Changes as a table in the shared folder, as they are read more than once, and what deletes it."""
     path = new_path(spark, "changes")
     rows.write.parquet(path)

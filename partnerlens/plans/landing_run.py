@@ -11,13 +11,14 @@ same functions.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partnerlens.operators.merge import SEQ, merge_into, read_keyed
+from partnerlens.operators.merge import SEQ, merge_into, read_keyed, staged
 from partnerlens.sources import landing as L
 from partnerlens.sources.tables import RAW_KEYS
 
@@ -28,9 +29,9 @@ INCREMENTAL = {"contact": ("contact",), "deal": ("deal", "deal_stage_history", "
 STATE_KEYS = ["object_name"]
 
 
-def land(table: str, objects: Objects, at: dt.datetime) -> DataFrame:
-    """The rows of one raw table from a batch of objects, each object as it was updated last."""
-    latest = lambda kind: L.latest_objects(objects(kind))
+def land(table: str, objects: Objects, at: dt.datetime, once: bool = False) -> DataFrame:
+    """The rows of one raw table from a batch of objects, each object as it was updated last; ``once``: the batch holds each once."""
+    latest = objects if once else lambda kind: L.latest_objects(objects(kind))
     if table == "owner":
         return L.land_owners(objects("owners"))
     if table == "contact":
@@ -41,7 +42,7 @@ def land(table: str, objects: Objects, at: dt.datetime) -> DataFrame:
         seq = L.version(deals, at)
         if table == "deal":
             return L.land_deals(deals, at, seq)
-        return L.land_stage_history(deals, seq) if table == "deal_stage_history" else L.land_deal_contacts(deals, seq)
+        return L.land_stage_history(deals, seq, once=True) if table == "deal_stage_history" else L.land_deal_contacts(deals, seq)
     if table == "engagement":
         return L.land_engagements({kind: latest(kind) for kind in L.ENGAGEMENT_TYPES}, at, lambda objs: [L.version(objs, at)])
     if table == "engagement_contact":
@@ -64,10 +65,14 @@ def last_sync(spark: SparkSession, out_root: str, name: str) -> dt.datetime | No
     return row["last_sync_at"] if row else None
 
 
+# Tables whose keys :func:`land` gives once: a row for each object, or for each distinct entry of one object.
+ONCE = ("contact", "deal", "deal_stage_history")
+
+
 def store(spark: SparkSession, root: str, table: str, rows: DataFrame) -> DataFrame:
-    """Merges rows into one raw table under root and returns it as it stands."""
+    """Merges rows of :func:`land` into one raw table under root and returns it as it stands."""
     seq = F.col(SEQ) if SEQ in rows.columns else F.col("submitted_at") if table == "contact_form" else None
-    return merge_into(spark, f"{root}/{table}", rows, RAW_KEYS[table], seq)
+    return merge_into(spark, f"{root}/{table}", rows, RAW_KEYS[table], seq, once=table in ONCE)
 
 
 def store_submissions(spark: SparkSession, root: str, rows: DataFrame | None) -> DataFrame | None:
@@ -82,15 +87,33 @@ def store_submissions(spark: SparkSession, root: str, rows: DataFrame | None) ->
     return store(spark, root, "contact_form", found)
 
 
+@contextmanager
+def latest_staged(spark: SparkSession, objects: Objects) -> Iterator[Objects]:
+    """The objects of each kind as they were updated last, as a table in the shared folder, which is written when a kind is asked for first."""
+    held: dict[str, tuple[DataFrame, Callable[[], None]]] = {}
+
+    def staged_once(kind: str) -> DataFrame:
+        if kind not in held:
+            held[kind] = staged(spark, L.latest_objects(objects(kind)))
+        return held[kind][0]
+
+    try:
+        yield staged_once
+    finally:
+        for _, drop in held.values():
+            drop()
+
+
 def landing_run(spark: SparkSession, dump_root: str, out_root: str, run_started: dt.datetime) -> dict[str, DataFrame]:
     """Lands all nine raw tables under out_root and returns them as they stand; run_started is when they were read.
 
-    A kind whose folder is missing is skipped, with its state left as it was.
+    A kind whose folder is missing is skipped, with its state left as it was. The
+    objects of a kind that feeds several tables are read and sorted out once.
     """
     tables: dict[str, DataFrame] = {}
 
-    def put(table: str, objects: Objects) -> None:
-        rows = land(table, objects, run_started)
+    def put(table: str, objects: Objects, once: bool = False) -> None:
+        rows = land(table, objects, run_started, once)
         tables[table] = store_submissions(spark, out_root, rows) if table == "contact_form" else store(spark, out_root, table, rows)
 
     def dumped(since: dt.datetime | None = None) -> Objects:
@@ -99,8 +122,10 @@ def landing_run(spark: SparkSession, dump_root: str, out_root: str, run_started:
     def step(name: str | None, names: tuple[str, ...]) -> None:
         try:
             since = last_sync(spark, out_root, name) if name else None
-            for table in names:
-                put(table, dumped(since))
+            objects, several = dumped(since), len(names) > 1
+            with latest_staged(spark, objects) as latest:
+                for table in names:
+                    put(table, latest if several else objects, once=several)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise

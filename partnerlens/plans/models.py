@@ -92,10 +92,10 @@ class Models:
         dumps, root = new_path(self.spark, "dumps"), new_path(self.spark, "raw")
         self.paths += [dumps, root]
         for kind, objs in dump_objects(self.spark, self.sf_dir, self.raw).items():
-            objs.write.json(f"{dumps}/{kind}")
+            objs.write.option("compression", "gzip").json(f"{dumps}/{kind}")
         landing_run(self.spark, dumps, root, self.cfg.as_of - dt.timedelta(days=7))
         for kind, objs in changed_engagement_objects(self.spark, self.sf_dir, self.cfg.as_of - dt.timedelta(days=3)).items():
-            objs.write.mode("append").json(f"{dumps}/{kind}")
+            objs.write.mode("append").option("compression", "gzip").json(f"{dumps}/{kind}")
         landing_run(self.spark, dumps, root, self.cfg.as_of)
         write_table(self.raw.partner_customer_counts, f"{root}/partner_customer_counts")
         for name in ("ref_partners", "partner_total_customers"):

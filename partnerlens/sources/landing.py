@@ -116,15 +116,15 @@ def land_deals(objs: DataFrame, loaded_at: dt.datetime, *more: Column) -> DataFr
     return objs.select(F.col("id").alias("deal_id"), *_props(DEAL_PROPERTIES), *_load_cols(loaded_at), *more)
 
 
-def land_stage_history(objs: DataFrame, *more: Column) -> DataFrame:
+def land_stage_history(objs: DataFrame, *more: Column, once: bool = False) -> DataFrame:
     """L3: stage history entries; incomplete entries dropped; exit = the next entry's time.
 
-    An object that a batch holds twice counts once, as it was updated last.
+    An object that a batch holds twice counts once, as it was updated last. ``once``: the batch holds each once.
     """
-    e = latest_objects(objs).select(F.col("id").alias("deal_id"), F.explode("propertiesWithHistory.dealstage").alias("h"), *more).filter(
+    e = (objs if once else latest_objects(objs)).select(F.col("id").alias("deal_id"), F.explode("propertiesWithHistory.dealstage").alias("h"), *more).filter(
         (F.coalesce(F.col("h.value"), F.lit("")) != "") & (F.coalesce(F.col("h.timestamp"), F.lit("")) != ""))
     e = e.select("deal_id", F.col("h.value").alias("stage_id"), parse_ts(F.col("h.timestamp")).alias("entered_at"), *e.columns[2:]) \
-        .filter(F.col("entered_at").isNotNull()).distinct()
+        .filter(F.col("entered_at").isNotNull()).repartition("deal_id").distinct()  # dealt once, for the window too
     w = Window.partitionBy("deal_id").orderBy("entered_at", "stage_id")
     return e.withColumn("exited_at", F.lead("entered_at").over(w))
 

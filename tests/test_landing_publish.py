@@ -192,3 +192,23 @@ def test_all_engagement_kinds_stream_into_one_table(spark, tmp_path):
     rows = read_keyed(spark, str(tmp_path / "raw" / "engagement")).collect()
     assert {r.engagement_source: r.engagement_type for r in rows} == L.ENGAGEMENT_TYPES
     assert read_keyed(spark, str(tmp_path / "raw" / "engagement_contact")).count() == 5
+
+
+def test_a_landing_run_reads_and_sorts_out_deals_once(spark, tmp_path, monkeypatch):
+    from partnerlens.plans import landing_run as R
+
+    dumps, root, read, sorted_out = tmp_path / "dumps", str(tmp_path / "raw"), [], []
+    (dumps / "deals").mkdir(parents=True)
+    deal = lambda stage, at, n: json.dumps({
+        "id": "d1", "updatedAt": at, "properties": {"dealname": stage}, "associations": {"contacts": {"results": [{"id": f"c{n}"}, {"id": f"c{n}"}]}},
+        "propertiesWithHistory": {"dealstage": [{"value": stage, "timestamp": "1000"}, {"value": stage, "timestamp": "1000"}, {"value": "b", "timestamp": str(n)}]}}) + "\n"
+    (dumps / "deals" / "a.json").write_text(deal("old", "2001-12-01T00:00:00Z", 2000) + deal("new", "2001-12-02T00:00:00Z", 3000))
+    objects, latest = R.L.objects, R.L.latest_objects
+    monkeypatch.setattr(R.L, "objects", lambda s, path, kind="object": read.append(path) or objects(s, path, kind))
+    monkeypatch.setattr(R.L, "latest_objects", lambda objs: sorted_out.append(objs) or latest(objs))
+    tables = R.landing_run(spark, str(dumps), root, dt.datetime(2001, 12, 10))
+    assert [p for p in read if p.endswith("/deals")] == [f"{dumps}/deals"] and len([o for o in sorted_out if "updatedAt" in o.columns]) == 1
+    assert [(r.deal_id, r.property_dealname) for r in tables["deal"].collect()] == [("d1", "new")]
+    assert sorted((r.stage_id, r.entered_at, r.exited_at) for r in tables["deal_stage_history"].collect()) == [
+        ("b", dt.datetime(1970, 1, 1, 0, 0, 3), None), ("new", dt.datetime(1970, 1, 1, 0, 0, 1), dt.datetime(1970, 1, 1, 0, 0, 3))]
+    assert [r.contact_id for r in tables["deal_contact"].collect()] == ["c3000"]
