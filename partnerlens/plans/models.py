@@ -21,7 +21,7 @@ from partnerlens.config import EngineConfig
 from partnerlens.operators import intermediate as I
 from partnerlens.operators import marts as K
 from partnerlens.operators import staging as S
-from partnerlens.session import drop_path, new_path, prepare_session
+from partnerlens.session import drop_path, let_go, new_path, prepare_session
 from partnerlens.sources.tables import RawTables
 
 
@@ -65,6 +65,7 @@ class Models:
         path = new_path(self.spark, "model")
         self.paths.append(path)
         df.write.parquet(path)
+        let_go(self.spark)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def new_path(self, name: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import tempfile
@@ -89,6 +90,16 @@ def drop_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Lets the driver give back what nothing refers to any more (plans, broadcasts, shuffle files), rather than when its heap is full.
+
+    A full collection also returns the heap's free pages, so the driver does not
+    grow with the number of queries it has planned or their tasks.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "partnerlens") -> SparkSession:
     master = master or os.environ.get("PARTNERLENS_MASTER", "local[8]")
     builder = (

@@ -50,3 +50,19 @@ def test_lower_sizes_stay(fresh):
         fresh.conf.set(name, value)
     prepare_session(fresh)
     assert [fresh.conf.get(n) for n in (STATIC, LATE, SIZE)] == ["-1", "64k", "8m"]
+
+
+def test_kept_models_leave_no_garbage_in_the_driver(spark, tmp_path):
+    """A model that is kept ends with a full collection: what its plan and its tasks left is not held until the heap is full."""
+    from partnerlens.config import EngineConfig
+    from partnerlens.plans.models import Models
+
+    def collections():
+        beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+        return sum(b.getCollectionCount() for b in beans if "Young" not in b.getName() and "Concurrent" not in b.getName())
+
+    models = Models(spark, None, EngineConfig(), materialize="parquet")
+    before = collections()
+    kept = models.keep(spark.range(10))
+    assert collections() > before and kept.count() == 10
+    models.release()
