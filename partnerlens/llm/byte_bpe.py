@@ -201,3 +201,22 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc
     picked = encoded.select(id_col, "token_ids")
     return picked.mapInArrow(arrow_rows(schema, rows, lambda r: len(r[1] or b"") + len(r[2]) + 16), f"`{id_col}` long, token_ids binary, decoded binary")
 
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of decode(encode(docs)), encoded and decoded by one worker.
+
+    Chained, the two run in two workers a task, which take turns, so that each of
+    them comes to hold an encoder's memory, and the ids pass between them.
+    """
+    schema = pa.schema([(id_col, pa.int64()), ("token_ids", pa.binary()), ("decoded", pa.binary())])
+
+    def rows(batch):
+        bpe = coder(ranks_path, pattern)
+        sole_memory("byte_bpe", bpe.known, bpe.pairs)
+        for i, text in zip(values(batch, id_col), values(batch, text_col)):
+            ids = bpe.encode(text.decode("utf-8", "replace"))
+            yield i, ids, bpe.decode(ids)
+
+    picked = docs.select(F.col(id_col).cast("long").alias(id_col), utf8(text_col).alias(text_col))
+    return picked.mapInArrow(arrow_rows(schema, rows, lambda r: len(r[1]) + len(r[2]) + 16), f"`{id_col}` long, token_ids binary, decoded binary")

@@ -19,8 +19,7 @@ from partnerlens.llm.common import table, written
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again: number and digest of the ids, digest of the decoded bytes."""
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern)
-    return byte_bpe.decode(encoded, ranks, pattern).select(
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), ranks, pattern).select(
         "doc_id", F.expr("octet_length(token_ids) div 4").cast("long").alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

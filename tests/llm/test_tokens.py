@@ -74,6 +74,25 @@ def test_byte_bpe_table(spark, docs, odd, reference):
     assert byte_bpe.encode(df.limit(0), RANKS, P.PATTERN).count() == 0
 
 
+def test_byte_bpe_round_trip_equals_encode_and_decode(docs, odd):
+    df = docs(odd)
+    once, chained = byte_bpe.round_trip(df, RANKS, P.PATTERN), byte_bpe.decode(byte_bpe.encode(df, RANKS, P.PATTERN), RANKS, P.PATTERN)
+    assert once.schema == chained.schema
+    assert sorted(map(repr, once.collect())) == sorted(map(repr, chained.collect()))
+
+
+def test_byte_bpe_queries_take_one_worker_a_task(spark, tmp_path):
+    import corpus_pipeline
+    from partnerlens.llm import queries
+
+    spark.createDataFrame([(1, "one two"), (2, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    op1 = queries.op1_byte_bpe(spark, str(tmp_path))
+    stage = corpus_pipeline.tokens(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    for found in (op1, stage):
+        assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+        assert found.count() == 2
+
+
 def test_token_counts_equal_the_library(library):
     some = texts(4000, seed=3)
     assert token_count.counter(WORDS).count(some) == [len(e.ids) for e in library.encode_batch(some, add_special_tokens=False)]
