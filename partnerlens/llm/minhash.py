@@ -244,9 +244,15 @@ def _components(docs: DataFrame, size: int, percent: int, small: int) -> DataFra
     entries = classes.select("rep", F.explode("bands").alias("bucket"))
     buckets = entries.groupBy("bucket").agg(F.min("rep").alias("least"), F.count("*").alias("members")).filter("members > 1")
     shared, shared_path = written(entries.join(buckets, "bucket").select("bucket", "rep", "least", "members"), "buckets")
-    stars = likely(shared.select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct(), classes, percent)
+    slim, slim_path = written(classes.select("rep", "n", "bits"), "classes")
+    drop_path(spark, classes_path)
+    classes, classes_path = slim, slim_path
+    let_go(spark)
+    # Written before texts are shuffled: the confirmation reads pairs twice, and bits and texts are not on disk at once.
+    stars, stars_path = written(likely(shared.select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct(), classes, percent), "pairs")
     let_go(spark)
     links, links_path = written(confirmed(stars, docs, size, percent, id_col, text_col), "links")
+    drop_path(spark, stars_path)
     let_go(spark)
 
     # 2. What is left in buckets of several labels.
@@ -256,9 +262,6 @@ def _components(docs: DataFrame, size: int, percent: int, small: int) -> DataFra
     here = shared.join(up, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     here, here_path = written(here.select("bucket", "rep", "least", "members", "label"), "labelled")
     drop_path(spark, shared_path)
-    slim, slim_path = written(classes.select("rep", "n", "bits"), "classes")
-    drop_path(spark, classes_path)
-    classes, classes_path = slim, slim_path
     mixed = here.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("bucket")
     here, mixed_path = written(here.join(mixed, "bucket"), "mixed")
     drop_path(spark, here_path)
@@ -274,10 +277,11 @@ def _components(docs: DataFrame, size: int, percent: int, small: int) -> DataFra
     many = here.filter(F.col("members") > small).select("rep", "label").distinct().join(classes.select("rep", "bits"), "rep")
     more, more_path = written(by_prefix(many, docs, size, percent, id_col, text_col), "pairs")
     let_go(spark)
-    more, found_path = written(confirmed(pairs.union(more).distinct(), docs, size, percent, id_col, text_col), "links")
+    rest, rest_path = written(pairs.union(more).distinct(), "pairs")
+    more, found_path = written(confirmed(rest, docs, size, percent, id_col, text_col), "links")
 
     found = components(links.union(more))
-    for path in (classes_path, links_path, mixed_path, pairs_path, more_path, found_path):
+    for path in (classes_path, links_path, mixed_path, pairs_path, more_path, rest_path, found_path):
         drop_path(spark, path)
 
     let_go(spark)

@@ -231,3 +231,19 @@ def test_repeated_strings_of_many_rows_without_an_id(spark, docs):
     lost = [n for _, n, _ in got]
     assert sum(n >= 150 for n in lost) == again and sum(n == 0 for n in lost) == len(rows) - again
     assert sum(bytes(s, "utf8") in kept for _, _, kept in got for s in shared) == len(want)
+
+
+def test_minhash_confirms_pairs_that_are_written(spark, docs, monkeypatch):
+    """Texts are shuffled for pairs read from a table: neither the bits are on disk with them, nor are pairs found twice."""
+    seen, confirmed = [], minhash.confirmed
+
+    def watch(pairs, *rest):
+        seen.append(pairs._jdf.queryExecution().optimizedPlan().toString())
+        return confirmed(pairs, *rest)
+
+    monkeypatch.setattr(minhash, "confirmed", watch)
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, text), (2, text + " end"), (3, text + " other end"), (4, "something else that is not like these at all")]
+    found = minhash.near_duplicates(docs(rows)).select("doc_id", "component_id").collect()
+    assert sorted(map(tuple, found)) == [(1, 1), (2, 1), (3, 1), (4, 4)]
+    assert len(seen) == 2 and not any("Join" in plan or "Aggregate" in plan for plan in seen)
