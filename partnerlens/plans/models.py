@@ -24,6 +24,9 @@ from partnerlens.operators import staging as S
 from partnerlens.session import drop_path, let_go, new_path, prepare_session
 from partnerlens.sources.tables import RawTables
 
+# How object dumps are compressed: the least of gzip takes half the time of its default.
+DUMPED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+
 
 class Models:
     def __init__(self, spark: SparkSession, raw: RawTables, cfg: EngineConfig | None = None,
@@ -92,11 +95,12 @@ class Models:
 
         dumps, root = new_path(self.spark, "dumps"), new_path(self.spark, "raw")
         self.paths += [dumps, root]
-        for kind, objs in dump_objects(self.spark, self.sf_dir, self.raw).items():
-            objs.write.option("compression", "gzip").json(f"{dumps}/{kind}")
+        for kind, objs in dump_objects(self.spark, self.sf_dir, self.raw, self.cfg.as_of_literal).items():
+            objs.write.options(**DUMPED).json(f"{dumps}/{kind}")
+            let_go(self.spark)
         landing_run(self.spark, dumps, root, self.cfg.as_of - dt.timedelta(days=7))
         for kind, objs in changed_engagement_objects(self.spark, self.sf_dir, self.cfg.as_of - dt.timedelta(days=3)).items():
-            objs.write.mode("append").option("compression", "gzip").json(f"{dumps}/{kind}")
+            objs.write.mode("append").options(**DUMPED).json(f"{dumps}/{kind}")
         landing_run(self.spark, dumps, root, self.cfg.as_of)
         write_table(self.raw.partner_customer_counts, f"{root}/partner_customer_counts")
         for name in ("ref_partners", "partner_total_customers"):

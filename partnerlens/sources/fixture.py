@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from partnerlens.config import EngineConfig
@@ -138,10 +138,8 @@ def _deal_stage(status: Column, prio: Column) -> Column:
     )
 
 
-def deals(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
-    o = _read(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
-    c = _read(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
-    n = _read(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
+def _deal_columns(as_of: str) -> list[Column]:
+    """The columns of raw deals, from those of orders and the customer's nation name."""
     k = F.col("o_orderkey")
     stage = _deal_stage(F.col("o_orderstatus"), F.substring("o_orderpriority", 1, 1))
     closed = stage.isin("Closed_Won", "closed_lost")
@@ -170,10 +168,20 @@ def deals(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
         "_fivetran_synced": _days(F.lit(as_of), -(k % 30)) - F.expr("INTERVAL 10 HOURS"),
         "_archived": k % 103 == 0,
     }
+    return [v.alias(name) for name, v in cols.items()]
+
+
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+def deals(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
+    o = _read(spark, sf_dir, "orders", ORDER_COLUMNS)
+    c = _read(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
+    n = _read(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
     return (
         o.join(c, o.o_custkey == c.c_custkey, "left")
         .join(n, F.col("c_nationkey") == n.n_nationkey, "left")
-        .select(*[v.alias(name) for name, v in cols.items()])
+        .select(*_deal_columns(as_of))
     )
 
 
@@ -192,8 +200,6 @@ def deal_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deal_stage_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
     li = _read(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate"])
     entries = li.select(
         _s(F.col("l_orderkey")).alias("deal_id"),
@@ -445,21 +451,65 @@ def form_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Form "), _s(F.col("k"))).alias("name"))
 
 
-def dump_objects(spark: SparkSession, sf_dir: str, raw: RawTables) -> dict[str, DataFrame]:
-    """All object dumps by kind. Every 11th contact and deal is in the dump twice, the older version with other values."""
-    contacts = contact_objects(raw.contact).join(raw.contact.select("id", _iso(F.col("_fivetran_synced")).alias("updatedAt")), "id")
-    history = deal_objects(spark, sf_dir)
-    deals = deal_property_objects(raw.deal).join(history, "id", "left")
+def _twice(rows: DataFrame, key: Column) -> DataFrame:
+    """rows, and every 11th once more, with ``_older`` set."""
+    return rows.withColumn("_older", F.explode(F.when(key % 11 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+
 
-    def with_older(objs: DataFrame, key: Column, prop: str) -> DataFrame:
-        older = objs.filter(key % 11 == 0).withColumn("properties", F.map_concat(
-            F.map_filter("properties", lambda k, _: k != prop), F.create_map(F.lit(prop), F.lit("older")))).withColumn(
-            "updatedAt", _iso(_days(F.to_timestamp("updatedAt").cast("timestamp_ntz"), F.lit(-400))))
-        return objs.unionByName(older)
+def _with_older(objs: DataFrame, prop: str) -> DataFrame:
+    """objs of :func:`_twice`, the older versions with another value of the property, and an earlier time."""
+    older = F.map_concat(F.map_filter("properties", lambda k, _: k != prop), F.create_map(F.lit(prop), F.lit("older")))
+    before = _iso(_days(F.to_timestamp("updatedAt").cast("timestamp_ntz"), F.lit(-400)))
+    pick = lambda was, now: F.when(F.col("_older"), was).otherwise(F.col(now))
+    return objs.withColumns({"properties": pick(older, "properties"), "updatedAt": pick(before, "updatedAt")}).drop("_older")
 
+
+def whole_deal_objects(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
+    """The deals' dump: :func:`deal_property_objects` joined with :func:`deal_objects`, and older versions.
+
+    Orders are dealt by customer, then by key, as lineitem is; what the objects
+    hold besides (maps, texts) is made from them afterwards.
+    """
+    from partnerlens.sources.tables import DEAL_PROPERTIES
+
+    o = _read(spark, sf_dir, "orders", ORDER_COLUMNS)
+    c = _read(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
+    n = _read(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
+    li = _read(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate"])
+    k = F.col("o_orderkey")
+    # One row a customer, so that an order stays one row until its contacts are gathered; a nation that is not known counts too.
+    nations = c.groupBy(F.col("c_custkey").alias("o_custkey")).agg(F.collect_list(F.struct("c_nationkey")).alias("_nations"))
+    ahead = c.select((F.col("c_custkey") - 1).alias("o_custkey")).distinct().withColumn("_ahead", F.lit(True))
+    o = o.join(nations, "o_custkey", "left").join(ahead, "o_custkey", "left")
+    contact = lambda pos, key: F.struct(F.lit(pos).alias("pos"), _s(key).alias("id"))
+    first, second = contact(0, F.col("o_custkey")), contact(1, F.col("o_custkey") + 1)
+    o = o.withColumn("_contacts", F.when((k % 5 == 0) & F.col("_ahead"), F.array(first, second)).otherwise(F.array(first))).drop("_ahead")
+    # As the objects of an unknown deal are found by no key, they have neither contacts nor stages.
+    all_of = F.sort_array(F.flatten(F.collect_list(F.when(k.isNotNull(), F.col("_contacts"))).over(Window.partitionBy("o_orderkey"))))
+    o = o.withColumn("_contacts", F.when(k.isNotNull(), all_of))
+    entry = F.struct(_case(F.col("l_linenumber"), STAGE_BY_LINENUMBER).alias("stage_id"), F.col("l_shipdate").cast("timestamp_ntz").alias("entered_at"))
+    # Dealt before entries are gathered, as those of a key are few and seldom beside each other.
+    hist = li.select(F.col("l_orderkey").alias("o_orderkey"), entry.alias("h")).repartition("o_orderkey").groupBy("o_orderkey").agg(F.collect_set("h").alias("_stages"))
+    text = lambda at: F.when(F.dayofmonth(at) % 2 == 0, F.unix_millis(at.cast("timestamp")).cast("string")).otherwise(_iso(at))
+    stages = F.transform("_stages", lambda h: F.struct(h["stage_id"].alias("value"), text(h["entered_at"]).alias("timestamp")))
+    none = F.array().cast("array<struct<value:string,timestamp:string>>")
+    o = o.join(hist, "o_orderkey", "left").withColumn("_nation", F.explode_outer("_nations")).drop("_nations")
+    o = _twice(o.join(n, F.col("_nation.c_nationkey") == n.n_nationkey, "left"), k)
+    rows = o.select(*_deal_columns(as_of), "_contacts", "_stages", "_older")
+    props = F.create_map(*[x for p in DEAL_PROPERTIES for x in (F.lit(p), F.col(f"property_{p}"))])
+    linked = F.struct(F.struct(F.transform("_contacts", lambda r: F.struct(r["id"].alias("id"))).alias("results")).alias("contacts"))
+    return _with_older(rows.select(
+        F.col("deal_id").alias("id"), props.alias("properties"), F.col("_archived").alias("archived"), _iso(F.col("_fivetran_synced")).alias("updatedAt"),
+        F.when(F.col("_contacts").isNotNull(), F.struct(F.coalesce(stages, none).alias("dealstage"))).alias("propertiesWithHistory"),
+        F.when(F.col("_contacts").isNotNull(), linked).alias("associations"), "_older"), "dealstage")
+
+
+def dump_objects(spark: SparkSession, sf_dir: str, raw: RawTables, as_of: str) -> dict[str, DataFrame]:
+    """All object dumps by kind. Every 11th contact and deal is in the dump twice, the older version with other values."""
+    contacts = contact_objects(raw.contact).join(raw.contact.select("id", _iso(F.col("_fivetran_synced")).alias("updatedAt")), "id")
     return {
-        "contacts": with_older(contacts, F.col("id").cast("bigint"), "lifecyclestage"),
-        "deals": with_older(deals, F.col("id").cast("bigint"), "dealstage"),
+        "contacts": _with_older(_twice(contacts, F.col("id").cast("bigint")), "lifecyclestage"),
+        "deals": whole_deal_objects(spark, sf_dir, as_of),
         **engagement_objects(spark, sf_dir), "owners": owner_objects(spark, sf_dir), "forms": form_objects(spark, sf_dir),
         "submissions": submission_objects(spark, sf_dir),
     }

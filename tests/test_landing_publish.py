@@ -212,3 +212,38 @@ def test_a_landing_run_reads_and_sorts_out_deals_once(spark, tmp_path, monkeypat
     assert sorted((r.stage_id, r.entered_at, r.exited_at) for r in tables["deal_stage_history"].collect()) == [
         ("b", dt.datetime(1970, 1, 1, 0, 0, 3), None), ("new", dt.datetime(1970, 1, 1, 0, 0, 1), dt.datetime(1970, 1, 1, 0, 0, 3))]
     assert [r.contact_id for r in tables["deal_contact"].collect()] == ["c3000"]
+
+
+def _shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_the_deals_dump_holds_each_version_and_shuffles_narrow_rows(spark, tmp_path):
+    from partnerlens.sources import fixture as FX
+
+    day, root, as_of = dt.datetime(2000, 1, 3), str(tmp_path), "2002-01-01 00:00:00"
+    tables = {
+        "nation": ([(1, "N1"), (2, "N2")], "n_nationkey int, n_name string"),
+        "customer": ([(3, 1), (4, None), (4, 2), (4, 2), (5, 9)], "c_custkey bigint, c_nationkey int"),
+        "orders": ([(k, c, "F", 12.5, day, "1-URGENT") for k, c in [(10, 3), (10, 4), (11, 4), (11, 4), (15, 4), (20, 5), (22, 99), (23, None), (None, 3)]],
+                   "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"),
+        "lineitem": ([(k, n, at) for k, n, at in [(10, 1, day), (10, 1, day), (10, 2, day), (11, None, day), (11, 3, None), (22, 9, day), (None, 1, day), (99, 1, day)]],
+                     "l_orderkey bigint, l_linenumber int, l_shipdate timestamp_ntz")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{root}/{name}.parquet")
+    plain = FX.deal_property_objects(FX.deals(spark, root, as_of)).join(FX.deal_objects(spark, root), "id", "left")
+    key = F.col("id").cast("bigint")
+    older = plain.filter(key % 11 == 0).withColumn("properties", F.map_concat(
+        F.map_filter("properties", lambda k, _: k != "dealstage"), F.create_map(F.lit("dealstage"), F.lit("older")))).withColumn(
+        "updatedAt", FX._iso(FX._days(F.to_timestamp("updatedAt").cast("timestamp_ntz"), F.lit(-400))))
+    now = FX.whole_deal_objects(spark, root, as_of)
+
+    def found(objs):
+        dumped = [json.loads(r) for r in objs.toJSON().collect()]
+        for o in dumped:
+            o.get("propertiesWithHistory", {}).get("dealstage", []).sort(key=str)
+        return sorted(json.dumps(o) for o in dumped)
+
+    expected = found(plain.unionByName(older))
+    assert len(expected) == 24 and found(now) == expected
+    assert _shuffles(now) < _shuffles(plain.unionByName(older))
