@@ -15,27 +15,35 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from partnerlens.session import drop_path, new_path
 
 
+#: What rows of one key and version are ordered by, where it was worked out before columns were dropped.
+TIE = "_tie"
+
+
+def _hash(columns: list[str]) -> Column:
+    return F.xxhash64(*[F.col(c).cast("string") for c in columns])
+
+
 def latest_per_key(rows: DataFrame, keys: list[str], seq: Column | str | None = None) -> DataFrame:
     """Last write wins among duplicate keys: the row with the greatest ``seq``.
 
     A null ``seq`` comes before all others; rows of one key and ``seq`` are
-    ordered by a hash of all their columns, so the same rows always give the
-    same row. The aggregation is partial before the shuffle: a key that is
+    ordered by a hash of all their columns (or by ``TIE``, which rows may carry),
+    so the same rows always give the same row. The aggregation is partial before the shuffle: a key that is
     repeated many times never gathers its rows in one task.
     """
-    others = [c for c in rows.columns if c not in keys]
+    others = [c for c in rows.columns if c not in (*keys, TIE)]
     if not others:
         return rows.distinct()
     seq_col = F.lit(None) if seq is None else F.col(seq) if isinstance(seq, str) else seq
     order = [seq_col.isNotNull(), seq_col] if seq is not None else []
-    order.append(F.xxhash64(*[F.col(c).cast("string") for c in others]))
+    order.append(F.col(TIE) if TIE in rows.columns else _hash(others))
     packed = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(*order)).alias("_row"))
     return packed.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
 
@@ -86,6 +94,8 @@ BUCKET = "_bucket_of_"
 SEQ = "_seq"
 #: Buckets of a table that has no partition column of its own; a stored table keeps the number it was made with.
 BUCKETS = 16
+#: Stored bytes that a task of a merge sorts, about; the shuffle has some five times as many.
+TASK_BYTES = 4 << 20
 
 
 def _scan(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
@@ -108,15 +118,51 @@ def _placed(rows: DataFrame, keys: list[str], part: str) -> DataFrame:
     """rows with the partition column, which is one of their own or a bucket."""
     if not part.startswith(BUCKET):
         return rows
-    return rows.withColumn(part, F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(int(part[len(BUCKET):]))).cast("int"))
+    return rows.withColumn(part, F.pmod(_hash(keys), F.lit(int(part[len(BUCKET):]))).cast("int"))
 
 
-def _write(rows: DataFrame, path: str, part: str, mode: str) -> None:
+def _settled(old: DataFrame | None, new: DataFrame, keys: list[str], part: str, versioned: bool, once: bool) -> DataFrame:
+    """old and new rows of buckets as a merge leaves them, each task with rows of one bucket; they are dealt and sorted once.
+
+    New rows of a key may be several where not ``once``, but few: the latest
+    counts, as in :func:`latest_per_key`, and then as in :func:`merge_into`. A
+    key with a null is none that is known already.
+    """
+    buckets = int(part[len(BUCKET):])
+    size = sum(int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for rows in (old, new) if rows is not None)
+    tasks = min(max(size // (buckets * TASK_BYTES) + 1, 1), 512)  # of a bucket
+    others = [c for c in new.columns if c not in (*keys, part)]
+    rows = new.withColumns({"_new": F.lit(True), TIE: F.lit(0) if once or not others else _hash(others)})
+    if old is not None:
+        rows = rows.unionByName(old.withColumns({"_new": F.lit(False), TIE: F.lit(0)}))
+    rows = rows.withColumn("_task", (F.col(part) * tasks + F.pmod(F.shiftright(_hash(keys), 8), F.lit(tasks))).cast("int")).repartitionById(buckets * tasks, F.col("_task"))
+    order = [F.col("_new").desc(), *([F.col(SEQ).desc_nulls_last()] if versioned else []), F.col(TIE).desc()]
+    each = Window.partitionBy(part, "_task", *keys).orderBy(*order)
+    rows = rows.withColumn("_nth", F.row_number().over(each))
+    if old is None:
+        return rows.filter("_nth = 1").select(*new.columns)
+    group = each.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    wins = F.first("_new").over(group)
+    if versioned:
+        given, known = F.first(SEQ).over(group), F.max(F.when(~F.col("_new"), F.col(SEQ))).over(group)
+        wins = wins & (given.isNull() | known.isNull() | (given >= known))
+    unknown = F.lit(False)
+    for k in keys:
+        unknown = unknown | F.col(k).isNull()
+    rows = rows.withColumn("_wins", wins)
+    kept = F.when(F.col("_new"), (F.col("_nth") == 1) & (unknown | F.col("_wins"))).otherwise(unknown | ~F.col("_wins"))
+    return rows.filter(kept).select(*old.columns)
+
+
+def _write(rows: DataFrame, path: str, part: str, mode: str, dealt: bool = False) -> None:
     """Writes partitions whole; rows are dealt by partition into files of a good size, however many tasks and partitions there are.
 
     A small table is written by as many tasks as the cluster has, too, as it
-    is the number of files that takes the time there.
+    is the number of files that takes the time there. ``dealt``: a task has
+    rows of few partitions already.
     """
+    if dealt:
+        return rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(part).parquet(path)
     spark, least = rows.sparkSession, "spark.sql.adaptive.coalescePartitions.minPartitionSize"
     before = spark.conf.get(least, None)
     spark.conf.set(least, "16k")
@@ -163,7 +209,8 @@ def _replace(spark: SparkSession, path: str, rows: DataFrame, part: str, lose: l
 
 
 def merge_into(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], seq: Column | None = None, by: str | None = None,
-               buckets: int = BUCKETS, ready: bool = False, schema: T.StructType | None = None, once: bool = False) -> DataFrame:
+               buckets: int = BUCKETS, ready: bool = False, schema: T.StructType | None = None, once: bool = False, few: bool = False,
+               cheap: bool = False) -> DataFrame:
     """A8 and A11 against a stored table: new keys are inserted, of known ones the given columns replaced; returns the table.
 
     With ``seq``, a version that is older than the stored one changes nothing; of
@@ -171,19 +218,22 @@ def merge_into(spark: SparkSession, path: str, rows: DataFrame, keys: list[str],
     Only partitions that hold a changed key, or will, are read and written.
     ``ready`` says that rows have each key once and are a stored table
     themselves, so that they need not be sorted out and staged; ``once`` only
-    that they have each key once; ``schema`` is the stored table's, where that
-    is known.
+    that they have each key once, ``few`` that no key comes many times, and
+    ``cheap`` that they need not be staged; ``schema`` is the stored table's,
+    where that is known.
     """
     changes = rows if seq is None else rows.withColumn(SEQ, seq)
-    if not once and not (ready and seq is None):
-        changes = latest_per_key(changes, keys, None if seq is None else SEQ)
     stored = _scan(spark, path, schema)
     part = f"{BUCKET}{buckets}" if stored is None and not by else _partition(stored.columns if stored is not None else [], by)
+    settles = not by and (stored is None or {*stored.columns} == {*changes.columns, part})
+    few = few and settles
+    if not once and not few and not (ready and seq is None):
+        changes = latest_per_key(changes, keys, None if seq is None else SEQ)
     changes = _placed(changes, keys, part)
     if stored is None:
-        _write(changes, path, part, "static")
+        _write(_settled(None, changes, keys, part, seq is not None, once) if few else changes, path, part, "static", few)
         return read_keyed(spark, path, schema)
-    held, drop = (changes, lambda: None) if ready else staged(spark, changes)
+    held, drop = (changes, lambda: None) if ready or cheap and settles else staged(spark, changes)
     touched = held.select(part)
     if by:  # the stored row of a key can be in another partition
         touched = touched.union(stored.join(held.select(*keys), keys, "left_semi").select(part))
@@ -191,10 +241,13 @@ def merge_into(spark: SparkSession, path: str, rows: DataFrame, keys: list[str],
     if touched:
         old = stored.filter(_same(part, touched))
         new = held
-        if seq is not None and SEQ in stored.columns:
-            before = old.select(*keys, F.col(SEQ).alias("_before"))
-            new = held.join(before, keys, "left").filter("_before is null or _seq is null or _seq >= _before").drop("_before")
-        _replace(spark, path, upsert(old, new, keys, once=True), part, touched if by else [], stored)
+        if settles:
+            _write(_settled(old, new, keys, part, seq is not None, once or not few), path, part, "dynamic", True)
+        else:
+            if seq is not None and SEQ in stored.columns:
+                before = old.select(*keys, F.col(SEQ).alias("_before"))
+                new = held.join(before, keys, "left").filter("_before is null or _seq is null or _seq >= _before").drop("_before")
+            _replace(spark, path, upsert(old, new, keys, once=True), part, touched if by else [], stored)
     drop()
     return read_keyed(spark, path, schema)
 

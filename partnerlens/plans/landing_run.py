@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partnerlens.operators.merge import SEQ, merge_into, read_keyed, staged
+from partnerlens.session import let_go
 from partnerlens.sources import landing as L
 from partnerlens.sources.tables import RAW_KEYS
 
@@ -31,7 +32,7 @@ STATE_KEYS = ["object_name"]
 
 def land(table: str, objects: Objects, at: dt.datetime, once: bool = False) -> DataFrame:
     """The rows of one raw table from a batch of objects, each object as it was updated last; ``once``: the batch holds each once."""
-    latest = objects if once else lambda kind: L.latest_objects(objects(kind))
+    latest = objects if once else lambda kind: L.latest_objects(L.known(objects(kind), kind))
     if table == "owner":
         return L.land_owners(objects("owners"))
     if table == "contact":
@@ -67,12 +68,14 @@ def last_sync(spark: SparkSession, out_root: str, name: str) -> dt.datetime | No
 
 # Tables whose keys :func:`land` gives once: a row for each object, or for each distinct entry of one object.
 ONCE = ("contact", "deal", "deal_stage_history")
+# Tables whose keys it may give several times, but not many: for each kind, or for each entry of one object.
+FEW = ("deal_contact", "engagement", "engagement_contact")
 
 
-def store(spark: SparkSession, root: str, table: str, rows: DataFrame) -> DataFrame:
-    """Merges rows of :func:`land` into one raw table under root and returns it as it stands."""
+def store(spark: SparkSession, root: str, table: str, rows: DataFrame, cheap: bool = False) -> DataFrame:
+    """Merges rows of :func:`land` into one raw table under root and returns it as it stands; ``cheap``: they come from staged objects."""
     seq = F.col(SEQ) if SEQ in rows.columns else F.col("submitted_at") if table == "contact_form" else None
-    return merge_into(spark, f"{root}/{table}", rows, RAW_KEYS[table], seq, once=table in ONCE)
+    return merge_into(spark, f"{root}/{table}", rows, RAW_KEYS[table], seq, once=table in ONCE, few=table in FEW, cheap=cheap)
 
 
 def store_submissions(spark: SparkSession, root: str, rows: DataFrame | None) -> DataFrame | None:
@@ -94,7 +97,8 @@ def latest_staged(spark: SparkSession, objects: Objects) -> Iterator[Objects]:
 
     def staged_once(kind: str) -> DataFrame:
         if kind not in held:
-            held[kind] = staged(spark, L.latest_objects(objects(kind)))
+            held[kind] = staged(spark, L.latest_objects(L.known(objects(kind), kind)))
+            let_go(spark)
         return held[kind][0]
 
     try:
@@ -114,7 +118,9 @@ def landing_run(spark: SparkSession, dump_root: str, out_root: str, run_started:
 
     def put(table: str, objects: Objects, once: bool = False) -> None:
         rows = land(table, objects, run_started, once)
-        tables[table] = store_submissions(spark, out_root, rows) if table == "contact_form" else store(spark, out_root, table, rows)
+        tables[table] = store_submissions(spark, out_root, rows) if table == "contact_form" else store(spark, out_root, table, rows, cheap=once)
+        del rows
+        let_go(spark)  # shuffle files go before the next table is landed
 
     def dumped(since: dt.datetime | None = None) -> Objects:
         return lambda kind: L.objects_since(L.objects(spark, f"{dump_root}/{kind}", L.KINDS.get(kind, "object")), since)

@@ -13,12 +13,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from partnerlens.functions import columns as X
-from partnerlens.operators.merge import SEQ, latest_per_key
+from partnerlens.operators.merge import SEQ, TIE, latest_per_key
 from partnerlens.sources.tables import CONTACT_PROPERTIES, DEAL_PROPERTIES
 
 S = T.StringType()
@@ -54,6 +54,10 @@ KINDS = {"owners": "owner", "forms": "form", "submissions": "submission"}
 
 # Engagement object types and the type label each one lands with.
 ENGAGEMENT_TYPES = {"emails": "EMAIL", "calls": "CALL", "meetings": "MEETING", "notes": "NOTE", "tasks": "TASK"}
+# The properties that are landed, by dump folder; the modified time may be one.
+ENGAGEMENT_PROPERTIES = ["hs_timestamp", "hs_createdate", "hubspot_owner_id", "hs_email_direction", "hs_email_from_email", "hs_email_subject"]
+MODIFIED = "hs_lastmodifieddate"
+PROPERTIES = {"contacts": CONTACT_PROPERTIES, "deals": DEAL_PROPERTIES, **{kind: ENGAGEMENT_PROPERTIES for kind in ENGAGEMENT_TYPES}}
 
 
 def objects(spark: SparkSession, path: str, kind: str = "object") -> DataFrame:
@@ -65,7 +69,7 @@ def modified_at(objs: DataFrame) -> Column:
     """When an object was modified: ``updatedAt``, else the property that the CRM searches by; null if neither can be read."""
     known = [parse_ts(F.col("updatedAt"))] if "updatedAt" in objs.columns else []
     if "properties" in objs.columns:
-        known.append(parse_ts(F.col("properties")["hs_lastmodifieddate"]))
+        known.append(parse_ts(F.col("properties")[MODIFIED]))
     return F.coalesce(*known) if known else F.lit(None).cast("timestamp_ntz")
 
 
@@ -84,7 +88,8 @@ def version(objs: DataFrame, read_at: dt.datetime) -> Column:
 
 def sync_state(spark: SparkSession, object_type: str, run_started_at: dt.datetime) -> DataFrame:
     """One state row per object type; the watermark is the run start, not the max seen."""
-    return spark.createDataFrame([(object_type, run_started_at)], "object_name string, last_sync_at timestamp_ntz")
+    at = F.lit(run_started_at.isoformat(" ")).cast("timestamp_ntz")
+    return spark.range(1).select(F.lit(object_type).alias("object_name"), at.alias("last_sync_at"))  # no Python worker for one row
 
 
 def latest_objects(objs: DataFrame) -> DataFrame:
@@ -92,6 +97,14 @@ def latest_objects(objs: DataFrame) -> DataFrame:
     return latest_per_key(objs, ["id"], modified_at(objs))
 
 
+def known(objs: DataFrame, kind: str) -> DataFrame:
+    """Objects with their landed properties alone, as a struct: what is shuffled and staged. Versions of one time stay in the order of whole objects."""
+    others = [c for c in objs.columns if c != "id"]
+    tie = F.xxhash64(*[F.col(c).cast("string") for c in others]).alias(TIE)
+    properties = F.struct(*[F.col("properties")[p].alias(p) for p in [*PROPERTIES[kind], MODIFIED]]).alias("properties")
+    return objs.select("id", *[properties if c == "properties" else c for c in others], tie)
+
+
 def parse_ts(c: Column) -> Column:
     """Epoch milliseconds (number or digit text) or ISO text (with or without Z); else null."""
     return X.parse_loose_timestamp(c)
@@ -121,12 +134,15 @@ def land_stage_history(objs: DataFrame, *more: Column, once: bool = False) -> Da
 
     An object that a batch holds twice counts once, as it was updated last. ``once``: the batch holds each once.
     """
-    e = (objs if once else latest_objects(objs)).select(F.col("id").alias("deal_id"), F.explode("propertiesWithHistory.dealstage").alias("h"), *more).filter(
-        (F.coalesce(F.col("h.value"), F.lit("")) != "") & (F.coalesce(F.col("h.timestamp"), F.lit("")) != ""))
-    e = e.select("deal_id", F.col("h.value").alias("stage_id"), parse_ts(F.col("h.timestamp")).alias("entered_at"), *e.columns[2:]) \
-        .filter(F.col("entered_at").isNotNull()).repartition("deal_id").distinct()  # dealt once, for the window too
-    w = Window.partitionBy("deal_id").orderBy("entered_at", "stage_id")
-    return e.withColumn("exited_at", F.lead("entered_at").over(w))
+    history = F.col("propertiesWithHistory.dealstage")
+    given = F.filter(history, lambda h: (F.coalesce(h["value"], F.lit("")) != "") & (F.coalesce(h["timestamp"], F.lit("")) != ""))
+    entries = F.transform(given, lambda h: F.struct(parse_ts(h["timestamp"]).alias("entered_at"), h["value"].alias("stage_id")))
+    entries = F.sort_array(F.filter(entries, lambda e: e["entered_at"].isNotNull()))
+    # All entries of a deal are in its object, so they are put in order there, without a shuffle. Equal ones are beside each other.
+    e = (objs if once else latest_objects(objs)).select(F.col("id").alias("deal_id"), entries.alias("_all"), *more)
+    e = e.withColumn("_all", F.filter("_all", lambda e, i: (i == 0) | (e != F.get("_all", i - 1))))
+    e = e.withColumn("_e", F.explode(F.transform("_all", lambda e, i: F.struct(e.alias("now"), F.get("_all", i + 1)["entered_at"].alias("exited_at")))))
+    return e.select("deal_id", "_e.now.stage_id", "_e.now.entered_at", *e.columns[2:-1], "_e.exited_at")
 
 
 def land_deal_contacts(objs: DataFrame, *more: Column) -> DataFrame:

@@ -218,6 +218,37 @@ def _shuffles(df):
     return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
 
 
+def test_a_history_is_put_in_order_inside_its_object(spark):
+    objs = spark.createDataFrame([
+        ("d1", ([("b", "2000"), ("a", "2000"), ("b", "2000"), (None, "1"), ("", "1"), ("c", "junk"), ("a", "1000")],), "x"), ("d2", ([],), "x"), ("d3", None, "x"),
+        (None, ([("a", "1000")],), "x")],
+        "id string, propertiesWithHistory struct<dealstage:array<struct<value:string,timestamp:string>>>, more string")
+    rows = L.land_stage_history(objs, F.col("more"), once=True)
+    at = lambda s: dt.datetime(1970, 1, 1, 0, 0, s)
+    assert rows.columns == ["deal_id", "stage_id", "entered_at", "more", "exited_at"] and _shuffles(rows) == 0
+    assert sorted(map(tuple, rows.collect()), key=str) == [
+        ("d1", "a", at(1), "x", at(2)), ("d1", "a", at(2), "x", at(2)), ("d1", "b", at(2), "x", None), (None, "a", at(1), "x", None)]
+
+
+def test_a_merge_deals_its_rows_once(spark, tmp_path, monkeypatch):
+    from partnerlens.operators import merge as M
+
+    at = lambda n: n and dt.datetime(2001, 1, n)
+    make = lambda *rows: spark.createDataFrame([(k, k2, v, at(n)) for k, k2, v, n in rows], "k string, k2 string, v string, t timestamp_ntz")
+    settled, plans = M._settled, []
+    monkeypatch.setattr(M, "_settled", lambda *a: plans.append(settled(*a)) or plans[-1])
+    put = lambda *rows, **how: sorted(map(tuple, M.merge_into(
+        spark, str(tmp_path / "t"), make(*rows), ["k", "k2"], F.col("t"), **how).select("k", "k2", "v").collect()), key=str)
+    assert put(("a", "x", "old", 1), ("a", "x", "new", 2), ("b", "x", "1", None), ("b", None, "n", 1), few=True) == [
+        ("a", "x", "new"), ("b", "x", "1"), ("b", None, "n")]
+    # Older than the stored one, of equal time, of unknown time on either side, a key with a null (never known already), a new one.
+    out = put(("a", "x", "older", 1), ("a", "x", "none", None), ("b", "x", "2", 1), ("b", None, "m", 2), ("c", "x", "3", 1), few=True)
+    assert out == [("a", "x", "new"), ("b", "x", "2"), ("b", None, "m"), ("b", None, "n"), ("c", "x", "3")]
+    assert put(("a", "x", "same", 2), ("c", "x", "4", None), once=True) == [
+        ("a", "x", "same"), ("b", "x", "2"), ("b", None, "m"), ("b", None, "n"), ("c", "x", "4")]
+    assert [_shuffles(p) for p in plans] == [1, 1, 1]
+
+
 def test_the_deals_dump_holds_each_version_and_shuffles_narrow_rows(spark, tmp_path):
     from partnerlens.sources import fixture as FX
 
