@@ -94,8 +94,10 @@ def let_go(spark: SparkSession) -> None:
     """Lets the driver give back what nothing refers to any more (plans, broadcasts, shuffle files), rather than when its heap is full.
 
     A full collection also returns the heap's free pages, so the driver does not
-    grow with the number of queries it has planned or their tasks.
+    grow with the number of queries it has planned or their tasks. Spark's event
+    queues hold the last query that ended until another one does: a small one.
     """
+    spark.sql("select 1").collect()
     gc.collect()
     spark._jvm.System.gc()
 

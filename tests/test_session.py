@@ -66,3 +66,14 @@ def test_kept_models_leave_no_garbage_in_the_driver(spark, tmp_path):
     kept = models.keep(spark.range(10))
     assert collections() > before and kept.count() == 10
     models.release()
+
+
+def test_letting_go_ends_with_a_small_query(spark, monkeypatch):
+    from partnerlens import session as S
+
+    # Spark's event queues hold the query that ended last, with its shuffle files, until another one ends.
+    done, sql = [], type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, *a, **b: done.append(a[0]) or sql(self, *a, **b))
+    monkeypatch.setattr(S.gc, "collect", lambda: done.append("gc"))
+    S.let_go(spark)
+    assert done == ["select 1", "gc"]
