@@ -134,15 +134,14 @@ def land_stage_history(objs: DataFrame, *more: Column, once: bool = False) -> Da
 
     An object that a batch holds twice counts once, as it was updated last. ``once``: the batch holds each once.
     """
-    history = F.col("propertiesWithHistory.dealstage")
-    given = F.filter(history, lambda h: (F.coalesce(h["value"], F.lit("")) != "") & (F.coalesce(h["timestamp"], F.lit("")) != ""))
-    entries = F.transform(given, lambda h: F.struct(parse_ts(h["timestamp"]).alias("entered_at"), h["value"].alias("stage_id")))
-    entries = F.sort_array(F.filter(entries, lambda e: e["entered_at"].isNotNull()))
-    # All entries of a deal are in its object, so they are put in order there, without a shuffle. Equal ones are beside each other.
+    # All entries of a deal are in its object, so they are put in order there, without a shuffle.
+    entries = F.transform("propertiesWithHistory.dealstage", lambda h: F.struct(parse_ts(h["timestamp"]).alias("entered_at"), h["value"].alias("stage_id")))
+    entries = F.sort_array(F.filter(entries, lambda e: e["entered_at"].isNotNull() & (F.coalesce(e["stage_id"], F.lit("")) != "")))
     e = (objs if once else latest_objects(objs)).select(F.col("id").alias("deal_id"), entries.alias("_all"), *more)
-    e = e.withColumn("_all", F.filter("_all", lambda e, i: (i == 0) | (e != F.get("_all", i - 1))))
-    e = e.withColumn("_e", F.explode(F.transform("_all", lambda e, i: F.struct(e.alias("now"), F.get("_all", i + 1)["entered_at"].alias("exited_at")))))
-    return e.select("deal_id", "_e.now.stage_id", "_e.now.entered_at", *e.columns[2:-1], "_e.exited_at")
+    after = F.get("_all", F.col("_pos") + 1)
+    # The outer form, as else Spark works out the entries once more, to leave out what has none. Equal entries count once.
+    e = e.select("deal_id", "_all", *e.columns[2:], F.posexplode_outer("_all").alias("_pos", "_e")).filter(F.col("_e").isNotNull() & (after.isNull() | (F.col("_e") != after)))
+    return e.select("deal_id", "_e.stage_id", "_e.entered_at", *e.columns[2:-2], after["entered_at"].alias("exited_at"))
 
 
 def land_deal_contacts(objs: DataFrame, *more: Column) -> DataFrame:
